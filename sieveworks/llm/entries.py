@@ -6,9 +6,12 @@ import importlib
 
 #: Query name and the module that has it.
 MODULES = {
+    "op3_main_text": "html",
+    "op4_fingerprints": "fingerprints",
     "op5_toxicity": "toxicity",
     "op6_quality": "quality",
     "op7_language": "langid",
+    "op9_packing": "packing",
 }
 
 
