@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,5 +71,15 @@ def global_rank(df: DataFrame, keys: list[str], bucket: Column, order: list[Colu
     return ranked.join(offsets, [*keys, "_b"]).withColumn(name, (F.col("_r") + F.col("_o")).cast("long")).drop("_b", "_r", "_o")
 
 
+def by_chars(batches: Iterator[pd.DataFrame], column: str = "text", limit: int = 1 << 20) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of about `limit` characters (one row at least), so that arrays over texts stay small."""
+    for pdf in batches:
+        if len(pdf):
+            part = pdf[column].str.len().fillna(0).to_numpy(dtype="int64").cumsum() // limit
+            cuts = [0, *(i + 1 for i in range(len(part) - 1) if part[i] != part[i + 1]), len(pdf)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield pdf.iloc[a:b]
+
+
 def struct_of(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)

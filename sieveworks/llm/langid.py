@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, documents, fold, table
+from .common import bounded_sample, by_chars, documents, fold, table
 from .textvec import char_ngrams, code_points, letter_table
 
 TRAIN_ROWS = 30_000
@@ -38,7 +38,7 @@ def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> tuple[list[
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, sums = letter_table(), {}
-        for pdf in batches:
+        for pdf in by_chars(batches):
             for lang, part in pdf.groupby("lang"):
                 grams, _ = _grams(part["text"].tolist(), letters)
                 got = np.stack([np.bincount(g, minlength=1 << BITS) for g in grams])
@@ -70,7 +70,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, logs = letter_table(), shared.value
-        for pdf in batches:
+        for pdf in by_chars(batches):
             texts = pdf["text"].tolist()
             known = np.array([bool(x and langs and _LETTER.search(x)) for x in texts], bool)
             best, sure = np.full(len(texts), "und", object), np.zeros(len(texts))
@@ -83,7 +83,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                 odds = np.exp(total - total.max(1, keepdims=True))
                 best[known] = np.array(langs, object)[top[known]]
                 sure[known] = (odds.max(1) / odds.sum(1))[known]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": best, "score": sure})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "lang_pred": best, "score": sure})
 
     return documents(docs).mapInPandas(score, "doc_id long, lang_pred string, score double")
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, fold, materialise, table
+from .common import by_chars, documents, fold, materialise, table
 from .textvec import code_points, word_hashes
 
 RFF = 192
@@ -73,8 +73,8 @@ def features(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classes = _classes()
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "stats": list(statistics(pdf["text"].tolist(), classes).astype(np.float32))})
+        for pdf in by_chars(batches):
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "stats": list(statistics(pdf["text"].tolist(), classes).astype(np.float32))})
 
     return documents(docs).mapInPandas(run, "doc_id long, stats array<float>")
 

@@ -19,13 +19,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, documents, fold, materialise, table
+from .common import bounded_sample, by_chars, documents, fold, materialise, table
 from .textvec import char_ngrams, code_points
 
 TRAIN_ROWS = 12_000
 BITS = 18
 ORDERS = (3, 4, 5)
-PARTS = 8
+#: Tasks that fit, each on PART_ROWS rows or more.
+PARTS, PART_ROWS = 8, 1500
 ROUNDS = 40
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -81,18 +82,19 @@ def _logistic(idx: np.ndarray, lens: np.ndarray, y: np.ndarray, ratio: np.ndarra
 def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """Weights for each bucket (ratio times logistic weight) and intercept.
 
-    PARTS tasks each count and fit their share of the sample; first the counts are summed over all, then the weights
+    Up to PARTS tasks each count and fit their share of the sample; first the counts are summed over all, then the weights
     are averaged over the parts.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & learn)
     known = bounded_sample(known.groupBy("doc_id").agg(F.max("y").alias("y")), "doc_id", rows)
+    parts = max(1, min(PARTS, known.count() // PART_ROWS))
     sample = documents(docs).join(F.broadcast(known), "doc_id").repartition(PARTS, F.xxhash64("doc_id"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in by_chars(batches):
             idx, lens = _sparse(pdf["text"].tolist())
             ends = np.cumsum(lens)
-            yield pd.DataFrame({"part": pdf["doc_id"].mod(PARTS).astype("int32"), "y": pdf["y"], "idx": [idx[e - n : e].astype(np.int32).tobytes() for e, n in zip(ends, lens, strict=True)]})
+            yield pd.DataFrame({"part": pdf["doc_id"].mod(parts).astype("int32").to_numpy(), "y": pdf["y"].to_numpy(), "idx": [idx[e - n : e].astype(np.int32).tobytes() for e, n in zip(ends, lens, strict=True)]})
 
     rows_df = materialise(sample.mapInPandas(encode, "part int, y double, idx binary"), "toxic-features")
 
@@ -107,8 +109,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: i
         yield pd.DataFrame({"sums": [sums.tobytes()]})
 
     # a bucket counts once for each row, as numpy's indexed addition does
-    parts = rows_df.repartition(PARTS).mapInPandas(count, "sums binary").collect()  # PARTS vectors of fixed size
-    counts = sum((np.frombuffer(r["sums"]).reshape(2, -1) for r in parts), np.zeros((2, 1 << BITS)))
+    sums = rows_df.repartition(PARTS).mapInPandas(count, "sums binary").collect()  # PARTS vectors of fixed size
+    counts = sum((np.frombuffer(r["sums"]).reshape(2, -1) for r in sums), np.zeros((2, 1 << BITS)))
     n_clean, n_toxic = counts[:, 0]
     if n_toxic == 0 or n_clean == 0:
         return np.zeros(1 << BITS), 30.0 if n_toxic else -30.0
@@ -136,12 +138,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = shared.value
-        for pdf in batches:
+        for pdf in by_chars(batches):
             grams, starts = _features(pdf["text"].tolist())
             total = sum(np.add.reduceat(w[g], starts) for g in grams)
             count = sum(np.add.reduceat((g > 0).astype(np.float32), starts) for g in grams)
             z = total / np.sqrt(np.maximum(count, 1)) + b
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(float)))})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "score": 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(float)))})
 
     return documents(docs).mapInPandas(run, "doc_id long, score double")
 
