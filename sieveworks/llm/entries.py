@@ -13,6 +13,7 @@ MODULES = {
     "op6_quality": "quality",
     "op7_language": "langid",
     "op9_packing": "packing",
+    "op10_decontamination": "decontam",
 }
 
 
