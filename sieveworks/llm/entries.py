@@ -12,6 +12,7 @@ MODULES = {
     "op5_toxicity": "toxicity",
     "op6_quality": "quality",
     "op7_language": "langid",
+    "op8_near_duplicates": "neardup",
     "op9_packing": "packing",
     "op10_decontamination": "decontam",
 }
