@@ -7,6 +7,7 @@ import importlib
 #: Query name and the module that has it.
 MODULES = {
     "op1_balanced_shards": "sharding",
+    "op2_repeated_passages": "passages",
     "op3_main_text": "html",
     "op4_fingerprints": "fingerprints",
     "op5_toxicity": "toxicity",
