@@ -71,7 +71,8 @@ def remote_partners(chunks: DataFrame, gap: int = 3, seed: int = 42) -> DataFram
     rows = chunks.select("doc_id", "position").join(n, "doc_id")
     before = F.greatest(F.col("position") - (gap - 1), F.lit(0))
     after = F.greatest(F.col("n") - F.col("position") - gap, F.lit(0))
-    pick = F.pmod(F.crc32(F.concat_ws(":", F.lit(str(seed)), "doc_id", "position").cast("binary")), before + after)
+    number = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), "doc_id", "position").cast("binary")), 1, 8), 16, 10).cast("long")
+    pick = F.pmod(number, F.nullif(before + after, F.lit(0)))
     partner = F.when(pick < before, pick).otherwise(F.col("position") + gap + pick - before)
     return rows.where(before + after > 0).select("doc_id", "position", partner.cast("int").alias("partner"))
 
