@@ -35,15 +35,16 @@ def _load(labels: DataFrame, shards: int, caps: DataFrame) -> DataFrame:
     return caps.join(F.broadcast(load), "shard", "left").select("shard", "cap", (F.col("cap") - F.coalesce("load", F.lit(0))).alias("room"))
 
 
-def _votes(labels: DataFrame, rooms: DataFrame) -> DataFrame:
-    """For each group the shard it wants: of those with room or with its members already, the one with most of them.
-
-    fixed marks a shard without room: who is there stays, and the others look further.
+def _votes(labels: DataFrame, rooms: DataFrame, free: list[int]) -> DataFrame:
+    """For each group the shard it wants: of those with room that have members of it, the one with most of them, and how
+    many these are. A divided group none of whose shards has room wants one of the free shards, where it has none yet.
     """
     cells = labels.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
     open_ = cells.join(F.broadcast(rooms), "shard").withColumn("open", F.col("room") > 0)
     best = F.max(F.when(F.col("open"), F.struct("n", F.xxhash64("grp", "shard").alias("h"), "shard")))
-    return open_.groupBy("grp").agg(best["shard"].alias("want"), best["n"].alias("there"))
+    wants = open_.groupBy("grp").agg(best["shard"].alias("best"), best["n"].alias("n"), F.count(F.lit(1)).alias("parts"))
+    other = F.when(F.col("parts") > 1, F.element_at(F.array(*map(F.lit, free)), (F.pmod(F.xxhash64("grp"), F.lit(len(free))) + 1).cast("int"))) if free else F.lit(None)
+    return wants.select("grp", F.coalesce("best", other).cast("int").alias("want"), F.coalesce("n", F.lit(0)).alias("there"))
 
 
 def _joined(left: DataFrame, right: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
@@ -80,14 +81,16 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     # where nearly all documents are linked, rounds may overfill a shard by a tenth; the last step evens it out
     slack = max(1, n // shards // 10) if linked_n > 0.9 * n else 0
     for _ in range(rounds if linked_n else 0):
-        rooms = _load(labels, shards, caps.withColumn("cap", F.col("cap") + slack))
-        votes = _votes(labels, rooms)
+        seen = _load(labels, shards, caps.withColumn("cap", F.col("cap") + slack)).collect()  # one row per shard
+        rooms = spark.createDataFrame([tuple(r) for r in seen], "shard int, cap long, room long")
+        votes = _votes(labels, rooms, [r["shard"] for r in seen if r["room"] > 0])
         here = labels.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("mine"))
         here = here.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("shard", "mine"))).alias("cells"))  # at most one entry per shard
         voted = _joined(labels, votes.join(here, "grp"), hot)
         better = F.col("want").isNotNull() & (F.col("want") != F.col("shard")) & (
             (F.col("there") > F.col("cells")[F.col("shard")])
             | ((F.col("there") == F.col("cells")[F.col("shard")]) & (F.xxhash64("grp", "want") > F.xxhash64("grp", "shard")))
+            | ((F.col("there") == 0) & (F.col("size") * shards <= n))
         )
         movers = voted.where(better).drop("cells", "there")
         ranked = global_rank(movers, ["want"], _bucket(buckets), [F.col("size").desc(), F.col("grp"), F.col("key")], "rank")
