@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -60,8 +60,7 @@ def _in_ranges(docs: DataFrame, marks: DataFrame) -> DataFrame:
     ranges = max(1, -(-n // RANGE))
     parts = [i / ranges for i in range(1, ranges)]
     cuts = sorted({int(x) for x in docs.stat.approxQuantile("doc_id", parts, 0.1 / ranges)}) if parts else []
-    # the cuts at or above an id, counted by bisection in an array of one entry per range; null ids stand last
-    found = F.expr("size(filter(cuts, x -> x >= doc_id))") if len(cuts) < 64 else _bisect(len(cuts))
+    found = _place(len(cuts))  # null ids stand last
     cut_row = spark.createDataFrame([(cuts,)], "cuts array<long>")
 
     def placed(rows: DataFrame) -> DataFrame:
@@ -78,15 +77,14 @@ def _in_ranges(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return rows.select(*columns).unionByName(flags.select(*columns)).unionByName(heads)
 
 
-def _bisect(n: int):
-    """The number of entries at or above doc_id in the ascending array `cuts` of n entries, in log2(n) steps."""
-    low = F.lit(0)
-    step = 1 << (n.bit_length() - 1)
-    while step:
-        ahead = low + F.lit(step)
-        low = F.when((ahead <= n) & (F.get("cuts", ahead - 1) < F.col("doc_id")), ahead).otherwise(low)
-        step >>= 1
-    return F.lit(n) - low
+def _place(n: int) -> Column:
+    """The number of entries at or above doc_id in the ascending array `cuts` of n entries, by bisection."""
+    return F.expr(
+        f"""{n} - aggregate(sequence(0, {n.bit_length()}), named_struct('lo', 0, 'hi', {n}),
+            (s, i) -> if(s.lo >= s.hi, s, if(get(cuts, (s.lo + s.hi) div 2) < doc_id,
+                named_struct('lo', cast((s.lo + s.hi) div 2 + 1 as int), 'hi', s.hi),
+                named_struct('lo', s.lo, 'hi', cast((s.lo + s.hi) div 2 as int)))), s -> s.lo)"""
+    )
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
