@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -141,34 +142,48 @@ class Matcher:
         return out
 
 
-def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """doc_id, item_id, edits, and where in the folded text: one row for each document and item that it contains."""
-    spark = docs.sparkSession
-    docs = documents(docs).where(F.col("text").isNotNull())
+def _blocks(items: DataFrame) -> list:
+    """Broadcasts of all items (item_id, text), each of about MAX_ITEM_CHARS characters at most."""
+    spark = items.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-total // MAX_ITEM_CHARS) or 1
-    schema = "doc_id long, item_id long, edits int, start int, end int"
-    out = None
+    out = []
     for block in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        shared = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()])  # under MAX_ITEM_CHARS or so
+        out.append(spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]))
+    return out
+
+
+def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+    """doc_id, item_id, edits, and where in the folded text: one row for each document and item that it contains."""
+    docs = documents(docs).where(F.col("text").isNotNull())
+    out = None
+    for shared in _blocks(items):
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             matcher = Matcher(shared.value, rate)
             for pdf in by_chars(batches):
                 rows = [(doc, *m) for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True) for m in matcher.find(fold_text(text))]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "start", "end"])
+                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "start", "end"]).astype({"doc_id": "Int64"})
 
-        found = docs.mapInPandas(run, schema)
+        found = docs.mapInPandas(run, "doc_id long, item_id long, edits int, start int, end int")
         out = found if out is None else out.unionByName(found)
     return out
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The rows of docs, all columns, whose text contains no item."""
-    dirty = matches(docs, items, rate).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, docs["doc_id"] == dirty["_dirty"], "left_anti")
+    """The rows of docs, all columns, whose text contains no item. Rows are judged one by one, whatever their ids."""
+    for shared in _blocks(items):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(shared.value, rate)
+            for batch in batches:
+                clean = [not (x and matcher.find(fold_text(x))) for x in batch.column("text").to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
 
 
 def query(spark, sf_dir: str) -> DataFrame:

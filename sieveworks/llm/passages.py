@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -182,15 +183,16 @@ def remove(docs: DataFrame, found: DataFrame) -> DataFrame:
             at = max(at, hi)
         return "".join([*out, text[at:]]).strip()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf["text"] = [x if s is None or x is None or not len(s) else cut(x, s) for x, s in zip(pdf["text"], pdf["_spans"], strict=True)]
-            yield pdf.drop(columns="_spans")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = [cut(x, s) for x, s in zip(batch.column(at).to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).drop_columns(["_spans"])
 
-    touched = joined.where("_spans is not null").mapInPandas(run, docs.schema)
+    touched = joined.where("_spans is not null and text is not null").mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         touched = touched.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.where("_spans is null").drop("_spans").unionByName(touched)
+    return joined.where("_spans is null or text is null").drop("_spans").unionByName(touched)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

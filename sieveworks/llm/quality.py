@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,21 +138,36 @@ def train(stats: DataFrame, labels: DataFrame, label: str, learn: Column) -> tup
     return mean, dev, weights, (got["bin"].to_numpy() + 0.5) / BINS * 2 - 0.5, steps
 
 
-def score(stats: DataFrame, model: tuple | None, *keep: str) -> DataFrame:
-    """doc_id, score (0 to 1) and the kept columns."""
+def _score(stats: np.ndarray, model: tuple | None) -> np.ndarray:
+    if model is None or not len(stats):
+        return np.full(len(stats), 0.5)
+    mean, dev, weights, x, y = model
+    return np.clip(np.interp(np.clip(_map(stats, mean, dev) @ weights, -0.5, 1.5), x, y), 0, 1)
+
+
+def score(stats: DataFrame, model: tuple | None) -> DataFrame:
+    """doc_id and score (0 to 1)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if model is None or not len(pdf):
-                out = np.full(len(pdf), 0.5)
-            else:
-                mean, dev, weights, x, y = model
-                raw = np.clip(_map(np.stack(pdf["stats"].to_numpy()), mean, dev) @ weights, -0.5, 1.5)
-                out = np.clip(np.interp(raw, x, y), 0, 1)
-            yield pdf[["doc_id", *keep]].assign(score=out)
-
-    kept = "".join(f", {c} {t}" for c, t in stats.dtypes if c in keep)
-    return stats.mapInPandas(run, f"doc_id long{kept}, score double")
+            if len(pdf):
+                yield pdf[["doc_id"]].assign(score=_score(np.stack(pdf["stats"].to_numpy()), model))
+
+    return stats.mapInPandas(run, "doc_id long, score double")
+
+
+def keep(docs: DataFrame, labels: DataFrame, learn: Column, least: float) -> DataFrame:
+    """The rows of docs, all columns, with a score of `least` or more. Rows are judged one by one, whatever their ids."""
+    model = train(materialise(features(docs), "quality-stats"), labels, "quality", learn)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = _classes()
+        for batch in batches:
+            texts = pd.DataFrame({"text": batch.column("text").to_pylist()}, dtype=object)
+            good = [_score(statistics(part["text"].tolist(), classes).astype(np.float32), model) >= least for part in by_chars([texts])]
+            yield batch.filter(pa.array(np.concatenate(good) if good else [], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
