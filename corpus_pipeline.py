@@ -17,10 +17,8 @@ LEAST_QUALITY = 0.5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, learned from all labels, does not reject. Null ids are scored like others."""
-    scores = quality.classify(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    low = scores.where(F.col("score") < LEAST_QUALITY).select(F.col("doc_id").alias("_low")).distinct()
-    return docs.join(low, docs["doc_id"].eqNullSafe(low["_low"]), "left_anti")
+    """Documents that the quality classifier, learned from all labels, does not reject."""
+    return quality.keep(docs, table(spark, sf_dir, "labels"), F.lit(True), LEAST_QUALITY)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
