@@ -106,3 +106,19 @@ def page_blocks(texts: Column) -> Column:
         ),
         "\n\n",
     )
+
+
+def highlighted(body: Column, quote: Column) -> Column:
+    """body as HTML text with the first hit of the quote marked, white space aside; quotes under 4 characters mark nothing."""
+    escape = lambda x: F.replace(F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    letters = F.filter(F.split(squeeze(quote), ""), lambda c: c != "")
+    pattern = F.array_join(F.transform(letters, lambda c: F.concat(F.lit("\\Q"), c, F.lit("\\E"))), "\\s*")
+    hit = F.regexp_substr(body, F.concat(F.lit("(?U)"), pattern))
+    at = F.instr(body, hit)
+    marked = F.concat(escape(F.substr(body, F.lit(1), at - 1)), F.lit("<mark>"), escape(hit), F.lit("</mark>"), escape(F.substr(body, at + F.length(hit))))
+    return F.when((F.size(letters) >= 4) & hit.isNotNull(), marked).otherwise(escape(body))
+
+
+def bullets(lines: Column, none: str = "(該当なし)") -> Column:
+    """Lines as a list, or the text for none."""
+    return F.when(F.size(lines) > 0, F.array_join(F.transform(lines, lambda x: F.concat(F.lit("- "), x)), "\n")).otherwise(F.lit(none))
