@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import json
 
-from .plans import jobs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import dims, schemas
+from .operators import anchors, asking
+from .plans import jobs, requests
 from .session import session
 from .sources import files
 
@@ -16,61 +22,110 @@ def _client(path: str):
     return getattr(importlib.import_module(module), name)
 
 
-def main(argv: list[str] | None = None) -> None:
+def _text(spark, path: str) -> str:
+    return "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="sieveworks")
     commands = parser.add_subparsers(dest="command", required=True)
-    p = commands.add_parser("chunk")
-    p.add_argument("--docs", required=True)
-    p.add_argument("--out", required=True)
+
+    def command(name: str, *options: str) -> argparse.ArgumentParser:
+        p = commands.add_parser(name)
+        for option in options:
+            p.add_argument(f"--{option}", required=True, dest="source" if option == "in" else option.replace("-", "_"))
+        return p
+
+    p = command("chunk", "docs", "out")
     p.add_argument("--chunk-size", type=int, default=800)
     p.add_argument("--chunk-overlap", type=int, default=100)
-    p = commands.add_parser("gate")
-    p.add_argument("--in", dest="source", required=True)
-    p.add_argument("--out", required=True)
-    for flag in ("reject-too-easy", "rag-fail", "rag-hit", "rationale-retrieved"):
-        p.add_argument(f"--{flag}", action="store_true")
-    p = commands.add_parser("probe")
-    p.add_argument("--in", dest="source", required=True)
-    p.add_argument("--out", required=True)
-    p.add_argument("--prompts", required=True)
-    p.add_argument("--client", required=True, help="module:name of a callable (prompt, model) -> reply")
+    p = command("patterns", "chunks", "prompt", "client", "model", "out")
+    p.add_argument("--max-chars", type=int, default=12_000)
+    p = command("generate", "chunks", "prompt", "client", "model", "replies", "out")
+    p.add_argument("--n", type=int, default=10)
+    p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--track", choices=("general", "kg_poc"), default="general")
+    p.add_argument("--mix", help="query_type:novelty=N, ... for the kg_poc track")
+    p = command("filter", "in", "chunks", "prompts", "client", "model", "replies", "out")
+    p.add_argument("--embed", help="module:name of a callable: texts -> vectors; without it uniqueness is not scored")
+    p.add_argument("--answerability-least", type=float, default=dims.ANSWERABILITY_LEAST)
+    p.add_argument("--grounding-least", type=float, default=dims.GROUNDING_LEAST)
+    p.add_argument("--uniqueness-most", type=float, default=dims.UNIQUENESS_MOST)
+    p.add_argument("--rationale-least", type=float, default=dims.RATIONALE_LEAST)
+    p.add_argument("--skip-leakage", action="store_true")
+    _conditions(p)
+    _conditions(command("gate", "in", "out"))
+    p = command("verify", "in", "chunks", "vectors", "prompts", "client", "embed", "replies", "out")
+    p.add_argument("--models", nargs=2, required=True, metavar=("ANSWER", "JUDGE"))
+    p.add_argument("--top-k", type=int, default=5)
+    p = command("probe", "in", "prompts", "client", "replies", "out")
     p.add_argument("--models", nargs=2, required=True, metavar=("PROBE", "JUDGE"))
-    p.add_argument("--replies", required=True)
-    p = commands.add_parser("review")
-    p.add_argument("--in", dest="source", required=True)
-    p.add_argument("--events", required=True)
-    p.add_argument("--out", required=True)
-    p = commands.add_parser("stats")
-    p.add_argument("--in", dest="source", required=True)
-    p.add_argument("--out", required=True)
+    command("review", "in", "events", "out")
+    p = command("stats", "in", "out")
     p.add_argument("--track", choices=("general", "kg_poc", "all"), default="all")
     args = parser.parse_args(argv)
-    if args.command == "gate" and args.rag_fail and args.rag_hit:
+    if getattr(args, "rag_fail", False) and args.rag_hit:
         parser.error("--rag-fail and --rag-hit exclude each other")
+    return args
+
+
+def _conditions(p: argparse.ArgumentParser) -> None:
+    for flag in ("reject-too-easy", "rag-fail", "rag-hit", "rationale-retrieved"):
+        p.add_argument(f"--{flag}", action="store_true")
+
+
+SCORES = ("answerability", "leakage", "grounding", "uniqueness", "difficulty_match", "rationale_grounded")
+
+
+def _gate(args: argparse.Namespace, rows: DataFrame, columns: list[str], **more) -> None:
+    kept, dropped = jobs.gate(rows, reject_too_easy=args.reject_too_easy, rag_fail=args.rag_fail, rag_hit=args.rag_hit, rationale_retrieved=args.rationale_retrieved, **more)
+    files.write_qa(kept.withColumn("filter_scores", F.struct(*SCORES)).select(*columns), f"{args.out}/kept")
+    dropped.select("qa_id", "reasons").write.mode("overwrite").json(f"{args.out}/dropped")
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = _arguments(argv)
     spark = session()
     if args.command == "chunk":
         jobs.chunk(spark, args.docs, args.out, args.chunk_size, args.chunk_overlap).show(50, False)
+    elif args.command == "patterns":
+        sample = jobs.pattern_sample(files.chunks(spark, args.chunks), args.max_chars)
+        reply = asking.retried(lambda: _client(args.client)(_text(spark, args.prompt).replace("{sample}", sample), args.model))
+        found = jobs.accepted_patterns(json.loads(reply).get("patterns", []), sample)
+        body = json.dumps({"model": args.model, "sample_chars": len(sample), "patterns": found}, ensure_ascii=False)
+        spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(args.out)
+    elif args.command == "generate":
+        cells = requests.cells(args.n, requests.parse_mix(args.mix) if args.mix else None, args.seed)
+        rows = requests.requests(spark, args.n, args.seed) if args.track == "general" else requests.kg_requests(spark, cells)
+        sets = anchors.anchor_sets(rows, files.chunks(spark, args.chunks), seed=args.seed)
+        good, bad = jobs.generate(sets.drop("miss"), _client(args.client), args.model, _text(spark, args.prompt), args.replies)
+        good.drop("anchors").write.mode("overwrite").json(f"{args.out}/accepted")
+        bad.write.mode("overwrite").json(f"{args.out}/rejected")
+        sets.where("miss is not null").groupBy("aspect", "miss").count().orderBy("count", ascending=False).show(50, False)
+    elif args.command == "filter":
+        qa = files.qa(spark, args.source)
+        embed = _client(args.embed) if args.embed else None
+        rows = jobs.judged(qa, files.chunks(spark, args.chunks), _client(args.client), args.model, asking.sections(_text(spark, args.prompts)), args.replies, embed)
+        _gate(args, rows, qa.columns, leakage=not args.skip_leakage, answerability_least=args.answerability_least, grounding_least=args.grounding_least,
+              uniqueness_most=args.uniqueness_most, rationale_least=args.rationale_least)
     elif args.command == "gate":
         qa = files.qa(spark, args.source)
-        wide = qa.select("*", *[f"filter_scores.{f}" for f in ("answerability", "leakage", "grounding", "uniqueness", "difficulty_match", "rationale_grounded")])
-        kept, dropped = jobs.gate(wide, reject_too_easy=args.reject_too_easy, rag_fail=args.rag_fail, rag_hit=args.rag_hit, rationale_retrieved=args.rationale_retrieved)
-        files.write_qa(kept.select(*qa.columns), f"{args.out}/kept")
-        dropped.select("qa_id", "reasons").write.mode("overwrite").json(f"{args.out}/dropped")
+        _gate(args, qa.select("*", *[f"filter_scores.{f}" for f in SCORES]), qa.columns)
+    elif args.command == "verify":
+        qa, chunks = files.qa(spark, args.source), files.chunks(spark, args.chunks)
+        found = jobs.retrieve(qa, chunks, spark.read.parquet(args.vectors), _client(args.embed), args.top_k)
+        done = jobs.verify(qa, found, _client(args.client), tuple(args.models), asking.sections(_text(spark, args.prompts)), args.replies, args.top_k)
+        files.write_qa(qa.drop("rag_verification").join(done, "qa_id"), args.out)
     elif args.command == "probe":
-        from .operators.asking import sections
-
-        text = "\n".join(r["value"] for r in spark.read.text(args.prompts, wholetext=True).collect())
         qa = files.qa(spark, args.source)
-        known = jobs.probe(qa, _client(args.client), tuple(args.models), sections(text), args.replies)
+        known = jobs.probe(qa, _client(args.client), tuple(args.models), asking.sections(_text(spark, args.prompts)), args.replies)
         files.write_qa(qa.drop("llm_knowledge").join(known, "qa_id"), args.out)
     elif args.command == "review":
-        from . import schemas
-
         files.write_qa(jobs.reviewed(files.qa(spark, args.source), spark.read.schema(schemas.REVIEW_EVENT).json(args.events)), args.out)
     else:
-        items, skipped = files.qa_lenient(spark, args.source, args.track)
+        qa, skipped = files.qa_lenient(spark, args.source, args.track)
         skipped.show(50, False)
-        for name, report in jobs.stats(items).items():
+        for name, report in jobs.stats(qa).items():
             report.coalesce(1).write.mode("overwrite").json(f"{args.out}/{name}")
 
 

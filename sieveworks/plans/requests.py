@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import dims
+from ..functions import rules
 
 Cell = tuple[str, str]
 
@@ -58,3 +60,16 @@ def cell_queue(spark: SparkSession, n: int, mix: list[tuple[str, str, int]] | No
         rows.append((*cell, seen.get(cell, 0)))
         seen[cell] = seen.get(cell, 0) + 1
     return spark.createDataFrame(rows, "kg_query_type string, kg_novelty string, copy int")
+
+
+def requests(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
+    """request_id and aspect of n requests: all aspects in turn, each turn in the order of a hash."""
+    names = [a for a, _, _ in dims.ASPECT_ROWS]
+    turns = [sorted(names, key=lambda a, t=t: _order(seed, t, a)) for t in range(-(-n // len(names)))]
+    return spark.createDataFrame([(i, a) for i, a in enumerate([a for t in turns for a in t][:n])], "request_id int, aspect string")
+
+
+def kg_requests(spark: SparkSession, queue: list[Cell]) -> DataFrame:
+    """request_id, aspect, kg_query_type and kg_novelty of a queue of cells; the aspect chooses the anchors."""
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(queue)], "request_id int, kg_query_type string, kg_novelty string")
+    return rows.withColumn("aspect", rules.kg_aspect(F.col("kg_query_type"), F.col("kg_novelty")))
