@@ -42,6 +42,7 @@ PART_WORDS = (
     "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar", "widget",
 )
 CONTENT_ROLES = ("article", "main")
+NO_CONTENT = ("ad", "advert", "advertisement", "comment", "comments", "replies", "reply", "sponsored")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']+|[\"'](?=[^>]*>))*)>", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
@@ -53,8 +54,9 @@ DEFAULT = {"word": 1.0, "block": -2.0, "inline": -0.5, "part": -3.0}
 def _is_part(name: str, attrs: str) -> bool:
     if name in PARTS:
         return True
-    if name in CONTENT_ROLES or name in ("html", "body") or not attrs:
+    if name in ("html", "body") or not attrs:
         return False
+    words = _NO_CONTENT_SET if name in CONTENT_ROLES else _PART_SET
     for key, *values in _ATTR.findall(attrs):
         value, key = "".join(values), key.lower()
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
@@ -62,12 +64,12 @@ def _is_part(name: str, attrs: str) -> bool:
         if key == "style":
             if re.search(r"display\s*:\s*none", value, re.I):
                 return True
-        elif key in ("class", "id", "role") and not {*_SPLIT.split(value.lower()), *(x.lower() for x in _SPLIT.split(value))}.isdisjoint(_PART_SET):
+        elif key in ("class", "id", "role") and not {*_SPLIT.split(value.lower()), *(x.lower() for x in _SPLIT.split(value))}.isdisjoint(words):
             return True
     return False
 
 
-_PART_SET, _BLOCK_SET, _VOID_SET = frozenset(PART_WORDS), frozenset(BLOCKS), frozenset(VOID)
+_PART_SET, _BLOCK_SET, _VOID_SET, _NO_CONTENT_SET = frozenset(PART_WORDS), frozenset(BLOCKS), frozenset(VOID), frozenset(NO_CONTENT)
 
 
 def tokens(page: str) -> tuple[list[tuple[str, str, bool]], list[bool]]:

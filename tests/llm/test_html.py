@@ -12,6 +12,7 @@ CASES = [
     (f"<body>{NAV}<main><p>Caf&eacute; &#x263A; &lt;tag&gt;</p><aside>side</aside><form>Name <input></form><div class='comments'><p>nice</p></div><p>end</p></main></body>", "Café ☺ <tag> end"),
     ("<article><header>menu</header><p>a</p><!-- no --><p>b</p></article>", "a b"),
     ("<div id=cookie-notice>we use cookies</div><div><p>the long text of a page without a mark that goes on</p><p>and on for a while</p></div>", "the long text of a page without a mark that goes on and on for a while"),
+    ("<article class='post with-sidebar'><p>the text</p></article><article class='comment'><p>me too</p></article>", "the text"),
     ("plain words only", "plain words only"),
     ("", ""),
     (None, ""),
