@@ -57,7 +57,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
-_POWERS = np.cumprod(np.full(4096, 0x100000001B3, np.uint64), dtype=np.uint64)
+_P = 0x100000001B3
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to n of a fixed odd number modulo 2^64, and of its inverse; kept for the next call."""
+    if len(_powers[0]) <= n:
+        size = max(n + 1, 1 << 20)
+        for i, x in enumerate((_P, pow(_P, -1, 1 << 64))):
+            grown = np.full(size, x, np.uint64)
+            grown[0] = 1
+            _powers[i] = np.multiply.accumulate(grown)
+    return _powers[0], _powers[1]
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -70,15 +82,13 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     if not joined:
         return np.zeros(0, np.uint64), counts
     raw = np.frombuffer(joined, np.uint8)
+    up, down = powers(len(raw))
     ends = np.flatnonzero(raw == 32)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(raw * up[: len(raw)], dtype=np.uint64, out=sums[1:])
     starts = np.concatenate([[0], ends + 1])
-    lens = np.diff(np.concatenate([starts, [len(raw) + 1]])) - 1
-    place = np.arange(len(raw), dtype=np.int64)
-    place -= np.repeat(starts, lens + 1)[: len(raw)]
-    np.minimum(place, len(_POWERS) - 1, out=place)
-    terms = (raw.astype(np.uint64) + np.uint64(1)) * _POWERS[place]
-    terms[ends] = 0
-    return mix64(np.add.reduceat(terms, starts) + lens.astype(np.uint64) * _B), counts
+    ends = np.concatenate([ends, [len(raw)]])
+    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _B), counts
 
 
 def single_spaced(text: str | None) -> str:
