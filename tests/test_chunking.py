@@ -20,15 +20,16 @@ def greedy(text, size, overlap):
             break
     else:
         parts = list(text)
-    done, held = [], ""
-    for part in parts:
-        if len(held) + len(part) + 1 > size:
-            if held:
-                done.append(held)
-            held = f"{done[-1][-overlap:]} {part}".strip() if done and overlap else part
-        else:
-            held = f"{held} {part}".strip() if held else part
-    return done + [held] if held else done
+    chunks = []
+    while parts:
+        lead = chunks[-1][len(chunks[-1]) - min(overlap, len(chunks[-1])) :] if chunks else ""
+        chunk, used = (lead + " " + parts[0]).strip() if lead else parts[0], 1
+        while used < len(parts) and len(chunk) + 1 + len(parts[used]) <= size:
+            chunk = (chunk + " " + parts[used]).strip() if chunk else parts[used]
+            used += 1
+        chunks += [chunk] if chunk else []
+        parts = parts[used:]
+    return chunks
 
 
 def pieces(spark, texts, size, overlap):
