@@ -36,6 +36,13 @@ _PIECE = re.compile(r"[a-z]+")
 _TAILED = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
 
+def byte_letters() -> list[str]:
+    """The character that a byte-level vocabulary has for each byte: itself if it prints, else the next one above 255."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(others)) for b in range(256)]
+
+
 class WordEncoder:
     """ids of texts by a tokenizers file whose normaliser and splitter never look across white space.
 
@@ -48,11 +55,15 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.ids: dict[str, bytes] = {}
+        self.letters = dict(enumerate(byte_letters()))
 
     def _word(self, word: str) -> bytes:
         low = word.lower() if word.isascii() else word
         if _PIECE.fullmatch(low):
             ids = [x.id for x in self.model.tokenize(low)]
+        elif word.isalpha() and max(word) < "\u0250" and (low := word.lower()).isalpha():
+            # composed Latin letters: the normaliser only lowers them, and they are one word for the splitter
+            ids = [x.id for x in self.model.tokenize(low.encode().decode("latin-1").translate(self.letters))]
         elif tailed := _TAILED.fullmatch(word):
             return b"".join([self.ids.get(x) or self.ids.setdefault(x, self._word(x)) for x in tailed.groups()])
         else:
