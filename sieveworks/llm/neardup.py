@@ -1,11 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-Shingles are runs of five words (lower case). A shingle's weight is its count in the document times its IDF. Document
-frequencies come from all documents: hashed counters find the shingles that can be frequent, and those are counted
-exactly; rarer ones share the IDF of the least frequency that is counted, so that at most COUNTERS / SLACK shingles need
-to be known to the tasks, at any size of input. Each document gets BANDS x ROWS consistent samples, banded; in each bucket of a band
-documents are compared to representatives, and every comparison is verified by the exact weighted Jaccard similarity
-(SIMILARITY or more). Verified links are joined into groups.
+Shingles are runs of five words (lower case). A shingle's weight is its count in the document times its IDF. The document
+frequency of every shingle is counted exactly over all documents: chunks of documents send their distinct shingles, each
+with its count in the chunk, to ranges of hashes, which send the sums back to the chunks. A shingle that many documents
+have comes once from a chunk, so no range is larger than the others, and no list of shingles passes the driver. Each document gets
+BANDS x ROWS consistent samples, banded; in each bucket of a band documents are compared to representatives, and every
+comparison is verified by the exact weighted Jaccard similarity (SIMILARITY or more). Verified links are joined into groups.
 
 In a bucket, all members are compared to some of them; those that are unlike these are compared to the ones that were like
 them, and so on, until every member is linked or has been held against every other that could link it. So members are
@@ -21,11 +21,13 @@ The document with the smallest doc_id represents its group. Extra columns are ig
 from __future__ import annotations
 
 import functools
+import pickle
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +38,8 @@ from .textvec import mix64, single_spaced, word_hashes, word_shingles
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 9, 3
-#: Hashed counters of shingles; a shingle is counted exactly if its counter holds SLACK times the mean.
-COUNTERS, SLACK = 1 << 18, 4
+#: Characters of the documents that count their shingles together, and about how many shingles are summed in one task.
+CHUNK_CHARS, RANGE_SHINGLES = 1 << 21, 4_000_000
 HOT_SHARE = 1 / 500
 #: Buckets of up to so many shingles (times members: steps of a nanosecond or so) are joined in one task; larger ones in
 #: rounds over the cluster, by REPS members a round.
@@ -71,21 +73,24 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys[at], np.diff(np.append(at, len(keys))), sums[ends] - sums[ends - lens]
 
 
+def idf_of(documents: int, frequency: np.ndarray) -> np.ndarray:
+    """IDF of shingles that so many of the documents have."""
+    return np.log((1 + documents) / frequency).astype(np.float32) + np.float32(1)
+
+
 class Idf:
-    """IDF of shingles: `known` (sorted) have their own frequency, all others the least that is counted."""
+    """IDF of shingles by a table: `known` (sorted) have their own frequency, all others are in one document."""
 
-    def __init__(self, documents: int, least: float, known: np.ndarray, frequency: np.ndarray):
-        self.known = known
-        self.values = np.log((1 + documents) / np.maximum(frequency, least)).astype(np.float32) + np.float32(1)
-        self.other = np.float32(np.log((1 + documents) / max(least, 1.0)) + 1)
+    def __init__(self, documents: int, known: np.ndarray, frequency: np.ndarray):
+        self.documents, self.known, self.frequency = documents, known, frequency
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        out = np.full(len(keys), self.other, np.float32)
+        out = np.ones(len(keys), np.int64)
         if len(self.known):
             at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
             hit = self.known[at] == keys
-            out[hit] = self.values[at[hit]]
-        return out
+            out[hit] = self.frequency[at[hit]]
+        return idf_of(self.documents, out)
 
 
 @functools.cache
@@ -146,55 +151,128 @@ def _folded(pdf: pd.DataFrame) -> list[str]:
 
 
 def fit_idf(docs: DataFrame) -> Idf:
-    """Two passes over all documents: hashed counters, then exact counts of the shingles in full counters."""
+    """The IDF of all shingles as one table on the driver, for tables that are small enough; near_duplicates has no need of it."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums, n = np.zeros(COUNTERS, np.int64), 0
         for pdf in by_chars(batches):
-            keys, _, lens = shingle_sets(_folded(pdf))
-            sums += np.bincount((keys >> np.uint64(46)).astype(np.int64), minlength=COUNTERS)
-            n += len(lens)
-        at = np.flatnonzero(sums)
-        yield pd.DataFrame({"counter": np.append(at, -1).astype(np.int32), "n": np.append(sums[at], n)})
-
-    sums = materialise(docs.mapInPandas(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")), "neardup-counters")
-    totals = sums.agg(F.sum(F.when(F.col("counter") >= 0, F.col("n"))).alias("shingles"), F.sum(F.when(F.col("counter") < 0, F.col("n"))).alias("docs")).first()
-    least = SLACK * (totals["shingles"] or 0) / COUNTERS
-    full = np.sort(np.array([r["counter"] for r in sums.where((F.col("counter") >= 0) & (F.col("n") >= max(least, 2))).collect()], np.int64))  # COUNTERS at most
-    if not len(full):
-        return Idf(totals["docs"] or 0, least, np.zeros(0, np.uint64), np.zeros(0))
-    heavy = np.zeros(COUNTERS, bool)
-    heavy[full] = True
-
-    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in by_chars(batches):
-            keys, _, _ = shingle_sets(_folded(pdf))
-            keys, n = np.unique(keys[heavy[(keys >> np.uint64(46)).astype(np.int64)]], return_counts=True)
+            keys, n = np.unique(shingle_sets(_folded(pdf))[0], return_counts=True)
             yield pd.DataFrame({"shingle": keys.view(np.int64), "n": n})
 
-    got = docs.mapInPandas(exact, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= max(least, 2)).toPandas()
-    # frequencies of `least` or more: COUNTERS / SLACK shingles at most
+    got = docs.mapInPandas(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1").toPandas()
     keys = got["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return Idf(totals["docs"], least, keys[order], got["n"].to_numpy()[order])
+    return Idf(docs.count(), keys[order], got["n"].to_numpy()[order])
 
 
-def _digest(text: str) -> bytes:
-    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted hashes as their steps, first bytes of all first: those compress."""
+    return np.diff(keys, prepend=np.zeros(1, np.uint64)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
 
+def _pack_frequencies(n: np.ndarray) -> bytes:
+    """A bit for each number, set where it is 2 or more, and those numbers."""
+    return np.packbits(n > 1).tobytes() + n[n > 1].astype("<u4").tobytes()
 
-def signatures(docs: DataFrame, idf: Idf) -> DataFrame:
-    """doc_id, key (digest of the folded text; null without a word) and the band hashes."""
-    shared = docs.sparkSession.sparkContext.broadcast(idf)
+
+def _unpack_frequencies(packed: bytes, size: int) -> np.ndarray:
+    bits = np.frombuffer(packed, np.uint8, -(-size // 8))
+    out = np.ones(size, np.int64)
+    out[np.unpackbits(bits, count=size).astype(bool)] = np.frombuffer(packed, "<u4", offset=len(bits))
+    return out
+
+
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the ranges of hashes begins in sorted keys, and where the last ends."""
+    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
+
+
+def chunks(docs: DataFrame) -> DataFrame:
+    """The documents as chunks of about CHUNK_CHARS characters: chunk (a number), docs, words, size and body (ids and folded texts)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in by_chars(batches):
+        for pdf in by_chars(batches, limit=CHUNK_CHARS):
             texts = _folded(pdf)
-            keys, times, lens = shingle_sets(texts)
-            got = samples(keys, times * shared.value(keys), lens, BANDS, ROWS) if len(keys) else np.zeros((len(texts), BANDS), np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "key": [_digest(x) if x else None for x in texts], "shingles": lens, "bands": list(got.view(np.int64))})
+            body = pickle.dumps((pdf["doc_id"].to_numpy(), texts), 5)
+            yield pd.DataFrame({"docs": [len(texts)], "words": [sum(x.count(" ") + 1 for x in texts)], "size": [len(body)], "body": [pa.compress(body, "zstd", asbytes=True)]})
+
+    parts = docs.mapInPandas(run, "docs long, words long, size long, body binary").withColumn("chunk", F.monotonically_increasing_id())
+    return materialise(parts, "neardup-chunks")
 
-    return docs.mapInPandas(run, "doc_id long, key binary, shingles long, bands array<long>")
+
+def _opened(body: bytes, size: int) -> tuple[np.ndarray, list[str]]:
+    return pickle.loads(pa.decompress(body, size, "zstd", asbytes=True))
+
+
+def frequencies(parts: DataFrame, ranges: int) -> DataFrame:
+    """chunk, part and seen: in how many of all documents each distinct shingle of the chunk is, by ranges of hashes."""
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf[["chunk", "size", "body"]].itertuples():
+                _, texts = _opened(row.body, row.size)
+                keys, n = np.unique(_shingles(texts)[0], return_counts=True)
+                cuts = _cuts(keys, ranges)
+                full = np.flatnonzero(np.diff(cuts))
+                yield pd.DataFrame({
+                    "chunk": np.full(len(full), row.chunk), "part": full.astype(np.int32),
+                    "keys": [_pack_keys(keys[cuts[i] : cuts[i + 1]]) for i in full], "n": [_pack_frequencies(n[cuts[i] : cuts[i + 1]]) for i in full],
+                })
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        keys = [_unpack_keys(x) for x in pdf["keys"]]
+        n = np.concatenate([_unpack_frequencies(x, len(k)) for x, k in zip(pdf["n"], keys, strict=True)])
+        ends = np.cumsum([len(k) for k in keys])
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(at, n).astype(np.int64)[at]
+        return pd.DataFrame({"chunk": pdf["chunk"], "part": pdf["part"], "seen": [_pack_frequencies(x) for x in np.split(sums, ends[:-1])]})
+
+    sent = parts.select("chunk", "size", "body").mapInPandas(send, "chunk long, part int, keys binary, n binary")
+    return sent.groupBy("part").applyInPandas(total, "chunk long, part int, seen binary")
+
+
+def _shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """shingle_sets of many texts, by about a million characters at a time."""
+    part = np.cumsum([len(x) for x in texts]) // (1 << 20)
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    return tuple(np.concatenate(x) for x in zip(*(shingle_sets(texts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
+
+
+def _digest(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+
+def signatures(docs: DataFrame) -> tuple[DataFrame, int]:
+    """doc_id, key (digest of the folded text; null without a word), its number of shingles, in how many documents each of
+    them is (seen), and the band hashes; and the number of documents."""
+    parts = chunks(docs)
+    sums = parts.agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")).first()
+    n, ranges = sums["docs"] or 0, -(-(sums["words"] or 0) // RANGE_SHINGLES) or 1
+    back = frequencies(parts, ranges).groupBy("chunk").agg(F.collect_list(F.struct("part", "seen")).alias("parts"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for row in pdf[["size", "body", "parts"]].itertuples():
+                ids, texts = _opened(row.body, row.size)
+                keys, times, lens = _shingles(texts)
+                own, at = np.unique(keys, return_inverse=True)
+                cuts, seen = _cuts(own, ranges), np.ones(len(own), np.int64)
+                for x in row.parts if row.parts is not None else []:
+                    a, b = cuts[x["part"]], cuts[x["part"] + 1]
+                    seen[a:b] = _unpack_frequencies(x["seen"], b - a)
+                seen = seen[at]
+                got = samples(keys, times * idf_of(n, seen), lens, BANDS, ROWS) if len(keys) else np.zeros((len(texts), BANDS), np.uint64)
+                yield pd.DataFrame({
+                    "doc_id": ids, "key": [_digest(x) if x else None for x in texts], "shingles": lens,
+                    "seen": [_pack_frequencies(x) for x in np.split(seen, np.cumsum(lens)[:-1])], "bands": list(got.view(np.int64)),
+                })
+
+    marks = parts.join(back, "chunk", "left").select("size", "body", "parts")
+    return marks.mapInPandas(run, "doc_id long, key binary, shingles long, seen binary, bands array<long>"), n
 
 
 def _by_hot(left: DataFrame, right: DataFrame, on: str, n: int, how: str = "inner") -> DataFrame:
@@ -218,30 +296,29 @@ def _alike(a: tuple[np.ndarray, np.ndarray, float], b: tuple[np.ndarray, np.ndar
     return common / both if common >= least * both else None
 
 
-def _weighted(pdf: pd.DataFrame, idf: Idf) -> list[tuple[np.ndarray, np.ndarray, float]]:
-    """The weighted shingle set of each row's folded text."""
+def _weighted(pdf: pd.DataFrame, n_docs: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """The weighted shingle set of each row's folded text, of which `seen` has the document frequencies."""
     keys, times, lens = shingle_sets(pdf["text"].tolist())
-    weights = times * idf(keys)
+    weights = times * idf_of(n_docs, np.concatenate([_unpack_frequencies(x, n) for x, n in zip(pdf["seen"], lens, strict=True)]))
     ends = np.cumsum(lens)
     return [(keys[e - n : e], weights[e - n : e], float(weights[e - n : e].sum(dtype=np.float64))) for e, n in zip(ends, lens, strict=True)]
 
 
-def verify(pairs: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, n_docs: int) -> DataFrame:
     """a, b and similarity of those pairs whose weighted Jaccard similarity is SIMILARITY or more.
 
-    texts has id and text (folded). Each a is sent once for every SALT of its partners and compared to them in a stream.
+    texts has id, text (folded) and seen. Each a is sent once for every SALT of its partners and compared to them in a stream.
     """
-    shared = pairs.sparkSession.sparkContext.broadcast(idf)
     salted = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(32)).cast("int").alias("salt"))
-    right = salted.join(texts, salted["b"] == texts["id"]).select("a", "salt", "b", "text")
-    left = salted.select("a", "salt").distinct().join(texts, F.col("a") == texts["id"]).select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    right = salted.join(texts, salted["b"] == texts["id"]).select("a", "salt", "b", "text", "seen")
+    left = salted.select("a", "salt").distinct().join(texts, F.col("a") == texts["id"]).select("a", "salt", F.lit(None).cast("long").alias("b"), "text", "seen")
     dealt = left.unionByName(right).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, mine = None, None
         for pdf in by_chars(batches):
             out = []
-            for a, salt, b, own in zip(pdf["a"], pdf["salt"], pdf["b"], _weighted(pdf, shared.value), strict=True):
+            for a, salt, b, own in zip(pdf["a"], pdf["salt"], pdf["b"], _weighted(pdf, n_docs), strict=True):
                 if pd.isna(b):
                     held, mine = (a, salt), own
                 elif held == (a, salt) and (sim := _alike(mine, own)) is not None:
@@ -288,16 +365,15 @@ def joined(group: list[tuple[int, tuple[np.ndarray, np.ndarray, float]]]) -> lis
     return out
 
 
-def _small_buckets(members: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
+def _small_buckets(members: DataFrame, texts: DataFrame, n_docs: int) -> DataFrame:
     """Links of the members of buckets that fit in a task: a, b, similarity."""
-    shared = members.sparkSession.sparkContext.broadcast(idf)
     dealt = members.select("bucket", "id").join(texts, "id").repartition("bucket").sortWithinPartitions("bucket", "id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, group = None, []
         for pdf in by_chars(batches):
             out = []
-            for bucket, at, own in zip(pdf["bucket"], pdf["id"], _weighted(pdf, shared.value), strict=True):
+            for bucket, at, own in zip(pdf["bucket"], pdf["id"], _weighted(pdf, n_docs), strict=True):
                 if bucket != held:
                     out += links_of(group)
                     held, group = bucket, []
@@ -314,7 +390,7 @@ def _small_buckets(members: DataFrame, texts: DataFrame, idf: Idf) -> DataFrame:
     return dealt.mapInPandas(run, "a long, b long, similarity double")
 
 
-def _large_buckets(members: DataFrame, texts: DataFrame, idf: Idf, n: int) -> list[DataFrame]:
+def _large_buckets(members: DataFrame, texts: DataFrame, n_docs: int, n: int) -> list[DataFrame]:
     """Links of the members of buckets of any size, in rounds over the whole cluster: in each, all that wait are compared to
     up to REPS members, those that have been linked but not compared before any others."""
     order = F.struct(F.xxhash64("id").alias("h"), "id")
@@ -343,7 +419,7 @@ def _large_buckets(members: DataFrame, texts: DataFrame, idf: Idf, n: int) -> li
         pairs = materialise(pairs, "neardup-pairs")
         if pairs.isEmpty():
             return found
-        good = materialise(verify(pairs, texts, idf), "neardup-links")
+        good = materialise(verify(pairs, texts, n_docs), "neardup-links")
         found.append(good)
         if last:
             return found
@@ -356,16 +432,16 @@ def _large_buckets(members: DataFrame, texts: DataFrame, idf: Idf, n: int) -> li
         )
 
 
-def links(members: DataFrame, texts: DataFrame, idf: Idf, n: int) -> DataFrame:
+def links(members: DataFrame, texts: DataFrame, n_docs: int, n: int) -> DataFrame:
     """Verified links of the members (bucket, id, shingles) of all buckets, enough of them to join what any link would join."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("shingles").alias("shingles"))
     small = (F.col("shingles") <= SMALL_SHINGLES) & (F.col("shingles") * F.col("size") <= SMALL_WORK)
     known = sizes.withColumn("small", small).drop("shingles")
     dealt = materialise(_by_hot(members, known, "bucket", n), "neardup-dealt")
-    found = [materialise(_small_buckets(dealt.where("small"), texts, idf), "neardup-links")]
+    found = [materialise(_small_buckets(dealt.where("small"), texts, n_docs), "neardup-links")]
     large = dealt.where("not small").select("bucket", "id")
     if not large.isEmpty():
-        found += _large_buckets(large, texts, idf, n)
+        found += _large_buckets(large, texts, n_docs, n)
     return reduce(DataFrame.unionByName, found).distinct()
 
 
@@ -390,9 +466,9 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each row of docs: doc_id, class_id (least doc_id with an equal folded text) and group_id."""
     docs = documents(docs)
-    idf = fit_idf(docs)
-    marks = materialise(signatures(docs, idf), "neardup-marks")
-    classes = marks.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"))
+    marks, n_docs = signatures(docs)
+    marks = materialise(marks, "neardup-marks")
+    classes = marks.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"), F.first("seen").alias("seen"))
     classes = materialise(classes, "neardup-classes")
     n = classes.count()
     cells = classes.select(F.explode("bands").alias("bucket"), F.col("class_id").alias("id"), "shingles")
@@ -400,17 +476,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = cells.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialise(_by_hot(cells, shared, "bucket", n).select("bucket", "id", "shingles"), "neardup-members")
     # folded texts of the documents that stand for a class in some bucket
-    ids = members.select("id").distinct().join(classes.select(F.col("class_id").alias("id"), F.hex("key").alias("hex")), "id")
+    ids = members.select("id").distinct().join(classes.select(F.col("class_id").alias("id"), F.hex("key").alias("hex"), "seen"), "id")
 
     def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in by_chars(batches):
             texts = _folded(pdf)
             ok = [_digest(x).hex().upper() == h for x, h in zip(texts, pdf["hex"], strict=True)]
-            yield pd.DataFrame({"id": pdf["id"].to_numpy()[ok], "text": [x for x, y in zip(texts, ok, strict=True) if y]})
+            yield pd.DataFrame({"id": pdf["id"].to_numpy()[ok], "text": [x for x, y in zip(texts, ok, strict=True) if y], "seen": pdf["seen"].to_numpy()[ok]})
 
-    texts = docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "hex", "text").mapInPandas(kept, "id long, text string")
+    texts = docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "hex", "seen", "text").mapInPandas(kept, "id long, text string, seen binary")
     texts = materialise(texts.dropDuplicates(["id"]), "neardup-texts")
-    labels = components(links(members, texts, idf, n))
+    labels = components(links(members, texts, n_docs, n))
     named = classes.join(labels, classes["class_id"] == labels["id"], "left").select("key", "size", "class_id", F.coalesce("label", "class_id").alias("group_id"))
     named = materialise(named, "neardup-groups")
     out = _by_hot(marks.where("key is not null").select("doc_id", "key"), named, "key", n).select("doc_id", "class_id", "group_id")

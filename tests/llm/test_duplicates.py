@@ -162,3 +162,32 @@ def test_minimisers_are_in_every_window():
     shifted = np.concatenate([w[:3], w])
     again = dict(zip(*[x.tolist() for x in passages.heads(shifted, at + 3)], strict=True))
     assert all(again[s + 3] == x for s, x in zip(starts.tolist(), h.tolist(), strict=True))
+
+
+def test_frequencies_of_all_shingles_are_exact(spark, rows, monkeypatch):
+    monkeypatch.setattr(neardup, "CHUNK_CHARS", 3000)
+    monkeypatch.setattr(neardup, "RANGE_SHINGLES", 700)
+    df = neardup.documents(spark.createDataFrame(rows + [(99, rows[3][1])], "doc_id long, text string"))
+    texts = {i: single_spaced(t).split() for i, t in rows + [(99, rows[3][1])]}
+    grams = {i: {tuple(w[j : j + neardup.WORDS]) for j in range(max(1, len(w) - neardup.WORDS + 1))} if w else set() for i, w in texts.items()}
+    count = {}
+    for x in grams.values():
+        for g in x:
+            count[g] = count.get(g, 0) + 1
+    marks, n = neardup.signatures(df)
+    got = {r["doc_id"]: sorted(neardup._unpack_frequencies(r["seen"], r["shingles"]).tolist()) for r in marks.collect()}
+    assert n == len(texts) and got == {i: sorted(count[g] for g in x) for i, x in grams.items()}
+    table = neardup.fit_idf(df)
+    for i, t in rows:
+        want = sorted(np.log((1 + n) / count[g]) + 1 for g in grams[i])
+        assert np.allclose(sorted(table(neardup.shingle_sets([single_spaced(t)])[0])), want)
+
+
+def test_rare_shingles_weigh_what_their_frequency_says(spark):
+    """Alike by the true IDF (0.86), not where rare shingles share the IDF of more frequent ones (0.78)."""
+    run = lambda name, n: [f"{name}{i}" for i in range(n)]
+    rows = [(i, " ".join(run(f"own{i}x", 40_000) + run("left", 64) + run("right", 64))) for i in range(18)]
+    rows += [(50, " ".join(run("rare", 304) + run("left", 64))), (51, " ".join(run("rare", 304) + run("right", 64)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["group_id"] for r in neardup.near_duplicates(df).collect()}
+    assert got == {i: i for i in range(18)} | {50: 50, 51: 50}
