@@ -183,6 +183,13 @@ def test_frequencies_of_all_shingles_are_exact(spark, rows, monkeypatch):
         assert np.allclose(sorted(table(neardup.shingle_sets([single_spaced(t)])[0])), want)
 
 
+def test_documents_of_very_many_shingles(spark):
+    long = [f"w{i}" for i in range(400_000)]
+    near = long[:200_000] + ["another"] + long[200_001:]
+    df = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long[::-1]))], "doc_id long, text string")
+    assert {r["doc_id"]: r["group_id"] for r in neardup.near_duplicates(df).collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_rare_shingles_weigh_what_their_frequency_says(spark):
     """Alike by the true IDF (0.86), not where rare shingles share the IDF of more frequent ones (0.78)."""
     run = lambda name, n: [f"{name}{i}" for i in range(n)]
