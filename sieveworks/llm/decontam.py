@@ -6,9 +6,11 @@ leaves one piece intact, so exact piece hits (one automaton over all pieces) giv
 shares enough trigrams with the item is verified by Myers' bit-parallel edit distance.
 
 The items are broadcast only while they are under MAX_ITEM_CHARS characters in all; larger sets are matched in blocks of
-that size, one pass over the documents each, so no item is dropped. Null, empty and very short items (under MIN_CHARS
-folded characters) can match nothing of meaning and are left out; null and empty documents contain nothing. Equal items
-are each reported. A document that holds an item several times gives one row, of its best place (ties: the first).
+that size, one pass over the documents each, so no item is dropped. Short items (under MIN_CHARS folded characters) are
+found without edits only, and as whole words: the same automaton holds them whole. Between characters of scripts that are
+written without spaces any place may be a word's border. Only null items and those without a letter or digit can match
+nothing; null and empty documents contain nothing. Equal items are each reported. A document that holds an item several
+times gives one row, of its best place (ties: the first).
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ ERROR_RATE = 0.08
 MIN_CHARS = 24
 MAX_ITEM_CHARS = 4_000_000
 _OTHER = re.compile(r"[\W_]+")
+#: Letters of scripts without spaces between words: Thai to Lao, Burmese, Khmer, kana, ideographs.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 def fold_text(text: str) -> str:
@@ -75,6 +79,14 @@ def best_match(masks: dict[str, int], m: int, text: str, most: int) -> tuple[int
     return (best, end) if end >= 0 else None
 
 
+def is_border(text: str, at: int) -> bool:
+    """Whether a word of the folded text can begin or end at this place."""
+    if at <= 0 or at >= len(text):
+        return True
+    a, b = text[at - 1], text[at]
+    return a == " " or b == " " or bool(_UNSPACED.match(a) or _UNSPACED.match(b))
+
+
 Q = 3
 
 
@@ -90,9 +102,12 @@ class Matcher:
 
         self.items = []
         pieces: dict[str, list[tuple[int, int]]] = {}
+        whole: dict[str, list[int]] = {}
         for item_id, text in items:
             folded = fold_text(text or "")
             if len(folded) < MIN_CHARS:
+                if folded:
+                    whole.setdefault(folded, []).append(item_id)
                 continue
             k, masks = budget(len(folded), rate), {}
             for i, c in enumerate(folded):
@@ -103,17 +118,21 @@ class Matcher:
             # an edit spoils Q of an item's Q-grams at most: a window with fewer of them can't hold the item
             self.items.append((item_id, folded, k, masks, grams, len(grams) - k * Q))
         self.auto = ahocorasick.Automaton()
-        for piece, places in pieces.items():
-            self.auto.add_word(piece, (len(piece), places))
-        if pieces:
+        for piece in pieces.keys() | whole.keys():
+            self.auto.add_word(piece, (len(piece), pieces.get(piece, []), whole.get(piece, [])))
+        if len(self.auto):
             self.auto.make_automaton()
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item_id, edits, from, to) of each item in the folded text; from is the earliest place its window allows."""
-        if not self.items:
+        if not len(self.auto):
             return []
         windows: dict[int, list[list[int]]] = {}
-        for end, (size, places) in self.auto.iter(text):
+        out, seen = [], set()
+        for end, (size, places, whole) in self.auto.iter(text):
+            if whole and id(whole) not in seen and is_border(text, end + 1 - size) and is_border(text, end + 1):
+                seen.add(id(whole))
+                out += [(item_id, 0, end + 1 - size, end + 1) for item_id in whole]
             for item, at in places:
                 _, folded, k, *_ = self.items[item]
                 lo = max(0, end + 1 - size - at - k)
@@ -123,7 +142,6 @@ class Matcher:
                     spans[-1][0], spans[-1][1] = min(lo, spans[-1][0]), max(hi, spans[-1][1])
                 else:
                     spans.append([lo, hi])
-        out = []
         for item, spans in windows.items():
             item_id, folded, k, masks, grams, least = self.items[item]
             best = None

@@ -66,3 +66,18 @@ def test_tables(spark, monkeypatch):
     kept = decontam.decontaminate(docs, items)
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 6] and kept.columns == docs.columns
     assert decontam.matches(docs, items.where("item_id > 9")).count() == 0 and decontam.matches(docs.where("doc_id > 9"), items).count() == 0
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    items = [(1, "What is 7 times 8?"), (2, "東京はどこですか"), (3, "one"), (4, "one"), (5, "?!"), (6, None), (7, "quick brown"), (8, "The quick brown fox jumps over the lazy dog."), (1, "ten")]
+    docs = [
+        (1, "So: WHAT is 7\ntimes 8? What is 7 times 8"), (2, "what is 7 times 81"), (3, "what is 9 times 8"), (4, "問題：東京はどこですか。"), (5, "では東京はどこですかと聞く"),
+        (6, "東京 はどこですか"), (7, "gone, oneself, no ones"), (8, "no, One."), (9, "the quick brown fix jumps over the lazy dog"), (10, "?! ?!"), (11, None), (12, "ten what is 7 times 8"),
+    ]
+    items, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["edits"], r["start"], r["end"]) for r in decontam.matches(docs, items).collect())
+    assert got == [
+        (1, 1, 0, 3, 20), (4, 2, 0, 3, 11), (5, 2, 0, 2, 10), (8, 3, 0, 3, 6), (8, 4, 0, 3, 6), (9, 7, 0, 4, 15), (9, 8, 1, 0, 43),
+        (12, 1, 0, 0, 3), (12, 1, 0, 4, 21),
+    ]
+    assert sorted(r["doc_id"] for r in decontam.decontaminate(docs, items).collect()) == [2, 3, 6, 7, 10, 11]
