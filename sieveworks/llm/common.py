@@ -18,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where it is unset, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it is unset, a local session gets a temporary one; on a
+    cluster that would be another folder on each machine, so it is an error there."""
     conf = spark.sparkContext.getConf()
     place = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.sieveworks.shared.dir", None)
     if not place:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         place = "file://" + tempfile.mkdtemp(prefix="sieveworks-")
         spark.conf.set("spark.sieveworks.shared.dir", place)
     return place
@@ -32,7 +35,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sieveworks/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what materialise() has written for these frames. Nothing that is still to be computed may read them."""
+    for df in frames:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def documents(df: DataFrame, *more: str) -> DataFrame:
@@ -40,6 +53,14 @@ def documents(df: DataFrame, *more: str) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, or one like it, that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(id_column: str, folds: int) -> Column:
     """crc32 of the id as text, modulo folds."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % F.lit(folds)

@@ -1,19 +1,27 @@
 """Passages that repeat across documents, by a sparse suffix array.
 
-Suffixes are kept at content-selected places only: the minimiser (least hash of K words) of each window of LEAST words,
-and, where a minimiser occurs more than once, the places STEP words before it, and so on to the window's start. Any run of
-LEAST words that occurs twice has a kept suffix in both places whose first HEAD words lie inside the run. Sorting the kept
-suffixes by those words brings equal ones together; each is compared to the first of its neighbours (least doc_id, then
-place), matched places are joined into runs, and the runs are extended word by word to the left and right. So every
-passage of LEAST words or more that another document has too is found, and none of fewer than HEAD words; where the first
-holder of a suffix shares less of it than another one does, an end may fall short by up to STEP - 1 words.
+Suffixes are kept at content-selected places only: the minimiser (least hash of K words) of every SPAN places in a row. A
+window of LEAST words keeps the suffix at the minimiser of its first SPAN places, so equal windows, wherever they stand,
+keep suffixes at the same place within them, with HEAD = LEAST - SPAN + 1 words of the window to the right.
 
-Words are the white-space separated parts of the whole text; case and marks count. The passage stays in the document with
-the least doc_id and is reported for the others; a passage that repeats inside one document only is left alone. Null and
-short texts have no passage. Repeated rows with one doc_id count as one document. Extra columns are kept by `remove`.
+1. The kept suffixes are sorted over the cluster by (a key of) their first HEAD words, and each is compared to its
+   neighbours: those that no other document has are done with.
+2. The others are extended to the left and right to every window of LEAST words that keeps them. These windows are sorted
+   in the same way, and each is compared to its neighbours: it matches the first of the equal ones, which is that of the
+   least doc_id (then place). Matched windows in a row that lie alike in both documents are one match.
+3. The words of every match are compared in full. Keys only propose; no match rests on a hash alone.
+
+So a document's matches are exactly its windows of LEAST words that a document of a smaller doc_id has too, with their exact
+ends, and each match names the first holder. Sorting is by range of (key, doc_id, place), so a passage in a third of all
+documents spans many tasks; what a range's first key owes to the range before is one row for each range.
+
+Documents whose whole text another document of a smaller doc_id has too need no suffixes: the text is one match.
 
-Keys are 64-bit hashes, counted by partial aggregates; keys with a large share of the rows (a passage in a third of all
-documents) are few by definition and joined by broadcast.
+Words are the white-space separated parts of the whole text; case and marks count. The passage stays in the document with
+the least doc_id and is reported for the others; a passage that repeats inside one document only is left alone. Rows with
+a null doc_id have no place in the order: they neither hold nor get a match. Null and short texts have no passage.
+Repeated rows count once; rows that share a doc_id but not a text are versions of one document, told apart by `version`
+(a hash of the text) and not matched with each other. Extra columns are kept by `remove`.
 """
 
 from __future__ import annotations
@@ -24,18 +32,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import by_chars, documents, materialise, table
-from .textvec import mix64, word_hashes, word_shingles
+from .common import by_chars, discard, documents, materialise, table, unused
+from .textvec import mix64, powers, word_hashes, word_shingles
 
-LEAST, K, STEP = 50, 8, 7
-HEAD = LEAST - STEP + 1
-SIDE = STEP - 1
-HOT_SHARE = 1 / 500
-_P = 0x9E3779B97F4A7C15 | 1
+LEAST, K, SPAN = 50, 8, 22
+HEAD = LEAST - SPAN + 1
+#: A spot is a version in the upper and a word's place in the lower 32 bits.
+_PLACE = (1 << 32) - 1
 _WORD = re.compile(r"\S+")
 
 
@@ -47,152 +56,253 @@ def _words(texts: list[str | None]) -> list[np.ndarray]:
     return [words[e - c : e] for e, c in zip(ends, counts, strict=True)]
 
 
-def minimisers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the minimisers of all windows of LEAST words, and the hashes of the K words there."""
+def chosen(words: np.ndarray) -> np.ndarray:
+    """For each window of LEAST words the place of the suffix that it keeps: the (first) least K-gram of its first SPAN places."""
     if len(words) < LEAST:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    grams = word_shingles(words, K)
-    width = LEAST - K + 1
-    least = np.lib.stride_tricks.sliding_window_view(grams, width).argmin(1)
-    at = np.unique(least + np.arange(len(least)))
-    return at, grams[at]
-
+        return np.zeros(0, np.int64)
+    grams = word_shingles(words, K)[: len(words) - HEAD + 1]
+    return np.lib.stride_tricks.sliding_window_view(grams, SPAN).argmin(1) + np.arange(len(words) - LEAST + 1)
 
-def heads(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the suffixes kept for the minimisers `at`, and the hashes of their first HEAD words."""
-    starts = np.unique((at[:, None] - STEP * np.arange((LEAST - K) // STEP + 1)[None, :]).ravel())
-    starts = starts[(starts >= 0) & (starts + HEAD <= len(words))]
-    if not len(starts):
-        return starts, np.zeros(0, np.uint64)
-    powers = np.cumprod(np.full(len(words) + 1, _P, np.uint64), dtype=np.uint64)
-    back = np.cumprod(np.full(len(words) + 1, pow(_P, -1, 1 << 64), np.uint64), dtype=np.uint64)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers[:-1], dtype=np.uint64)])
-    return starts, mix64((sums[starts + HEAD] - sums[starts]) * back[starts])
 
+def runs_of(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the `size` words from each place."""
+    up, down = powers(len(words) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)], dtype=np.uint64)])
+    return mix64((sums[at + size] - sums[at]) * down[at])
 
-def _by_hot(left: DataFrame, right: DataFrame, on: str, n: int) -> DataFrame:
-    """left joined to right, a row per key with their number `size`: keys with a large share of the n rows by broadcast."""
-    most = max(200, n * HOT_SHARE)
-    hot, rest = right.where(F.col("size") > most), right.where(F.col("size") <= most)
-    return left.join(F.broadcast(hot), on).unionByName(left.join(F.broadcast(hot.select(on)), on, "left_anti").join(rest, on))
 
+def _version(text: Column) -> Column:
+    return F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1))
 
-def _repeated(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the places of minimisers that occur elsewhere too, of the documents that have some."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in by_chars(batches):
-            ids, places, keys = [], [], []
-            for doc, words in zip(pdf["doc_id"], _words(pdf["text"].tolist()), strict=True):
-                at, h = minimisers(words)
-                ids.append(np.full(len(at), doc, np.int64))
-                places.append(at)
-                keys.append(h)
-            yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(ids), "at": np.concatenate(places).astype(np.int32)})
 
-    marks = materialise(docs.where("doc_id is not null and text is not null").mapInPandas(run, "key long, doc_id long, at int"), "passages-marks")
-    sizes = marks.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    twice = _by_hot(marks, sizes.where("size > 1 and lo < hi").select("key", "size"), "key", marks.count())
-    places = twice.groupBy(F.col("doc_id").alias("id")).agg(F.sort_array(F.collect_set("at")).alias("at"))
-    return materialise(docs.join(places, docs["doc_id"] == places["id"]).select("doc_id", "text", "at"), "passages-texts")
+def _ints(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *parts])
 
 
-def _matches(texts: DataFrame) -> DataFrame:
-    """doc_id, start, first_doc, first_start: kept suffixes whose first HEAD words an earlier document has too."""
+def _marks(docs: DataFrame) -> DataFrame:
+    """doc_id, version, digest of the words, their number, and the kept suffixes: keys of their first HEAD words, and places."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in by_chars(batches):
-            ids, places, keys = [], [], []
-            for doc, words, at in zip(pdf["doc_id"], _words(pdf["text"].tolist()), pdf["at"], strict=True):
-                starts, h = heads(words, np.asarray(at, np.int64))
-                ids.append(np.full(len(starts), doc, np.int64))
-                places.append(starts)
-                keys.append(h)
-            yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "doc_id": np.concatenate(ids), "start": np.concatenate(places).astype(np.int32)})
+            out = []
+            for words in _words(pdf["text"].tolist()):
+                at = np.unique(chosen(words))
+                out.append((xxhash.xxh3_128_digest(words.tobytes()), len(words), runs_of(words, at, HEAD).view(np.int64), at.astype(np.int32)))
+            digests, sizes, keys, places = zip(*out, strict=True)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "version": pdf["version"].to_numpy(), "digest": digests, "words": sizes, "keys": keys, "places": places})
+
+    schema = "doc_id long, version long, digest binary, words int, keys array<long>, places array<int>"
+    return docs.select("doc_id", "text", _version(F.col("text")).alias("version")).mapInPandas(run, schema)
+
+
+def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of rows in order of (key, doc_id, spot) those whose key another document has too. The first and the last key of the
+    task may go on in the tasks next to it: their rows are kept. At most one document's rows of one key are held back."""
+    columns = ["key", "doc_id", "spot"]
+    held, open_key, many_key = None, None, None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        rows = pdf[columns].to_numpy()
+        open_key = rows[0, 0] if open_key is None else open_key
+        rows = rows if held is None else np.concatenate([held, rows])
+        starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+        sizes = np.diff(np.append(starts, len(rows)))
+        keys = rows[starts, 0]
+        many = (rows[starts, 1] != rows[starts + sizes - 1, 1]) | (keys == open_key)
+        if many_key is not None:
+            many |= keys == many_key
+        last = starts[-1]
+        many_key = keys[-1] if many[-1] else None
+        held = None if many[-1] else rows[last:]
+        good = rows[np.repeat(many, sizes)]
+        yield pd.DataFrame({"doc_id": good[:, 1], "spot": good[:, 2]})
+    if held is not None:
+        yield pd.DataFrame({"doc_id": held[:, 1], "spot": held[:, 2]})
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    """rows sorted over the whole cluster by (key, doc_id, spot), a range in each task."""
+    order = ("key", "doc_id", "spot")
+    return rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _windows(texts: DataFrame) -> DataFrame:
+    """key, doc_id and spot of every window of LEAST words that keeps one of the suffixes at `places`."""
 
-    suffixes = materialise(texts.mapInPandas(run, "key long, doc_id long, start int"), "passages-suffixes")
-    sizes = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc_id", "start")).alias("first"), F.max("doc_id").alias("hi"))
-    sizes = sizes.where("size > 1 and first.doc_id < hi").select("key", "size", "first")
-    found = _by_hot(suffixes, sizes, "key", suffixes.count()).where("doc_id > first.doc_id")
-    return found.select("doc_id", "start", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start")).distinct()
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in by_chars(batches):
+            keys, ids, spots = [], [], []
+            for doc, version, words, places in zip(pdf["doc_id"], pdf["version"], _words(pdf["text"].tolist()), pdf["places"], strict=True):
+                at = np.flatnonzero(np.isin(chosen(words), np.asarray(places, np.int64)))
+                keys.append(runs_of(words, at, LEAST).view(np.int64))
+                ids.append(np.full(len(at), doc, np.int64))
+                spots.append(at + (int(version) << 32))
+            yield pd.DataFrame({"key": _ints(keys), "doc_id": _ints(ids), "spot": _ints(spots)})
+
+    return texts.mapInPandas(run, "key long, doc_id long, spot long")
+
+
+def _first_holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each row of an order of (key, doc_id, spot) with the first row of its key, where that is of another document.
+
+    All rows of the task's first key are given, with `part`, the task's number: that key may have begun in an earlier task.
+    Two more rows without a doc_id say which are the task's first and last key (`last`), and their first rows here.
+    """
+    part = TaskContext.get().partitionId()
+    first = now = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        key, doc, spot = (pdf[c].to_numpy() for c in ("key", "doc_id", "spot"))
+        if now is None:
+            first = now = (key[0], doc[0], spot[0])
+        starts = np.concatenate([[True], key[1:] != key[:-1]])
+        at = np.maximum.accumulate(np.where(starts, np.arange(len(key)), 0))
+        holder, place = doc[at], spot[at]
+        own = key == now[0]
+        holder[own], place[own] = now[1], now[2]
+        now = (key[-1], holder[-1], place[-1])
+        early = key == first[0]
+        good = early | (holder < doc)
+        frame = pd.DataFrame({"doc_id": doc, "spot": spot, "first_doc": holder, "first_spot": place})[good].astype({"doc_id": "Int64"})
+        yield frame.assign(part=pd.array(np.where(early[good], part, -1), "Int32"), key=key[good], last=False)
+    if now is not None:
+        ends = pd.DataFrame({"doc_id": pd.array([None, None], "Int64"), "spot": 0, "first_doc": [first[1], now[1]], "first_spot": [first[2], now[2]], "part": part, "key": [first[0], now[0]], "last": [False, True]})
+        yield ends.astype({"part": "Int32"})
+
+
+def _matched(windows: DataFrame) -> DataFrame:
+    """doc_id, spot, first_doc, first_spot: windows that a document of a smaller doc_id has too, and the first that has it."""
+    schema = "doc_id long, spot long, first_doc long, first_spot long, part int, key long, last boolean"
+    windows = materialise(windows, "passages-windows")
+    found = materialise(_in_order(windows).mapInPandas(_first_holders, schema), "passages-holders")
+    discard(windows)
+    owed, before = [], None
+    ends: dict[int, dict] = {}
+    for r in found.where("doc_id is null").collect():  # two rows for each task of the sort
+        ends.setdefault(r["part"], {})[r["last"]] = r
+    for part in sorted(ends):
+        first, last = ends[part][False], ends[part][True]
+        goes_on = before is not None and before[0] == first["key"]
+        holder = before[1:] if goes_on else (first["first_doc"], first["first_spot"])
+        owed.append((part, *holder))
+        before = (last["key"], *(holder if last["key"] == first["key"] else (last["first_doc"], last["first_spot"])))
+    owed_df = found.sparkSession.createDataFrame(owed, "part int, doc long, at long")
+    early = found.where("part >= 0 and doc_id is not null").join(F.broadcast(owed_df), "part")  # a row for each task
+    early = early.where("doc < doc_id").select("doc_id", "spot", F.col("doc").alias("first_doc"), F.col("at").alias("first_spot"))
+    out = found.where("part < 0").select("doc_id", "spot", "first_doc", "first_spot").unionByName(early)
+    out.written_to = found.written_to
+    return out
+
+
+def _in_runs(matched: DataFrame) -> DataFrame:
+    """Matches of whole runs of windows: doc_id, version, start, end (words), first_doc, first_version, first_start."""
+    place = lambda spot: F.col(spot).bitwiseAND(F.lit(_PLACE))
+    rows = matched.select(
+        "doc_id", F.shiftright("spot", 32).alias("version"), place("spot").alias("at"),
+        "first_doc", F.shiftright("first_spot", 32).alias("first_version"), place("first_spot").alias("first_at"),
+    )
+    group = ["doc_id", "version", "first_doc", "first_version", "shift"]
+    rows = rows.withColumn("shift", F.col("at") - F.col("first_at"))
+    islands = rows.withColumn("island", F.col("at") - F.dense_rank().over(Window.partitionBy(*group).orderBy("at")))
+    found = islands.groupBy(*group, "island").agg(F.min("at").alias("start"), (F.max("at") + LEAST).alias("end"))
+    return found.select("doc_id", "version", F.col("start").cast("int"), F.col("end").cast("int"), "first_doc", "first_version", (F.col("start") - F.col("shift")).cast("int").alias("first_start"))
 
 
-def _sides(texts: DataFrame, spots: DataFrame) -> DataFrame:
-    """spot (doc_id, at), left and right: hashes of up to SIDE words before and from each spot, nearest first."""
-    wanted = spots.groupBy(F.col("spot.doc_id").alias("id")).agg(F.collect_set("spot.at").alias("want"))
+def _same_words(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of `found` whose words are equal in both documents."""
+    need = F.struct("start", "end", "first_doc", "first_version", "first_start")
+    own = found.select("doc_id", "version", need.alias("need"))
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("first_doc", "long"), ("first_version", "long"), ("first_start", "int"))]
+    theirs = found.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"), F.struct(F.col("first_start").alias("start"), (F.col("first_start") + F.col("end") - F.col("start")).alias("end"), *none).alias("need"))
+    wanted = own.unionByName(theirs).groupBy("doc_id", "version").agg(F.collect_set("need").alias("needs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["doc_id", "version", "start", "end", "first_doc", "first_version", "first_start", "words"]
         for pdf in by_chars(batches):
             rows = []
-            for doc, words, want in zip(pdf["doc_id"], _words(pdf["text"].tolist()), pdf["want"], strict=True):
-                w = words.view(np.int64)
-                rows += [(doc, int(p), w[max(0, p - SIDE) : p][::-1].tolist(), w[p : p + SIDE].tolist()) for p in want]
-            yield pd.DataFrame(rows, columns=["doc_id", "at", "left", "right"])
-
-    got = texts.join(wanted, texts["doc_id"] == wanted["id"]).select("doc_id", "text", "want").mapInPandas(run, "doc_id long, at int, left array<long>, right array<long>")
-    return got.groupBy(F.struct("doc_id", "at").alias("spot")).agg(F.first("left").alias("left"), F.first("right").alias("right"))
-
-
-def _common(a: str, b: str) -> Column:
-    """How many of the first entries of two arrays are equal."""
-    return F.expr(f"aggregate(sequence(1, {SIDE}), 0, (n, i) -> if(n = i - 1 and get({a}, i - 1) = get({b}, i - 1), i, n))")
+            for doc, version, text, needs in zip(pdf["doc_id"], pdf["version"], pdf["text"], pdf["needs"], strict=True):
+                words = text.split()
+                for x in needs:
+                    rows.append((doc, version, x["start"], x["end"], x["first_doc"], x["first_version"], x["first_start"], " ".join(words[x["start"] : x["end"]])))
+                    if len(rows) == 2_000:
+                        yield pd.DataFrame(rows, columns=names).astype({"first_doc": "Int64", "first_version": "Int64", "first_start": "Int32"})
+                        rows = []
+            yield pd.DataFrame(rows, columns=names).astype({"first_doc": "Int64", "first_version": "Int64", "first_start": "Int32"})
+
+    schema = "doc_id long, version long, start int, end int, first_doc long, first_version long, first_start int, words string"
+    cut = materialise(texts.join(wanted, ["doc_id", "version"]).select("doc_id", "version", "text", "needs").mapInPandas(run, schema), "passages-words")
+    mine = cut.where("first_doc is not null").withColumn("n", F.col("end") - F.col("start"))
+    first = cut.where("first_doc is null").select(F.col("doc_id").alias("first_doc"), F.col("version").alias("first_version"), F.col("start").alias("first_start"), (F.col("end") - F.col("start")).alias("n"), F.col("words").alias("theirs"))
+    equal = mine.join(first, ["first_doc", "first_version", "first_start", "n"]).where("words = theirs").select(found.columns)
+    out = materialise(equal.dropDuplicates(["doc_id", "version", "start", "end", "first_doc", "first_version", "first_start"]), "passages-matches")
+    discard(cut)
+    return out
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, start, end (words), first_doc_id: the passages of each document that a document of a smaller id has too."""
-    docs = documents(docs)
-    texts = _repeated(docs)
-    found = materialise(_matches(texts), "passages-found")
-    by_place = Window.partitionBy("doc_id").orderBy("start")
-    apart = F.coalesce(F.col("start") > F.lag("start").over(by_place) + HEAD, F.lit(True))
-    numbered = found.withColumn("new", apart.cast("int")).withColumn("run", F.sum("new").over(by_place))
-    head = F.struct("start", "first_doc", "first_start")
-    runs = numbered.groupBy("doc_id", "run").agg(F.min(head).alias("l"), F.max(head).alias("r"))
-    spot = lambda doc, at: F.struct(F.col(doc).alias("doc_id"), at.cast("int").alias("at"))
-    runs = runs.select(
-        "doc_id", F.col("l.first_doc").alias("first_doc_id"), F.col("l.start").alias("start"), (F.col("r.start") + HEAD).alias("end"),
-        spot("doc_id", F.col("l.start")).alias("l_own"), spot("l.first_doc", F.col("l.first_start")).alias("l_first"),
-        spot("doc_id", F.col("r.start") + HEAD).alias("r_own"), spot("r.first_doc", F.col("r.first_start") + HEAD).alias("r_first"),
-    )
-    runs = materialise(runs, "passages-runs")
-    n = runs.count()
-    spots = runs.select(F.explode(F.array("l_own", "l_first", "r_own", "r_first")).alias("spot")).groupBy("spot").agg(F.count(F.lit(1)).alias("size"))
-    sides = materialise(_sides(texts, spots).join(spots, "spot"), "passages-sides")
-    for name in ("l_own", "l_first", "r_own", "r_first"):
-        side = sides.select(F.col("spot").alias(name), F.col("left" if name[0] == "l" else "right").alias(f"{name}_words"), "size")
-        runs = _by_hot(runs, side, name, 4 * n).drop("size")
-    longer = runs.select(
-        "doc_id", "first_doc_id",
-        (F.col("start") - _common("l_own_words", "l_first_words")).alias("start"),
-        (F.col("end") + _common("r_own_words", "r_first_words")).alias("end"),
-    )
-    return longer.withColumn("n_words", F.col("end") - F.col("start"))
+    """doc_id, version, start, end (words), n_words, first_doc_id, first_start: the passages of each document that a document
+    of a smaller id has too."""
+    docs = documents(docs).where("doc_id is not null and text is not null")
+    marks = materialise(_marks(docs), "passages-marks")
+    firsts = marks.where(F.col("words") >= LEAST).groupBy("digest", "words").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max("doc_id").alias("hi"))
+    firsts = firsts.where("hi > first.doc_id").select("digest", "words", "first")
+    copies = marks.select("doc_id", "version", "digest", "words").join(firsts, ["digest", "words"]).where("doc_id > first.doc_id")
+    copies = materialise(copies.select("doc_id", "version", "words", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version")).distinct(), "passages-copies")
+
+    live = marks.where(F.size("keys") > 0).join(copies, ["doc_id", "version"], "left_anti")
+    suffixes = live.select("doc_id", "version", F.explode(F.arrays_zip("keys", "places")).alias("x"))
+    suffixes = suffixes.select(F.col("x.keys").alias("key"), "doc_id", (F.shiftleft("version", 32) + F.col("x.places")).alias("spot"))
+    suffixes = materialise(suffixes, "passages-suffixes")
+    shared = _in_order(suffixes).mapInPandas(_shared, "doc_id long, spot long")
+    spots = shared.groupBy("doc_id", F.shiftright("spot", 32).alias("version")).agg(F.collect_set(F.col("spot").bitwiseAND(F.lit(_PLACE))).alias("places"))
+    ends = copies.select("doc_id", "version").unionByName(copies.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"))).distinct()
+    wanted = spots.join(ends.withColumn("copy", F.lit(True)), ["doc_id", "version"], "full_outer").select("doc_id", "version", "places")
+    texts = docs.withColumn("version", _version(F.col("text"))).join(wanted, ["doc_id", "version"])
+    texts = materialise(texts.select("doc_id", "version", "text", F.coalesce("places", F.array().cast("array<long>")).alias("places")), "passages-texts")
+    discard(suffixes, marks)
+
+    matched = _matched(_windows(texts.where(F.size("places") > 0)))
+    whole = copies.select("doc_id", "version", F.lit(0).alias("start"), F.col("words").alias("end"), "first_doc", "first_version", F.lit(0).alias("first_start"))
+    found = materialise(_in_runs(matched).unionByName(whole), "passages-found")
+    discard(matched, copies)
+    out = _same_words(found, texts)
+    discard(found, texts)
+    return out.select("doc_id", "version", "start", "end", (F.col("end") - F.col("start")).alias("n_words"), F.col("first_doc").alias("first_doc_id"), "first_start")
+
+
+def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
+    """text without the words of the spans (start, end); what stands between them stays as it is."""
+    places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
+    out, at = [], 0
+    for a, b in sorted(spans):
+        lo, hi = places[a][0], places[b][0] if b < len(places) else len(text)
+        out.append(text[at : max(at, lo)])
+        at = max(at, hi)
+    return "".join([*out, text[at:]]).strip()
 
 
 def remove(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """docs, all columns, without the found passages in text; n_chars, if there is such a column, follows the new text."""
-    spans = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
-    joined = docs.join(spans, docs["doc_id"] == spans["_id"], "left").drop("_id")
-
-    def cut(text: str, spans: list) -> str:
-        places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
-        out, at = [], 0
-        for a, b in sorted((s["start"], s["end"]) for s in spans):
-            lo, hi = places[a][0], places[b][0] if b < len(places) else len(text)
-            out.append(text[at : max(at, lo)])
-            at = max(at, hi)
-        return "".join([*out, text[at:]]).strip()
+    """docs, all columns, without the found passages in text; n_chars, if there is such a column, follows a changed text."""
+    doc, version, cut = (unused(docs, x) for x in ("of_doc", "of_version", "cut"))
+    spans = found.groupBy(F.col("doc_id").alias(doc), F.col("version").alias(version)).agg(F.collect_set(F.struct("start", "end")).alias(cut))
+    joined = docs.join(spans, (docs["doc_id"] == spans[doc]) & (_version(docs["text"].cast("string")) == spans[version]), "left").drop(doc, version)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = [cut(x, s) for x, s in zip(batch.column(at).to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).drop_columns(["_spans"])
-
-    touched = joined.where("_spans is not null and text is not null").mapInArrow(run, docs.schema)
-    if "n_chars" in docs.columns:
-        touched = touched.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.where("_spans is null or text is null").drop("_spans").unionByName(touched)
+            spans = batch.column(cut).to_pylist()
+            batch = batch.drop_columns([cut])
+            if any(s is not None for s in spans):
+                at = batch.schema.get_field_index("text")
+                texts = [x if s is None else cut_words(x, [(y["start"], y["end"]) for y in s]) for x, s in zip(batch.column(at).to_pylist(), spans, strict=True)]
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+                if (at := batch.schema.get_field_index("n_chars")) >= 0:
+                    sizes = [n if s is None else len(x) for n, x, s in zip(batch.column(at).to_pylist(), texts, spans, strict=True)]
+                    batch = batch.set_column(at, batch.schema.field(at), pa.array(sizes).cast(batch.schema.field(at).type))
+            yield batch
+
+    return joined.mapInArrow(run, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

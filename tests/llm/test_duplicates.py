@@ -108,26 +108,49 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(41)) and got[100] == 98 and got[239] == 200
 
 
-def covered(docs, size):
-    """Words of each document that lie in a run of `size` words which a document of a smaller id has too."""
-    first, out = {}, {}
+def matches(docs, size):
+    """(doc, start, end, first doc, first start): windows of `size` words that a document of a smaller id has too, with the
+    first place that has them; windows in a row that lie alike in both are one match."""
+    first, out = {}, set()
     for doc in sorted(docs):
         w = docs[doc]
-        mark = np.zeros(len(w), bool)
+        at = {}
         for j in range(len(w) - size + 1):
-            if first.setdefault(tuple(w[j : j + size]), doc) != doc:
-                mark[j : j + size] = True
-        out[doc] = mark
+            d, i = first.setdefault(tuple(w[j : j + size]), (doc, j))
+            if d < doc:
+                at[j] = (d, i)
+        if at and w in [docs[d] for d in docs if d < doc]:
+            d = min(d for d in docs if docs[d] == w)
+            out.add((doc, 0, len(w), d, 0))
+            continue
+        for j in at:
+            d, i = at[j]
+            if at.get(j - 1) != (d, i - 1):
+                k = j
+                while at.get(k + 1) == (d, i + k + 1 - j):
+                    k += 1
+                out.add((doc, j, k + size, d, i))
     return out
 
 
+def covered(docs, found):
+    out = {i: np.zeros(len(w), bool) for i, w in docs.items()}
+    for doc, a, b, *_ in found:
+        out[doc][a:b] = True
+    return out
+
+
+def as_set(found):
+    return {(r["doc_id"], r["start"], r["end"], r["first_doc_id"], r["first_start"]) for r in found}
+
+
 def test_passages(spark):
     rng = np.random.default_rng(9)
     passage, long = words(rng, 55), words(rng, 300)
     docs = {i: words(rng, 120) for i in range(30)}
     for i in range(5, 20):
         at = int(rng.integers(100))
-        docs[i][at:at] = passage
+        docs[i][at:at] = passage[: 49 + i % 7]
     for i in (3, 21, 22):
         docs[i] = docs[i][:40] + long + docs[i][40:]
     docs[23] = long[40:200]
@@ -135,33 +158,60 @@ def test_passages(spark):
     docs[25] = ["same"] * 400
     docs[26] = words(rng, 49)
     docs[27], docs[28] = list(docs[26]), list(docs[0])
-    rows = [(i, " ".join(w), 1) for i, w in docs.items()] + [(50, None, 1), (51, "", 1), (60, " ".join(docs[0]), 1), (60, " ".join(docs[0]), 1)]
+    rows = [(i, " ".join(w), 1, "x") for i, w in docs.items()] + [(50, None, 1, "x"), (51, "", 1, "x"), (60, " ".join(docs[0]), 1, "x"), (60, " ".join(docs[0]), 1, "x"), (None, " ".join(docs[0]), 1, "x")]
     docs[60] = docs[0]
-    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, of_doc string")
     found = passages.repeats(df).collect()
-    got = {i: np.zeros(len(w), bool) for i, w in docs.items()}
-    for r in found:
-        assert r["first_doc_id"] < r["doc_id"] and r["n_words"] >= passages.HEAD
-        got[r["doc_id"]][r["start"] : r["end"]] = True
-    least, most = covered(docs, passages.LEAST), covered(docs, passages.HEAD)
-    for i in docs:
-        assert not (least[i] & ~got[i]).any() and not (got[i] & ~most[i]).any()
+    want = matches(docs, passages.LEAST)
+    assert as_set(found) == want and len(found) == len(want) and len({x[0] for x in want}) > 15
+    got = covered(docs, want)
     clean = {r["doc_id"]: r for r in passages.remove(df, passages.repeats(df)).collect()}
-    assert clean[5]["text"] == " ".join(docs[5]) and clean[28]["text"] == "" and clean[25]["text"] == " ".join(docs[25])
+    assert clean[5]["text"] == " ".join(w for w, g in zip(docs[5], got[5], strict=True) if not g) and clean[28]["text"] == "" and clean[25]["text"] == " ".join(docs[25])
     left = " ".join(w for w, g in zip(docs[10], got[10], strict=True) if not g)
     assert clean[10]["text"] == left and clean[10]["n_chars"] == len(left) and clean[50]["text"] is None
+    assert clean[None]["text"] == " ".join(docs[0]) and clean[1]["n_chars"] == 1 and clean[1]["of_doc"] == "x"
     assert passages.repeats(df.where("doc_id > 99")).count() == 0
+    assert passages.remove(df.where("doc_id > 99"), passages.repeats(df.where("doc_id > 99"))).count() == 0
+
+
+def test_passages_of_many_shapes(spark):
+    """Few different words, so that passages overlap, nest and repeat inside documents; and one key over many tasks."""
+    rng = np.random.default_rng(17)
+    pool = [words(rng, 70) for _ in range(6)]
+    docs = {}
+    for i in range(120):
+        out = []
+        for _ in range(int(rng.integers(0, 5))):
+            p = pool[int(rng.integers(len(pool)))]
+            a = int(rng.integers(0, 30))
+            out += p[a : a + int(rng.integers(20, 70))] + words(rng, int(rng.integers(0, 4)))
+        docs[i * 3] = out
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        df = spark.createDataFrame([(i, "  ".join(w)) for i, w in docs.items()], "doc_id long, text string").repartition(7)
+        assert as_set(passages.repeats(df).collect()) == matches(docs, passages.LEAST)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_passages_of_versions(spark):
+    rng = np.random.default_rng(3)
+    a, b = words(rng, 80), words(rng, 200)
+    rows = [(1, " ".join(b)), (2, " ".join(a + b[:60])), (2, " ".join(words(rng, 5) + b[100:170])), (2, " ".join(a))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert as_set(passages.repeats(df).collect()) == {(2, 80, 140, 1, 0), (2, 5, 75, 1, 100)}
+    assert sorted(len(r["text"].split()) for r in passages.remove(df, passages.repeats(df)).collect()) == [5, 80, 80, 200]
 
 
-def test_minimisers_are_in_every_window():
+def test_every_window_keeps_a_suffix_by_its_content():
     rng = np.random.default_rng(2)
     w = rng.integers(1 << 62, size=500).astype(np.uint64)
-    at, _ = passages.minimisers(w)
-    assert all(((at >= s) & (at + passages.K <= s + passages.LEAST)).any() for s in range(500 - passages.LEAST + 1))
-    starts, h = passages.heads(w, at)
+    at = passages.chosen(w)
+    assert len(at) == 451 and all(s <= p < s + passages.SPAN for s, p in enumerate(at.tolist()))
     shifted = np.concatenate([w[:3], w])
-    again = dict(zip(*[x.tolist() for x in passages.heads(shifted, at + 3)], strict=True))
-    assert all(again[s + 3] == x for s, x in zip(starts.tolist(), h.tolist(), strict=True))
+    assert (passages.chosen(shifted)[3:] == at + 3).all()
+    assert (passages.runs_of(shifted, at + 3, passages.HEAD) == passages.runs_of(w, at, passages.HEAD)).all()
+    assert not len(passages.chosen(w[:49])) and len(passages.chosen(w[:50])) == 1
 
 
 def test_frequencies_of_all_shingles_are_exact(spark, rows, monkeypatch):
