@@ -8,7 +8,8 @@ keep suffixes at the same place within them, with HEAD = LEAST - SPAN + 1 words
    neighbours: those that no other document has are done with.
 2. The others are extended to the left and right to every window of LEAST words that keeps them. These windows are sorted
    in the same way, and each is compared to its neighbours: it matches the first of the equal ones, which is that of the
-   least doc_id (then place). Matched windows in a row that lie alike in both documents are one match.
+   least doc_id (then place). Matched windows in a row that lie alike in both documents are one match, and matches of one
+   document that overlap or touch are one stretch.
 3. The words of every match are compared in full. Keys only propose; no match rests on a hash alone.
 
 So a document's matches are exactly its windows of LEAST words that a document of a smaller doc_id has too, with their exact
@@ -189,9 +190,9 @@ def _matched(windows: DataFrame) -> DataFrame:
         owed.append((part, *holder))
         before = (last["key"], *(holder if last["key"] == first["key"] else (last["first_doc"], last["first_spot"])))
     owed_df = found.sparkSession.createDataFrame(owed, "part int, doc long, at long")
-    early = found.where("part >= 0 and doc_id is not null").join(F.broadcast(owed_df), "part")  # a row for each task
-    early = early.where("doc < doc_id").select("doc_id", "spot", F.col("doc").alias("first_doc"), F.col("at").alias("first_spot"))
-    out = found.where("part < 0").select("doc_id", "spot", "first_doc", "first_spot").unionByName(early)
+    rows = found.where("doc_id is not null").join(F.broadcast(owed_df), "part", "left")  # a row for each task of the sort
+    out = rows.select("doc_id", "spot", F.coalesce("doc", "first_doc").alias("first_doc"), F.when(F.col("doc").isNull(), F.col("first_spot")).otherwise(F.col("at")).alias("first_spot"))
+    out = out.where("first_doc < doc_id")
     out.written_to = found.written_to
     return out
 
@@ -241,13 +242,23 @@ def _same_words(found: DataFrame, texts: DataFrame) -> DataFrame:
     return out
 
 
+def _stretches(found: DataFrame) -> DataFrame:
+    """Matches with one holder that overlap or touch, as in texts that repeat themselves, as one stretch."""
+    group = ["doc_id", "version", "first_doc", "first_version"]
+    order = Window.partitionBy(*group).orderBy("start", "end", "first_start")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    parted = found.withColumn("new", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")).withColumn("stretch", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    out = parted.groupBy(*group, "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min(F.struct("start", "first_start"))["first_start"].alias("first_start"))
+    return out.select("doc_id", "version", "start", "end", (F.col("end") - F.col("start")).alias("n_words"), F.col("first_doc").alias("first_doc_id"), "first_start")
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, version, start, end (words), n_words, first_doc_id, first_start: the passages of each document that a document
-    of a smaller id has too."""
+    of a smaller id has too, and where the first match of each begins there."""
     docs = documents(docs).where("doc_id is not null and text is not null")
     marks = materialise(_marks(docs), "passages-marks")
     firsts = marks.where(F.col("words") >= LEAST).groupBy("digest", "words").agg(F.min(F.struct("doc_id", "version")).alias("first"), F.max("doc_id").alias("hi"))
-    firsts = firsts.where("hi > first.doc_id").select("digest", "words", "first")
+    firsts = materialise(firsts.where("hi > first.doc_id").select("digest", "words", "first"), "passages-firsts")
     copies = marks.select("doc_id", "version", "digest", "words").join(firsts, ["digest", "words"]).where("doc_id > first.doc_id")
     copies = materialise(copies.select("doc_id", "version", "words", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version")).distinct(), "passages-copies")
 
@@ -261,7 +272,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     wanted = spots.join(ends.withColumn("copy", F.lit(True)), ["doc_id", "version"], "full_outer").select("doc_id", "version", "places")
     texts = docs.withColumn("version", _version(F.col("text"))).join(wanted, ["doc_id", "version"])
     texts = materialise(texts.select("doc_id", "version", "text", F.coalesce("places", F.array().cast("array<long>")).alias("places")), "passages-texts")
-    discard(suffixes, marks)
+    discard(suffixes, marks, firsts)
 
     matched = _matched(_windows(texts.where(F.size("places") > 0)))
     whole = copies.select("doc_id", "version", F.lit(0).alias("start"), F.col("words").alias("end"), "first_doc", "first_version", F.lit(0).alias("first_start"))
@@ -269,7 +280,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     discard(matched, copies)
     out = _same_words(found, texts)
     discard(found, texts)
-    return out.select("doc_id", "version", "start", "end", (F.col("end") - F.col("start")).alias("n_words"), F.col("first_doc").alias("first_doc_id"), "first_start")
+    return _stretches(out)
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:

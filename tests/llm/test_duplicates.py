@@ -110,7 +110,7 @@ def test_components(spark):
 
 def matches(docs, size):
     """(doc, start, end, first doc, first start): windows of `size` words that a document of a smaller id has too, with the
-    first place that has them; windows in a row that lie alike in both are one match."""
+    first place that has them; windows in a row that lie alike in both are one match, matches that touch one stretch."""
     first, out = {}, set()
     for doc in sorted(docs):
         w = docs[doc]
@@ -130,7 +130,14 @@ def matches(docs, size):
                 while at.get(k + 1) == (d, i + k + 1 - j):
                     k += 1
                 out.add((doc, j, k + size, d, i))
-    return out
+    stretches = []
+    for doc, a, b, d, i in sorted(out, key=lambda x: (x[0], x[3], x[1], x[2], x[4])):
+        last = stretches[-1] if stretches else (None,) * 5
+        if last[0] == doc and last[3] == d and a <= last[2]:
+            stretches[-1] = (doc, last[1], max(b, last[2]), d, last[4])
+        else:
+            stretches.append((doc, a, b, d, i))
+    return set(stretches)
 
 
 def covered(docs, found):
