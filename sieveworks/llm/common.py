@@ -61,9 +61,18 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def text_ids(df: DataFrame) -> DataFrame:
+    """documents(df) with doc_id as text: pandas would turn whole numbers beside a null into rounded ones."""
+    return documents(df).withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def long_ids(df: DataFrame) -> DataFrame:
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def fold(id_column: str, folds: int) -> Column:
-    """crc32 of the id as text, modulo folds."""
-    return F.crc32(F.col(id_column).cast("string").cast("binary")) % F.lit(folds)
+    """crc32 of the id as text, modulo folds; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % F.lit(folds)
 
 
 def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import by_chars, documents, table
+from .common import by_chars, long_ids, table, text_ids
 
 ERROR_RATE = 0.08
 MIN_CHARS = 24
@@ -175,7 +175,7 @@ def _blocks(items: DataFrame) -> list:
 
 def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """doc_id, item_id, edits, and where in the folded text: one row for each document and item that it contains."""
-    docs = documents(docs).where(F.col("text").isNotNull())
+    docs = text_ids(docs).where(F.col("text").isNotNull())
     out = None
     for shared in _blocks(items):
 
@@ -183,9 +183,9 @@ def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> Data
             matcher = Matcher(shared.value, rate)
             for pdf in by_chars(batches):
                 rows = [(doc, *m) for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True) for m in matcher.find(fold_text(text))]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "start", "end"]).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "start", "end"])
 
-        found = docs.mapInPandas(run, "doc_id long, item_id long, edits int, start int, end int")
+        found = long_ids(docs.mapInPandas(run, "doc_id string, item_id long, edits int, start int, end int"))
         out = found if out is None else out.unionByName(found)
     return out
 

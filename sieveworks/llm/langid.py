@@ -1,10 +1,12 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 The counts come from a bounded sample of documents with a language (TRAIN_ROWS), summed in Spark; the log-probability
-matrix (languages x 2^BITS, fixed size) is broadcast, and batches of whole texts are scored in numpy.
+matrix (languages x 2^BITS, fixed size) is broadcast, and batches of whole texts are scored in numpy. N-grams that reach
+from one text of a batch into the next do not count, so a text has one score in any company.
 
 Null texts and texts without a letter give `und` with score 0. Rows with null language are never learned from. Ties go
-to the language that comes first by name. With no labelled row at all every text is `und`. Other columns are ignored.
+to the language that comes first by name. With no labelled row at all every text is `und`. A null doc_id stays null and is in the fold of the empty text. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, by_chars, documents, fold, table
+from .common import bounded_sample, by_chars, documents, fold, long_ids, table, text_ids
 from .textvec import char_ngrams, code_points, letter_table
 
 TRAIN_ROWS = 30_000
@@ -26,10 +28,22 @@ ORDERS = (2, 3)
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+#: The bucket after all others: n-grams that reach into the next text.
+_NONE = 1 << BITS
+
+
 def _grams(texts: list[str | None], letters: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    points, starts = code_points(texts)
+    """The buckets of each order's n-grams of all texts, each text between spaces, and where the texts begin."""
+    points, starts = code_points([(x or "") + " " for x in texts])
     low = letters[np.minimum(points, len(letters) - 1)]
-    return [char_ngrams(low, n, BITS) for n in ORDERS], starts
+    ends = np.append(starts[1:], len(points))
+    out = []
+    for n in ORDERS:
+        grams = char_ngrams(low, n, BITS)
+        for back in range(1, n):
+            grams[np.maximum(ends - back, starts)] = _NONE
+        out.append(grams)
+    return out, starts
 
 
 def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> tuple[list[str], np.ndarray]:
@@ -41,7 +55,7 @@ def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> tuple[list[
         for pdf in by_chars(batches):
             for lang, part in pdf.groupby("lang"):
                 grams, _ = _grams(part["text"].tolist(), letters)
-                got = np.stack([np.bincount(g, minlength=1 << BITS) for g in grams])
+                got = np.stack([np.bincount(g, minlength=_NONE + 1)[:_NONE] for g in grams])
                 sums[lang] = sums[lang] + got if lang in sums else got
         if sums:
             for lang, got in sums.items():
@@ -66,7 +80,7 @@ def train(docs: DataFrame, learn: Column, rows: int = TRAIN_ROWS) -> tuple[list[
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     """doc_id, lang_pred and score (the probability of that language per character, tempered by the text's length)."""
     langs, logs = model
-    shared = docs.sparkSession.sparkContext.broadcast(logs)
+    shared = docs.sparkSession.sparkContext.broadcast(np.concatenate([logs, np.zeros((*logs.shape[:2], 1), np.float32)], 2))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, logs = letter_table(), shared.value
@@ -76,7 +90,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
             best, sure = np.full(len(texts), "und", object), np.zeros(len(texts))
             if langs and len(texts):
                 grams, starts = _grams(texts, letters)
-                total = np.stack([sum(np.add.reduceat(logs[i, k][g], starts) for i, g in enumerate(grams)) for k in range(len(langs))], 1).astype(np.float64)
+                total = np.stack([sum(np.add.reduceat(logs[i, k][g], starts, dtype=np.float64) for i, g in enumerate(grams)) for k in range(len(langs))], 1)
                 sizes = np.diff(np.concatenate([starts, [len(grams[0])]]))
                 total /= np.sqrt(sizes)[:, None]  # neighbouring n-grams are not independent
                 top = total.argmax(1)
@@ -85,7 +99,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                 sure[known] = (odds.max(1) / odds.sum(1))[known]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "lang_pred": best, "score": sure})
 
-    return documents(docs).mapInPandas(score, "doc_id long, lang_pred string, score double")
+    return long_ids(text_ids(docs).mapInPandas(score, "doc_id string, lang_pred string, score double"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ made on counts of lengths and not on documents: each block of documents (BLOCK o
 plan in one task, and documents take the plan's places by their rank among those of their length.
 
 Null and empty texts give the separator alone. Repeated rows and texts are packed like any other, a piece each; rows of
-one doc_id are told apart by their order (text). Extra columns are ignored.
+one doc_id are told apart by their order (text). A null doc_id stays null. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_chars, documents, materialise, table
+from .common import by_chars, long_ids, materialise, table, text_ids
 
 LENGTH = 2048
 SEPARATOR = 0
@@ -154,7 +154,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
                     rows.append((doc, k, k * length, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return documents(docs).mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return long_ids(text_ids(docs).mapInPandas(run, "doc_id string, piece int, start long, length long, ids_crc32 long"))
 
 
 def pack(rows: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame:
@@ -164,7 +164,7 @@ def pack(rows: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame
     seed = F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.monotonically_increasing_id())
 
     def plan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True, na_position="last")
         lengths = pdf["length"].to_numpy()
         seq, off = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
         for k, inside in enumerate(best_two_fit(lengths, length)):
@@ -172,9 +172,9 @@ def pack(rows: DataFrame, length: int = LENGTH, block: int = BLOCK) -> DataFrame
             off[inside] = np.concatenate([[0], np.cumsum(lengths[inside])[:-1]])
         return pdf[["doc_id", "piece", "start", "length", "ids_crc32"]].assign(sequence_id=seq * 2 * blocks + 2 * pdf["block"].to_numpy(), offset=off)
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     part = rows.where(F.col("length") < length).withColumn("block", F.pmod(seed, F.lit(blocks)))
-    packed = part.groupBy("block").applyInPandas(plan, schema)
+    packed = long_ids(part.withColumn("doc_id", F.col("doc_id").cast("string")).groupBy("block").applyInPandas(plan, schema))
     whole = rows.where(F.col("length") >= length).select("*", (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return packed.unionByName(whole)
 

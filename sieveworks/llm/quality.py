@@ -7,7 +7,8 @@ pool-adjacent-violators over BINS score bins.
 
 Null texts count as empty; empty texts have all statistics zero and are scored like any other. Repeated labels of a
 document count once (the largest wins), null labels are left out. With no label every score is 0.5. Extra columns are
-ignored. Every document is scored, and all labelled rows of the learning folds are used.
+ignored. Every document is scored, and all labelled rows of the learning folds are used. A null doc_id stays null, has no
+label and is in the fold of the empty text; repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_chars, documents, fold, materialise, table
+from .common import by_chars, fold, long_ids, materialise, table, text_ids
 from .textvec import code_points, word_hashes
 
 RFF = 192
@@ -77,7 +78,7 @@ def features(docs: DataFrame) -> DataFrame:
         for pdf in by_chars(batches):
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "stats": list(statistics(pdf["text"].tolist(), classes).astype(np.float32))})
 
-    return documents(docs).mapInPandas(run, "doc_id long, stats array<float>")
+    return long_ids(text_ids(docs).mapInPandas(run, "doc_id string, stats array<float>"))
 
 
 def _map(stats: np.ndarray, mean: np.ndarray, dev: np.ndarray) -> np.ndarray:
@@ -153,7 +154,7 @@ def score(stats: DataFrame, model: tuple | None) -> DataFrame:
             if len(pdf):
                 yield pdf[["doc_id"]].assign(score=_score(np.stack(pdf["stats"].to_numpy()), model))
 
-    return stats.mapInPandas(run, "doc_id long, score double")
+    return long_ids(stats.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, "doc_id string, score double"))
 
 
 def keep(docs: DataFrame, labels: DataFrame, learn: Column, least: float) -> DataFrame:
