@@ -1,12 +1,14 @@
 """Toxicity: a linear classifier over hashed character n-grams, scaled by naive Bayes log-count ratios.
 
-A document's features are the n-grams of its distinct words (with word borders), each present or not. The ratio of each
-n-gram's smoothed document counts among toxic and clean training rows scales it; logistic weights are fitted on the
-scaled features. TRAIN_ROWS bounds the labelled rows that are fitted; every document is scored on its whole text.
+A document's features are the n-grams of its distinct words (with word borders): in how many of them each occurs, over the
+square root of the number of distinct words. The log ratio of each n-gram's smoothed share of all n-grams of toxic training
+rows to that of clean ones scales it; logistic weights are fitted on the scaled features until the loss stands still. All
+training rows are fitted at once, TRAIN_ROWS bounds their number; every document is scored on its whole text.
 
 Null and empty texts have no feature and get the score of the intercept. Repeated labels of a document count once
 (the largest label wins), null labels are left out. With labels of one class only, or none, every score is that share
-(0 if there is none). Extra columns are ignored.
+(0 if there is none). A null doc_id stays null, has no label and is in the fold of the empty text; repeated rows are scored
+each. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,116 +21,145 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, by_chars, documents, fold, materialise, table
+from .common import bounded_sample, by_chars, documents, fold, long_ids, materialise, table, text_ids
 from .textvec import char_ngrams, code_points
 
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 BITS = 18
 ORDERS = (3, 4, 5)
-#: Tasks that fit, each on PART_ROWS rows or more.
-PARTS, PART_ROWS = 8, 1500
-ROUNDS = 40
+#: Tasks that encode and count the training rows.
+TASKS = 8
+#: Steps at most; fitting ends before where a step changes the loss by less than STILL of it.
+STEPS, STILL, RIDGE = 150, 1e-4, 1e-4
+#: Added to each n-gram's count before the ratio is taken.
+SMOOTH = 1.0
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def _words(text: str | None) -> str:
-    """The distinct lower-case words of a text, each between spaces; its order has no meaning."""
-    return " ".join(set(_WORD.findall(text.lower()))) if text else ""
+    """The distinct lower-case words of a text, each between spaces; their order has no meaning."""
+    return " ".join(dict.fromkeys(_WORD.findall(text.lower()))) if text else ""
 
 
-def _features(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each order the bucket of each n-gram, -1 for those that cross from a word to the next; where texts begin."""
-    points, starts = code_points([_words(x) + " " for x in texts])
+def _features(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """For each order the bucket of each n-gram, 0 for those that cross from a word to the next; where texts begin; and the
+    number of distinct words of each text."""
+    words = [_words(x) for x in texts]
+    points, starts = code_points([x + " " for x in words])
     space = points == 32
     out = []
     for n in ORDERS:
         grams = char_ngrams(points, n, BITS)
-        inner = np.zeros(len(points), bool)
+        crosses = np.zeros(len(points), bool)
         for i in range(1, n - 1):
-            inner[:-i] |= space[i:]
-        inner[-(n - 1):] = True
-        out.append(np.where(inner, 0, grams | 1))  # bucket 0 holds none
-    return out, starts
+            crosses[:-i] |= space[i:]
+        crosses[-(n - 1) :] = True
+        out.append(np.where(crosses, 0, grams | 1))
+    return out, starts, np.fromiter((x.count(" ") + 1 if x else 0 for x in words), np.int64, len(words))
 
 
-def _sparse(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of each text, and how many."""
-    grams, starts = _features(texts)
-    ends = np.concatenate([starts[1:], [len(grams[0])]])
+def _sparse(texts: list[str | None]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The buckets of each text, as often as they occur, and its number of distinct words."""
+    grams, starts, words = _features(texts)
+    ends = np.append(starts[1:], len(grams[0]))
     rows = [np.concatenate([g[a:b] for g in grams]) for a, b in zip(starts, ends, strict=True)]
-    rows = [r[r > 0] for r in rows]
-    return np.concatenate(rows) if rows else np.zeros(0, np.int32), np.array([len(r) for r in rows], np.int64)
-
-
-def _logistic(idx: np.ndarray, lens: np.ndarray, y: np.ndarray, ratio: np.ndarray, rounds: int) -> tuple[np.ndarray, float]:
-    """Weights of scaled, length-normed features by accelerated gradient steps with a ridge penalty."""
-    size, n = len(ratio), len(y)
-    row = np.repeat(np.arange(n), lens)
-    x = (ratio[idx] / np.sqrt(np.maximum(lens, 1))[row]).astype(np.float32)
-    norm = np.bincount(row, weights=x * x, minlength=n).mean() + 1e-9
-    w, b, last, lb = np.zeros(size), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))), np.zeros(size), 0.0
-    step = 4.0 / (norm + 1)
-    for t in range(rounds):
-        m = t / (t + 3)
-        v = w + m * (w - last)
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, weights=v[idx] * x, minlength=n) + b, -30, 30)))
-        g = p - y
-        last = w
-        w = v - step * (np.bincount(idx, weights=g[row] * x, minlength=size) / n + 1e-5 * v)
-        b -= 0.5 * g.mean()
-    return w, b
+    return [r[r > 0].astype(np.int32) for r in rows], words
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
-    """Weights for each bucket (ratio times logistic weight) and intercept.
+def logistic(starts: np.ndarray, idx: np.ndarray, x: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, float, bool]:
+    """Weights and intercept of a logistic regression with a ridge penalty, and whether the loss came to stand still.
 
-    Up to PARTS tasks each count and fit their share of the sample; first the counts are summed over all, then the weights
-    are averaged over the parts.
+    Accelerated gradient steps. The matrix is given row by row, from `starts`, as columns idx and entries x; no row is empty.
     """
+    n = len(y)
+    order = np.argsort(idx, kind="stable")
+    used, begin, column = np.unique(idx[order], return_index=True, return_inverse=True)
+    at = np.empty(len(idx), np.int32)
+    at[order] = column
+    by_row = np.repeat(np.arange(n, dtype=np.int32), np.diff(np.append(starts, len(idx))))[order]
+    by_x = x[order]
+    forward = lambda v: np.add.reduceat(v.astype(np.float32)[at] * x, starts, dtype=np.float64)
+    back = lambda r: np.add.reduceat(r.astype(np.float32)[by_row] * by_x, begin, dtype=np.float64) / n
+    side, top = np.random.default_rng(5).normal(size=len(used)), 0.0
+    for _ in range(12):  # the largest eigenvalue, which bounds the step
+        side = back(forward(side))
+        top = float(np.linalg.norm(side))
+        if not top:
+            break
+        side /= top
+    step = 1 / (1.1 * top / 4 + RIDGE + 0.25)
+    w, last = np.zeros(len(used)), np.zeros(len(used))
+    b = was = float(np.log(y.mean() / (1 - y.mean())))
+    loss, restart, still = np.inf, 0, False
+    for t in range(STEPS):
+        m = (t - restart) / (t - restart + 3)
+        v, c = w + m * (w - last), b + m * (b - was)
+        z = forward(v) + c
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        now = float(np.mean(np.logaddexp(0, z) - y * z) + RIDGE / 2 * (v @ v))
+        last, was = w, b
+        w = v - step * (back(p - y) + RIDGE * v)
+        b = c - step * float((p - y).mean())
+        if still := abs(loss - now) < STILL * now:
+            break
+        if now > loss:
+            restart = t + 1
+        loss = now
+    out = np.zeros(size)
+    out[used] = w
+    return out, b, still
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
+    """Weights for each bucket (ratio times logistic weight) and intercept. TASKS tasks encode and count the sample, and one
+    fits it: `rows` documents at most, by their n-grams."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & learn)
     known = bounded_sample(known.groupBy("doc_id").agg(F.max("y").alias("y")), "doc_id", rows)
-    parts = max(1, min(PARTS, known.count() // PART_ROWS))
-    sample = documents(docs).join(F.broadcast(known), "doc_id").repartition(PARTS, F.xxhash64("doc_id"))
+    sample = documents(docs).join(F.broadcast(known), "doc_id").repartition(TASKS, F.xxhash64("doc_id"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in by_chars(batches):
-            idx, lens = _sparse(pdf["text"].tolist())
-            ends = np.cumsum(lens)
-            yield pd.DataFrame({"part": pdf["doc_id"].mod(parts).astype("int32").to_numpy(), "y": pdf["y"].to_numpy(), "idx": [idx[e - n : e].astype(np.int32).tobytes() for e, n in zip(ends, lens, strict=True)]})
+            idx, words = _sparse(pdf["text"].tolist())
+            yield pd.DataFrame({"y": (pdf["y"].to_numpy() > 0).astype(float), "words": words, "idx": [x.tobytes() for x in idx]})
 
-    rows_df = materialise(sample.mapInPandas(encode, "part int, y double, idx binary"), "toxic-features")
+    rows_df = materialise(sample.mapInPandas(encode, "y double, words long, idx binary"), "toxic-features")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((2, 1 << BITS))
-        n = np.zeros(2)
+        sums, n = np.zeros((2, 1 << BITS)), np.zeros(2)
         for pdf in batches:
-            for y, idx in zip(pdf["y"], pdf["idx"], strict=True):
-                sums[int(y > 0), np.frombuffer(idx, np.int32)] += 1
-                n[int(y > 0)] += 1
+            for y in (0, 1):
+                part = [np.frombuffer(x, np.int32) for x in pdf["idx"][pdf["y"] == y]]
+                if part:
+                    sums[y] += np.bincount(np.concatenate(part), minlength=1 << BITS)
+                    n[y] += len(part)
         sums[:, 0] = n
         yield pd.DataFrame({"sums": [sums.tobytes()]})
 
-    # a bucket counts once for each row, as numpy's indexed addition does
-    sums = rows_df.repartition(PARTS).mapInPandas(count, "sums binary").collect()  # PARTS vectors of fixed size
+    sums = rows_df.repartition(TASKS).mapInPandas(count, "sums binary").collect()  # TASKS vectors of fixed size
     counts = sum((np.frombuffer(r["sums"]).reshape(2, -1) for r in sums), np.zeros((2, 1 << BITS)))
     n_clean, n_toxic = counts[:, 0]
+    counts[:, 0] = 0
     if n_toxic == 0 or n_clean == 0:
-        return np.zeros(1 << BITS), 30.0 if n_toxic else -30.0
-    rate = (counts + 0.5) / (counts[:, :1] + 1)
-    ratio = np.log(rate[1] / rate[0])
-    ratio[counts.sum(0) == 0] = 0
-    ratio[0] = 0
+        return np.zeros(1 << BITS, np.float32), 30.0 if n_toxic else -30.0
+    seen = counts.sum(0) > 0
+    rate = (counts + SMOOTH) / (counts.sum(1, keepdims=True) + SMOOTH * seen.sum())
+    ratio = np.where(seen, np.log(rate[1] / rate[0]), 0)
     shared = docs.sparkSession.sparkContext.broadcast(ratio.astype(np.float32))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        idx = [np.frombuffer(x, np.int32) for x in pdf["idx"]]
-        y = (pdf["y"].to_numpy() > 0).astype(float)
-        w, b = _logistic(np.concatenate(idx), np.array([len(x) for x in idx], np.int64), y, shared.value, ROUNDS)
-        return pd.DataFrame({"w": [w.astype(np.float32).tobytes()], "b": [b]})
+        lens, idx, x = [], [], []
+        for packed, words in zip(pdf["idx"], pdf["words"], strict=True):
+            at, times = np.unique(np.append(np.frombuffer(packed, np.int32), 0), return_counts=True)  # bucket 0: no n-gram
+            lens.append(len(at))
+            idx.append(at)
+            x.append((times * shared.value[at] / np.sqrt(max(words, 1))).astype(np.float32))
+        starts, idx, x = np.cumsum([0, *lens[:-1]]), np.concatenate(idx), np.concatenate(x)
+        size = float(np.sqrt(np.add.reduceat(x * x, starts).mean())) or 1.0
+        w, b, _ = logistic(starts, idx, x / np.float32(size), pdf["y"].to_numpy(), 1 << BITS)
+        return pd.DataFrame({"w": [(w / size).astype(np.float32).tobytes()], "b": [b]})
 
-    fitted = rows_df.groupBy("part").applyInPandas(fit, "w binary, b double").collect()  # one per part
-    w = np.mean([np.frombuffer(r["w"], np.float32) for r in fitted], 0) * ratio
-    return w.astype(np.float32), float(np.mean([r["b"] for r in fitted]))
+    fitted = rows_df.withColumn("part", F.lit(0)).groupBy("part").applyInPandas(fit, "w binary, b double").first()
+    return (np.frombuffer(fitted["w"], np.float32) * ratio).astype(np.float32), float(fitted["b"])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
@@ -139,13 +170,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = shared.value
         for pdf in by_chars(batches):
-            grams, starts = _features(pdf["text"].tolist())
-            total = sum(np.add.reduceat(w[g], starts) for g in grams)
-            count = sum(np.add.reduceat((g > 0).astype(np.float32), starts) for g in grams)
-            z = total / np.sqrt(np.maximum(count, 1)) + b
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "score": 1 / (1 + np.exp(-np.clip(z, -30, 30).astype(float)))})
+            grams, starts, words = _features(pdf["text"].tolist())
+            total = sum(np.add.reduceat(w[g], starts, dtype=np.float64) for g in grams)
+            z = total / np.sqrt(np.maximum(words, 1)) + b
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "score": 1 / (1 + np.exp(-np.clip(z, -30, 30)))})
 
-    return documents(docs).mapInPandas(run, "doc_id long, score double")
+    return long_ids(text_ids(docs).mapInPandas(run, "doc_id string, score double"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
