@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_chars, documents, materialise, table
+from .common import by_chars, discard, documents, materialise, table
 from .textvec import mix64, single_spaced, word_hashes, word_shingles
 
 WORDS = 5
@@ -272,7 +272,9 @@ def signatures(docs: DataFrame) -> tuple[DataFrame, int]:
                 })
 
     marks = parts.join(back, "chunk", "left").select("size", "body", "parts")
-    return marks.mapInPandas(run, "doc_id long, key binary, shingles long, seen binary, bands array<long>"), n
+    marks = materialise(marks.mapInPandas(run, "doc_id long, key binary, shingles long, seen binary, bands array<long>"), "neardup-marks")
+    discard(parts)
+    return marks, n
 
 
 def _by_hot(left: DataFrame, right: DataFrame, on: str, n: int, how: str = "inner") -> DataFrame:
@@ -454,11 +456,14 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
         less = labels.join(near, labels["id"] == near["a"]).select("id", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         less = materialise(less, "components-step")
+        discard(labels)
         # a label's own label is smaller still: jump there
         up = less.select(F.col("id").alias("up"), F.col("label").alias("top"))
         new = less.join(up, less["label"] == up["up"], "left").select("id", "was", F.least("label", F.coalesce("top", "label")).alias("label"))
         new = materialise(new, "components-labels")
+        discard(less)
         labels = new.select("id", "label")
+        labels.written_to = new.written_to
         if new.where("label <> was").isEmpty():
             return labels
 
@@ -467,7 +472,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each row of docs: doc_id, class_id (least doc_id with an equal folded text) and group_id."""
     docs = documents(docs)
     marks, n_docs = signatures(docs)
-    marks = materialise(marks, "neardup-marks")
     classes = marks.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"), F.first("seen").alias("seen"))
     classes = materialise(classes, "neardup-classes")
     n = classes.count()
@@ -486,9 +490,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     texts = docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "hex", "seen", "text").mapInPandas(kept, "id long, text string, seen binary")
     texts = materialise(texts.dropDuplicates(["id"]), "neardup-texts")
-    labels = components(links(members, texts, n_docs, n))
+    edges = materialise(links(members, texts, n_docs, n).select("a", "b"), "neardup-edges")
+    discard(texts, members)
+    labels = components(edges)
     named = classes.join(labels, classes["class_id"] == labels["id"], "left").select("key", "size", "class_id", F.coalesce("label", "class_id").alias("group_id"))
     named = materialise(named, "neardup-groups")
+    discard(classes, edges, labels)
     out = _by_hot(marks.where("key is not null").select("doc_id", "key"), named, "key", n).select("doc_id", "class_id", "group_id")
     alone = marks.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("group_id"))
     return out.unionByName(alone)
