@@ -4,8 +4,10 @@ Documents with equal digests are compared by their canonical bytes (their smalle
 gathered by partial aggregates); where a bucket holds different bytes, the fingerprint gets the rank of its bytes.
 
 Each document is also held against an edited copy of itself and against the next document, in descending doc_id (rows
-with one doc_id by text; null ids last). Likeness is 1 where fingerprints are equal, else 0: an exact digest has no
-degrees. Null texts count as empty. A table of one row is its own next document. Extra columns are ignored.
+with one doc_id by a hash of the text; null ids last). Documents are sorted by range over the cluster; a range's last
+document meets the first one of the range after it, one document a range. Likeness is 1 where canonical bytes are equal,
+else 0: an exact digest has no degrees. Null texts count as empty. A table of one row is its own next document. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,14 +19,12 @@ from collections.abc import Iterator
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents, materialise, table
-
-#: Documents in a range of ids that one task reads in order.
-RANGE = 4_000
+from .common import discard, documents, materialise, table
 
 
 def canonical(text: str) -> bytes:
@@ -41,94 +41,108 @@ def digest(data: bytes) -> str:
 
 
 def _digests(docs: DataFrame) -> DataFrame:
-    """doc_id and the digest of the canonical bytes."""
+    """doc_id, mark and the digest of the canonical bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fingerprint": [digest(canonical(x or "")) for x in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "mark": pdf["mark"], "fingerprint": [digest(canonical(x)) for x in pdf["text"]]})
 
-    return docs.mapInPandas(run, "doc_id long, fingerprint string")
+    found = docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, "doc_id string, mark long, fingerprint string")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def _in_ranges(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows (r, seq, doc_id, text) of ranges r of descending doc_id, about RANGE documents each.
+class _Pairs:
+    """Makes a row of each document and the one after it. Both are tuples (doc_id, text, canonical bytes, more); `more`
+    says whether the bytes go with the row, as those of digests in `wanted` do."""
 
-    A marked document has a row of seq 0 before its own of seq 1; each range ends with a copy of what follows it (seq 2).
-    """
-    spark = docs.sparkSession
-    n = docs.count()
-    ranges = max(1, -(-n // RANGE))
-    parts = [i / ranges for i in range(1, ranges)]
-    cuts = sorted({int(x) for x in docs.stat.approxQuantile("doc_id", parts, 0.1 / ranges)}) if parts else []
-    found = _place(len(cuts))  # null ids stand last
-    cut_row = spark.createDataFrame([(cuts,)], "cuts array<long>")
+    columns = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "bytes", "edited_bytes")
 
-    def placed(rows: DataFrame) -> DataFrame:
-        return rows.crossJoin(F.broadcast(cut_row)).withColumn("r", F.when(F.col("doc_id").isNull(), len(cuts)).otherwise(found).cast("int")).drop("cuts")
+    def __init__(self, wanted: frozenset[str]):
+        self.wanted, self.pack = wanted, zstandard.ZstdCompressor(level=3)
 
-    rows = placed(docs.select(F.lit(1).alias("seq"), "doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    flags = placed(marks.select(F.lit(0).alias("seq"), "doc_id", F.lit(None).cast("string").alias("text")))
-    firsts = placed(docs.select("doc_id")).groupBy("r").agg(F.max("doc_id").alias("first"))
-    known = sorted((x["r"], x["first"]) for x in firsts.collect())  # a row for each range
-    heads_of = spark.createDataFrame([(r, known[i - 1][0], first) for i, (r, first) in enumerate(known)], "r int, into int, first long")
-    heads = rows.join(F.broadcast(heads_of), "r").where(F.col("doc_id").eqNullSafe(F.col("first")))
-    heads = heads.groupBy("into").agg(F.min("text").alias("text")).select(F.col("into").alias("r"), F.lit(2).alias("seq"), F.lit(None).cast("long").alias("doc_id"), "text")
-    columns = ("r", "seq", "doc_id", "text")
-    return rows.select(*columns).unionByName(flags.select(*columns)).unionByName(heads)
+    def row(self, this: tuple, after: tuple) -> tuple:
+        doc, before, its, more = this
+        n = len(before)
+        edited = before[: n - n // 2] + after[1][: n // 2]
+        new = canonical(edited)
+        mark, new_mark = digest(its), digest(new)
+        sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
+        bytes_ = self.pack.compress(its) if more or mark in self.wanted else None
+        return doc, n, sha, mark, new_mark, float(its == new), float(its == after[2]), bytes_, self.pack.compress(new) if new_mark in self.wanted else None
 
 
-def _place(n: int) -> Column:
-    """The number of entries at or above doc_id in the ascending array `cuts` of n entries, by bisection."""
-    return F.expr(
-        f"""{n} - aggregate(sequence(0, {n.bit_length()}), named_struct('lo', 0, 'hi', {n}),
-            (s, i) -> if(s.lo >= s.hi, s, if(get(cuts, (s.lo + s.hi) div 2) < doc_id,
-                named_struct('lo', cast((s.lo + s.hi) div 2 + 1 as int), 'hi', s.hi),
-                named_struct('lo', s.lo, 'hi', cast((s.lo + s.hi) div 2 as int)))), s -> s.lo)"""
-    )
+_RESULT = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, bytes binary, edited_bytes binary"
 
 
-def fingerprint(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document."""
-    docs = documents(docs)
-    marks = materialise(_digests(docs), "fingerprint-digests")
-    shared = marks.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint")
-    twice = marks.join(shared, "fingerprint", "left_semi").select("doc_id").distinct()
+def _paired(docs: DataFrame, flags: DataFrame, wanted: frozenset[str]) -> DataFrame:
+    """The rows of all documents. flags: (doc_id, mark) of those whose bytes go with them."""
+    rows = docs.select(F.lit(1).alias("seq"), "doc_id", "mark", "text")
+    rows = rows.unionByName(flags.select(F.lit(0).alias("seq"), "doc_id", "mark", F.lit(None).cast("string").alias("text")))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("mark")]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order, "seq", "text").withColumn("doc_id", F.col("doc_id").cast("string"))
+
+    columns, none = (*_Pairs.columns, "part", "end", "text", "more"), (None,) * 4
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pack = zstandard.ZstdCompressor(level=3)
-        held, flagged = None, None
+        """Rows of all documents but the task's last one; the task's first and last text, with the task's number."""
+        pairs, part = _Pairs(wanted), TaskContext.get().partitionId()
+        edge = lambda doc, *more: (doc, *(None,) * (len(_Pairs.columns) - 1), part, *more)
+        held = flagged = None
         for pdf in batches:
             out = []
-            for r, seq, doc, text in zip(pdf["r"], pdf["seq"], pdf["doc_id"], pdf["text"], strict=True):
-                doc = None if pd.isna(doc) else int(doc)
+            for seq, doc, mark, text in zip(pdf["seq"], pdf["doc_id"], pdf["mark"], pdf["text"], strict=True):
                 if seq == 0:
-                    flagged = (r, doc)
+                    flagged = (doc, mark)
                     continue
-                canon = canonical(text)
-                if held is not None and held[0] == r:
-                    _, was, before, its, more = held
-                    n = len(before)
-                    edited = before[: n - n // 2] + text[: n // 2]
-                    new = canonical(edited)
-                    sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-                    out.append((was, n, sha, digest(its), digest(new), float(its == new), float(its == canon), pack.compress(its) if more else None))
-                held = (r, doc, text, canon, flagged == (r, doc)) if seq == 1 else None
-            frame = pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "bytes"])
-            yield frame.astype({"doc_id": "Int64"})
-
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, bytes binary"
-    order = ["r", F.when(F.col("seq") == 2, 1).otherwise(0), F.col("doc_id").desc_nulls_last(), "seq", "text"]
-    out = materialise(_in_ranges(docs, twice).repartition("r").sortWithinPartitions(*order).mapInPandas(run, schema), "fingerprints")
+                this = (doc, text, canonical(text), flagged == (doc, mark))
+                out.append(edge(None, 0, text, False) if held is None else (*pairs.row(held, this), *none))
+                held = this
+            yield pd.DataFrame(out, columns=columns, dtype=object)
+        if held is not None:
+            yield pd.DataFrame([edge(held[0], 1, held[1], held[3])], columns=columns, dtype=object)
+
+    found = materialise(dealt.mapInPandas(run, f"{_RESULT}, part int, end int, text string, more boolean"), "fingerprints")
+    parts = sorted(r["part"] for r in found.where("end = 0").select("part").collect())  # the tasks that had rows
+    follows = found.sparkSession.createDataFrame([(p, parts[(i + 1) % len(parts)]) for i, p in enumerate(parts)], "part int, after int")
+    firsts = found.where("end = 0").select(F.col("part").alias("after"), F.col("text").alias("after_text"))
+    lasts = found.where("end = 1").select("part", "doc_id", "text", "more").join(follows, "part").join(firsts, "after")  # a row a task
+
+    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = _Pairs(wanted)
+        for pdf in batches:
+            out = [
+                pairs.row((doc, text, canonical(text), more), (None, after, canonical(after), False))
+                for doc, text, more, after in zip(pdf["doc_id"], pdf["text"], pdf["more"], pdf["after_text"], strict=True)
+            ]
+            yield pd.DataFrame(out, columns=_Pairs.columns, dtype=object)
+
+    out = found.where("end is null").select(*_Pairs.columns).unionByName(lasts.mapInPandas(close, _RESULT))
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def fingerprint(docs: DataFrame) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document."""
+    docs = documents(docs).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("mark", F.xxhash64("text"))
+    marks = materialise(_digests(docs), "fingerprint-digests")
+    shared = marks.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint")
+    shared = materialise(shared, "fingerprint-shared")
+    twice = materialise(marks.join(shared, "fingerprint").select("doc_id", "mark"), "fingerprint-twice").distinct()
+    out = _paired(docs, twice, frozenset())
 
     # bytes are compared inside equal buckets: their least and greatest, by partial aggregates
     ends = out.where(F.col("bytes").isNotNull()).groupBy("fingerprint").agg(F.min("bytes").alias("lo"), F.max("bytes").alias("hi"))
-    odd = ends.where("lo <> hi").select("fingerprint")
-    if odd.isEmpty():
-        return out.drop("bytes")
-    ranks = out.join(odd, "fingerprint", "left_semi").select("fingerprint", "bytes").distinct()
-    ranks = ranks.withColumn("rank", F.row_number().over(Window.partitionBy("fingerprint").orderBy("bytes")))
-    named = F.concat("fingerprint", F.coalesce(F.concat(F.lit("-"), F.col("rank")), F.lit("")))
-    return out.join(ranks, ["fingerprint", "bytes"], "left").withColumn("fingerprint", named).drop("bytes", "rank")
+    odd = [r["fingerprint"] for r in ends.where("lo <> hi").select("fingerprint").collect()]  # 128-bit collisions: none to be expected
+    discard(marks, shared)
+    if not odd:
+        return out.drop("bytes", "edited_bytes")
+    out = _paired(docs, twice, frozenset(odd))
+    given = out.select("fingerprint", "bytes").unionByName(out.select(F.col("edited_fingerprint").alias("fingerprint"), F.col("edited_bytes").alias("bytes")))
+    given = given.where(F.col("fingerprint").isin(odd)).distinct()
+    ranks = given.withColumn("rank", F.row_number().over(Window.partitionBy("fingerprint").orderBy("bytes")))
+    for mark, data in (("fingerprint", "bytes"), ("edited_fingerprint", "edited_bytes")):
+        own = ranks.select(F.col("fingerprint").alias(mark), F.col("bytes").alias(data), "rank")
+        out = out.join(own, [mark, data], "left").withColumn(mark, F.concat(mark, F.coalesce(F.concat(F.lit("-"), F.col("rank")), F.lit("")))).drop(data, "rank")
+    return out
 
 
 def query(spark, sf_dir: str) -> DataFrame:
