@@ -4,7 +4,9 @@ Documents that share a group (here: equal texts) are linked. Linked documents st
 a document wants to go to the shard with room that has the most of its group, and the moves are admitted in order of
 group size while the shard's quota lasts. What a quota turns away goes on to other shards with room, in one run, so that a
 group larger than a shard fills whole shards and is cut as seldom as can be. Documents without a link fill up the places
-that are left, so that the counts of the shards differ by one at most (law `rows`).
+that are left, so that the counts of the shards differ by one at most (law `rows`). In the rounds a shard may hold a tenth
+more than its quota of groups that fit in a shard; the last step evens that out. Rounds end when PATIENCE of them in a row have not lowered the number
+of places (group and shard) that the groups take, the measure of the links that are cut; the best labels stay.
 
 No task gets a whole group: sizes and votes are partial aggregates, groups above a share of all rows (at most 1 / HOT_SHARE
 of them can be) are joined by broadcast and dealt over salted buckets, and ranks are added up over buckets.
@@ -20,10 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import documents, global_rank, materialise, table
+from .common import discard, documents, global_rank, materialise, table
 
 SHARDS = 40
-ROUNDS = 12
+PATIENCE = 2
 #: A group with more than this share of all rows counts as hot.
 HOT_SHARE = 1 / 500
 SALTS = 64
@@ -35,18 +37,24 @@ def _load(labels: DataFrame, shards: int, caps: DataFrame) -> DataFrame:
     return caps.join(F.broadcast(load), "shard", "left").select("shard", "cap", (F.col("cap") - F.coalesce("load", F.lit(0))).alias("room"))
 
 
-def _votes(labels: DataFrame, rooms: DataFrame, free: list[int]) -> DataFrame:
+def _votes(labels: DataFrame, rooms: DataFrame, free: list[int], most: int, slack: int) -> DataFrame:
     """For each group the shard it wants: of those with room that have members of it, the one with most of them, and how
     many these are. A divided group none of whose shards has room wants one of the free shards, where it has none yet.
+    Groups of more than `most` rows, which no shard can hold, have no use of the slack.
     """
-    cells = labels.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
-    open_ = cells.join(F.broadcast(rooms), "shard").withColumn("open", F.col("room") > 0)
+    cells = labels.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+    open_ = cells.join(F.broadcast(rooms), "shard").withColumn("open", F.col("room") > F.when(F.col("size") > most, slack).otherwise(0))
     best = F.max(F.when(F.col("open"), F.struct("n", F.xxhash64("grp", "shard").alias("h"), "shard")))
     wants = open_.groupBy("grp").agg(best["shard"].alias("best"), best["n"].alias("n"), F.count(F.lit(1)).alias("parts"))
     other = F.when(F.col("parts") > 1, F.element_at(F.array(*map(F.lit, free)), (F.pmod(F.xxhash64("grp"), F.lit(len(free))) + 1).cast("int"))) if free else F.lit(None)
     return wants.select("grp", F.coalesce("best", other).cast("int").alias("want"), F.coalesce("n", F.lit(0)).alias("there"))
 
 
+def _places(labels: DataFrame) -> int:
+    """How many shards the groups take, all in all."""
+    return labels.select("grp", "shard").distinct().count()
+
+
 def _joined(left: DataFrame, right: DataFrame, hot: DataFrame, how: str = "inner") -> DataFrame:
     """left joined to right (a row per group): the hot groups, few by their definition, by broadcast, the others by a shuffle."""
     few = right.join(F.broadcast(hot), "grp", "left_semi")
@@ -60,7 +68,7 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("grp"), F.lit(buckets)) * SALTS + salt
 
 
-def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """key and shard of all rows of docs (key, grp): grp links rows, null links to nothing."""
     spark = docs.sparkSession
     docs = docs.select("key", "grp")
@@ -77,44 +85,56 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     # an even start: every shard gets every shards-th linked document
     start = global_rank(linked, [], F.pmod(F.xxhash64("key", F.lit(1)), F.lit(buckets)), [F.col("key")], "rank")
     labels = materialise(start.withColumn("shard", (F.col("rank") % shards).cast("int")).drop("rank"), "shard-labels")
-    linked_n = labels.count()
-    # where nearly all documents are linked, rounds may overfill a shard by a tenth; the last step evens it out
-    slack = max(1, n // shards // 10) if linked_n > 0.9 * n else 0
-    for _ in range(rounds if linked_n else 0):
+    slack, large = max(1, n // shards // 10), F.col("size") > n // shards
+    best, fewest, waited = labels, _places(labels), 0
+    while fewest and waited < PATIENCE:
         seen = _load(labels, shards, caps.withColumn("cap", F.col("cap") + slack)).collect()  # one row per shard
         rooms = spark.createDataFrame([tuple(r) for r in seen], "shard int, cap long, room long")
-        votes = _votes(labels, rooms, [r["shard"] for r in seen if r["room"] > 0])
+        votes = _votes(labels, rooms, [r["shard"] for r in seen if r["room"] > slack], n // shards, slack)
         here = labels.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("mine"))
         here = here.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("shard", "mine"))).alias("cells"))  # at most one entry per shard
         voted = _joined(labels, votes.join(here, "grp"), hot)
         better = F.col("want").isNotNull() & (F.col("want") != F.col("shard")) & (
             (F.col("there") > F.col("cells")[F.col("shard")])
             | ((F.col("there") == F.col("cells")[F.col("shard")]) & (F.xxhash64("grp", "want") > F.xxhash64("grp", "shard")))
-            | ((F.col("there") == 0) & (F.col("size") * shards <= n))
+            | ((F.col("there") == 0) & ~large)
         )
         movers = voted.where(better).drop("cells", "there")
-        ranked = global_rank(movers, ["want"], _bucket(buckets), [F.col("size").desc(), F.col("grp"), F.col("key")], "rank")
+        in_order = F.when(large, _bucket(buckets)).otherwise(_bucket(buckets) + buckets * SALTS)
+        ranked = global_rank(movers, ["want"], in_order, [F.col("size").desc(), F.col("grp"), F.col("key")], "rank")
         ranked = materialise(ranked, "shard-moves")
-        asked = ranked.groupBy("want").agg(F.count(F.lit(1)).alias("asked")).withColumnRenamed("want", "shard")
-        plan = rooms.join(F.broadcast(asked), "shard", "left").withColumn("asked", F.coalesce("asked", F.lit(0)))
-        plan = plan.withColumn("taken", F.least(F.greatest("room", F.lit(0)), "asked")).withColumn("over", F.col("asked") - F.col("taken"))
+        asked = ranked.groupBy(F.col("want").alias("shard")).agg(F.count(F.lit(1)).alias("asked"), F.count_if(large).alias("large"))
+        plan = rooms.join(F.broadcast(asked), "shard", "left").fillna(0, ["asked", "large"])
+        # rows of large groups rank first: `first` of them are taken, and so many of all
+        plan = plan.withColumn("first", F.least(F.greatest(F.col("room") - slack, F.lit(0)), "large")).withColumn("over", F.col("large") - F.col("first"))
+        plan = plan.withColumn("taken", F.least(F.greatest("room", F.lit(0)), "asked"))
         runs = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # over one row per shard
-        left_over = plan.withColumn("left", F.greatest(F.col("room") - F.col("taken"), F.lit(0)))
+        left_over = plan.withColumn("left", F.greatest(F.col("room") - slack - F.col("taken"), F.lit(0)))
         left_over = left_over.withColumn("over_from", F.coalesce(F.sum("over").over(runs), F.lit(0))).withColumn("left_from", F.coalesce(F.sum("left").over(runs), F.lit(0)))
         few = left_over.collect()  # one row per shard
         if not sum(r["asked"] for r in few):
             break
         # the overflow of all shards, in order, takes the room that is left, in order
-        plan_df = spark.createDataFrame([(r["shard"], r["taken"], r["over_from"]) for r in few], "want int, taken long, over_from long")
+        plan_df = spark.createDataFrame([(r["shard"], r["first"], r["taken"], r["over_from"]) for r in few], "want int, first long, taken long, over_from long")
         room_rows = [(r["left_from"], r["left_from"] + r["left"], r["shard"]) for r in few if r["left"] > 0]
         room_df = spark.createDataFrame(room_rows, "lo long, hi long, to int")
-        moved = ranked.join(F.broadcast(plan_df), "want").withColumn("at", F.when(F.col("rank") >= F.col("taken"), F.col("rank") - F.col("taken") + F.col("over_from")))
         # only a group that no shard can hold goes on at once; others ask again in the next round
-        moved = moved.withColumn("at", F.when(F.col("size") * shards > n, F.col("at")))
+        goes_on = large & (F.col("rank") >= F.col("first"))
+        moved = ranked.join(F.broadcast(plan_df), "want").withColumn("at", F.when(goes_on, F.col("rank") - F.col("first") + F.col("over_from")))
         moved = moved.join(F.broadcast(room_df), (F.col("at") >= F.col("lo")) & (F.col("at") < F.col("hi")), "left")
-        moved = moved.select("key", F.when(F.col("rank") < F.col("taken"), F.col("want")).otherwise(F.coalesce("to", "shard")).cast("int").alias("new"))
-        labels = labels.join(moved, "key", "left").withColumn("shard", F.coalesce("new", "shard")).drop("new")
-        labels = materialise(labels, "shard-labels")
+        moved = moved.select("key", F.when(F.col("rank") < F.when(large, F.col("first")).otherwise(F.col("taken")), F.col("want")).otherwise(F.coalesce("to", "shard")).cast("int").alias("new"))
+        moved = labels.join(moved, "key", "left").withColumn("shard", F.coalesce("new", "shard")).drop("new")
+        moved, was = materialise(moved, "shard-labels"), labels
+        discard(ranked)
+        labels, now = moved, _places(moved)
+        if was is not best:
+            discard(was)
+        if now < fewest:
+            discard(best)
+            best, fewest, waited = labels, now, 0
+        else:
+            waited += 1
+    labels = best
 
     # exact quotas: what a shard has above its quota, smallest groups last in, and all unlinked rows fill the free places
     placed = global_rank(labels, ["shard"], _bucket(buckets), [F.col("size").desc(), F.col("grp"), F.col("key")], "rank")
