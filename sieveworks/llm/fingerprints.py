@@ -67,8 +67,9 @@ class _Pairs:
         new = canonical(edited)
         mark, new_mark = digest(its), digest(new)
         sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-        bytes_ = self.pack.compress(its) if more or mark in self.wanted else None
-        return doc, n, sha, mark, new_mark, float(its == new), float(its == after[2]), bytes_, self.pack.compress(new) if new_mark in self.wanted else None
+        clash = mark == new_mark and its != new
+        own, others = more or clash or mark in self.wanted, clash or new_mark in self.wanted
+        return doc, n, sha, mark, new_mark, float(its == new), float(its == after[2]), self.pack.compress(its) if own else None, self.pack.compress(new) if others else None
 
 
 _RESULT = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, bytes binary, edited_bytes binary"
@@ -130,14 +131,14 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     out = _paired(docs, twice, frozenset())
 
     # bytes are compared inside equal buckets: their least and greatest, by partial aggregates
-    ends = out.where(F.col("bytes").isNotNull()).groupBy("fingerprint").agg(F.min("bytes").alias("lo"), F.max("bytes").alias("hi"))
+    known = lambda df: df.select("fingerprint", "bytes").unionByName(df.select(F.col("edited_fingerprint").alias("fingerprint"), F.col("edited_bytes").alias("bytes")))
+    ends = known(out).where(F.col("bytes").isNotNull()).groupBy("fingerprint").agg(F.min("bytes").alias("lo"), F.max("bytes").alias("hi"))
     odd = [r["fingerprint"] for r in ends.where("lo <> hi").select("fingerprint").collect()]  # 128-bit collisions: none to be expected
     discard(marks, shared)
     if not odd:
         return out.drop("bytes", "edited_bytes")
     out = _paired(docs, twice, frozenset(odd))
-    given = out.select("fingerprint", "bytes").unionByName(out.select(F.col("edited_fingerprint").alias("fingerprint"), F.col("edited_bytes").alias("bytes")))
-    given = given.where(F.col("fingerprint").isin(odd)).distinct()
+    given = known(out).where(F.col("fingerprint").isin(odd)).distinct()
     ranks = given.withColumn("rank", F.row_number().over(Window.partitionBy("fingerprint").orderBy("bytes")))
     for mark, data in (("fingerprint", "bytes"), ("edited_fingerprint", "edited_bytes")):
         own = ranks.select(F.col("fingerprint").alias(mark), F.col("bytes").alias(data), "rank")
