@@ -19,6 +19,18 @@ CASES = [
     ("<p></p><br>", ""),
     ("<article>open <b>never closed <p>still here", "open never closed still here"),
     ("<article><p>1 < 2 and 3 > 2</p></article>", "1 < 2 and 3 > 2"),
+    (f"{NAV}<div class='col with-sidebar'><h2>Title</h2><p>the whole article of a page</p><p>goes on here</p></div>", "Title the whole article of a page goes on here"),
+    (f"{NAV}<div class='sidebar-layout'><h2>Title</h2><p>the whole article of a page</p><p>goes on here</p></div>", "Title the whole article of a page goes on here"),
+    ("<head><title>never closed<article><p>the text of it</p></article>", "the text of it"),
+    ("<article><p>prices</p><table class='share-price-table'><tr><td>one</td><td>2.5</td></tr></table><section class='related-work'><h2>Related work</h2><p>others did it</p></section></article>", "prices one 2.5 Related work others did it"),
+    ("<article><p>text</p><div class='related'><a href=1>another post</a> <a href=2>and one</a></div><div class='share-buttons'><a>send it</a></div><p>end</p></article>", "text end"),
+    ("<article><p>before</p><iframe src=x><p>after the frame</p></article>", "before after the frame"),
+    ("<div id=page><div class='sidebar'><article>another one</article></div><article><p>the one that counts</p></article></div>", "the one that counts"),
+    ("<article><p>short</p></article><section id=comments><article><p>a long remark of a reader</p></article><p>and many more words of them here</p></section>", "short"),
+    ("<div class=comment>only words of the page</div>", "only words of the page"),
+    ("<article><p>text</p><div hidden>secret</div><div style='display: none'>too</div><p>end", "text end"),
+    ("<article><div class='post-header'><h1>A title</h1></div><p>body</p></article>", "A title body"),
+    ("<script>if (a < b) { document.write('<p>x</p>') }</script><p>all that is left</p>", "all that is left"),
 ]
 
 
@@ -35,7 +47,7 @@ def test_best_run_against_all_runs():
 
 
 def test_all_pages(spark, tmp_path):
-    rows = [(i, "u", c[0], 1) for i, c in enumerate(CASES)] * 2
+    rows = [(i, None if i % 3 else "u", c[0], 1) for i, c in enumerate(CASES)] * 2
     spark.createDataFrame(rows, "page_id long, url string, html string, text int").write.parquet(str(tmp_path / "pages.parquet"))
     got = html.query(spark, str(tmp_path)).collect()
     assert len(got) == 2 * len(CASES) and all(r["text"] == CASES[r["page_id"]][1] and r["n_chars"] == len(r["text"]) for r in got)
