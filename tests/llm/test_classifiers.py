@@ -37,6 +37,71 @@ def test_language(spark, corpus):
     assert [(r["lang_pred"], r["count"]) for r in none] == [("und", 606)]
 
 
+def test_a_text_has_one_score_in_any_company(spark, corpus):
+    docs, labels = corpus
+    texts = docs.where("doc_id < 40 or doc_id > 9000").distinct()
+    languages, toxic = langid.train(docs, fold("doc_id", 4) != 2), toxicity.train(docs, labels, "toxic", F.lit(True))
+    good = quality.train(quality.features(docs), labels, "quality", F.lit(True))
+    for score in (lambda d: langid.predict(d, languages), lambda d: toxicity.score(d, toxic), lambda d: quality.score(quality.features(d), good)):
+        together = {r["doc_id"]: r["score"] for r in score(texts.coalesce(1)).collect()}
+        alone = {r["doc_id"]: r["score"] for r in score(texts.repartition(45)).collect()}
+        assert together.keys() == alone.keys() and all(abs(together[i] - alone[i]) < 1e-6 for i in alone)
+
+
+def test_language_against_brute_force(spark):
+    rows = [(1, "aba abb", "x"), (2, "cdc ddc", "y"), (3, "ab", None), (4, "Cd cD", None), (5, "zz", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    letters = langid.letter_table()
+    logs = {}
+    for lang, text in (("x", rows[0][1]), ("y", rows[1][1])):
+        for k, n in enumerate(langid.ORDERS):
+            count = np.full(1 << langid.BITS, 0.5)
+            padded = f" {text} "
+            for j in range(len(padded) - n + 1):
+                count[langid.char_ngrams(letters[[ord(c) for c in padded[j : j + n]]], n, langid.BITS)[0]] += 1
+            logs[lang, k] = np.log(count / count.sum())
+    got = {r["doc_id"]: r for r in langid.predict(docs, langid.train(docs, F.lit(True))).collect()}
+    for i, text, _ in rows:
+        padded = f" {text} "
+        total = {}
+        for lang in "xy":
+            total[lang] = sum(
+                logs[lang, k][langid.char_ngrams(letters[[ord(c) for c in padded[j : j + n]]], n, langid.BITS)[0]]
+                for k, n in enumerate(langid.ORDERS) for j in range(len(padded) - n + 1)
+            ) / np.sqrt(len(padded))
+        best = max("xy", key=lambda x: (total[x], -ord(x)))  # a tie: the first by name
+        assert got[i]["lang_pred"] == best and abs(got[i]["score"] - 1 / (1 + np.exp(-abs(total["x"] - total["y"])))) < 1e-4
+    assert got[5]["lang_pred"] == "x"
+
+
+def test_null_ids_large_ids_and_empty_tables(spark, tmp_path):
+    big = (1 << 62) + 1
+    docs = spark.createDataFrame([(None, "some text", "en", 1), (big, "other text", "en", 2), (big, "other text", "en", 2)], "doc_id long, text string, lang string, score int")
+    labels = spark.createDataFrame([(big, 1, 0)], "doc_id long, quality int, toxic int")
+    for k, (d, l) in enumerate(((docs, labels), (docs, labels.where("doc_id = 0")), (docs.where("doc_id = 0"), labels), (docs.where("doc_id = 0"), labels.where("doc_id = 0")))):
+        place = str(tmp_path / str(k))
+        d.write.parquet(f"{place}/documents.parquet")
+        l.write.parquet(f"{place}/labels.parquet")
+        for query in (toxicity.query, quality.query, langid.query):
+            rows = query(spark, place).collect()
+            assert sorted(str(r["doc_id"]) for r in rows) == ([str(big), str(big), "None"] if k < 2 else [])
+            assert all(r["held_out"] is not None and 0 <= r["score"] <= 1 for r in rows)
+            assert not [r for r in rows if r["doc_id"] is None and r["held_out"]]
+
+
+def test_logistic_against_the_gradient():
+    rng = np.random.default_rng(6)
+    n, k = 60, 8
+    full = rng.normal(size=(n, k)) * (rng.random((n, k)) < 0.6)
+    full[:, 0] = 1.0  # no row is empty
+    y = (full @ rng.normal(size=k) + rng.normal(size=n) > 0).astype(float)
+    row, idx = np.nonzero(full)
+    starts = np.searchsorted(row, np.arange(n))
+    w, b, still = toxicity.logistic(starts, idx.astype(np.int32), full[row, idx].astype(np.float32), y, k)
+    p = 1 / (1 + np.exp(-(full @ w + b)))
+    assert still and np.abs(full.T @ (p - y) / n + toxicity.RIDGE * w).max() < 0.02
+
+
 def test_toxicity(spark, corpus):
     docs, labels = corpus
     got = toxicity.score(docs, toxicity.train(docs, labels, "toxic", fold("doc_id", 4) != 2)).collect()
