@@ -488,7 +488,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             ok = [_digest(x).hex().upper() == h for x, h in zip(texts, pdf["hex"], strict=True)]
             yield pd.DataFrame({"id": pdf["id"].to_numpy()[ok], "text": [x for x, y in zip(texts, ok, strict=True) if y], "seen": pdf["seen"].to_numpy()[ok]})
 
-    texts = docs.join(ids, docs["doc_id"] == ids["id"]).select("id", "hex", "seen", "text").mapInPandas(kept, "id long, text string, seen binary")
+    texts = docs.join(ids.hint("merge"), docs["doc_id"] == ids["id"]).select("id", "hex", "seen", "text").mapInPandas(kept, "id long, text string, seen binary")
     texts = materialise(texts.dropDuplicates(["id"]), "neardup-texts")
     edges = materialise(links(members, texts, n_docs, n).select("a", "b"), "neardup-edges")
     discard(texts, members)
@@ -505,7 +505,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that represent their group; of repeated rows of one doc_id the first text stays."""
     groups = materialise(near_duplicates(docs), "neardup-result")
     stay = groups.where("doc_id is null or doc_id = group_id").select(F.col("doc_id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
+    kept = docs.join(stay.hint("merge"), docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
     twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
     if twice.isEmpty():
         return kept

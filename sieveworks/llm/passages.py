@@ -14,7 +14,8 @@ keep suffixes at the same place within them, with HEAD = LEAST - SPAN + 1 words
 
 So a document's matches are exactly its windows of LEAST words that a document of a smaller doc_id has too, with their exact
 ends, and each match names the first holder. Sorting is by range of (key, doc_id, place), so a passage in a third of all
-documents spans many tasks; what a range's first key owes to the range before is one row for each range.
+documents spans many tasks; what a range's first key owes to the range before is one row for each range. What is joined to
+texts grows with them and is never broadcast.
 
 Documents whose whole text another document of a smaller doc_id has too need no suffixes: the text is one match.
 
@@ -198,46 +199,68 @@ def _matched(windows: DataFrame) -> DataFrame:
 
 
 def _in_runs(matched: DataFrame) -> DataFrame:
-    """Matches of whole runs of windows: doc_id, version, start, end (words), first_doc, first_version, first_start."""
+    """Matches of whole runs of windows: doc_id, version, starts, n (words), first_doc, first_version, first_start. starts has
+    all places of the document that match the same n words of the holder: a text that repeats itself has many."""
     place = lambda spot: F.col(spot).bitwiseAND(F.lit(_PLACE))
     rows = matched.select(
         "doc_id", F.shiftright("spot", 32).alias("version"), place("spot").alias("at"),
         "first_doc", F.shiftright("first_spot", 32).alias("first_version"), place("first_spot").alias("first_at"),
     )
-    group = ["doc_id", "version", "first_doc", "first_version", "shift"]
+    group = ["doc_id", "version", "first_doc", "first_version"]
     rows = rows.withColumn("shift", F.col("at") - F.col("first_at"))
-    islands = rows.withColumn("island", F.col("at") - F.dense_rank().over(Window.partitionBy(*group).orderBy("at")))
-    found = islands.groupBy(*group, "island").agg(F.min("at").alias("start"), (F.max("at") + LEAST).alias("end"))
-    return found.select("doc_id", "version", F.col("start").cast("int"), F.col("end").cast("int"), "first_doc", "first_version", (F.col("start") - F.col("shift")).cast("int").alias("first_start"))
+    islands = rows.withColumn("island", F.col("at") - F.dense_rank().over(Window.partitionBy(*group, "shift").orderBy("at")))
+    found = islands.groupBy(*group, "shift", "island").agg(F.min("at").cast("int").alias("start"), (F.max("at") + LEAST - F.min("at")).cast("int").alias("n"))
+    found = found.withColumn("first_start", (F.col("start") - F.col("shift")).cast("int"))
+    same = found.groupBy(*group, "first_start", "n").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    return same.select("doc_id", "version", "starts", "n", "first_doc", "first_version", "first_start")
+
+
+def _joined_up(starts: list[int], n: int) -> list[list[int]]:
+    """[start, end] of the stretches that n words from each of the sorted starts make."""
+    out: list[list[int]] = []
+    for a in starts:
+        if out and a <= out[-1][1]:
+            out[-1][1] = a + n
+        else:
+            out.append([a, a + n])
+    return out
 
 
 def _same_words(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """The rows of `found` whose words are equal in both documents."""
-    need = F.struct("start", "end", "first_doc", "first_version", "first_start")
+    """doc_id, version, start, end, first_doc, first_version, first_start of those of `found` whose words are equal in both
+    documents."""
+    need = F.struct("starts", "n", "first_doc", "first_version", "first_start")
     own = found.select("doc_id", "version", need.alias("need"))
     none = [F.lit(None).cast(t).alias(n) for n, t in (("first_doc", "long"), ("first_version", "long"), ("first_start", "int"))]
-    theirs = found.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"), F.struct(F.col("first_start").alias("start"), (F.col("first_start") + F.col("end") - F.col("start")).alias("end"), *none).alias("need"))
+    theirs = found.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"), F.struct(F.array("first_start").alias("starts"), "n", *none).alias("need"))
     wanted = own.unionByName(theirs).groupBy("doc_id", "version").agg(F.collect_set("need").alias("needs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["doc_id", "version", "start", "end", "first_doc", "first_version", "first_start", "words"]
+        names = ["doc_id", "version", "starts", "ends", "n", "first_doc", "first_version", "first_start", "words"]
         for pdf in by_chars(batches):
             rows = []
             for doc, version, text, needs in zip(pdf["doc_id"], pdf["version"], pdf["text"], pdf["needs"], strict=True):
                 words = text.split()
                 for x in needs:
-                    rows.append((doc, version, x["start"], x["end"], x["first_doc"], x["first_version"], x["first_start"], " ".join(words[x["start"] : x["end"]])))
-                    if len(rows) == 2_000:
-                        yield pd.DataFrame(rows, columns=names).astype({"first_doc": "Int64", "first_version": "Int64", "first_start": "Int32"})
+                    n, places = x["n"], {}
+                    for a in x["starts"]:  # places with other words than the first one's, if keys have lied, go apart
+                        places.setdefault(tuple(words[a : a + n]), []).append(int(a))
+                    for said, starts in places.items():
+                        a, b = zip(*_joined_up(starts, n), strict=True)
+                        rows.append((doc, version, a, b, n, x["first_doc"], x["first_version"], x["first_start"], " ".join(said)))
+                    if len(rows) >= 2_000:
+                        yield pd.DataFrame(rows, columns=names, dtype=object)
                         rows = []
-            yield pd.DataFrame(rows, columns=names).astype({"first_doc": "Int64", "first_version": "Int64", "first_start": "Int32"})
-
-    schema = "doc_id long, version long, start int, end int, first_doc long, first_version long, first_start int, words string"
-    cut = materialise(texts.join(wanted, ["doc_id", "version"]).select("doc_id", "version", "text", "needs").mapInPandas(run, schema), "passages-words")
-    mine = cut.where("first_doc is not null").withColumn("n", F.col("end") - F.col("start"))
-    first = cut.where("first_doc is null").select(F.col("doc_id").alias("first_doc"), F.col("version").alias("first_version"), F.col("start").alias("first_start"), (F.col("end") - F.col("start")).alias("n"), F.col("words").alias("theirs"))
-    equal = mine.join(first, ["first_doc", "first_version", "first_start", "n"]).where("words = theirs").select(found.columns)
-    out = materialise(equal.dropDuplicates(["doc_id", "version", "start", "end", "first_doc", "first_version", "first_start"]), "passages-matches")
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    schema = "doc_id long, version long, starts array<int>, ends array<int>, n int, first_doc long, first_version long, first_start int, words string"
+    cut = texts.join(wanted.hint("merge"), ["doc_id", "version"]).select("doc_id", "version", "text", "needs").mapInPandas(run, schema)
+    cut = materialise(cut, "passages-words")
+    key = ["first_doc", "first_version", "first_start", "n"]
+    first = cut.where("first_doc is null").select(F.col("doc_id").alias("first_doc"), F.col("version").alias("first_version"), F.col("starts")[0].alias("first_start"), "n", F.col("words").alias("theirs"))
+    equal = cut.where("first_doc is not null").join(first, key).where("words = theirs")
+    spans = equal.select("doc_id", "version", *key[:3], F.explode(F.arrays_zip("starts", "ends")).alias("x"))
+    out = materialise(spans.select("doc_id", "version", *key[:3], F.col("x.starts").alias("start"), F.col("x.ends").alias("end")).distinct(), "passages-matches")
     discard(cut)
     return out
 
@@ -270,12 +293,12 @@ def repeats(docs: DataFrame) -> DataFrame:
     spots = shared.groupBy("doc_id", F.shiftright("spot", 32).alias("version")).agg(F.collect_set(F.col("spot").bitwiseAND(F.lit(_PLACE))).alias("places"))
     ends = copies.select("doc_id", "version").unionByName(copies.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"))).distinct()
     wanted = spots.join(ends.withColumn("copy", F.lit(True)), ["doc_id", "version"], "full_outer").select("doc_id", "version", "places")
-    texts = docs.withColumn("version", _version(F.col("text"))).join(wanted, ["doc_id", "version"])
+    texts = docs.withColumn("version", _version(F.col("text"))).join(wanted.hint("merge"), ["doc_id", "version"])
     texts = materialise(texts.select("doc_id", "version", "text", F.coalesce("places", F.array().cast("array<long>")).alias("places")), "passages-texts")
     discard(suffixes, marks, firsts)
 
     matched = _matched(_windows(texts.where(F.size("places") > 0)))
-    whole = copies.select("doc_id", "version", F.lit(0).alias("start"), F.col("words").alias("end"), "first_doc", "first_version", F.lit(0).alias("first_start"))
+    whole = copies.select("doc_id", "version", F.array(F.lit(0)).alias("starts"), F.col("words").alias("n"), "first_doc", "first_version", F.lit(0).alias("first_start"))
     found = materialise(_in_runs(matched).unionByName(whole), "passages-found")
     discard(matched, copies)
     out = _same_words(found, texts)
@@ -298,7 +321,7 @@ def remove(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs, all columns, without the found passages in text; n_chars, if there is such a column, follows a changed text."""
     doc, version, cut = (unused(docs, x) for x in ("of_doc", "of_version", "cut"))
     spans = found.groupBy(F.col("doc_id").alias(doc), F.col("version").alias(version)).agg(F.collect_set(F.struct("start", "end")).alias(cut))
-    joined = docs.join(spans, (docs["doc_id"] == spans[doc]) & (_version(docs["text"].cast("string")) == spans[version]), "left").drop(doc, version)
+    joined = docs.join(spans.hint("merge"), (docs["doc_id"] == spans[doc]) & (_version(docs["text"].cast("string")) == spans[version]), "left").drop(doc, version)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
