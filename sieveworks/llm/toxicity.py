@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, by_chars, documents, fold, long_ids, materialise, table, text_ids
 from .textvec import char_ngrams, code_points
 
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 6_000
 BITS = 18
 ORDERS = (3, 4, 5)
 #: Tasks that encode and count the training rows.
