@@ -72,12 +72,16 @@ def logistic(starts: np.ndarray, idx: np.ndarray, x: np.ndarray, y: np.ndarray,
     Accelerated gradient steps. The matrix is given row by row, from `starts`, as columns idx and entries x; no row is empty.
     """
     n = len(y)
-    order = np.argsort(idx, kind="stable")
-    used, begin, column = np.unique(idx[order], return_index=True, return_inverse=True)
+    order = np.argsort(idx, kind="stable").astype(np.int32)
+    column = idx[order]
+    new = np.concatenate([[True], column[1:] != column[:-1]])
+    begin = np.flatnonzero(new)
+    used = column[begin]
     at = np.empty(len(idx), np.int32)
-    at[order] = column
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
     by_row = np.repeat(np.arange(n, dtype=np.int32), np.diff(np.append(starts, len(idx))))[order]
     by_x = x[order]
+    del order, column, new
     forward = lambda v: np.add.reduceat(v.astype(np.float32)[at] * x, starts, dtype=np.float64)
     back = lambda r: np.add.reduceat(r.astype(np.float32)[by_row] * by_x, begin, dtype=np.float64) / n
     side, top = np.random.default_rng(5).normal(size=len(used)), 0.0
@@ -151,11 +155,13 @@ def train(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: i
         for packed, words in zip(pdf["idx"], pdf["words"], strict=True):
             at, times = np.unique(np.append(np.frombuffer(packed, np.int32), 0), return_counts=True)  # bucket 0: no n-gram
             lens.append(len(at))
-            idx.append(at)
+            idx.append(at.astype(np.int32))
             x.append((times * shared.value[at] / np.sqrt(max(words, 1))).astype(np.float32))
+        y = pdf["y"].to_numpy(copy=True)
+        del pdf
         starts, idx, x = np.cumsum([0, *lens[:-1]]), np.concatenate(idx), np.concatenate(x)
         size = float(np.sqrt(np.add.reduceat(x * x, starts).mean())) or 1.0
-        w, b, _ = logistic(starts, idx, x / np.float32(size), pdf["y"].to_numpy(), 1 << BITS)
+        w, b, _ = logistic(starts, idx, x / np.float32(size), y, 1 << BITS)
         return pd.DataFrame({"w": [(w / size).astype(np.float32).tobytes()], "b": [b]})
 
     fitted = rows_df.withColumn("part", F.lit(0)).groupBy("part").applyInPandas(fit, "w binary, b double").first()
