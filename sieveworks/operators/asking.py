@@ -6,6 +6,7 @@ written to a table before anything is computed from them, so that no question is
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -71,11 +72,9 @@ def embedded(rows: DataFrame, embed: Callable[[list[str]], list[list[float]]], t
 
 
 def rendered(template: str, **values: Column) -> Column:
-    """A template with {name} replaced by columns; names that are not given stay."""
-    out = F.lit(template)
-    for name, value in values.items():
-        out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(value.cast("string"), F.lit("")))
-    return out
+    """A template with {name} replaced by columns; names that are not given stay. What is put in is not scanned again."""
+    parts = re.split(r"\{(" + "|".join(map(re.escape, values)) + r")\}", template) if values else [template]
+    return F.concat(*[F.coalesce(values[x].cast("string"), F.lit("")) if i % 2 else F.lit(x) for i, x in enumerate(parts)])
 
 
 def sections(markdown: str) -> dict[str, str]:

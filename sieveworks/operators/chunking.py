@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import chunk_id, references, strip
 
@@ -95,12 +96,18 @@ def layout_pages(markdown: Column) -> Column:
 
 
 def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, markdown: bool = False) -> DataFrame:
-    """chunk_id, doc_id, page, text, position, section_path, references of docs (doc_id, text and, if there is one, page)."""
+    """chunk_id, doc_id, page, text, position, section_path, references of docs (doc_id, text and, if there is one, page).
+
+    Positions run through all pages of a document, in page order, so that its chunk ids are unique.
+    """
     page = F.col("page").cast("int") if "page" in docs.columns else F.lit(None).cast("int")
     parts = sections(F.col("text")) if markdown else F.array(F.struct(F.array().cast("array<string>").alias("path"), F.col("text").alias("body")))
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", page.alias("page"), parts.alias("parts"))
     cut = F.flatten(F.transform("parts", lambda s: F.transform(pieces(s["body"], size, overlap), lambda p: F.struct(s["path"].alias("section_path"), p.alias("text")))))
     rows = rows.select("doc_id", "page", F.posexplode(cut).alias("position", "chunk"))
+    if "page" in docs.columns:  # the chunks of one document
+        in_order = Window.partitionBy("doc_id").orderBy(F.col("page").asc_nulls_last(), "position")
+        rows = rows.withColumn("position", F.row_number().over(in_order) - 1)
     return rows.select(
         chunk_id(F.col("doc_id"), F.col("position")).alias("chunk_id"), "doc_id", "page", F.col("chunk.text").alias("text"), "position",
         F.col("chunk.section_path").alias("section_path"),

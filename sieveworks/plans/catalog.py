@@ -346,9 +346,10 @@ def quality_gate(spark, sf_dir):
     return items(spark, sf_dir).where(F.size(rules.reject_reasons()) == 0).select("qa_id", "k")
 
 
-@query(QA_SQL + f"SELECT reason, count(*)::BIGINT AS n FROM (SELECT unnest({_REASONS_SQL.format(more='')}) AS reason FROM qa) GROUP BY reason")
+@query(QA_SQL + f"SELECT reason, count(*)::BIGINT AS n FROM (SELECT unnest({_REASONS_SQL.format(more='')}) AS reason FROM qa) WHERE reason <> 'rationale_grounded' GROUP BY reason")
 def gate_reasons(spark, sf_dir):
-    return items(spark, sf_dir).select(F.explode(rules.reject_reasons()).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    """Rejections by reason; the share of grounded rationales is a gate, but not in this report."""
+    return items(spark, sf_dir).select(F.explode(rules.reject_reasons()).alias("reason")).where("reason <> 'rationale_grounded'").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 _RAG = ", CASE WHEN difficulty_match='too_easy' THEN 'difficulty_match' END, CASE WHEN (SELECT count(answer_match)>0 FROM qa) AND answer_match<>'match' THEN 'rag_no_match' END, CASE WHEN (SELECT count(answer_match)>0 FROM qa) AND answer_match IS NOT NULL AND NOT retrieval_hit_chunk AND NOT (NOT retrieval_hit_doc AND NOT retrieval_hit_chunk AND retrieval_hit) THEN 'not_retrieved' END"
@@ -422,13 +423,14 @@ def aspect_verdicts(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), *[c.alias(v) for v, c in count.items()], F.round(count["no_match"] / F.count(F.lit(1)), 6).alias("no_match_rate"))
 
 
-@query("WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events), b AS (SELECT least(9, floor((value-lo)/(hi-lo)*10))::INT AS bin, value >= 10 AS passed FROM events, r WHERE value IS NOT NULL) SELECT bin, passed, count(*)::BIGINT AS n FROM b GROUP BY bin, passed")
+@query("WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events), b AS (SELECT coalesce(least(9, floor((value-lo)/nullif(hi-lo, 0)*10)), 0)::INT AS bin, value >= 10 AS passed FROM events, r WHERE value IS NOT NULL) SELECT bin, passed, count(*)::BIGINT AS n FROM b GROUP BY bin, passed")
 def score_histogram(spark, sf_dir):
-    """Ten equal bins between the least and the largest score, split by a threshold."""
+    """Ten equal bins between the least and the largest score, split by a threshold; the first one where all scores are equal."""
     e = read(spark, sf_dir, "events").where("value is not null")
     r = e.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     b = e.crossJoin(F.broadcast(r))  # one row
-    bin_ = F.least(F.lit(9), F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 10)).cast("int")
+    share = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))
+    bin_ = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.lit(9), F.floor(share * 10))).cast("int")
     return b.select(bin_.alias("bin"), (F.col("value") >= 10).alias("passed")).groupBy("bin", "passed").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -201,7 +201,7 @@ def stats(qa: DataFrame) -> dict[str, DataFrame]:
         "status": items.distribution(f, "review_status", domain("status", dims.REVIEW_STATUS), "status"),
         "cells": items.crosstab(f.withColumnRenamed("category_primary", "category"), ("category", domain("category", dims.CATEGORIES)), ("retrieval_level", domain("retrieval_level", dims.LEVELS))),
         "aspects": dims.aspects(spark).join(aspects, "aspect", "left").fillna(0, ["n"]),
-        "reasons": f.select(F.explode(rules.reject_reasons()).alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n")),
+        "reasons": f.select(F.explode(rules.reject_reasons()).alias("reason")).where("reason <> 'rationale_grounded'").groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason"),
         "documents": f.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")),
         "kg": items.crosstab(f, ("kg_query_type", domain("kg_query_type", dims.KG_QUERY_TYPES)), ("kg_novelty", domain("kg_novelty", dims.KG_NOVELTY))),
     }
