@@ -30,11 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
     return place
 
 
+#: Set while a working table is written: the shuffle files of that write are deleted at its end, as no later query reads them.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and no executor holds the only copy."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sieveworks/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN_SHUFFLES)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out

@@ -423,6 +423,7 @@ def _large_buckets(members: DataFrame, texts: DataFrame, n_docs: int, n: int) ->
             return found
         good = materialise(verify(pairs, texts, n_docs), "neardup-links")
         found.append(good)
+        discard(pairs)
         if last:
             return found
         hits = good.select(F.col("b").alias("id"), F.col("a")).groupBy("id").agg(F.collect_set("a").alias("hits"))  # REPS of each bucket at most
@@ -444,7 +445,9 @@ def links(members: DataFrame, texts: DataFrame, n_docs: int, n: int) -> DataFram
     large = dealt.where("not small").select("bucket", "id")
     if not large.isEmpty():
         found += _large_buckets(large, texts, n_docs, n)
-    return reduce(DataFrame.unionByName, found).distinct()
+    out = materialise(reduce(DataFrame.unionByName, found).distinct(), "neardup-links")
+    discard(dealt, *found)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -470,6 +473,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row for each row of docs: doc_id, class_id (least doc_id with an equal folded text) and group_id."""
+    return _grouped(docs)[0]
+
+
+def _grouped(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """near_duplicates(docs) and the working tables that it still reads."""
     docs = documents(docs)
     marks, n_docs = signatures(docs)
     classes = marks.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles"), F.first("seen").alias("seen"))
@@ -490,7 +498,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     texts = docs.join(ids.hint("merge"), docs["doc_id"] == ids["id"]).select("id", "hex", "seen", "text").mapInPandas(kept, "id long, text string, seen binary")
     texts = materialise(texts.dropDuplicates(["id"]), "neardup-texts")
-    edges = materialise(links(members, texts, n_docs, n).select("a", "b"), "neardup-edges")
+    edges = links(members, texts, n_docs, n)
     discard(texts, members)
     labels = components(edges)
     named = classes.join(labels, classes["class_id"] == labels["id"], "left").select("key", "size", "class_id", F.coalesce("label", "class_id").alias("group_id"))
@@ -498,12 +506,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     discard(classes, edges, labels)
     out = _by_hot(marks.where("key is not null").select("doc_id", "key"), named, "key", n).select("doc_id", "class_id", "group_id")
     alone = marks.where("key is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("group_id"))
-    return out.unionByName(alone)
+    return out.unionByName(alone), [marks, named]
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that represent their group; of repeated rows of one doc_id the first text stays."""
-    groups = materialise(near_duplicates(docs), "neardup-result")
+    found, used = _grouped(docs)
+    groups = materialise(found, "neardup-result")
+    discard(*used)
     stay = groups.where("doc_id is null or doc_id = group_id").select(F.col("doc_id").alias("_stay")).distinct()
     kept = docs.join(stay.hint("merge"), docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
     twice = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select("doc_id")
