@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import dims
+from .. import dims, schemas
 from ..functions import rules, text
-from ..operators import chunking, similarity
+from ..operators import asking, chunking, reports, similarity
 from ..operators import items as ops
-from .derived import QA_SQL, items, read
+from ..sources import files
+from . import jobs
+from .derived import QA_SQL, items, qa_rows, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -378,18 +380,12 @@ def level_distribution(spark, sf_dir):
 @query(QA_SQL + "".join(f"{'' if not i else ' UNION ALL '}SELECT '{kind}' AS kind, '{lv}' AS level, round(count(*) FILTER ({kind}='{lv}')/greatest(count(*),1)::DOUBLE - {t},6) AS gap FROM qa" for i, (kind, lv, t) in enumerate((kind, lv, t) for kind, ts in (("retrieval_level", dims.TARGET_RETRIEVAL), ("answer_level", dims.TARGET_ANSWER)) for lv, t in ts.items())))
 def target_gap(spark, sf_dir):
     """How far the shares of the levels are from their targets."""
-    qa = items(spark, sf_dir)
-    rows = [(kind, level, t) for kind, ts in (("retrieval_level", dims.TARGET_RETRIEVAL), ("answer_level", dims.TARGET_ANSWER)) for level, t in ts.items()]
-    shares = [F.struct(F.lit(kind).alias("kind"), F.lit(level).alias("level"), F.round(F.count_if(F.col(kind) == level) / F.greatest(F.count(F.lit(1)), F.lit(1)) - t, 6).alias("gap")) for kind, level, t in rows]
-    return qa.agg(F.array(*shares).alias("a")).select(F.explode("a").alias("a")).select("a.*")
+    return reports.target_gaps(items(spark, sf_dir))
 
 
 @query(QA_SQL + "SELECT count(*) FILTER (category='Abstention')::BIGINT AS n, round(count(*) FILTER (category='Abstention')/greatest(count(*),1)::DOUBLE,6) AS ratio, CASE WHEN count(*) FILTER (category='Abstention')/greatest(count(*),1)::DOUBLE < 0.1 THEN 'short' WHEN count(*) FILTER (category='Abstention')/greatest(count(*),1)::DOUBLE > 0.15 THEN 'over' ELSE 'ok' END AS status FROM qa")
 def abstention_share(spark, sf_dir):
-    n = F.count_if(F.col("category") == "Abstention")
-    got = items(spark, sf_dir).agg(n.alias("n"), (n / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("r"))
-    lo, hi = dims.TARGET_ABSTENTION
-    return got.select("n", F.round("r", 6).alias("ratio"), F.when(F.col("r") < lo, "short").when(F.col("r") > hi, "over").otherwise("ok").alias("status"))
+    return reports.abstention(items(spark, sf_dir))
 
 
 _CROSS_SQL = QA_SQL + f", x AS (SELECT c.category, d.retrieval_level, count(qa.k)::BIGINT AS n FROM {_domain_sql('category', dims.CATEGORIES)} c CROSS JOIN {_domain_sql('retrieval_level', dims.LEVELS)} d LEFT JOIN qa ON qa.category=c.category AND qa.retrieval_level=d.retrieval_level GROUP BY c.category, d.retrieval_level) "
@@ -411,27 +407,18 @@ def uncovered_cells(spark, sf_dir):
 
 @query(QA_SQL + f"SELECT d.aspect, d.category, count(qa.k)::BIGINT AS n, CASE WHEN count(qa.k)>=3 THEN 'reached' WHEN count(qa.k)>0 THEN 'some' ELSE 'none' END AS status FROM (SELECT unnest({[a for a, _, _ in dims.ASPECT_ROWS]!r}) AS aspect, unnest({[c for _, c, _ in dims.ASPECT_ROWS]!r}) AS category) d LEFT JOIN qa ON qa.aspect=d.aspect GROUP BY d.aspect, d.category")
 def aspect_coverage(spark, sf_dir):
-    n = items(spark, sf_dir).groupBy("aspect").agg(F.count(F.lit(1)).alias("n"))
-    rows = dims.aspects(spark).join(n, "aspect", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return rows.select("aspect", "category", "n", F.when(F.col("n") >= dims.ASPECT_LEAST, "reached").when(F.col("n") > 0, "some").otherwise("none").alias("status"))
+    return reports.aspect_coverage(items(spark, sf_dir))
 
 
 @query(QA_SQL + "SELECT aspect, count(*)::BIGINT AS n, count(*) FILTER (answer_match='match')::BIGINT AS match, count(*) FILTER (answer_match='partial')::BIGINT AS partial, count(*) FILTER (answer_match='no_match')::BIGINT AS no_match, round(count(*) FILTER (answer_match='no_match')/count(*)::DOUBLE,6) AS no_match_rate FROM qa WHERE answer_match IS NOT NULL GROUP BY aspect")
 def aspect_verdicts(spark, sf_dir):
-    count = {v: F.count_if(F.col("answer_match") == v) for v in dims.VERDICTS}
-    return items(spark, sf_dir).where("answer_match is not null").groupBy("aspect").agg(
-        F.count(F.lit(1)).alias("n"), *[c.alias(v) for v, c in count.items()], F.round(count["no_match"] / F.count(F.lit(1)), 6).alias("no_match_rate"))
+    return reports.verdicts_by_aspect(items(spark, sf_dir))
 
 
 @query("WITH r AS (SELECT min(value) AS lo, max(value) AS hi FROM events), b AS (SELECT coalesce(least(9, floor((value-lo)/nullif(hi-lo, 0)*10)), 0)::INT AS bin, value >= 10 AS passed FROM events, r WHERE value IS NOT NULL) SELECT bin, passed, count(*)::BIGINT AS n FROM b GROUP BY bin, passed")
 def score_histogram(spark, sf_dir):
     """Ten equal bins between the least and the largest score, split by a threshold; the first one where all scores are equal."""
-    e = read(spark, sf_dir, "events").where("value is not null")
-    r = e.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    b = e.crossJoin(F.broadcast(r))  # one row
-    share = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))
-    bin_ = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.least(F.lit(9), F.floor(share * 10))).cast("int")
-    return b.select(bin_.alias("bin"), (F.col("value") >= 10).alias("passed")).groupBy("bin", "passed").agg(F.count(F.lit(1)).alias("n"))
+    return reports.histogram(read(spark, sf_dir, "events"), "value", 10)
 
 
 _KPI = {
@@ -442,8 +429,7 @@ _KPI = {
 
 @query(QA_SQL + "SELECT count(*)::BIGINT AS total, count(DISTINCT doc_id)::BIGINT AS n_docs, " + ", ".join(f"count(*) FILTER ({c})::BIGINT AS {n}" for n, c in _KPI.items()) + " FROM qa")
 def kpi_row(spark, sf_dir):
-    counts = [F.expr(f"count_if({c})").alias(n) for n, c in _KPI.items()]
-    return items(spark, sf_dir).agg(F.count(F.lit(1)).alias("total"), F.countDistinct("doc_id").alias("n_docs"), *counts)
+    return reports.kpis(items(spark, sf_dir))
 
 
 @query(QA_SQL + "SELECT doc_id, count(*)::BIGINT AS n FROM qa GROUP BY doc_id")
@@ -458,22 +444,17 @@ def status_counts(spark, sf_dir):
 
 @query(QA_SQL + f"SELECT a.kg_query_type, b.kg_novelty, count(qa.k)::BIGINT AS n, count(qa.k) FILTER (llm_knowledge='unknown')::BIGINT AS unknown FROM {_domain_sql('kg_query_type', dims.KG_QUERY_TYPES)} a CROSS JOIN {_domain_sql('kg_novelty', dims.KG_NOVELTY)} b LEFT JOIN qa ON qa.kg_query_type=a.kg_query_type AND qa.kg_novelty=b.kg_novelty GROUP BY a.kg_query_type, b.kg_novelty")
 def kg_matrix(spark, sf_dir):
-    qa = items(spark, sf_dir).dropna(subset=["kg_query_type", "kg_novelty"])
-    n = qa.groupBy("kg_query_type", "kg_novelty").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("llm_knowledge") == "unknown").alias("unknown"))
-    cells = dims.domain(spark, "kg_query_type", dims.KG_QUERY_TYPES).drop("ord").crossJoin(F.broadcast(dims.domain(spark, "kg_novelty", dims.KG_NOVELTY).drop("ord")))  # fixed domains
-    return cells.join(n, ["kg_query_type", "kg_novelty"], "left").fillna(0, ["n", "unknown"])
+    return reports.knowledge_matrix(items(spark, sf_dir))
 
 
 @query(QA_SQL + "SELECT k, qa_id, doc_id FROM qa WHERE (answerability IS NULL OR answerability>=4) AND answer_match='no_match'")
 def kg_candidates(spark, sf_dir):
-    return items(spark, sf_dir).where("(answerability is null or answerability >= 4) and answer_match = 'no_match'").select("k", "qa_id", "doc_id")
+    return reports.candidates(items(spark, sf_dir)).select("k", "qa_id", "doc_id")
 
 
-@query(QA_SQL + "SELECT k, qa_id, doc_id, category AS category_primary, aspect AS aspect_primary, track, CASE WHEN answer_match IS NULL THEN '-' ELSE answer_match END AS verdict, retrieval_level || ' / ' || answer_level AS difficulty FROM qa")
+@query(QA_SQL + "SELECT qa_id, doc_id, category AS category_primary, aspect AS aspect_primary, track, CASE WHEN answer_match IS NULL THEN '-' ELSE answer_match END AS verdict, retrieval_level || ' / ' || answer_level AS difficulty, 1::INT AS n_rationale FROM qa")
 def qa_flat(spark, sf_dir):
-    return items(spark, sf_dir).select(
-        "k", "qa_id", "doc_id", F.col("category").alias("category_primary"), F.col("aspect").alias("aspect_primary"), "track",
-        F.coalesce("answer_match", F.lit("-")).alias("verdict"), F.format_string("%s / %s", "retrieval_level", "answer_level").alias("difficulty"))
+    return schemas.flat(qa_rows(spark, sf_dir)).select("qa_id", F.col("doc_id").cast("long").alias("doc_id"), "category_primary", "aspect_primary", "track", F.coalesce("rag_answer_match", F.lit("-")).alias("verdict"), F.format_string("%s / %s", "retrieval_level", "answer_level").alias("difficulty"), F.col("n_rationale").cast("int").alias("n_rationale"))
 
 
 @query(QA_SQL + f"SELECT k, kg_query_type, kg_novelty, CASE WHEN kg_query_type='single_fact' THEN 'quantitative_calc' WHEN kg_query_type IN ('multi_hop','traceability') OR kg_novelty IN ('unknown_relation','procedural_relation') THEN 'reference_follow' WHEN kg_query_type='aggregation' THEN 'multi_source_integration' ELSE 'reference_follow' END AS aspect FROM qa WHERE track='kg_poc'")
@@ -485,8 +466,8 @@ def kg_strategy(spark, sf_dir):
 @query("SELECT user_id, event_id, event_type AS status FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)=1")
 def latest_review(spark, sf_dir):
     """The last decision on each item, from a log of decisions."""
-    best = F.max(F.struct("ts", "event_id", "event_type"))
-    return read(spark, sf_dir, "events").groupBy("user_id").agg(best.alias("b")).select("user_id", "b.event_id", F.col("b.event_type").alias("status"))
+    last = ops.latest(read(spark, sf_dir, "events"), "user_id", [F.desc("ts"), F.desc("event_id")])
+    return last.select("user_id", "event_id", F.col("event_type").alias("status"))
 
 
 @query("WITH " + _CHUNK_SQL + " SELECT doc_id, position, cum::BIGINT AS cum FROM (SELECT doc_id, position, sum(length(text)) OVER (PARTITION BY doc_id ORDER BY position) AS cum FROM c) WHERE cum <= 12000")
@@ -505,3 +486,163 @@ def kg_cell_queue(spark, sf_dir):
     from . import requests
 
     return requests.cell_queue(spark, 30)
+
+
+_CLEARED_SQL = "answerability >= 4 AND leakage IS DISTINCT FROM 'fail'"
+
+
+@query(QA_SQL + f"""SELECT count(*)::BIGINT AS total, CASE WHEN count(*)<30 THEN 'short' WHEN count(*)>50 THEN 'over' ELSE 'ok' END AS size,
+round(count(*) FILTER (review_status IN ('accepted','edited','rejected'))/greatest(count(*),1)::DOUBLE,6) AS review_rate,
+round(count(*) FILTER ({_CLEARED_SQL})/greatest(count(answerability),1)::DOUBLE,6) AS quality_rate, round(count(*) FILTER (answer_match='match')/greatest(count(answer_match),1)::DOUBLE,6) AS rag_rate FROM qa""")
+def scorecard(spark, sf_dir):
+    return reports.scorecard(items(spark, sf_dir))
+
+
+@query(QA_SQL + f""", n AS (SELECT d.aspect, d.category, d.ord, count(qa.k) AS n FROM (SELECT unnest({[a for a, _, _ in dims.ASPECT_ROWS]!r}) AS aspect, unnest({[c for _, c, _ in dims.ASPECT_ROWS]!r}) AS category, unnest(range(0,25)) AS ord) d
+LEFT JOIN (SELECT k, aspect FROM qa WHERE category IN ('Figure','Logic')) qa ON qa.aspect=d.aspect GROUP BY d.aspect, d.category, d.ord)
+SELECT category, count(*)::BIGINT AS aspects, count(*) FILTER (n>0)::BIGINT AS some, count(*) FILTER (n>=3)::BIGINT AS reached, coalesce(string_agg(aspect, ',' ORDER BY ord) FILTER (n=0), '') AS missing FROM n GROUP BY category""")
+def category_coverage(spark, sf_dir):
+    """Coverage where two categories alone have items: the others' aspects are all missing."""
+    return reports.category_coverage(items(spark, sf_dir).where("category in ('Figure', 'Logic')"))
+
+
+@query(QA_SQL + "SELECT count(answer_match)::BIGINT AS verified, " + ", ".join(f"count(*) FILTER (answer_match='{v}')::BIGINT AS {v}" for v in dims.VERDICTS) + ", " + ", ".join(f"count(*) FILTER ({h})::BIGINT AS {h}" for h in ("retrieval_hit_doc", "retrieval_hit_chunk", "retrieval_hit")) + " FROM qa")
+def verification_counts(spark, sf_dir):
+    return reports.verification_counts(items(spark, sf_dir))
+
+
+@query(QA_SQL + "SELECT count(llm_knowledge)::BIGINT AS probed, count(*) FILTER (llm_knowledge='known')::BIGINT AS known, count(*) FILTER (llm_knowledge='unknown')::BIGINT AS unknown, round(count(*) FILTER (llm_knowledge='unknown')/greatest(count(llm_knowledge),1)::DOUBLE,6) AS unknown_rate FROM qa")
+def knowledge_counts(spark, sf_dir):
+    return reports.knowledge_counts(items(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- jobs
+
+_STATUS_SQL = "CASE event_type WHEN 'error' THEN 'rejected' WHEN 'signup' THEN 'accepted' WHEN 'purchase' THEN 'edited' ELSE 'pending' END"
+
+
+@query(QA_SQL + f""", ev AS (SELECT qa_id, {_STATUS_SQL} AS status, 'u' || user_id AS reviewer, ts, 'edit ' || event_id AS question FROM events JOIN qa ON qa.k=events.user_id),
+last AS (SELECT * FROM ev QUALIFY row_number() OVER (PARTITION BY qa_id ORDER BY ts DESC, status DESC, reviewer DESC, question DESC)=1)
+SELECT qa.qa_id, CASE WHEN status='edited' THEN last.question ELSE qa.question END AS question, coalesce(status, qa.review_status) AS review_status, reviewer AS reviewed_by FROM qa LEFT JOIN last USING (qa_id)""")
+def reviewed_items(spark, sf_dir):
+    """Items with the last decision of a review log merged into them."""
+    qa = qa_rows(spark, sf_dir)
+    kinds = F.when(F.col("event_type") == "error", "rejected").when(F.col("event_type") == "signup", "accepted").when(F.col("event_type") == "purchase", "edited").otherwise("pending")
+    log = read(spark, sf_dir, "events").join(items(spark, sf_dir).select("qa_id", F.col("k").alias("user_id")), "user_id").select(
+        "qa_id", kinds.alias("status"), F.concat(F.lit("u"), "user_id").alias("reviewer"), F.col("ts").cast("timestamp_ntz").alias("reviewed_at"),
+        F.concat(F.lit("edit "), "event_id").alias("question"), F.lit(None).cast("string").alias("answer"))
+    return jobs.reviewed(qa, log).select("qa_id", "question", "review_status", "reviewed_by")
+
+
+@query(QA_SQL + """, p AS (SELECT k, qa_id, concat_ws(',', CASE WHEN k%13=0 THEN 'question' END, CASE WHEN k%17=0 THEN 'answer_level' END, CASE WHEN k%9=0 THEN 'retrieval_level_domain' END,
+CASE WHEN k%10=0 THEN 'aspect_domain' END, CASE WHEN k%11=0 THEN 'review_status_domain' END) AS problems FROM qa) SELECT k, qa_id, problems FROM p WHERE problems <> ''""")
+def item_problems(spark, sf_dir):
+    """Items that a strict read rejects, with all that is wrong with them."""
+    k = F.col("k")
+    broken = qa_rows(spark, sf_dir).withColumns({
+        "question": F.when(k % 13 != 0, F.col("question")), "answer_level": F.when(k % 17 != 0, F.col("answer_level")),
+        "retrieval_level": F.when(k % 9 == 0, "Extreme").otherwise(F.col("retrieval_level")), "aspect": F.when(k % 10 == 0, F.array(F.lit("other"))).otherwise(F.col("aspect")),
+        "review_status": F.when(k % 11 == 0, "lost").otherwise(F.col("review_status")),
+    })
+    return schemas.checked(broken)[1].select("k", "qa_id", F.array_join("problems", ",").alias("problems"))
+
+
+@query(QA_SQL + f"""SELECT k, CASE WHEN k%9<>0 THEN (k%5+1)::DOUBLE END AS answerability, CASE WHEN k%7<>0 THEN 'pass' END AS leakage, CASE WHEN k%8<>0 THEN (k%4)::DOUBLE END AS grounding,
+CASE WHEN k%6<>0 THEN measured_level ELSE answer_level END AS answer_level, CASE WHEN k%6<>0 THEN difficulty_match END AS difficulty_match FROM qa""")
+def judge_scores(spark, sf_dir):
+    """Four replies an item (plain, fenced, inside prose, or of no use) become its scores."""
+    qa = items(spark, sf_dir)
+    k = F.col("k")
+    said = {
+        "ANSWERABILITY": F.when(k % 9 == 0, "I can't say.").otherwise(F.format_string('{"answerability": %d}', k % 5 + 1)),
+        "LEAKAGE": F.format_string('Sure.\n```json\n{"leakage": "%s"}\n```', F.when(k % 7 == 0, "maybe").otherwise("pass")),
+        "GROUNDING": F.format_string('The score is {"grounding": "%s"} here.', F.when(k % 8 == 0, "high").otherwise((k % 4).cast("string"))),
+        "DIFFICULTY_MATCH": F.format_string('{"answer_level": "%s"}', F.when(k % 6 == 0, "None").otherwise(F.col("measured_level"))),
+    }
+    rows = F.array(*[F.struct(F.lit(name).alias("perspective"), reply.alias("reply")) for name, reply in said.items()])
+    replies = qa.select(k.alias("qa_id"), F.explode(rows).alias("r")).select("qa_id", "r.perspective", "r.reply")
+    got = asking.scored(qa.select(k.alias("qa_id"), "answer_level"), asking.collated(replies))
+    return got.select(F.col("qa_id").alias("k"), "answerability", "leakage", "grounding", "answer_level", "difficulty_match")
+
+
+@query(QA_SQL + """SELECT k, CASE WHEN k%5=0 THEN 'no_match' WHEN k%4=0 THEN 'match' WHEN k%4=1 THEN 'partial' ELSE 'no_match' END AS answer_match,
+CASE WHEN k%5=0 THEN NULL WHEN k%4=0 THEN 'match' WHEN k%4=1 THEN 'partial' WHEN k%4=3 THEN 'maybe' END AS judge_raw,
+CASE WHEN k%5<>0 AND k%3=0 THEN 'known' ELSE 'unknown' END AS llm_knowledge FROM qa""")
+def answer_verdicts(spark, sf_dir):
+    """What judges say of answers, and of answers given without any document."""
+    k = F.col("k")
+    judge = F.when(k % 4 == 0, '{"match": " Match"}').when(k % 4 == 1, '```\n{"match": "partial"}\n```').when(k % 4 == 2, "none").otherwise('{"match": "maybe"}')
+    answer = F.when(k % 5 == 0, "「不明」。").otherwise(F.concat(F.lit("it is "), "answer"))
+    rows = asking.verdicts(items(spark, sf_dir).select("k", answer.alias("rag_answer"), judge.alias("judge_reply")))
+    rows = rows.withColumns({"candidate": F.when(k % 5 == 0, " ").otherwise("x"), "judge_reply": F.when(k % 3 == 0, '{"match": "known"}').otherwise('{"match": "no"}')})
+    return asking.knowledge(rows).select("k", "answer_match", "judge_raw", "llm_knowledge")
+
+
+@query(QA_SQL + ", " + _CHUNK_SQL + _QUOTE_SQL + f""", r AS (SELECT k AS qa_id, c.* FROM qa JOIN c ON c.doc_id=(qa.doc_id + CASE WHEN k%3=0 THEN 1 ELSE 0 END)::VARCHAR AND c.position<3),
+b AS (SELECT qa_id, string_agg({_sq('text')}, '' ORDER BY position) AS blob, list(doc_id) AS docs, list(chunk_id) AS ids FROM r GROUP BY qa_id)
+SELECT qa_id, bool_or(coalesce(list_contains(docs, regexp_replace(q.doc_id,'__c[0-9]+$','')) OR list_contains(ids, q.doc_id), false)) AS hit_doc, bool_or(coalesce(needle<>'' AND contains(blob, needle), false)) AS hit_chunk
+FROM (SELECT *, {_sq('quote')} AS needle FROM quotes) q LEFT JOIN b USING (qa_id) GROUP BY qa_id""")
+def quote_hits(spark, sf_dir):
+    """Whether three retrieved chunks, for a third of the items those of another document, hold an item's document and quotes."""
+    asked = items(spark, sf_dir).select(F.col("k").alias("qa_id"), (F.col("doc_id") + F.when(F.col("k") % 3 == 0, 1).otherwise(0)).cast("string").alias("doc_id"))
+    retrieved = asked.join(_window_chunks(spark, sf_dir).where("position < 3"), "doc_id").withColumn("rank", F.col("position") + 1)
+    return ops.retrieval_hits(_quotes(spark, sf_dir), retrieved)
+
+
+@query(QA_SQL + ", " + _CHUNK_SQL + """, b AS (SELECT doc_id, string_agg('[' || (position+1) || '] ' || chunk_id || ' (p.' || coalesce(page::VARCHAR,'?') || ') part > ' || doc_id || chr(10) || text, chr(10)||chr(10) ORDER BY position) AS block FROM c WHERE position<2 GROUP BY doc_id)
+SELECT k, md5('Q {x} ' || question || chr(10) || coalesce(block,'') || chr(10) || answer) AS prompt_md5 FROM qa LEFT JOIN b ON b.doc_id=qa.doc_id::VARCHAR""")
+def prompt_texts(spark, sf_dir):
+    """Prompts of a template, with numbered blocks of an item's first chunks."""
+    c = _window_chunks(spark, sf_dir).where("position < 2").withColumn("section_path", F.array(F.lit("part"), "doc_id"))
+    blocks = c.groupBy("doc_id").agg(text.page_blocks(F.array_sort(F.collect_list(F.struct("position", "chunk_id", "page", "section_path", "text")))).alias("block"))
+    qa = items(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string")).join(blocks, "doc_id", "left")
+    prompt = asking.rendered("Q {x} {question}\n{block}\n{answer}", question=F.col("question"), block=F.col("block"), answer=F.col("answer"))
+    return qa.select("k", F.md5(prompt.cast("binary")).alias("prompt_md5"))
+
+
+_PAGES_SQL = f"""WITH d AS (SELECT doc_id, list_filter(list_transform(string_split(replace(text, '. ', '.'||chr(1)), chr(1)), lambda x: trim(x, {_SPACES_SQL})), lambda x: x<>'') AS p FROM documents WHERE trim(text, {_SPACES_SQL})<>'')"""
+
+
+@query(_PAGES_SQL + " SELECT doc_id::VARCHAR AS doc_id, (i+6)::INT AS page, (i-1)::INT AS position, doc_id || '__c' || CASE WHEN i>10000 THEN (i-1)::VARCHAR ELSE lpad((i-1)::VARCHAR, 4, '0') END AS chunk_id, md5(p[i]) AS text_md5 FROM (SELECT doc_id, p, unnest(range(1, len(p)+1)) AS i FROM d)")
+def page_chunks(spark, sf_dir):
+    """Layout Markdown, a sentence a page from page 7 on, one chunk each: positions and ids run through a document's pages."""
+    docs = read(spark, sf_dir, "documents").where(text.strip(F.col("text")) != "")
+    layout = F.concat(F.lit('<!-- PageNumber="7" -->'), F.replace("text", F.lit(". "), F.lit(".<!-- PageBreak -->")))
+    pages = files.layout_documents(docs.select(F.col("doc_id").cast("string").alias("doc_id"), layout.alias("text")))
+    got = chunking.chunk_documents(pages, size=10**7)
+    return got.select("doc_id", "page", "position", "chunk_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+def _heading_lines(text_column, replace):
+    for level in range(1, 7):
+        text_column = replace(text_column, f"(?is)<h{level}[^>]*>(.*?)</h{level}>", level)
+    return text_column
+
+
+_HEADINGS_SQL = _heading_lines("html", lambda c, p, level: f"regexp_replace({c}, '{p}', chr(10) || '{'#' * level} ' || '\\1' || chr(10), 'g')")
+
+
+@query(rf"""WITH t AS (SELECT page_id, regexp_replace({_HEADINGS_SQL}, '<[^>]*>', '', 'g') AS t, {_SPACES_SQL} AS ws FROM pages WHERE html IS NOT NULL),
+l AS (SELECT page_id, ws, i, a[i] AS line, length(regexp_extract(a[i], '^(#{{1,6}})\s+\S', 1)) AS marks FROM (SELECT page_id, ws, string_split(t, chr(10)) AS a, unnest(range(1, len(string_split(t, chr(10)))+1)) AS i FROM t)),
+s AS (SELECT *, count(*) FILTER (marks>0) OVER (PARTITION BY page_id ORDER BY i) AS sec FROM l),
+h AS (SELECT page_id, sec, marks, trim(regexp_replace(line, '^#{{1,6}}\s+', ''), ws) AS title FROM s WHERE marks>0),
+f AS (SELECT *, count(*) FILTER (line<>'') OVER (PARTITION BY page_id, sec ORDER BY i) AS seen FROM s WHERE marks=0),
+b AS (SELECT page_id, sec, string_agg(line, chr(10) ORDER BY i) AS body FROM f WHERE seen>0 GROUP BY page_id, sec, ws HAVING trim(string_agg(line, chr(10) ORDER BY i), ws)<>''),
+e AS (SELECT b.page_id, b.sec, v.lv, arg_max(CASE WHEN o.marks=v.lv THEN o.title ELSE '' END, o.sec) AS part FROM b JOIN h ON h.page_id=b.page_id AND h.sec=b.sec JOIN (SELECT unnest(range(1,7)) AS lv) v ON v.lv<=h.marks
+  LEFT JOIN h o ON o.page_id=b.page_id AND o.sec<=b.sec AND o.marks<=v.lv GROUP BY b.page_id, b.sec, v.lv),
+p AS (SELECT page_id, sec, string_agg(coalesce(part,''), ' > ' ORDER BY lv) AS path FROM e GROUP BY page_id, sec)
+SELECT b.page_id, (row_number() OVER (PARTITION BY b.page_id ORDER BY b.sec)-1)::INT AS n, coalesce(path,'') AS path, md5(body) AS body_md5 FROM b LEFT JOIN p USING (page_id, sec)
+UNION ALL SELECT page_id, 0, '', md5(t) FROM t WHERE page_id NOT IN (SELECT page_id FROM b)""")
+def markdown_sections(spark, sf_dir):
+    """Pages with their headings as Markdown lines, cut into sections with the path of headings above each."""
+    lines = _heading_lines(F.col("html"), lambda c, p, level: F.regexp_replace(c, p, "\n" + "#" * level + " $1\n"))
+    pages = read(spark, sf_dir, "pages").where("html is not null").select("page_id", F.regexp_replace(lines, "<[^>]*>", "").alias("t"))
+    cut = pages.select("page_id", F.posexplode(chunking.sections(F.col("t"))).alias("n", "s"))
+    return cut.select("page_id", "n", F.array_join("s.path", " > ").alias("path"), F.md5(F.col("s.body").cast("binary")).alias("body_md5"))
+
+
+@query("WITH " + _CHUNK_SQL + ", s AS (SELECT *, sum(length(text)) OVER (ORDER BY doc_id, position) AS cum FROM c) SELECT md5(string_agg('### ' || doc_id || chr(10) || text, chr(10)||chr(10) ORDER BY doc_id, position)) AS sample_md5 FROM s WHERE cum <= 12000")
+def prompt_sample(spark, sf_dir):
+    """The chunks that fit one prompt of 12,000 characters, from which a model is to find patterns."""
+    sample = jobs.pattern_sample(_window_chunks(spark, sf_dir))
+    return spark.createDataFrame([(sample,)], "sample string").select(F.md5(F.col("sample").cast("binary")).alias("sample_md5"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import dims
+from .. import dims, schemas
 from ..functions import rules
 from ..functions.text import qa_id
 
@@ -66,6 +66,19 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def qa_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same items with the columns of item files, and their number k; what they have no value for is null."""
+    rows = items(spark, sf_dir)
+    got = {
+        "rationale": F.array(F.struct(F.col("doc_id").cast("string").alias("doc_id"), F.lit(1).alias("page"), F.col("quote").alias("text"))),
+        "category": F.array("category"), "aspect": F.array("aspect"),
+        "filter_scores": F.struct("answerability", "leakage", "grounding", "uniqueness", "difficulty_match", "rationale_grounded"),
+        "rag_verification": F.when(F.col("answer_match").isNotNull(), F.struct("answer_match", "retrieval_hit_doc", "retrieval_hit_chunk", "retrieval_hit")),
+    }
+    fields = spark.createDataFrame([], schemas.QA).schema
+    return rows.select("k", *[got.get(f.name, F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields])
+
+
 def _category():
     out = F.lit(None).cast("string")
     for category in dims.CATEGORIES:

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from .. import dims, schemas
 from ..functions import rules
 from ..functions.text import is_unable, page_blocks, parsed, qa_id, unseen_terms
-from ..operators import asking, items, similarity
+from ..operators import asking, items, reports, similarity
 from ..sources import files
 
 
@@ -191,17 +191,31 @@ def accepted_patterns(entries: list[dict], sample: str, share: float = 0.05) ->
 
 def stats(qa: DataFrame) -> dict[str, DataFrame]:
     """The report tables of a set of items."""
-    spark, f = qa.sparkSession, schemas.flat(qa)
+    spark = qa.sparkSession
+    f = schemas.flat(qa).withColumnsRenamed({"category_primary": "category", "rag_answer_match": "answer_match", "rag_retrieval_hit": "retrieval_hit"})
+    hits = qa.select("qa_id", *[F.col(f"rag_verification.{h}").alias(h) for h in ("answer_match", "retrieval_hit_doc", "retrieval_hit_chunk", "retrieval_hit")])
+    by_aspect = f.select("*", F.explode("aspect_list").alias("aspect"))
     domain = lambda name, values: dims.domain(spark, name, values)
-    aspects = f.select(F.explode("aspect_list").alias("aspect")).groupBy("aspect").agg(F.count(F.lit(1)).alias("n"))
+    reasons = f.select(F.explode(rules.reject_reasons()).alias("reason")).where("reason <> 'rationale_grounded'")
+    bins = {"answerability": dims.ANSWERABILITY_LEAST, "grounding": dims.GROUNDING_LEAST, "uniqueness": round(1 - dims.UNIQUENESS_MOST, 6)}
     return {
         "levels": items.distribution(f, "retrieval_level", domain("level", dims.LEVELS), "level"),
         "answer_levels": items.distribution(f, "answer_level", domain("level", dims.LEVELS), "level"),
-        "categories": items.distribution(f, "category_primary", domain("category", dims.CATEGORIES), "category"),
+        "target_gaps": reports.target_gaps(f),
+        "categories": items.distribution(f, "category", domain("category", dims.CATEGORIES), "category"),
+        "abstention": reports.abstention(f),
         "status": items.distribution(f, "review_status", domain("status", dims.REVIEW_STATUS), "status"),
-        "cells": items.crosstab(f.withColumnRenamed("category_primary", "category"), ("category", domain("category", dims.CATEGORIES)), ("retrieval_level", domain("retrieval_level", dims.LEVELS))),
-        "aspects": dims.aspects(spark).join(aspects, "aspect", "left").fillna(0, ["n"]),
-        "reasons": f.select(F.explode(rules.reject_reasons()).alias("reason")).where("reason <> 'rationale_grounded'").groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason"),
+        "cells": items.crosstab(f, ("category", domain("category", dims.CATEGORIES)), ("retrieval_level", domain("retrieval_level", dims.LEVELS))),
+        "aspects": reports.aspect_coverage(by_aspect),
+        "coverage": reports.category_coverage(by_aspect),
+        "verdicts": reports.verdicts_by_aspect(by_aspect),
+        "verification": reports.verification_counts(hits),
+        "reasons": reasons.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason"),
         "documents": f.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")),
-        "kg": items.crosstab(f, ("kg_query_type", domain("kg_query_type", dims.KG_QUERY_TYPES)), ("kg_novelty", domain("kg_novelty", dims.KG_NOVELTY))),
+        "kpis": reports.kpis(f),
+        "scorecard": reports.scorecard(f),
+        "kg": reports.knowledge_matrix(f),
+        "knowledge": reports.knowledge_counts(f),
+        "kg_candidates": reports.candidates(f).select("qa_id", "doc_id"),
+        **{f"histogram_{name}": reports.histogram(f, name, least) for name, least in bins.items()},
     }
