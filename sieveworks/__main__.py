@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import importlib
 import json
+import time
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from .operators import anchors, asking
 from .plans import jobs, requests
 from .session import session
 from .sources import files
+from .streaming.verification import unverified
 
 
 def _client(path: str):
@@ -39,12 +41,16 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     p = command("chunk", "docs", "out")
     p.add_argument("--chunk-size", type=int, default=800)
     p.add_argument("--chunk-overlap", type=int, default=100)
+    p.add_argument("--patterns", help="a folder that the command patterns has written")
+    command("embed", "chunks", "embed", "out")
     p = command("patterns", "chunks", "prompt", "client", "model", "out")
     p.add_argument("--max-chars", type=int, default=12_000)
     p = command("generate", "chunks", "prompt", "client", "model", "replies", "out")
     p.add_argument("--n", type=int, default=10)
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--track", choices=("general", "kg_poc"), default="general")
+    p.add_argument("--vectors", help="a folder that the command embed has written; without it no anchors are neighbours")
+    p.add_argument("--batch", default=time.strftime("%Y%m%d_%H%M%S"), help="batches stand side by side below the output folder")
     p.add_argument("--mix", help="query_type:novelty=N, ... for the kg_poc track")
     p = command("filter", "in", "chunks", "prompts", "client", "model", "replies", "out")
     p.add_argument("--embed", help="module:name of a callable: texts -> vectors; without it uniqueness is not scored")
@@ -87,7 +93,10 @@ def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
     spark = session()
     if args.command == "chunk":
-        jobs.chunk(spark, args.docs, args.out, args.chunk_size, args.chunk_overlap).show(50, False)
+        more = files.patterns(spark, args.patterns) if args.patterns else ()
+        jobs.chunk(spark, args.docs, args.out, args.chunk_size, args.chunk_overlap, more).show(50, False)
+    elif args.command == "embed":
+        jobs.embed(files.chunks(spark, args.chunks), _client(args.embed), args.out)
     elif args.command == "patterns":
         sample = jobs.pattern_sample(files.chunks(spark, args.chunks), args.max_chars)
         reply = asking.retried(lambda: _client(args.client)(_text(spark, args.prompt).replace("{sample}", sample), args.model))
@@ -97,10 +106,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "generate":
         cells = requests.cells(args.n, requests.parse_mix(args.mix) if args.mix else None, args.seed)
         rows = requests.requests(spark, args.n, args.seed) if args.track == "general" else requests.kg_requests(spark, cells)
-        sets = anchors.anchor_sets(rows, files.chunks(spark, args.chunks), seed=args.seed)
-        good, bad = jobs.generate(sets.drop("miss"), _client(args.client), args.model, _text(spark, args.prompt), args.replies)
-        good.drop("anchors").write.mode("overwrite").json(f"{args.out}/accepted")
-        bad.write.mode("overwrite").json(f"{args.out}/rejected")
+        vectors = spark.read.parquet(args.vectors) if args.vectors else None
+        sets = anchors.anchor_sets(rows, files.chunks(spark, args.chunks), vectors, seed=args.seed)
+        good, bad = jobs.generate(sets.where("miss is null or miss <> 'partner'").drop("miss"), _client(args.client), args.model, _text(spark, args.prompt), args.replies)
+        good.drop("anchors").write.json(f"{args.out}/accepted/batch={args.batch}")
+        bad.write.json(f"{args.out}/rejected/batch={args.batch}")
         sets.where("miss is not null").groupBy("aspect", "miss").count().orderBy("count", ascending=False).show(50, False)
     elif args.command == "filter":
         qa = files.qa(spark, args.source)
@@ -113,9 +123,11 @@ def main(argv: list[str] | None = None) -> None:
         _gate(args, qa.select("*", *[f"filter_scores.{f}" for f in SCORES]), qa.columns)
     elif args.command == "verify":
         qa, chunks = files.qa(spark, args.source), files.chunks(spark, args.chunks)
+        if files.exists(spark, args.out):  # what an earlier run has verified is not asked again
+            qa = unverified(qa, files.qa(spark, args.out))
         found = jobs.retrieve(qa, chunks, spark.read.parquet(args.vectors), _client(args.embed), args.top_k)
         done = jobs.verify(qa, found, _client(args.client), tuple(args.models), asking.sections(_text(spark, args.prompts)), args.replies, args.top_k)
-        files.write_qa(qa.drop("rag_verification").join(done, "qa_id"), args.out)
+        qa.drop("rag_verification").join(done, "qa_id").write.mode("append").json(args.out)
     elif args.command == "probe":
         qa = files.qa(spark, args.source)
         known = jobs.probe(qa, _client(args.client), tuple(args.models), asking.sections(_text(spark, args.prompts)), args.replies)

@@ -1,8 +1,9 @@
 """Anchors for requests: which chunks a new item is to be built on.
 
-A request names an aspect; each aspect has a strategy. First anchors are compatible chunks in the order of a hash, as many
-as there are requests; partners come from tables of pairs that are made for these anchors alone. A request whose aspect
-fits no chunk takes one of all chunks; one that needs a partner and has none is built on its first anchor and marked as a miss.
+A request names an aspect; each aspect has a strategy. First anchors are compatible chunks in the order of a hash, some more
+than there are requests; partners come from tables of pairs that are made for these anchors alone. A request whose aspect
+fits no chunk takes one of all chunks; one that finds no partner in any attempt has its first anchor only and is marked as a
+miss, which `generate` leaves out and counts.
 """
 
 from __future__ import annotations
@@ -26,53 +27,75 @@ STRATEGIES = {
 }
 
 
+#: Requests that need partners try so many first anchors.
+ATTEMPTS = 20
+
+
 def first_anchors(requests: DataFrame, chunks: DataFrame, seed: int = 42) -> DataFrame:
-    """request_id, aspect, chunk_id, fits. requests: request_id, aspect (a few hundred); chunks: as schemas.CHUNK."""
-    aspects = [r["aspect"] for r in requests.select("aspect").distinct().collect()]
+    """request_id, aspect, attempt, chunk_id, fits. requests: request_id, aspect (a few hundred); chunks: as schemas.CHUNK.
+
+    Aspects whose anchors stand alone have one attempt, the others ATTEMPTS, each with the next chunk in the order of a hash.
+    """
+    counts = {r["aspect"]: r["n"] for r in requests.groupBy("aspect").agg(F.count(F.lit(1)).alias("n")).collect()}
     fits = aspect_fits(F.col("text"), F.col("section_path"), F.col("references"))
-    wanted = F.array(*[F.struct(F.lit(a).alias("aspect"), fits.get(a, F.lit(True)).alias("fits")) for a in aspects])
+    wanted = F.array(*[F.struct(F.lit(a).alias("aspect"), fits.get(a, F.lit(True)).alias("fits")) for a in counts])
     pool = chunks.select("chunk_id", F.explode(wanted).alias("w")).select("chunk_id", "w.aspect", "w.fits")
-    most = max((r["n"] for r in requests.groupBy("aspect").agg(F.count(F.lit(1)).alias("n")).collect()), default=0)
+    most = max(counts.values(), default=0) + ATTEMPTS
     order = Window.partitionBy("aspect").orderBy(F.col("fits").desc(), F.xxhash64(F.lit(seed), "aspect", "chunk_id"), "chunk_id")
     best = pool.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
     best = best.withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("aspect", "fits"))).withColumn("any", F.max("fits").over(Window.partitionBy("aspect")))
     best = best.where(F.col("fits") == F.col("any"))  # chunks that do not fit serve only where none does
     numbered = requests.withColumn("i", F.row_number().over(Window.partitionBy("aspect").orderBy("request_id")) - 1)
-    met = numbered.join(best, "aspect").where(F.col("n") == F.pmod(F.col("i"), F.col("of")) + 1)
-    return met.select("request_id", "aspect", "chunk_id", "fits")
+    last = F.when(F.col("aspect").isin(*STRATEGIES), ATTEMPTS - 1).otherwise(0)
+    tries = numbered.withColumn("attempt", F.explode(F.sequence(F.lit(0), last)))
+    met = tries.join(best, "aspect").where(F.col("n") == F.pmod(F.col("i") + F.col("attempt"), F.col("of")) + 1)
+    return met.select("request_id", "aspect", "attempt", "chunk_id", "fits")
 
 
 def _partners(firsts: DataFrame, chunks: DataFrame, vectors: DataFrame | None) -> DataFrame:
-    """request_id, place, partner: the further anchors of each request, by its strategy."""
+    """request_id, attempt, place, partner: the further anchors of each attempt, by the strategy of its aspect."""
     rules = [(a, *s) for a, s in STRATEGIES.items()]
-    rows = firsts.join(F.broadcast(firsts.sparkSession.createDataFrame(rules, "aspect string, how string, n int, least double")), "aspect")
+    rows = firsts.join(F.broadcast(firsts.sparkSession.createDataFrame(rules, "aspect string, how string, n int, least double")), "aspect")  # six rules
+    of = lambda how: rows.where(F.col("how") == how).select("request_id", "attempt", "chunk_id", "n", "least")
+    keep = ("request_id", "attempt", "place", "partner")
     spots = chunks.select("chunk_id", "doc_id", "position")
     remote = items.remote_partners(chunks).join(spots, ["doc_id", "position"])
     remote = remote.join(spots.select("doc_id", F.col("position").alias("partner"), F.col("chunk_id").alias("other")), ["doc_id", "partner"])
-    out = rows.where("how = 'remote'").join(remote.select("chunk_id", "other"), "chunk_id").select("request_id", F.lit(1).alias("place"), F.col("other").alias("partner"))
+    out = of("remote").join(remote.select("chunk_id", F.col("other").alias("partner")), "chunk_id").withColumn("place", F.lit(1)).select(*keep)
     held = items.followed_references(chunks.select("chunk_id", F.col("references").alias("refs")))
-    followed = held.groupBy("chunk_id").agg(F.min(F.struct((~F.col("ref").rlike(dims.SPECIFIC_REFERENCE)).alias("vague"), "ref", "target"))["target"].alias("other"))
-    out = out.unionByName(rows.where("how = 'reference'").join(followed, "chunk_id").select("request_id", F.lit(1).alias("place"), F.col("other").alias("partner")))
-    if vectors is not None:
-        corpus = vectors.join(chunks.select("chunk_id", "doc_id"), "chunk_id").select(F.xxhash64("chunk_id").alias("id"), "vec", F.xxhash64("doc_id").alias("label"), "chunk_id")
-        for how in ("near", "near_other_doc"):
-            asked = rows.where(F.col("how") == how).select("request_id", "chunk_id", "n", "least")
-            queries = corpus.join(asked.select("chunk_id").distinct(), "chunk_id")
-            found = similarity.nearest(corpus, queries, max(n for _, h, n, _ in rules if h == how) - 1, same=how == "near_other_doc")
-            found = found.join(corpus.select(F.col("id").alias("query"), "chunk_id"), "query").join(corpus.select("id", F.col("chunk_id").alias("partner")), "id")
-            met = asked.join(found, "chunk_id").where((F.col("rank") < F.col("n")) & (F.col("sim") >= F.col("least")))
-            out = out.unionByName(met.select("request_id", F.col("rank").alias("place"), "partner"))
-    return out
+    followed = held.groupBy("chunk_id").agg(F.min(F.struct((~F.col("ref").rlike(dims.SPECIFIC_REFERENCE)).alias("vague"), "ref", "target"))["target"].alias("partner"))
+    out = out.unionByName(of("reference").join(followed, "chunk_id").withColumn("place", F.lit(1)).select(*keep))
+    if vectors is None:
+        return out
+    corpus = vectors.join(chunks.select("chunk_id", "doc_id"), "chunk_id").select(F.xxhash64("chunk_id").alias("id"), "vec", F.xxhash64("doc_id").alias("label"), "chunk_id")
+
+    def met(asked: DataFrame, k: int, same: bool) -> DataFrame:
+        queries = corpus.join(asked.select("chunk_id").distinct(), "chunk_id")
+        found = similarity.nearest(corpus, queries, k, same=same)
+        found = found.join(corpus.select(F.col("id").alias("query"), "chunk_id"), "query").join(corpus.select("id", F.col("chunk_id").alias("partner")), "id")
+        rows = asked.join(found, "chunk_id").where((F.col("rank") < F.col("n")) & (F.col("sim") >= F.col("least")))
+        return rows.select("request_id", "attempt", F.col("rank").alias("place"), "partner")
+
+    width = {how: max(n for _, h, n, _ in rules if h == how) - 1 for how in ("near", "near_other_doc")}
+    other = met(of("near_other_doc"), width["near_other_doc"], same=True)
+    alone = of("near_other_doc").join(other, ["request_id", "attempt"], "left_anti")  # near chunks in their own document only
+    return out.unionByName(met(of("near"), width["near"], same=False)).unionByName(other).unionByName(met(alone, 1, same=False))
 
 
 def anchor_sets(requests: DataFrame, chunks: DataFrame, vectors: DataFrame | None = None, seed: int = 42) -> DataFrame:
-    """request_id, aspect, key, anchors (array of chunk structs) and miss: null, `compat` or `partner`."""
+    """request_id, aspect, key, anchors (array of chunk structs) and miss: null, `compat` or `partner`.
+
+    A request that needs partners takes its first attempt that has any.
+    """
     firsts = first_anchors(requests.select("request_id", "aspect"), chunks, seed)
     more = _partners(firsts, chunks, vectors)
-    every = firsts.select("request_id", F.lit(0).alias("place"), F.col("chunk_id").alias("partner")).unionByName(more)
+    chosen = more.groupBy("request_id").agg(F.min("attempt").alias("chosen"))
+    firsts = firsts.join(chosen, "request_id", "left").where(F.col("attempt") == F.coalesce("chosen", F.lit(0)))
+    every = firsts.select("request_id", F.lit(0).alias("place"), F.col("chunk_id").alias("partner"))
+    every = every.unionByName(more.join(chosen.withColumnRenamed("chosen", "attempt"), ["request_id", "attempt"]).select("request_id", "place", "partner"))
     body = every.join(chunks, every["partner"] == chunks["chunk_id"])
     fields = F.struct("place", F.struct("chunk_id", "doc_id", "page", "section_path", "text", "position").alias("c"))
     sets = body.groupBy("request_id").agg(F.transform(F.array_sort(F.collect_list(fields)), lambda x: x["c"]).alias("anchors"))
     joint = F.col("aspect").isin(*STRATEGIES)
-    miss = F.when(~F.col("fits"), "compat").when(joint & (F.size("anchors") < 2), "partner")
+    miss = F.when(joint & (F.size("anchors") < 2), "partner").when(~F.col("fits"), "compat")
     return firsts.join(sets, "request_id").select("request_id", "aspect", F.col("aspect").alias("key"), "anchors", miss.alias("miss"))

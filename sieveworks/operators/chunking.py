@@ -8,6 +8,8 @@ size + overlap. Null texts have no chunk.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -95,10 +97,11 @@ def layout_pages(markdown: Column) -> Column:
     return F.aggregate(F.split(markdown, r"<!--\s*PageBreak\s*-->"), start, step, lambda s: s["out"])
 
 
-def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, markdown: bool = False) -> DataFrame:
+def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, markdown: bool = False, patterns: Iterable[str] = ()) -> DataFrame:
     """chunk_id, doc_id, page, text, position, section_path, references of docs (doc_id, text and, if there is one, page).
 
-    Positions run through all pages of a document, in page order, so that its chunk ids are unique.
+    Positions run through all pages of a document, in page order, so that its chunk ids are unique. patterns: more forms of
+    references, as `patterns` finds them.
     """
     page = F.col("page").cast("int") if "page" in docs.columns else F.lit(None).cast("int")
     parts = sections(F.col("text")) if markdown else F.array(F.struct(F.array().cast("array<string>").alias("path"), F.col("text").alias("body")))
@@ -111,7 +114,7 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, m
     return rows.select(
         chunk_id(F.col("doc_id"), F.col("position")).alias("chunk_id"), "doc_id", "page", F.col("chunk.text").alias("text"), "position",
         F.col("chunk.section_path").alias("section_path"),
-        references(F.concat(F.col("chunk.text"), F.lit(" "), F.array_join("chunk.section_path", " "))).alias("references"),
+        references(F.concat(F.col("chunk.text"), F.lit(" "), F.array_join("chunk.section_path", " ")), patterns).alias("references"),
     )
 
 

@@ -78,13 +78,19 @@ def remote_partners(chunks: DataFrame, gap: int = 3, seed: int = 42) -> DataFram
 
 
 def followed_references(chunks: DataFrame) -> DataFrame:
-    """chunk_id, ref, target: for each reference of a chunk the first other chunk (by id) that has it too.
+    """chunk_id, ref, target: for each reference of a chunk the first other chunk (by id) that has it, or a longer one around it.
 
-    chunks: chunk_id, refs. An inverted index keeps the first two holders of each reference, which serve all others.
+    chunks: chunk_id, refs. So `JIS B 1083` leads to a chunk that names `JIS B 1083-1` only. Which of the distinct references
+    hold which is found through their substrings; an inverted index keeps the first two holders of each, which serve all others.
     """
-    held = chunks.select("chunk_id", F.explode(F.array_distinct("refs")).alias("ref"))
-    first = held.groupBy("ref").agg(F.min("chunk_id").alias("first"), F.max("chunk_id").alias("last"))
-    second = held.join(first.where("first <> last"), "ref").where("chunk_id <> first").groupBy("ref").agg(F.min("chunk_id").alias("second"), F.min("first").alias("first"))
+    held = chunks.select("chunk_id", F.explode(F.array_distinct("refs")).alias("ref")).where("ref <> ''")
+    known = held.select("ref").distinct()
+    n = F.length("whole")
+    inner = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substr("whole", i, k))))
+    parts = known.select(F.col("ref").alias("whole")).select("whole", F.explode(F.array_distinct(inner)).alias("ref")).join(known, "ref")
+    has = held.withColumnRenamed("ref", "whole").join(parts, "whole")
+    first = has.groupBy("ref").agg(F.min("chunk_id").alias("first"), F.max("chunk_id").alias("last"))
+    second = has.join(first.where("first <> last"), "ref").where("chunk_id <> first").groupBy("ref").agg(F.min("chunk_id").alias("second"), F.min("first").alias("first"))
     target = F.when(F.col("chunk_id") == F.col("first"), F.col("second")).otherwise(F.col("first"))
     return held.join(second, "ref").select("chunk_id", "ref", target.alias("target"))
 

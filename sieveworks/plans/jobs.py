@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +15,16 @@ from ..operators import asking, items, reports, similarity
 from ..sources import files
 
 
-def chunk(spark: SparkSession, docs: str, out: str, size: int = 800, overlap: int = 100) -> DataFrame:
+def chunk(spark: SparkSession, docs: str, out: str, size: int = 800, overlap: int = 100, patterns: Iterable[str] = ()) -> DataFrame:
     """Chunks of all documents of a folder; doc_id and number of chunks."""
-    return files.write_chunks(files.documents(spark, docs), out, size, overlap)
+    return files.write_chunks(files.documents(spark, docs), out, size, overlap, patterns)
+
+
+def embed(chunks: DataFrame, embedder: Callable, out: str) -> None:
+    """chunk_id and vec of all chunks, replaced in one folder. Raises ValueError if a chunk's vector can't be had."""
+    asking.embedded(chunks.select("chunk_id", "text"), embedder, "text", "vec").select("chunk_id", "vec").write.mode("overwrite").parquet(out)
+    if chunks.sparkSession.read.parquet(out).where("vec is null").head(1):
+        raise ValueError("some chunks have no vector")
 
 
 def _quotes(qa: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,18 @@ def _stem(path):
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
+def _path(spark: SparkSession, place: str):
+    """The file system of a path, and the path's full name."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, system.makeQualified(path).toString()
+
+
+def exists(spark: SparkSession, place: str) -> bool:
+    system, name = _path(spark, place)
+    return system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name))
+
+
 def documents(spark: SparkSession, place: str) -> DataFrame:
     """path, doc_id, format and text of all .txt and .md files below a folder; cached layouts (*.di.md) are no documents.
 
@@ -53,10 +65,10 @@ def layout_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.explode(F.when(F.size(pages) > 0, pages).otherwise(one)).alias("p")).select("doc_id", "p.page", "p.text")
 
 
-def write_chunks(docs: DataFrame, out: str, size: int, overlap: int) -> DataFrame:
+def write_chunks(docs: DataFrame, out: str, size: int, overlap: int, patterns: Iterable[str] = ()) -> DataFrame:
     """Chunks of documents, replaced in one folder; returns doc_id and count."""
-    markdown = chunk_documents(docs.where("format = 'md'"), size, overlap, markdown=True)
-    plain = chunk_documents(docs.where("format <> 'md'"), size, overlap)
+    markdown = chunk_documents(docs.where("format = 'md'"), size, overlap, markdown=True, patterns=patterns)
+    plain = chunk_documents(docs.where("format <> 'md'"), size, overlap, patterns=patterns)
     markdown.unionByName(plain).write.mode("overwrite").json(out)
     return chunks(docs.sparkSession, out).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -84,15 +96,19 @@ def qa_lenient(spark: SparkSession, place: str | list[str], track: str = "all")
 
 
 def write_qa(items: DataFrame, out: str) -> None:
-    """Replace a folder of items. It must not be the folder that they are read from."""
+    """Replace a folder of items. Raises ValueError if they are read from it."""
+    place = _path(items.sparkSession, out)[1]
+    for name in items.inputFiles():
+        read = _path(items.sparkSession, name)[1]
+        if read == place or read.startswith(f"{place}/"):
+            raise ValueError(f"{out} holds the input")
     items.write.mode("overwrite").json(out)
 
 
 def newest(spark: SparkSession, pattern: str) -> str:
     """The last path in order of names that matches a glob pattern."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    system, _ = _path(spark, pattern)
+    found = system.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern))
     if not found:
         raise FileNotFoundError(pattern)
     return max(str(f.getPath()) for f in found)

@@ -41,8 +41,12 @@ def test_neighbours(spark, chunks):
     got = ask(spark, few, *["multi_doc_reference"] * 4, *["multi_hop"] * 4, vectors=vectors)
     near = {ids(r)[0]: ids(r)[1:] for r in got.values() if r["aspect"] == "multi_hop"}
     other = {ids(r)[0]: ids(r)[1:] for r in got.values() if r["aspect"] == "multi_doc_reference"}
-    assert near == {"a__c0000": ["a__c0001"], "a__c0001": ["a__c0000"], "b__c0000": ["a__c0001"], "c__c0000": []}
-    assert other == {"a__c0000": ["b__c0000"], "a__c0001": ["b__c0000"], "b__c0000": ["a__c0001"], "c__c0000": []}
+    assert near == {"a__c0000": ["a__c0001"], "a__c0001": ["a__c0000"], "b__c0000": ["a__c0001"]}  # c has none near: another first anchor is tried
+    assert other == {"a__c0000": ["b__c0000"], "a__c0001": ["b__c0000"], "b__c0000": ["a__c0001"]}
+    assert {r["miss"] for r in got.values()} == {None}
+    only = few.where("doc_id <> 'b'")
+    got = ask(spark, only, "multi_doc_reference", "multi_doc_reference", vectors=vectors.where("chunk_id not like 'b%'"))
+    assert all(set(ids(r)) == {"a__c0000", "a__c0001"} for r in got.values())  # no near chunk elsewhere: one of the same document
 
 
 @pytest.mark.parametrize("body,quote,want", [

@@ -49,6 +49,8 @@ def test_followed_references(spark):
     rows = spark.createDataFrame([("c1", ["r", "s"]), ("c2", ["r"]), ("c3", ["r", "r"])], "chunk_id string, refs array<string>")
     got = {(r["chunk_id"], r["ref"]): r["target"] for r in items.followed_references(rows).collect()}
     assert got == {("c1", "r"): "c2", ("c2", "r"): "c1", ("c3", "r"): "c1"}
+    rows = spark.createDataFrame([("c1", ["JIS B 1083"]), ("c2", ["JIS B 1083-1"]), ("c3", [""]), ("c4", None)], "chunk_id string, refs array<string>")
+    assert [tuple(r) for r in items.followed_references(rows).select("chunk_id", "ref", "target").collect()] == [("c1", "JIS B 1083", "c2")]
 
 
 def vectors(spark, v, labels=None):
