@@ -89,10 +89,11 @@ def anchor_sets(requests: DataFrame, chunks: DataFrame, vectors: DataFrame | Non
     """
     firsts = first_anchors(requests.select("request_id", "aspect"), chunks, seed)
     more = _partners(firsts, chunks, vectors)
-    chosen = more.groupBy("request_id").agg(F.min("attempt").alias("chosen"))
-    firsts = firsts.join(chosen, "request_id", "left").where(F.col("attempt") == F.coalesce("chosen", F.lit(0)))
-    every = firsts.select("request_id", F.lit(0).alias("place"), F.col("chunk_id").alias("partner"))
-    every = every.unionByName(more.join(chosen.withColumnRenamed("chosen", "attempt"), ["request_id", "attempt"]).select("request_id", "place", "partner"))
+    tries = more.groupBy("request_id", "attempt").agg(F.array_sort(F.collect_list(F.struct("place", "partner"))).alias("partners"))  # two at most
+    chosen = tries.groupBy("request_id").agg(F.min(F.struct("attempt", "partners")).alias("c"))
+    firsts = firsts.join(chosen, "request_id", "left").where(F.col("attempt") == F.coalesce("c.attempt", F.lit(0)))
+    lead = F.array(F.struct(F.lit(0).alias("place"), F.col("chunk_id").alias("partner")))
+    every = firsts.select("request_id", F.inline(F.concat(lead, F.coalesce("c.partners", F.filter(lead, lambda x: F.lit(False))))))
     body = every.join(chunks, every["partner"] == chunks["chunk_id"])
     fields = F.struct("place", F.struct("chunk_id", "doc_id", "page", "section_path", "text", "position").alias("c"))
     sets = body.groupBy("request_id").agg(F.transform(F.array_sort(F.collect_list(fields)), lambda x: x["c"]).alias("anchors"))

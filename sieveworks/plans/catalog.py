@@ -254,7 +254,7 @@ def remote_pairs(spark, sf_dir):
 _REF_CHUNKS_SQL = f"WITH {_CHUNK_SQL}, h AS (SELECT DISTINCT chunk_id, unnest(list_distinct(list_transform(regexp_extract_all(text, '{_REFS_RE}'), lambda m: trim(regexp_replace(m, '\\s+', ' ', 'g'))))) AS ref FROM c)"
 
 
-@query(_REF_CHUNKS_SQL + ", w AS (SELECT DISTINCT ref FROM h), g AS (SELECT h.chunk_id, w.ref FROM h JOIN w ON contains(h.ref, w.ref)), f AS (SELECT ref, min(chunk_id) AS first FROM g GROUP BY ref), s AS (SELECT g.ref, first, min(chunk_id) AS second FROM g JOIN f ON f.ref=g.ref AND g.chunk_id<>f.first GROUP BY g.ref, first) SELECT h.chunk_id, h.ref, CASE WHEN h.chunk_id=first THEN second ELSE first END AS target FROM h JOIN s USING (ref)")
+@query(_REF_CHUNKS_SQL + ", u AS (SELECT DISTINCT ref FROM h), g AS (SELECT h.chunk_id, u.ref FROM h JOIN u ON contains(h.ref, u.ref)), f AS (SELECT ref, min(chunk_id) AS first FROM g GROUP BY ref), s AS (SELECT g.ref, first, min(chunk_id) AS second FROM g JOIN f ON f.ref=g.ref AND g.chunk_id<>f.first GROUP BY g.ref, first) SELECT h.chunk_id, h.ref, CASE WHEN h.chunk_id=first THEN second ELSE first END AS target FROM h JOIN s USING (ref)")
 def ref_follow_pairs(spark, sf_dir):
     chunks = _window_chunks(spark, sf_dir).select("chunk_id", text.references(F.col("text"), _ASCII_REFS).alias("refs"))
     return ops.followed_references(chunks)
