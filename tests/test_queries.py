@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sieveworks.plans import catalog
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -27,7 +28,7 @@ def rows(frame):
     return sorted(map(str, frame.astype(object).where(frame.notna(), None).values.tolist()))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_same_rows(spark, duck, name):
     got = entry.queries()[name](spark, DATA).toPandas()
     want = duck.sql(entry.oracle_sql()[name]).df()
