@@ -14,7 +14,8 @@ be left, named parts count as content.
 
 Null, empty and markup-only pages give an empty text and n_chars 0. Of runs with equal sums the first wins. An element
 that is never closed ends with what it stands in; the raw text of an unclosed script, style, title or frame ends at the
-next tag of a block. Repeated rows are extracted each; null urls and ids stay null. Without a labelled page DEFAULT
+next tag of a block. A tag in which the page was cut off is markup and is dropped. Tags with no word between them cost once, so
+tables and lists of short entries hold together. Repeated rows are extracted each; null urls and ids stay null. Without a labelled page DEFAULT
 weights are used. Extra columns are ignored.
 """
 
@@ -58,10 +59,16 @@ SHARED_WORDS = (
 )
 STATE_WORDS = ("with", "has", "no", "without", "is", "hide", "show")
 CONTENT_ROLES = ("article", "main")
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"']+|[\"'](?=[^>]*>))*)>", re.S)
+# No part of a pattern is tried twice on the same characters. A quote opens a value after an equals sign only, and a tag, comment or
+# declaration that nothing closes takes the rest of the page: so a page is read once, wherever it was cut.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)(>|\Z)",
+    re.S,
+)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
-_NEXT_BLOCK = re.compile(rf"<(?:{'|'.join(x for x in BLOCKS if x not in ('br', 'hr'))})[\\s/>]", re.I)
+_NEXT_BLOCK = re.compile(rf"<(?:{'|'.join(x for x in BLOCKS if x not in ('br', 'hr'))})[\s/>]", re.I)
 _RAW_END = {x: re.compile(rf"</{x}\s*>", re.I) for x in RAW}
 
 #: Start tags that end an open head.
@@ -70,6 +77,7 @@ BLOCKS_OF_BODY = frozenset(BLOCKS) - {"html", "head"}
 DEFAULT = {"word": 1.0, "link": -0.5, "block": -0.45, "inline": -0.1, "part": -1.0}
 #: Kinds of tokens that are text: plain, and in a link.
 TEXT = ("word", "link")
+_STRENGTH = {"inline": 0, "block": 1, "part": 2}
 #: The most that a tag may cost, in words: a word outweighs the two tags of a block around it.
 MOST = {"block": 0.45, "inline": 0.1, "part": 2.0}
 
@@ -122,6 +130,8 @@ def tokens(page: str) -> tuple[list[tuple[str, str, bool]], list[bool]]:
     found: list[tuple[str, str, bool, int, bool]] = []  # kind, text, always outside, part, in a mark
     named: list[_Part] = []
     stack: list[tuple[str, bool, int]] = []  # name, whether it is always outside, the part that it is or -1
+    opened: Counter = Counter()  # names on the stack
+    unclosed: set[str] = set()  # raw elements that nothing closes from here on
     always = marked = links = 0
     here = -1
     at, end = 0, len(page)
@@ -129,14 +139,13 @@ def tokens(page: str) -> tuple[list[tuple[str, str, bool]], list[bool]]:
     def add(kind: str, text: str) -> None:
         found.append(("link" if kind == "word" and links else kind, text, always > 0, here, marked > 0))
         if kind == "word" and not always and here >= 0:
-            n, part = len(text.split()), here
-            while n and part >= 0:
-                x = named[part]
-                x.words, x.linked, x.in_mark, part = x.words + n, x.linked + n * (links > 0), x.in_mark + n * (marked > 0), x.up
+            n, x = len(text.split()), named[here]
+            x.words, x.linked, x.in_mark = x.words + n, x.linked + n * (links > 0), x.in_mark + n * (marked > 0)
 
     def pop() -> None:
         nonlocal always, marked, links, here
         name, out, part = stack.pop()
+        opened[name] -= 1
         always -= out
         links -= name == "a"
         marked -= name in CONTENT_ROLES and part < 0
@@ -153,17 +162,21 @@ def tokens(page: str) -> tuple[list[tuple[str, str, bool]], list[bool]]:
         at = m.end()
         if not m[2]:
             continue
+        if not m[4]:  # the page was cut in this tag
+            break
         name = m[2].lower()
         if not m[1]:
             if name in _RAW_END:
                 if not m[3].endswith("/"):
-                    close = _RAW_END[name].search(page, at)
+                    close = None if name in unclosed else _RAW_END[name].search(page, at)
+                    if close is None:
+                        unclosed.add(name)
                     block = None if close else _NEXT_BLOCK.search(page, at)
                     at = close.end() if close else block.start() if block else end
                 continue
             kind = part_kind(name, m[3])
             if name == "body" or name in BLOCKS_OF_BODY and stack and stack[-1][0] == "head":
-                while any(n == "head" for n, *_ in stack):
+                while opened["head"]:
                     pop()
             if name not in _VOID_SET:
                 part = -1
@@ -171,12 +184,13 @@ def tokens(page: str) -> tuple[list[tuple[str, str, bool]], list[bool]]:
                     named.append(_Part(kind, here, marked > 0))
                     part = here = len(named) - 1
                 stack.append((name, kind == "always", part))
+                opened[name] += 1
                 always += kind == "always"
                 links += name == "a"
                 marked += name in CONTENT_ROLES and part < 0
             add("part" if kind else "block" if name in _BLOCK_SET else "inline", "")
         else:
-            if any(n == name for n, *_ in stack):
+            if opened[name]:
                 # a block's end closes what is open in it; an inline end never closes a block
                 while stack[-1][0] != name:
                     if name not in _BLOCK_SET and stack[-1][0] in _BLOCK_SET:
@@ -185,6 +199,10 @@ def tokens(page: str) -> tuple[list[tuple[str, str, bool]], list[bool]]:
                 if stack[-1][0] == name:
                     pop()
             add("block" if name in _BLOCK_SET else "inline", "")
+    for x in reversed(named):  # what is in a part is in those around it, which come before it
+        if x.up >= 0:
+            up = named[x.up]
+            up.words, up.linked, up.in_mark = up.words + x.words, up.linked + x.linked, up.in_mark + x.in_mark
     return _settled(found, named)
 
 
@@ -201,6 +219,27 @@ def _settled(found: list[tuple[str, str, bool, int, bool]], named: list[_Part])
     return out, [x[4] for x in found]
 
 
+def charged(found: list[tuple[str, str, bool]]) -> list[str | None]:
+    """What each token counts as: text as itself, and a run of tags with no word between as one, the strongest of them, at its
+    first tag. A cell of a table is no further from the next than a paragraph is, however many tags stand between."""
+    out: list[str | None] = []
+    run = -1  # where the run began
+    for kind, text, outside in found:
+        if kind in TEXT:
+            out.append(kind)
+            if text.strip():
+                run = -1
+            continue
+        kind = "block" if outside else kind
+        if run < 0:
+            run = len(out)
+            out.append(kind)
+        else:
+            out[run] = max(out[run], kind, key=_STRENGTH.get)
+            out.append(None)
+    return out
+
+
 def best_run(scores: list[float]) -> tuple[int, int]:
     """Start and end (exclusive) of the contiguous run with the largest sum; (0, 0) if no score is positive."""
     best = total = 0.0
@@ -220,7 +259,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
         return ""
     found, inside = tokens(page)
     # what is never content neither helps nor breaks a run: it is left out of the text
-    scores = [(0.0 if outside else weights[kind] * len(text.split())) if kind in TEXT else weights["block" if outside else kind] for kind, text, outside in found]
+    scores = [0.0 if kind is None or kind in TEXT and outside else weights[kind] * (len(text.split()) if kind in TEXT else 1) for kind, (_, text, outside) in zip(charged(found), found, strict=True)]
     if any(m and k in TEXT and not o and t.strip() for (k, t, o), m in zip(found, inside, strict=True)):
         # a page that marks its content: words inside count for a run, tags hardly, and what stands outside counts against it
         scores = [abs(s) if m and k in TEXT else s / 50 if m else -abs(s) for s, m, (k, *_) in zip(scores, inside, found, strict=True)]
@@ -238,8 +277,9 @@ def train(pages: DataFrame, rows: int = TRAIN_PAGES) -> dict[str, float]:
         for pdf in by_chars(batches, "html"):
             for page in pdf["html"]:
                 found, inside = tokens(page)
-                for (kind, text, outside), m in zip(found, inside, strict=True):
-                    sums[kind, m and not outside] += len(text.split()) if kind in TEXT else 1
+                for kind, (_, text, outside), m in zip(charged(found), found, inside, strict=True):
+                    if kind:
+                        sums[kind, m and not outside] += len(text.split()) if kind in TEXT else 1
         yield pd.DataFrame([(k, m, n) for (k, m), n in sums.items()], columns=["kind", "content", "n"])
 
     got = {(r["kind"], r["content"]): r["n"] for r in sample.select("html").mapInPandas(count, "kind string, content boolean, n long").groupBy("kind", "content").agg(F.sum("n").alias("n")).collect()}

@@ -61,3 +61,64 @@ def test_long_page():
 def test_no_pages(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert html.train(empty) == html.DEFAULT and html.main_text(empty, html.DEFAULT).count() == 0
+
+
+WORDS = "an ordinary sentence of the article with more than a few words"
+
+
+@pytest.mark.parametrize("tail", ['<a class="x" href="/p" rel="nofollow" target="_blank" title="cut', "<div class=main id=content role=main data-x=1", "<a " + "x" * 50, "<img src='a.png", '<img src="https://example.com/a.png', "<", "<!-- no end", "<!doctype", "</arti", "<a b='c"])
+def test_a_page_cut_in_a_tag(tail):
+    """The tag is markup: it is dropped, and what came before is kept."""
+    text = WORDS + (" <" if tail == "<" else "")
+    assert html.extract(f"<p>{WORDS}</p>{tail}", html.DEFAULT) == text
+    assert html.extract(f"<article><p>{WORDS}</p>{tail}", html.DEFAULT) == text
+
+
+def test_quotes_in_and_outside_of_values():
+    page = """<article><p title="a > b">one</p><p title='"'>two</p><p it's>three</p><p x = "a value>up to the next quote</p><p =">five</p><p y="never closed>six</p></article>"""
+    assert html.extract(page, html.DEFAULT) == "one two three five six"
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a "', "<a x='y\"", "<!", "<script>", "<script><p>", "<div class=menu>", "<div></b>", "<b><div>", "<style>a<p >", "<head>", "<a =", "<td>a"])
+def test_time_grows_with_the_page(unit):
+    """Pages of one repeated piece, cut anywhere: twice the page takes about twice the time."""
+    import time
+
+    def best(n):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            html.extract(unit * n + "<p", html.DEFAULT)
+            took.append(time.process_time() - began)
+        return min(took)
+
+    n = 100_000 // len(unit)
+    assert best(4 * n) < 8 * best(n) + 0.1
+
+
+def test_every_cut_of_a_page():
+    page = CASES[0][0] + CASES[14][0]
+    for i in range(len(page)):
+        text = html.extract(page[:i], html.DEFAULT)
+        assert "</" not in text and "class=" not in text and "href" not in text
+
+
+@pytest.mark.parametrize("cells", ["<table>" + "<tr><td>ab</td><td>12</td></tr>" * 40 + "</table>", "<ul>" + "<li><b>x</b></li>" * 50 + "</ul>", "<table><tbody>" + "<tr><th>k</th></tr>" * 9 + "</tbody></table>"])
+def test_unmarked_pages_keep_tables_and_lists(cells):
+    page = f"{NAV}<p>{WORDS}</p>{cells}<p>{WORDS}</p>"
+    inner = html.extract(f"<article>{cells}</article>", html.DEFAULT)
+    assert html.extract(page, html.DEFAULT) == f"{WORDS} {inner} {WORDS}"
+
+
+def test_pages_with_their_marks_taken_off(spark):
+    """The given pages as plain divisions give the text that their marks delimit."""
+    import os
+    import re
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    weights = html.train(pages)
+    for r in pages.collect():
+        bare = re.sub(r"<(/?)(article|main)\b", r"<\1div", r["html"], flags=re.I)
+        assert html.extract(bare, weights) == html.extract(r["html"], weights)
