@@ -45,8 +45,8 @@ COMPARISON_HINTS = ("以上", "以下", "未満", "超え", "より", "に対し
 CAUSAL_HINTS = ("ため", "により", "原因", "結果", "ことから", "ゆえ")
 TEMPORAL_HINTS = ("まず", "次に", "最後に", "後", "前", "までに", "経過", "順序")
 NEGATION_HINTS = ("ない", "禁止", "除く", "適用しない", "してはならない")
-LIST_LINE = r"^\s*(?:[-*・]|[0-9]+[.)]|[①-⑳])"
-NUMBER = r"[0-9]+(?:\.[0-9]+)?"
+LIST_LINE = r"^\s*(?:[-*・]|\p{Nd}+[.)]|[①-⑳])"
+NUMBER = r"\p{Nd}+(?:\.\p{Nd}+)?"
 
 # Identifiers of standards, and parts of regulations.
 REFERENCES = (
