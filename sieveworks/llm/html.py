@@ -62,7 +62,7 @@ CONTENT_ROLES = ("article", "main")
 # No part of a pattern is tried twice on the same characters. A quote opens a value after an equals sign only, and a tag, comment or
 # declaration that nothing closes takes the rest of the page: so a page is read once, wherever it was cut.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"</?\Z|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)(>|\Z)",
     re.S,
 )
