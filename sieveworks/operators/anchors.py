@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .. import dims
 from ..functions.rules import aspect_fits
-from . import items, similarity
+from . import partners, similarity
 
 # How the anchors of an aspect are joined, how many there are, and the least similarity; others stand alone.
 STRATEGIES = {
@@ -59,11 +58,12 @@ def _partners(firsts: DataFrame, chunks: DataFrame, vectors: DataFrame | None) -
     of = lambda how: rows.where(F.col("how") == how).select("request_id", "attempt", "chunk_id", "n", "least")
     keep = ("request_id", "attempt", "place", "partner")
     spots = chunks.select("chunk_id", "doc_id", "position")
-    remote = items.remote_partners(chunks).join(spots, ["doc_id", "position"])
+    remote = partners.remote_by_section(chunks).join(spots, ["doc_id", "position"])
     remote = remote.join(spots.select("doc_id", F.col("position").alias("partner"), F.col("chunk_id").alias("other")), ["doc_id", "partner"])
     out = of("remote").join(remote.select("chunk_id", F.col("other").alias("partner")), "chunk_id").withColumn("place", F.lit(1)).select(*keep)
-    held = items.followed_references(chunks.select("chunk_id", F.col("references").alias("refs")))
-    followed = held.groupBy("chunk_id").agg(F.min(F.struct((~F.col("ref").rlike(dims.SPECIFIC_REFERENCE)).alias("vague"), "ref", "target"))["target"].alias("partner"))
+    held = partners.reference_partners(chunks.select("chunk_id", F.col("references").alias("refs")))
+    # specific references first; of several one by the hash that also orders them
+    followed = held.groupBy("chunk_id").agg(F.min(F.struct((~F.col("specific")).alias("vague"), partners.hashed("ref", "chunk_id").alias("order"), "target"))["target"].alias("partner"))
     out = out.unionByName(of("reference").join(followed, "chunk_id").withColumn("place", F.lit(1)).select(*keep))
     if vectors is None:
         return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import plain_doc_id, squeeze
+from .partners import within
 
 
 def resolve_anchors(quotes: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -84,10 +85,7 @@ def followed_references(chunks: DataFrame) -> DataFrame:
     hold which is found through their substrings; an inverted index keeps the first two holders of each, which serve all others.
     """
     held = chunks.select("chunk_id", F.explode(F.array_distinct("refs")).alias("ref")).where("ref <> ''")
-    known = held.select("ref").distinct()
-    n = F.length("whole")
-    inner = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substr("whole", i, k))))
-    parts = known.select(F.col("ref").alias("whole")).select("whole", F.explode(F.array_distinct(inner)).alias("ref")).join(known, "ref")
+    parts = within(held.select("ref").distinct())
     has = held.withColumnRenamed("ref", "whole").join(parts, "whole")
     first = has.groupBy("ref").agg(F.min("chunk_id").alias("first"), F.max("chunk_id").alias("last"))
     second = has.join(first.where("first <> last"), "ref").where("chunk_id <> first").groupBy("ref").agg(F.min("chunk_id").alias("second"), F.min("first").alias("first"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import dims, schemas
 from ..functions import rules, text
-from ..operators import asking, chunking, reports, similarity
+from ..operators import asking, chunking, partners, reports, similarity
 from ..operators import items as ops
 from ..sources import files
 from . import jobs
@@ -260,6 +260,32 @@ def ref_follow_pairs(spark, sf_dir):
     return ops.followed_references(chunks)
 
 
+def _sectioned(spark, sf_dir) -> DataFrame:
+    """Chunks in sections named after the kind of their text's first letter; a third of them has no section."""
+    first = F.ascii("text") % 3
+    return _window_chunks(spark, sf_dir).withColumn("section_path", F.when(first > 0, F.array(F.concat(F.lit("part "), first.cast("string")), F.lit("x"))))
+
+
+@query("WITH " + _CHUNK_SQL + """, s AS (SELECT doc_id, position, chunk_id, ascii(text)%3 AS top FROM c),
+near AS (SELECT a.doc_id, a.position, b.position AS partner, a.top<>b.top AS other FROM s a JOIN s b ON a.doc_id=b.doc_id AND abs(a.position-b.position)>=3),
+best AS (SELECT *, max(other) OVER (PARTITION BY doc_id, position) AS any_other FROM near),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, position ORDER BY partner)-1 AS r, count(*) OVER (PARTITION BY doc_id, position) AS n FROM best WHERE other = any_other)
+SELECT doc_id, position, partner, other AS other_section FROM ranked WHERE r = ('0x' || substr(md5('42:' || doc_id || ':' || position),1,8))::BIGINT % n""")
+def remote_other_section(spark, sf_dir):
+    """One partner for each chunk, three or more places off in its document, of another section where there is one."""
+    return partners.remote_by_section(_sectioned(spark, sf_dir))
+
+
+@query(_REF_CHUNKS_SQL + f""", u AS (SELECT DISTINCT ref FROM h), g AS (SELECT DISTINCT h.chunk_id, u.ref FROM h JOIN u ON contains(h.ref, u.ref)),
+ring AS (SELECT ref, chunk_id, row_number() OVER (PARTITION BY ref ORDER BY md5('42:' || ref || ':' || chunk_id), chunk_id)-1 AS r, count(*) OVER (PARTITION BY ref) AS holders FROM g),
+asks AS (SELECT h.chunk_id, h.ref, holders, (r + 1 + ('0x' || substr(md5('42:step:' || h.ref || ':' || h.chunk_id),1,8))::BIGINT % (holders-1)) % holders AS r FROM h JOIN ring USING (ref, chunk_id) WHERE holders > 1)
+SELECT a.chunk_id, a.ref, regexp_matches(a.ref, '{dims.SPECIFIC_REFERENCE}') AS specific, a.holders, ring.chunk_id AS target FROM asks a JOIN ring ON ring.ref=a.ref AND ring.r=a.r""")
+def reference_partners(spark, sf_dir):
+    """One of all other holders for each reference of each chunk."""
+    chunks = _window_chunks(spark, sf_dir).select("chunk_id", text.references(F.col("text"), _ASCII_REFS).alias("refs"))
+    return partners.reference_partners(chunks)
+
+
 # ---------------------------------------------------------------- vectors
 
 def _vectors(spark, sf_dir) -> DataFrame:
