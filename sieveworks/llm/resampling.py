@@ -3,8 +3,8 @@
 Features are all runs of one and two consecutive words. Each task builds a trie of the words it meets: a node stands for a word
 after the words on its path, and holds its count and its CRC state, from which the CRCs of its children go on. A task's bucket
 totals are summed over the cluster to one row a bucket. With them each bucket gets a gain, how much likelier the target
-holds it than the documents do, and documents are scored by walking a trie whose nodes hold gains. A trie that has grown to
-NODES nodes is emptied into the totals and begun anew, so a task's memory is bounded, whatever it reads.
+holds it than the documents do, and documents are scored by walking the trie with the gains of its nodes. Nodes of the second
+level are counted out after each batch of texts, and a trie of NODES words is begun anew, so a task's memory is bounded.
 
 A document's score is the floored mean gain of its features plus Gumbel noise that a hash of its id decides; the documents
 with the highest scores are a sample without replacement in which the weights are the odds. They are ranked over the cluster:
@@ -17,6 +17,7 @@ alone. Only A to Z are lower-cased. Extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import zlib
@@ -34,7 +35,7 @@ BUCKETS = 10_000
 LEAST_WORDS = 20
 PERCENT = 25
 SEED = 7
-#: Nodes of a task's trie before it is begun anew.
+#: Words of a task's trie before it is begun anew.
 NODES = 1_000_000
 #: Neighbouring scores that are ranked in one group.
 RANKED = 8
@@ -43,52 +44,74 @@ RANKED = 8
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
+class Words(dict):
+    """Numbers of words, in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Trie:
-    """Words and pairs of words. A node's value comes from `value(crc)` when it is made: its bucket, or its bucket's gain."""
+    """A task's words and, for one batch of texts at a time, the words that follow them.
+
+    The root's children are kept from batch to batch, each with its CRC. The nodes below them are made for each batch, sorted by
+    (parent, word), each with its count; its CRC goes on from its parent's: what a further word does to a CRC depends on the
+    word's CRC and length only, so the CRCs of all nodes are made at once, from a table for each length.
+    """
 
-    def __init__(self, value):
-        self.value, self.ids, self.crcs, self.words, self.first = value, {}, [], [], []
-        self.second: dict[int, int] = {}  # of a pair, its two words' numbers in one key: the child's value
+    def __init__(self):
+        self.ids = Words()
+        self.crcs = np.zeros(0, np.uint32)  # of the word alone
+        self.tails = np.zeros(0, np.uint32)  # of the word after a space
+        self.sizes = np.zeros(0, np.int64)  # which table shifts a CRC past the space and the word
+        self.lengths: dict[int, int] = {}
+        self.shifts = np.zeros((0, 4, 256), np.uint32)
 
     def __len__(self) -> int:
-        return len(self.ids) + len(self.second)
-
-    def numbers(self, words: list[bytes]) -> list[int]:
-        """The numbers of the root's children; new words become nodes."""
-        ids, out = self.ids, []
-        for word in words:
-            i = ids.get(word)
-            if i is None:
-                i = ids[word] = len(self.words)
-                crc = zlib.crc32(word)
-                self.words.append(b" " + word)
-                self.crcs.append(crc)
-                self.first.append(self.value(crc))
-            out.append(i)
-        return out
-
-    def children(self, pairs: np.ndarray) -> list[int]:
-        """The values of the nodes below the first words of these (distinct) pairs; a new child's CRC goes on from its parent's."""
-        second, out = self.second, []
-        for pair in pairs.tolist():
-            x = second.get(pair)
-            if x is None:
-                x = second[pair] = self.value(zlib.crc32(self.words[pair & 0xFFFFFFFF], self.crcs[pair >> 32]))
-            out.append(x)
-        return out
-
-    def walk(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of these texts the values of all words and of all pairs (one less in each text with words), and the counts of words."""
+        return len(self.ids)
+
+    def _grow(self) -> None:
+        new = list(itertools.islice(self.ids, len(self.crcs), None))
+        if not new:
+            return
+        fill = lambda f, kind: np.fromiter(map(f, new), kind, len(new))
+        self.crcs = np.concatenate([self.crcs, fill(zlib.crc32, np.uint32)])
+        self.tails = np.concatenate([self.tails, fill(lambda w: zlib.crc32(w, zlib.crc32(b" ")), np.uint32)])
+        tables = [shift_table(n + 1) for n in dict.fromkeys(map(len, new)) if n not in self.lengths and self.lengths.setdefault(n, len(self.lengths)) >= 0]
+        if tables:
+            self.shifts = np.concatenate([self.shifts, np.stack(tables)])
+        self.sizes = np.concatenate([self.sizes, fill(lambda w: self.lengths[len(w)], np.int64)])
+
+    def walk(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For a batch of texts: the CRC of each word in order; the CRCs of the nodes of depth 2 and their counts; the node of each
+        pair in order (one less than words in each text with words); and how many words each text has."""
         found = [_WORD.findall(x.lower()) for x in texts]
         n = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.array(self.numbers([w for words in found for w in words]), np.int64)
+        ids = np.fromiter(map(self.ids.__getitem__, itertools.chain.from_iterable(found)), np.int64, int(n.sum()))
+        self._grow()
         if not len(ids):
-            return ids, ids, n
-        begins = np.cumsum(n)[n > 0] - n[n > 0]
+            return np.zeros(0, np.uint32), np.zeros(0, np.uint32), ids, ids, n
         within = np.ones(len(ids), bool)
-        within[begins] = False
-        pairs, which = np.unique((ids[:-1] << 32 | ids[1:])[within[1:]], return_inverse=True)
-        return np.array(self.first, np.int64)[ids], np.array(self.children(pairs), np.int64)[which], n
+        within[np.cumsum(n)[n > 0] - n[n > 0]] = False  # a text's first word follows none
+        pairs, which, counts = np.unique((ids[:-1] << 32 | ids[1:])[within[1:]], return_inverse=True, return_counts=True)
+        parent, word = self.crcs[pairs >> 32], pairs & 0xFFFFFFFF
+        crcs, table = self.tails[word], self.sizes[word]
+        for i in range(4):
+            crcs ^= self.shifts[table, i, parent >> np.uint32(8 * i) & np.uint32(255)]
+        return self.crcs[ids], crcs, counts, which, n
+
+
+def shift_table(n: int) -> np.ndarray:
+    """What n more bytes make of each byte of a CRC: four tables of 256. The CRC of two strings is the first one's, shifted by the
+    second's length, xor the second's."""
+    zeros = bytes(n)
+    bits = [zlib.crc32(zeros, 1 << i) ^ zlib.crc32(zeros) for i in range(32)]
+    out = np.zeros((4, 256), np.uint32)
+    for i, x in enumerate(bits):
+        part, bit = out[i // 8], 1 << i % 8
+        part[bit : 2 * bit] = part[:bit] ^ np.uint32(x)
+    return out
 
 
 def _bytes(df: DataFrame) -> DataFrame:
@@ -99,13 +122,13 @@ def totals(df: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """bucket and n: how often all texts hold a feature of the bucket. One row a bucket at most."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums, trie = np.zeros(buckets, np.int64), Trie(lambda crc: crc % buckets)
+        sums, trie = np.zeros(buckets, np.int64), Trie()
         for pdf in by_chars(batches):
-            words, pairs, _ = trie.walk(pdf["text"].tolist())
-            for values in (words, pairs):
-                sums += np.bincount(values, minlength=buckets)
+            words, nodes, counts, _, _ = trie.walk(pdf["text"].tolist())
+            sums += np.bincount(words % buckets, minlength=buckets)
+            np.add.at(sums, nodes % buckets, counts)
             if len(trie) > NODES:
-                trie = Trie(trie.value)
+                trie = Trie()
         some = np.flatnonzero(sums)
         yield pd.DataFrame({"bucket": some, "n": sums[some]})
 
@@ -122,18 +145,18 @@ def weights(docs: DataFrame, gain: list[int]) -> DataFrame:
     """doc_id, n_words, n_features and weight of each document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie = Trie(lambda crc: gain[crc % len(gain)])
+        trie, of = Trie(), np.array(gain, np.int64)
         for pdf in by_chars(batches):
-            words, pairs, n = trie.walk(pdf["text"].tolist())
+            words, nodes, _, which, n = trie.walk(pdf["text"].tolist())
             m = np.maximum(n - 1, 0)
             total = np.zeros(len(n), np.int64)
-            for values, each in ((words, n), (pairs, m)):
+            for values, each in ((of[words % len(of)], n), (of[nodes % len(of)][which], m)):
                 sums = np.concatenate([[0], np.cumsum(values)])
                 ends = np.cumsum(each)
                 total += sums[ends] - sums[ends - each]
             yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n_words": n, "n_features": n + m, "weight": total // np.maximum(n + m, 1)})
             if len(trie) > NODES:
-                trie = Trie(trie.value)
+                trie = Trie()
 
     rows = _bytes(docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text"))
     return rows.mapInPandas(run, "doc_id string, n_words long, n_features long, weight long").withColumn("doc_id", F.col("doc_id").cast("long"))

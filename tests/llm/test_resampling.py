@@ -58,13 +58,28 @@ def test_brute_force(spark):
     assert got(spark, docs, target) == brute(docs, target)
 
 
+def test_crcs_go_on_from_their_parents():
+    rng = random.Random(6)
+    texts = [bytes(rng.choices(b"ab  \xc3\xa9xyz", k=rng.choice([0, 3, 40, 3000]))) for _ in range(20)]
+    trie = resampling.Trie()
+    for batch in (texts[:7], [], texts[7:]):
+        words, nodes, counts, which, n = trie.walk(batch)
+        found = [re.findall(rb"[0-9a-z\x80-\xff]+", x) for x in batch]
+        assert words.tolist() == [zlib.crc32(w) for x in found for w in x] and n.tolist() == [len(x) for x in found]
+        pairs = [a + b" " + b for x in found for a, b in zip(x, x[1:], strict=False)]
+        assert nodes[which].tolist() == [zlib.crc32(x) for x in pairs] if pairs else not len(which)
+        assert sorted(counts.tolist()) == sorted(Counter(pairs).values())
+    assert zlib.crc32(b"left" + b"right!") == int(shift(zlib.crc32(b"left"), 6)) ^ zlib.crc32(b"right!")
+
+
+def shift(crc, n):
+    table = resampling.shift_table(n)
+    return table[0][crc & 255] ^ table[1][crc >> 8 & 255] ^ table[2][crc >> 16 & 255] ^ table[3][crc >> 24]
+
+
 def test_a_trie_that_is_begun_anew_changes_nothing(spark, monkeypatch):
     docs, target = some(3, 120), [t for _, t in some(4, 9)]
     want = brute(docs, target)
-    trie = resampling.Trie(lambda crc: crc)
-    first, second, n = trie.walk([b"a b a b", b"", b"b a"])
-    assert (len(trie), n.tolist()) == (4, [4, 0, 2])
-    assert second.tolist() == [zlib.crc32(x) for x in (b"a b", b"b a", b"a b", b"b a")]
     monkeypatch.setattr(resampling, "NODES", 3)
     monkeypatch.setattr(resampling, "by_chars", lambda batches: (pdf.iloc[i : i + 1] for pdf in batches for i in range(len(pdf))))
     assert got(spark, docs, target) == want
