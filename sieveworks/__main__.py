@@ -15,7 +15,7 @@ from .operators import anchors, asking
 from .plans import jobs, requests
 from .session import session
 from .sources import files
-from .streaming.verification import unverified
+from .streaming.verification import verify_new
 
 
 def _client(path: str):
@@ -64,6 +64,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     p = command("verify", "in", "chunks", "vectors", "prompts", "client", "embed", "replies", "out")
     p.add_argument("--models", nargs=2, required=True, metavar=("ANSWER", "JUDGE"))
     p.add_argument("--top-k", type=int, default=5)
+    p.add_argument("--batch-size", type=int, default=200, help="items that are verified and written together")
     p = command("probe", "in", "prompts", "client", "replies", "out")
     p.add_argument("--models", nargs=2, required=True, metavar=("PROBE", "JUDGE"))
     command("review", "in", "events", "out")
@@ -84,9 +85,10 @@ SCORES = ("answerability", "leakage", "grounding", "uniqueness", "difficulty_mat
 
 
 def _gate(args: argparse.Namespace, rows: DataFrame, columns: list[str], **more) -> None:
-    kept, dropped = jobs.gate(rows, reject_too_easy=args.reject_too_easy, rag_fail=args.rag_fail, rag_hit=args.rag_hit, rationale_retrieved=args.rationale_retrieved, **more)
-    files.write_qa(kept.withColumn("filter_scores", F.struct(*SCORES)).select(*columns), f"{args.out}/kept")
-    dropped.select("qa_id", "reasons").write.mode("overwrite").json(f"{args.out}/dropped")
+    scored = rows.withColumn("filter_scores", F.struct(*SCORES))
+    kept, dropped = jobs.gate(scored, reject_too_easy=args.reject_too_easy, rag_fail=args.rag_fail, rag_hit=args.rag_hit, rationale_retrieved=args.rationale_retrieved, **more)
+    files.write_qa(kept.select(*columns), f"{args.out}/kept")
+    files.write_qa(dropped.select(*columns, "reasons"), f"{args.out}/dropped")  # with their scores: another gate can take them back
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -123,11 +125,13 @@ def main(argv: list[str] | None = None) -> None:
         _gate(args, qa.select("*", *[f"filter_scores.{f}" for f in SCORES]), qa.columns)
     elif args.command == "verify":
         qa, chunks = files.qa(spark, args.source), files.chunks(spark, args.chunks)
-        if files.exists(spark, args.out):  # what an earlier run has verified is not asked again
-            qa = unverified(qa, files.qa(spark, args.out))
-        found = jobs.retrieve(qa, chunks, spark.read.parquet(args.vectors), _client(args.embed), args.top_k)
-        done = jobs.verify(qa, found, _client(args.client), tuple(args.models), asking.sections(_text(spark, args.prompts)), args.replies, args.top_k)
-        qa.drop("rag_verification").join(done, "qa_id").write.mode("append").json(args.out)
+        vectors, prompts = spark.read.parquet(args.vectors), asking.sections(_text(spark, args.prompts))
+
+        def verified(batch: DataFrame) -> DataFrame:
+            found = jobs.retrieve(batch, chunks, vectors, _client(args.embed), args.top_k)
+            return batch.drop("rag_verification").join(jobs.verify(batch, found, _client(args.client), tuple(args.models), prompts, args.replies, args.top_k), "qa_id")
+
+        print(f"{verify_new(qa, args.out, verified, args.batch_size)} items were new")
     elif args.command == "probe":
         qa = files.qa(spark, args.source)
         known = jobs.probe(qa, _client(args.client), tuple(args.models), asking.sections(_text(spark, args.prompts)), args.replies)

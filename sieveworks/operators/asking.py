@@ -1,13 +1,15 @@
 """Language and embedding models behind injected clients.
 
 A client is any callable that can be pickled: client(prompt, model) -> reply text, or embed(texts) -> vectors. Replies are
-written to a table before anything is computed from them, so that no question is asked twice when a plan runs again.
+written to a table before anything is computed from them (`answered`), so that no question is asked twice, whether a plan or a
+job runs again.
 """
 
 from __future__ import annotations
 
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions import rules
 from ..functions.text import is_unable, parsed
+from ..session import entries
 
 Client = Callable[[str, str], str]
 PERSPECTIVES = ("ANSWERABILITY", "LEAKAGE", "GROUNDING", "DIFFICULTY_MATCH")
@@ -54,6 +57,44 @@ def ask(rows: DataFrame, client: Client, model: str, prompt: str, reply: str, at
     return (rows.repartition(at_once) if at_once else rows).mapInPandas(run, schema)
 
 
+REPLIES = "digest string, model string, prompt string, reply string"
+
+
+def digest(model: str, prompt: Column) -> Column:
+    """What a reply is kept under: a hash of the model's name and the prompt."""
+    return F.sha2(F.concat(F.lit(f"{len(model)}:{model}:"), prompt), 256)
+
+
+def answered(rows: DataFrame, client: Client, model: str, prompt: str, reply: str, store: str, attempts: int = 6, at_once: int | None = None, batch: int = 10_000) -> DataFrame:
+    """rows with the reply to each prompt, as `ask` gives them, out of the folder `store`; what it lacks is asked first and added.
+
+    Replies are kept by model and prompt: a prompt that several rows share is asked once, one that an earlier run has asked is not
+    asked again, and a failure is no reply and is asked again by the next run. Prompts are asked in batches and the replies of
+    each are on disk, in a folder of their own, before the next begins, so a run that dies loses those of one batch. The store may
+    be shared by jobs; of replies that two runs at once have added for one prompt the least counts.
+    """
+    spark = rows.sparkSession
+    key = "_digest"
+    rows = rows.withColumn(key, digest(model, F.col(prompt)))
+    todo = rows.where(F.col(prompt).isNotNull()).groupBy(F.col(key).alias("digest")).agg(F.min(prompt).alias("prompt"))
+    # by name: Spark takes two reads of one folder for the same, whatever was added to it in between
+    kept = lambda: entries(spark, store)
+    if kept():
+        todo = todo.join(spark.read.schema(REPLIES).parquet(*kept()).select("digest").distinct(), "digest", "left_anti")
+    waiting = f"{store.rstrip('/')}/_asked/{uuid.uuid4().hex}"  # Spark's readers skip names that begin with an underscore
+    todo.write.parquet(waiting)
+    todo = spark.read.schema("digest string, prompt string").parquet(waiting)
+    rounds = -(-todo.count() // batch)
+    for i in range(rounds):
+        part = todo.where(F.pmod(F.xxhash64("digest"), F.lit(rounds)) == i)
+        got = ask(part, client, model, "prompt", "reply", attempts, at_once).where("reply is not null")
+        got.select("digest", F.lit(model).alias("model"), "prompt", "reply").write.parquet(f"{store.rstrip('/')}/{uuid.uuid4().hex}")
+    if not kept():
+        return rows.withColumn(reply, F.lit(None).cast("string")).drop(key)
+    known = spark.read.schema(REPLIES).parquet(*kept()).groupBy(F.col("digest").alias(key)).agg(F.min("reply").alias(reply))
+    return rows.join(known, key, "left").drop(key)
+
+
 def embedded(rows: DataFrame, embed: Callable[[list[str]], list[list[float]]], text: str, vector: str, batch: int = 256) -> DataFrame:
     """rows with a vector of each text; null for all of a batch that fails."""
     schema = rows.withColumn(vector, F.lit(None).cast("array<double>")).schema

@@ -37,16 +37,15 @@ def _ordered(chunks: DataFrame) -> DataFrame:
 
 
 def judged(qa: DataFrame, chunks: DataFrame, client: asking.Client, model: str, prompts: dict[str, str], replies: str, embed: Callable | None = None) -> DataFrame:
-    """items with all filter scores. Replies are kept in the folder `replies`: other thresholds ask nothing again."""
-    spark = qa.sparkSession
+    """items with all filter scores. Replies are kept in the folder `replies` by model and prompt: a later run, as with other
+    thresholds or more items, asks only what is new."""
     quotes = _quotes(qa)
     anchors = items.resolve_anchors(quotes, _ordered(chunks))
     blocks = anchors.groupBy("qa_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("quote_no", "text"))), lambda x: x["text"]), "\n\n").alias("anchors"))
     prompts_df = asking.judge_prompts(
         qa.join(blocks, "qa_id", "left").select("qa_id", "question", "answer", F.array_join(F.transform("rationale", lambda r: r["text"]), "\n").alias("rationale_text"), "anchors"), prompts
     )
-    asking.ask(prompts_df, client, model, "prompt", "reply").select("qa_id", "perspective", "reply").write.mode("overwrite").parquet(replies)
-    scores = asking.collated(spark.read.parquet(replies))
+    scores = asking.collated(asking.answered(prompts_df, client, model, "prompt", "reply", replies).select("qa_id", "perspective", "reply"))
     out = asking.scored(qa.drop("filter_scores"), scores).join(items.grounding(quotes, anchors), "qa_id", "left")
     out = out.withColumn("rationale_grounded", F.coalesce("rationale_grounded", F.lit(0.0)))
     if embed is None:
@@ -87,22 +86,20 @@ def retrieve(qa: DataFrame, chunks: DataFrame, vectors: DataFrame, embed: Callab
 def verify(qa: DataFrame, retrieved: DataFrame, client: asking.Client, models: tuple[str, str], prompts: dict[str, str], replies: str, k: int = 5) -> DataFrame:
     """qa_id and rag_verification of each item: what was found, what the model answered from it, and what the judge says.
 
-    The judge is asked only about answers that say something; both replies are kept in the folder `replies`.
+    The judge is asked only about answers that say something; all replies are kept in the folder `replies` by model and prompt.
     """
-    spark = qa.sparkSession
     hits = items.retrieval_hits(_quotes(qa), retrieved)
     block = F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "page", "section_path", "text")))
     found = retrieved.groupBy("qa_id").agg(block.alias("found"))
     rows = qa.select("qa_id", "question", "answer").join(found, "qa_id", "left")
     prompt = asking.rendered(prompts["RAG_ANSWER"], chunks_block=page_blocks(F.col("found")), question=F.col("question"))
     rows = rows.withColumn("prompt", F.when(F.col("found").isNotNull(), prompt))
-    asking.ask(rows.select("qa_id", "prompt"), client, models[0], "prompt", "reply").write.mode("overwrite").parquet(f"{replies}/answers")
-    said = spark.read.parquet(f"{replies}/answers").select("qa_id", F.coalesce(F.trim(parsed(F.col("reply"), "answer string")["answer"]), F.lit("")).alias("rag_answer"))
-    rows = rows.drop("prompt").join(said, "qa_id")
+    rows = asking.answered(rows, client, models[0], "prompt", "reply", replies)
+    said = F.coalesce(F.trim(parsed(F.col("reply"), "answer string")["answer"]), F.lit(""))
+    rows = rows.withColumn("rag_answer", said).drop("prompt", "reply")
     judge = asking.rendered(prompts["JUDGE"], ground_truth=F.col("answer"), candidate=F.col("rag_answer"))
-    todo = rows.where(~is_unable(F.col("rag_answer"))).select("qa_id", judge.alias("prompt"))
-    asking.ask(todo, client, models[1], "prompt", "judge_reply").write.mode("overwrite").parquet(f"{replies}/verdicts")
-    rows = asking.verdicts(rows.join(spark.read.parquet(f"{replies}/verdicts").select("qa_id", "judge_reply"), "qa_id", "left")).join(hits, "qa_id", "left")
+    rows = rows.withColumn("prompt", F.when(~is_unable(F.col("rag_answer")), judge))
+    rows = asking.verdicts(asking.answered(rows, client, models[1], "prompt", "judge_reply", replies)).join(hits, "qa_id", "left")
     doc, part = (F.coalesce(c, F.lit(False)) for c in ("hit_doc", "hit_chunk"))
     return rows.select(
         "qa_id",
@@ -116,14 +113,12 @@ def verify(qa: DataFrame, retrieved: DataFrame, client: asking.Client, models: t
 
 def probe(qa: DataFrame, client: asking.Client, models: tuple[str, str], prompts: dict[str, str], replies: str) -> DataFrame:
     """qa_id and llm_knowledge: whether a model answers an item without any document."""
-    spark = qa.sparkSession
     asked = qa.select("qa_id", "answer", asking.rendered(prompts["PROBE"], question=F.col("question")).alias("prompt"))
-    asking.ask(asked, client, models[0], "prompt", "reply").write.mode("overwrite").parquet(f"{replies}/answers")
-    rows = spark.read.parquet(f"{replies}/answers").withColumn("candidate", parsed(F.col("reply"), "answer string")["answer"])
+    rows = asking.answered(asked, client, models[0], "prompt", "reply", replies)
+    rows = rows.withColumn("candidate", parsed(F.col("reply"), "answer string")["answer"]).drop("prompt")
     judge = asking.rendered(prompts["JUDGE"], ground_truth=F.col("answer"), candidate=F.col("candidate"))
-    todo = rows.where(F.coalesce(~F.trim("candidate").isin("", "不明"), F.lit(False))).select("qa_id", judge.alias("prompt"))
-    asking.ask(todo, client, models[1], "prompt", "judge_reply").write.mode("overwrite").parquet(f"{replies}/verdicts")
-    rows = rows.join(spark.read.parquet(f"{replies}/verdicts").select("qa_id", "judge_reply"), "qa_id", "left")
+    blank = F.coalesce(F.trim("candidate").isin("", "不明"), F.lit(True))
+    rows = asking.answered(rows.withColumn("prompt", F.when(~blank, judge)), client, models[1], "prompt", "judge_reply", replies)
     return asking.knowledge(rows).select("qa_id", "llm_knowledge")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -18,3 +20,34 @@ def session(name: str = "sieveworks", **conf: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def path_of(spark: SparkSession, place: str):
+    """The file system of a path, and the path's full name."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, system.makeQualified(path).toString()
+
+
+def exists(spark: SparkSession, place: str) -> bool:
+    system, name = path_of(spark, place)
+    return system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name))
+
+
+def entries(spark: SparkSession, place: str) -> list[str]:
+    """What a folder holds, in order of names, without what Spark's readers skip; nothing where there is no folder."""
+    system, name = path_of(spark, place)
+    found = system.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{name}/[!_.]*"))
+    return sorted(str(f.getPath()) for f in found or ())
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which driver and executors share. A local session without one gets a temporary
+    folder; on a cluster that would be another one on each machine, so it is an error there."""
+    place = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.sieveworks.folder", None)
+    if not place:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        place = "file://" + tempfile.mkdtemp(prefix="sieveworks-")
+        spark.conf.set("spark.sieveworks.folder", place)
+    return place

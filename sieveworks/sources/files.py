@@ -11,24 +11,13 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.chunking import chunk_documents, layout_pages
+from ..session import path_of
 
 
 def _stem(path):
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
-def _path(spark: SparkSession, place: str):
-    """The file system of a path, and the path's full name."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system, system.makeQualified(path).toString()
-
-
-def exists(spark: SparkSession, place: str) -> bool:
-    system, name = _path(spark, place)
-    return system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name))
-
-
 def documents(spark: SparkSession, place: str) -> DataFrame:
     """path, doc_id, format and text of all .txt and .md files below a folder; cached layouts (*.di.md) are no documents.
 
@@ -97,9 +86,9 @@ def qa_lenient(spark: SparkSession, place: str | list[str], track: str = "all")
 
 def write_qa(items: DataFrame, out: str) -> None:
     """Replace a folder of items. Raises ValueError if they are read from it."""
-    place = _path(items.sparkSession, out)[1]
+    place = path_of(items.sparkSession, out)[1]
     for name in items.inputFiles():
-        read = _path(items.sparkSession, name)[1]
+        read = path_of(items.sparkSession, name)[1]
         if read == place or read.startswith(f"{place}/"):
             raise ValueError(f"{out} holds the input")
     items.write.mode("overwrite").json(out)
@@ -107,7 +96,7 @@ def write_qa(items: DataFrame, out: str) -> None:
 
 def newest(spark: SparkSession, pattern: str) -> str:
     """The last path in order of names that matches a glob pattern."""
-    system, _ = _path(spark, pattern)
+    system, _ = path_of(spark, pattern)
     found = system.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern))
     if not found:
         raise FileNotFoundError(pattern)

@@ -1,4 +1,4 @@
-"""Resumable verification: new files of items are verified in batches, and what is done stays done after a crash."""
+"""Verification that survives a crash: items land in files, each file is a micro-batch, and a batch that is done stays done."""
 
 from __future__ import annotations
 
@@ -8,6 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
+from ..session import entries, exists
+
+#: Below the folder of results; readers skip it.
+STATE = "_state"
+
+
+def land(items: DataFrame, landing: str, batch: int, files: int = 1_000) -> int:
+    """Write items, in order of their ids, to files of `batch` each at most; how many items there were. A task writes about
+    `files` files one after the other, so that they are also read in about that order."""
+    n = items.count()
+    if n:
+        dealt = items.repartitionByRange(-(-n // (batch * files)), "qa_id").sortWithinPartitions("qa_id")
+        dealt.write.option("maxRecordsPerFile", batch).mode("append").json(landing)
+    return n
 
 
 def verify_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, verify: Callable[[DataFrame], DataFrame], files: int = 16) -> StreamingQuery:
@@ -24,5 +38,23 @@ def verify_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
 
 
 def unverified(qa: DataFrame, done: DataFrame) -> DataFrame:
-    """Items that have no verification yet: where a batch job resumes."""
+    """Items that have no verification yet: where a job resumes."""
     return qa.join(done.select("qa_id").distinct(), "qa_id", "left_anti")
+
+
+def verify_new(qa: DataFrame, out: str, verify: Callable[[DataFrame], DataFrame], batch: int = 200) -> int:
+    """Verify those items that `out` lacks, in batches; how many there were.
+
+    What an earlier run has landed and not finished is finished first. The files, and the stream's progress, are below `out`
+    too, so that results and progress are kept or deleted together.
+    """
+    spark = qa.sparkSession
+    landing, progress = f"{out}/{STATE}/landing", f"{out}/{STATE}/progress"
+    run = lambda: verify_stream(spark, landing, out, progress, verify, files=1).awaitTermination()
+    if exists(spark, landing):
+        run()
+    todo = unverified(qa, spark.read.schema("qa_id string").json(out)) if entries(spark, out) else qa
+    n = land(todo, landing, batch)
+    if n:
+        run()
+    return n

@@ -11,7 +11,8 @@ from sieveworks import schemas
 from sieveworks.operators import asking
 from sieveworks.plans import jobs, requests
 from sieveworks.sources import files
-from sieveworks.streaming.verification import unverified, verify_stream
+from sieveworks.operators import sampling
+from sieveworks.streaming.verification import unverified, verify_new, verify_stream
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors can't import this file
 
@@ -166,3 +167,113 @@ def test_retries():
     assert asking.retried(fail, sleep=lambda s: None) == "ok"
     with pytest.raises(RuntimeError):
         asking.retried(lambda: (_ for _ in ()).throw(RuntimeError()), 2, sleep=lambda s: None)
+
+
+def counting(calls, reply="yes", dies_at=None):
+    """A client that leaves a file for each call; one that dies takes its task with it."""
+
+    def say(prompt, model):
+        import os
+        import uuid
+
+        if dies_at is not None and prompt == dies_at:
+            raise SystemExit
+        with open(os.path.join(calls, uuid.uuid4().hex), "w") as f:
+            f.write(f"{model} {prompt}")
+        if reply is None:
+            raise RuntimeError("down")
+        return f"{reply} {prompt}"
+
+    return say
+
+
+def said(calls):
+    return sorted(p.read_text() for p in calls.iterdir())
+
+
+def test_replies_are_kept_by_model_and_prompt(spark, tmp_path):
+    calls, store = tmp_path / "calls", str(tmp_path / "store")
+    calls.mkdir()
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, "")], "id int, p string")
+    ask = lambda rows, client, model="m", **more: {r["id"]: r["r"] for r in asking.answered(rows, client, model, "p", "r", store, 1, **more).collect()}
+    assert ask(rows, counting(str(calls), None)) == dict.fromkeys(range(1, 6))  # failures are not kept
+    assert len(said(calls)) == 3
+    want = {1: "yes a", 2: "yes b", 3: "yes a", 4: None, 5: "yes "}
+    assert ask(rows, counting(str(calls))) == want and len(said(calls)) == 6
+    assert ask(rows, counting(str(calls), "no")) == want and len(said(calls)) == 6
+    more = rows.union(spark.createDataFrame([(6, "c")], "id int, p string"))
+    assert ask(more, counting(str(calls), "no")) == want | {6: "no c"} and len(said(calls)) == 7
+    assert ask(rows, counting(str(calls), "other"), "n")[1] == "other a" and len(said(calls)) == 10
+    assert ask(rows.limit(0), counting(str(calls))) == {}
+
+
+def test_a_job_that_dies_keeps_the_replies_of_its_batches(spark, tmp_path):
+    calls, store = tmp_path / "calls", str(tmp_path / "store")
+    calls.mkdir()
+    rows = spark.createDataFrame([(i, f"p{i}") for i in range(12)], "id int, p string")
+    with pytest.raises(Exception):
+        asking.answered(rows, counting(str(calls), dies_at="p7"), "m", "p", "r", store, 1, batch=1)
+    folders = [str(p) for p in (tmp_path / "store").iterdir() if p.name[0] not in "_."]
+    before = {x["prompt"] for x in spark.read.parquet(*folders).collect()} if folders else set()
+    for p in calls.iterdir():
+        p.unlink()
+    got = asking.answered(rows, counting(str(calls)), "m", "p", "r", store, 1, batch=1).collect()
+    assert {r["id"]: r["r"] for r in got} == {i: f"yes p{i}" for i in range(12)}
+    assert set(said(calls)) == {f"m p{i}" for i in range(12)} - {f"m {x}" for x in before}
+
+
+def test_other_thresholds_ask_nothing(spark, tmp_path, chunks):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    qa = files.qa(spark, write(tmp_path / "qa", item(), item("q2")))
+    prompts = {"ANSWERABILITY": "A", "LEAKAGE": "L"}
+    go = lambda qa: jobs.judged(qa, chunks, counting(str(calls)), "m", prompts, str(tmp_path / "replies")).count()
+    assert go(qa) == 2 and len(said(calls)) == 4
+    assert go(qa) == 2 and len(said(calls)) == 4
+    assert go(qa.union(files.qa(spark, write(tmp_path / "more", item("q3"))))) == 3 and len(said(calls)) == 6
+
+
+def test_verification_survives_a_crash(spark, tmp_path, chunks):
+    """A client dies at one of ten items: what was done before stays, and the next run asks for the rest only."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    place, out = write(tmp_path / "qa", *[item(f"q{i}") for i in range(10)]), str(tmp_path / "out")
+    retrieved = spark.createDataFrame([(f"q{i}", 1, "a__c0000", "a", None, [], "it is rated 24 V here") for i in range(12)], "qa_id string, rank int, chunk_id string, doc_id string, page int, section_path array<string>, text string")
+    prompts = {"RAG_ANSWER": "{question}", "JUDGE": "{candidate}"}
+
+    def verify(client):
+        def run(batch):
+            found = retrieved.join(batch.select("qa_id"), "qa_id")
+            return batch.drop("rag_verification").join(jobs.verify(batch, found, client, ("m", "j"), prompts, str(tmp_path / "replies")), "qa_id")
+
+        return run
+
+    with pytest.raises(Exception):
+        verify_new(files.qa(spark, place), out, verify(counting(str(calls), dies_at="what q7")), batch=1)
+    done = {r["qa_id"] for r in spark.read.json(out).collect()}
+    assert "q7" not in done and len(done) >= 6
+    asked = said(calls)
+    assert {f"m what {x}" for x in done} <= set(asked)
+    n = verify_new(files.qa(spark, place), out, verify(counting(str(calls))), batch=1)
+    again = spark.read.json(out).collect()
+    assert n == 0 and sorted(r["qa_id"] for r in again) == sorted(f"q{i}" for i in range(10))
+    assert len(said(calls)) == len(set(said(calls))) == 10  # nothing was asked twice
+    write(tmp_path / "qa2", item("q3"), item("q11"))
+    assert verify_new(files.qa(spark, [place, str(tmp_path / "qa2")]), out, verify(counting(str(calls))), batch=4) == 1
+    assert len(said(calls)) == 11 and spark.read.json(out).count() == 11
+
+
+def test_samples_are_the_least_hashes(spark):
+    rows = spark.createDataFrame([(i, "a" if i % 3 else "b" if i % 2 else None) for i in range(300)], "id long, lang string")
+    got = sampling.bottom_k(rows.repartition(7), "id", 5, ("lang",))
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()  # each task keeps its own least first
+    import hashlib
+
+    want = set()
+    for lang in ("a", "b", None):
+        ids = [r["id"] for r in rows.collect() if r["lang"] == lang]
+        best = sorted(ids, key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())[:5]
+        want |= {(lang, i, n) for n, i in enumerate(best, 1)}
+    assert {(r["lang"], r["id"], r["pick"]) for r in got.collect()} == want
+    assert sampling.bottom_k(rows, "id", 3).count() == 3 and sampling.bottom_k(rows.limit(0), "id", 3, ("lang",)).count() == 0
+    assert sampling.bottom_k(rows, "id", 1000).count() == 300
