@@ -42,6 +42,9 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--chunk-size", type=int, default=800)
     p.add_argument("--chunk-overlap", type=int, default=100)
     p.add_argument("--patterns", help="a folder that the command patterns has written")
+    p.add_argument("--layout", help="module:name of a callable: PDF file -> layout Markdown")
+    p.add_argument("--layout-cache", help="the folder in which layouts are kept; a file is read again when it has changed")
+    p.add_argument("--pdf", help="module:name of a callable: PDF file -> page texts, for files without a layout")
     command("embed", "chunks", "embed", "out")
     p = command("patterns", "chunks", "prompt", "client", "model", "out")
     p.add_argument("--max-chars", type=int, default=12_000)
@@ -96,14 +99,17 @@ def main(argv: list[str] | None = None) -> None:
     spark = session()
     if args.command == "chunk":
         more = files.patterns(spark, args.patterns) if args.patterns else ()
-        jobs.chunk(spark, args.docs, args.out, args.chunk_size, args.chunk_overlap, more).show(50, False)
+        layout, pdf = (_client(x) if x else None for x in (args.layout, args.pdf))
+        jobs.chunk(spark, args.docs, args.out, args.chunk_size, args.chunk_overlap, more, layout, args.layout_cache, pdf).show(50, False)
     elif args.command == "embed":
         jobs.embed(files.chunks(spark, args.chunks), _client(args.embed), args.out)
     elif args.command == "patterns":
-        sample = jobs.pattern_sample(files.chunks(spark, args.chunks), args.max_chars)
+        chunks = files.chunks(spark, args.chunks)
+        sample = jobs.pattern_sample(chunks, args.max_chars)
         reply = asking.retried(lambda: _client(args.client)(_text(spark, args.prompt).replace("{sample}", sample), args.model))
         found = jobs.accepted_patterns(json.loads(reply).get("patterns", []), sample)
-        body = json.dumps({"model": args.model, "sample_chars": len(sample), "patterns": found}, ensure_ascii=False)
+        about = {"model": args.model, "discovered_at": time.strftime("%Y-%m-%dT%H:%M:%S"), "n_chunks": chunks.count(), "sample_chars": len(sample)}
+        body = json.dumps(about | {"patterns": found}, ensure_ascii=False)
         spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("overwrite").text(args.out)
     elif args.command == "generate":
         cells = requests.cells(args.n, requests.parse_mix(args.mix) if args.mix else None, args.seed)

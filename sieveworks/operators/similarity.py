@@ -1,14 +1,14 @@
 """Exact cosine search and pairing of vectors.
 
-Queries are dealt in blocks of a fixed size; each block is broadcast and multiplied with batches of the corpus, and only
-each batch's best candidates leave it. Null and empty vectors are left out of a corpus; a zero vector stays zero there,
-and is an error among queries, as are vectors of another width.
+A few queries are broadcast and multiplied with batches of the corpus; many are dealt out in groups, as is the corpus, and all pairs
+of groups meet in the executors. Only the best candidates of each pair leave it, and no vector of a large set passes the
+driver. Null and empty vectors are left out of a corpus; a zero vector stays zero there, and is an error among queries, as are
+vectors of another width.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BLOCK = 4096
+#: Queries that are broadcast, and vectors of a side that meet in a task; rows of the corpus that are multiplied at once.
+BLOCK, STEP = 4096, 2048
 
 
 def unit(name: str):
@@ -30,59 +31,87 @@ def _normal(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(norm == 0, 1, norm)
 
 
-def nearest(corpus: DataFrame, queries: DataFrame, k: int, *, least: float | None = None, same: bool = False) -> DataFrame:
+def _best(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool) -> pd.DataFrame:
+    """The rows of one part of a corpus that can be among the k nearest of some queries; both as (ids, unit vectors, labels)."""
+    (qid, q, qlabel), (ids, vectors, labels) = queries, corpus
+    if vectors.shape[1] != q.shape[1]:
+        raise ValueError("vectors differ in width")
+    sims = q @ vectors.T
+    sims[qid[:, None] == ids[None, :]] = -np.inf
+    if same:
+        sims[qlabel[:, None] == labels[None, :]] = -np.inf
+    if least is not None:
+        sims[sims < least] = -np.inf
+    rounded = np.round(sims, 9)
+    bound = -np.partition(-rounded, k - 1, 1)[:, k - 1][:, None] if k < len(ids) else np.full((len(q), 1), -np.inf)
+    i, j = np.nonzero((rounded >= bound) & np.isfinite(sims))  # all that tie with the k-th
+    return pd.DataFrame({"query": qid[i], "id": ids[j], "label": labels[j], "sim": sims[i, j]})
+
+
+def _arrays(pdf: pd.DataFrame, asked: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    widths = {len(v) for v in pdf["vec"]}
+    if len(widths) > 1:
+        raise ValueError("vectors differ in width")
+    vectors = np.array(pdf["vec"].tolist(), np.float64)
+    if asked and (np.linalg.norm(vectors, axis=1) == 0).any():
+        raise ValueError("a query has a zero vector")
+    return pdf["id"].to_numpy(), _normal(vectors), pdf["label"].to_numpy()
+
+
+def _merged(found: Iterator[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The k best of each query and what ties with the last of them."""
+    rows = pd.concat(list(found), ignore_index=True)
+    rank = rows["sim"].round(9).groupby(rows["query"]).rank(method="min", ascending=False)
+    return rows[rank <= k]
+
+
+def nearest(corpus: DataFrame, queries: DataFrame, k: int, *, least: float | None = None, same: bool = False, block: int | None = None) -> DataFrame:
     """query, id, label, sim, rank: each query's k most similar rows of the corpus, ties by id.
 
     corpus: id, vec, label. queries: id, vec, label. With `same` only rows of another label count. A query never finds
     itself (the row with its id). least: similarities below it do not count. k of 0 or less finds nothing.
+
+    Up to `block` queries are broadcast and the corpus stays where it is. More are dealt out in groups of about that size, and so
+    is the corpus; each pair of groups meets in a task of its own, which holds no more than the two.
     """
     schema = "query long, id long, label long, sim double"
-    corpus = corpus.select("id", "vec", F.col("label").cast("long").alias("label")).where(F.size("vec") > 0)
-    queries = queries.select("id", "vec", F.col("label").cast("long").alias("label"))
+    corpus = corpus.select(F.col("id").cast("long").alias("id"), "vec", F.col("label").cast("long").alias("label")).where(F.size("vec") > 0)
+    queries = queries.select(F.col("id").cast("long").alias("id"), "vec", F.col("label").cast("long").alias("label"))
+    block = block or BLOCK
     n = queries.count() if k > 0 else 0
     if not n:
         return corpus.sparkSession.createDataFrame([], schema + ", rank int")
-    blocks = -(-n // BLOCK)
-    parts = []
-    for block in range(blocks):
-        rows = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)
-        rows = rows.toPandas()  # about BLOCK rows
-        if not len(rows):
-            continue
-        q = np.array(rows["vec"].tolist(), np.float64)
-        if (np.linalg.norm(q, axis=1) == 0).any():
-            raise ValueError("a query has a zero vector")
-        shared = corpus.sparkSession.sparkContext.broadcast((rows["id"].to_numpy(), _normal(q), rows["label"].to_numpy()))
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            qid, q, qlabel = shared.value
+    if n <= block:
+        shared = corpus.sparkSession.sparkContext.broadcast(_arrays(queries.toPandas(), asked=True))  # `block` rows at most
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for at in range(0, len(pdf), 2048):
-                    part = pdf.iloc[at : at + 2048]
-                    vectors = np.array(part["vec"].tolist(), np.float64)
-                    if vectors.shape[1] != q.shape[1]:
-                        raise ValueError("vectors differ in width")
-                    sims = q @ _normal(vectors).T
-                    ids = part["id"].to_numpy()
-                    sims[qid[:, None] == ids[None, :]] = -np.inf
-                    if same:
-                        sims[qlabel[:, None] == part["label"].to_numpy()[None, :]] = -np.inf
-                    if least is not None:
-                        sims[sims < least] = -np.inf
-                    rounded = np.round(sims, 9)
-                    bound = np.sort(rounded, 1)[:, -k][:, None] if k < len(ids) else np.full((len(q), 1), -np.inf)
-                    i, j = np.nonzero((rounded >= bound) & np.isfinite(sims))  # all that tie with the k-th
-                    yield pd.DataFrame({"query": qid[i], "id": ids[j], "label": part["label"].to_numpy()[j], "sim": sims[i, j]})
-
-        parts.append(corpus.mapInPandas(run, schema))
-    found = reduce(DataFrame.unionByName, parts)
+                for at in range(0, len(pdf), STEP):
+                    yield _best(shared.value, _arrays(pdf.iloc[at : at + STEP]), k, least, same)
+
+        found = corpus.mapInPandas(run, schema)
+    else:
+        across, down = -(-n // block), -(-corpus.count() // block) or 1
+
+        def meet(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            if not len(asked) or not len(rows):
+                return pd.DataFrame({"query": [], "id": [], "label": [], "sim": []})
+            q = _arrays(asked.rename(columns={"asked": "vec"}), asked=True)
+            return _merged((_best(q, _arrays(rows.iloc[at : at + STEP]), k, least, same) for at in range(0, len(rows), STEP)), k)
+
+        of = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        # the two sides may come of one table, and a cogroup tells its columns apart by their origin
+        left = queries.select((F.col("id") + 0).alias("id"), F.transform("vec", lambda x: x).alias("asked"), (F.col("label") + 0).alias("label"), of(across).alias("across"), every(down).alias("down"))
+        right = corpus.select("*", every(across).alias("across"), of(down).alias("down"))
+        found = left.groupBy("across", "down").cogroup(right.groupBy("across", "down")).applyInPandas(meet, schema)
     order = Window.partitionBy("query").orderBy(F.round("sim", 9).desc(), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def uniqueness(vectors: DataFrame) -> DataFrame:
+def uniqueness(vectors: DataFrame, block: int | None = None) -> DataFrame:
     """id and 1 - the largest cosine to any other row (never below 0); null where there is one row only."""
-    best = nearest(vectors, vectors, 1).select(F.col("query").alias("id"), "sim")
+    best = nearest(vectors, vectors, 1, block=block).select(F.col("query").alias("id"), "sim")
     n = vectors.count()
     value = F.when(F.lit(n > 1), 1 - F.greatest(F.coalesce("sim", F.lit(0.0)), F.lit(0.0)))
     return vectors.select("id").join(best, "id", "left").select("id", value.alias("uniqueness"))

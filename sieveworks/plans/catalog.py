@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +11,15 @@ from pyspark.sql import functions as F
 
 from .. import dims, schemas
 from ..functions import rules, text
-from ..operators import asking, chunking, partners, reports, similarity
+from ..operators import asking, chunking, partners, reports, sampling, similarity
 from ..operators import items as ops
+from ..session import shared_dir
 from ..sources import files
+from ..streaming import verification
 from . import jobs
 from .derived import QA_SQL, items, qa_rows, read
 
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -672,3 +677,60 @@ def prompt_sample(spark, sf_dir):
     """The chunks that fit one prompt of 12,000 characters, from which a model is to find patterns."""
     sample = jobs.pattern_sample(_window_chunks(spark, sf_dir))
     return spark.createDataFrame([(sample,)], "sample string").select(F.md5(F.col("sample").cast("binary")).alias("sample_md5"))
+
+
+# ---------------------------------------------------------------- samples, files, streams
+
+@query("SELECT lang, pick::INT AS pick, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || coalesce(doc_id::VARCHAR, '')), doc_id) AS pick FROM documents) WHERE pick <= 20")
+def seed_sample(spark, sf_dir):
+    """Twenty documents of each language as seeds, the same whatever order they come in."""
+    return sampling.bottom_k(read(spark, sf_dir, "documents").select("lang", "doc_id"), "doc_id", 20, ("lang",)).select("lang", "pick", "doc_id")
+
+
+@query(QA_SQL + """SELECT 'part=' || k%5 AS part, count(*) FILTER (ok AND track='kg_poc')::BIGINT AS kg_items, count(*) FILTER (ok AND track='general')::BIGINT AS general_items, count(*) FILTER (NOT ok)::BIGINT AS skipped
+FROM (SELECT *, k%13<>0 AND k%17<>0 AND k%10<>0 AS ok FROM qa) GROUP BY k%5""")
+def lenient_items(spark, sf_dir):
+    """Items as JSON lines in five folders, some lines cut in half, some with values outside their domains: what a lenient read keeps."""
+    k = F.col("k")
+    rows = qa_rows(spark, sf_dir).withColumns({"answer_level": F.when(k % 17 != 0, F.col("answer_level")), "aspect": F.when(k % 10 == 0, F.array(F.lit("other"))).otherwise(F.col("aspect"))})
+    line = F.to_json(F.struct(*[c for c in rows.columns if c != "k"]))
+    cut = F.when(k % 13 == 0, F.substr(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))).otherwise(line)
+    place = f"{shared_dir(spark)}/items-{uuid.uuid4().hex}"
+    rows.select(cut.alias("value"), (k % 5).alias("part")).write.partitionBy("part").text(place)
+    found = None
+    for i in range(5):
+        name = F.lit(f"part={i}").alias("part")
+        for track in ("kg_poc", "general"):
+            good, skipped = files.qa_lenient(spark, f"{place}/part={i}", track)
+            counts = [good.select(name, F.lit(f"{track.split('_')[0]}_items").alias("kind"), F.lit(1).cast("long").alias("n"))] + ([skipped.select(name, F.lit("skipped").alias("kind"), F.col("skipped").alias("n"))] if track == "general" else [])
+            for part in counts:
+                found = part if found is None else found.unionByName(part)
+    sums = [F.coalesce(F.sum(F.when(F.col("kind") == c, F.col("n"))), F.lit(0)).alias(c) for c in ("kg_items", "general_items", "skipped")]
+    return found.groupBy("part").agg(*sums)
+
+
+def _said(prompt: str, model: str) -> str:
+    """A client that answers from the prompt: the first words of a question, and a verdict by the length of what is judged."""
+    if model == "answer":
+        return json.dumps({"answer": prompt.partition("\n")[0][:25]})
+    return json.dumps({"match": dims.VERDICTS[len(prompt) % 3]})
+
+
+@query(QA_SQL + """, s AS (SELECT k, question, answer, left(string_split(question, chr(10))[1], 25) AS said FROM qa),
+a AS (SELECT k, trim(said, ' ') AS said, answer FROM s)
+SELECT k, said AS rag_answer, ['match','partial','no_match'][length(answer || '|' || said) % 3 + 1] AS answer_match FROM a""")
+def verified_stream(spark, sf_dir):
+    """Items verified as micro-batches of files: first half of them, then the rest, by a client that answers from the prompt."""
+    qa = qa_rows(spark, sf_dir).withColumn("qa_id", F.col("k").cast("string")).drop("k", "rag_verification").withColumn("rag_verification", F.lit(None).cast(schemas.VERIFICATION))
+    place = f"{shared_dir(spark)}/verified-{uuid.uuid4().hex}"
+    found = read(spark, sf_dir, "documents").where("doc_id = 0").select(F.lit("0__c0000").alias("chunk_id"), F.lit("0").alias("doc_id"), F.lit(None).cast("int").alias("page"), F.array().cast("array<string>").alias("section_path"), F.substring("text", 1, 80).alias("text"))
+
+    def verify(batch: DataFrame) -> DataFrame:
+        retrieved = batch.select("qa_id", F.lit(1).alias("rank")).crossJoin(F.broadcast(found))  # one chunk
+        done = jobs.verify(batch, retrieved, _said, ("answer", "judge"), {"RAG_ANSWER": "{question}", "JUDGE": "{ground_truth}|{candidate}"}, f"{place}/replies", 1)
+        return batch.drop("rag_verification").join(done, "qa_id")
+
+    for part in (qa.where(F.pmod(F.xxhash64("qa_id"), F.lit(2)) == 0), qa):
+        verification.verify_new(part, f"{place}/out", verify, batch=20_000)
+    done = spark.read.schema(schemas.QA).json(f"{place}/out")
+    return done.select(F.col("qa_id").cast("long").alias("k"), "rag_verification.rag_answer", "rag_verification.answer_match")

@@ -12,12 +12,29 @@ from .. import dims, schemas
 from ..functions import rules
 from ..functions.text import is_unable, page_blocks, parsed, qa_id, unseen_terms
 from ..operators import asking, items, reports, similarity
-from ..sources import files
+from ..sources import files, layouts
 
 
-def chunk(spark: SparkSession, docs: str, out: str, size: int = 800, overlap: int = 100, patterns: Iterable[str] = ()) -> DataFrame:
-    """Chunks of all documents of a folder; doc_id and number of chunks."""
-    return files.write_chunks(files.documents(spark, docs), out, size, overlap, patterns)
+def chunk(
+    spark: SparkSession, docs: str, out: str, size: int = 800, overlap: int = 100, patterns: Iterable[str] = (),
+    layout: Callable[[bytes], str] | None = None, cache: str | None = None, pdf: Callable[[bytes], list[str]] | None = None,
+) -> DataFrame:
+    """Chunks of all documents of a folder; doc_id and number of chunks.
+
+    PDF files are read by `layout` if it is given (file to layout Markdown, kept in the folder `cache`); those that it can't
+    read, or all without it, by `pdf` (file to page texts) if that is given; else they are left out.
+    """
+    pages = laid = None
+    if layout:
+        if not cache:
+            raise ValueError("layouts are kept in a folder: name one as the cache")
+        got, failed = layouts.layouts(spark, docs, cache, layout)
+        laid = files.layout_documents(got.select(files.stem(F.col("path")).alias("doc_id"), F.col("markdown").alias("text")))
+    if pdf:
+        pages = files.pdf_pages(spark, docs, pdf)
+        if layout:
+            pages = pages.join(failed.select(files.stem(F.col("path")).alias("doc_id")), "doc_id", "left_semi")
+    return files.write_chunks(files.documents(spark, docs), out, size, overlap, patterns, pages, laid)
 
 
 def embed(chunks: DataFrame, embedder: Callable, out: str) -> None:

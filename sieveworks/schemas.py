@@ -23,6 +23,10 @@ def _flags(name: str) -> str:
     return f"{name} struct<" + ",".join(f"{f}:boolean" for f in _FLAGS[name]) + more + ">"
 
 
+VERIFICATION = (
+    "struct<top_k:int,retrieved_chunk_ids:array<string>,retrieval_hit_doc:boolean,retrieval_hit_chunk:boolean,"
+    "retrieval_hit:boolean,rag_answer:string,answer_match:string,judge_raw:string,rag_model:string,judge_model:string,verified_at:timestamp_ntz>"
+)
 QA = ", ".join(
     [
         "qa_id string, question string, answer string, rationale array<struct<doc_id:string,page:int,text:string>>",
@@ -31,8 +35,7 @@ QA = ", ".join(
         "explainability struct<evidence_strictness:string>",
         "retrieval_level string, answer_level string, difficulty_rationale string, business_scenario string",
         "kg_query_type string, kg_novelty string, llm_knowledge string",
-        "rag_verification struct<top_k:int,retrieved_chunk_ids:array<string>,retrieval_hit_doc:boolean,retrieval_hit_chunk:boolean,"
-        "retrieval_hit:boolean,rag_answer:string,answer_match:string,judge_raw:string,rag_model:string,judge_model:string,verified_at:timestamp_ntz>",
+        f"rag_verification {VERIFICATION}",
         "generation struct<model:string,prompt_version:string,generated_at:timestamp_ntz>",
         "filter_scores struct<answerability:double,leakage:string,grounding:double,uniqueness:double,difficulty_match:string,rationale_grounded:double>",
         "review_status string, reviewed_by string, reviewed_at timestamp_ntz",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -14,7 +15,8 @@ from ..operators.chunking import chunk_documents, layout_pages
 from ..session import path_of
 
 
-def _stem(path):
+def stem(path: Column) -> Column:
+    """The name of a file without folder and last extension."""
     return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.[^.]*$", "")
 
 
@@ -25,7 +27,7 @@ def documents(spark: SparkSession, place: str) -> DataFrame:
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{txt,md}").load(place)
     docs = raw.where(~F.col("path").endswith(".di.md")).select(
-        "path", _stem(F.col("path")).alias("doc_id"), F.regexp_extract("path", r"\.(\w+)$", 1).alias("format"), F.decode("content", "UTF-8").alias("text")
+        "path", stem(F.col("path")).alias("doc_id"), F.regexp_extract("path", r"\.(\w+)$", 1).alias("format"), F.decode("content", "UTF-8").alias("text")
     )
     twice = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1)
     if twice:
@@ -44,7 +46,7 @@ def pdf_pages(spark: SparkSession, place: str, extract: Callable[[bytes], list[s
                 rows += [(doc, i, text) for i, text in enumerate(extract(content), 1) if text and text.strip()]
             yield pd.DataFrame(rows, columns=["doc_id", "page", "text"])
 
-    return raw.select(_stem(F.col("path")).alias("doc_id"), "content").mapInPandas(run, "doc_id string, page int, text string")
+    return raw.select(stem(F.col("path")).alias("doc_id"), "content").mapInPandas(run, "doc_id string, page int, text string")
 
 
 def layout_documents(docs: DataFrame) -> DataFrame:
@@ -54,11 +56,21 @@ def layout_documents(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.explode(F.when(F.size(pages) > 0, pages).otherwise(one)).alias("p")).select("doc_id", "p.page", "p.text")
 
 
-def write_chunks(docs: DataFrame, out: str, size: int, overlap: int, patterns: Iterable[str] = ()) -> DataFrame:
-    """Chunks of documents, replaced in one folder; returns doc_id and count."""
-    markdown = chunk_documents(docs.where("format = 'md'"), size, overlap, markdown=True, patterns=patterns)
-    plain = chunk_documents(docs.where("format <> 'md'"), size, overlap, patterns=patterns)
-    markdown.unionByName(plain).write.mode("overwrite").json(out)
+def write_chunks(docs: DataFrame, out: str, size: int, overlap: int, patterns: Iterable[str] = (), pages: DataFrame | None = None, layouts: DataFrame | None = None) -> DataFrame:
+    """Chunks of documents, replaced in one folder; returns doc_id and count.
+
+    pages: doc_id, page, text of files without headings. layouts: the same as layout Markdown, each page cut into sections.
+    Raises ValueError if two of these tables have a document of one name.
+    """
+    cut = [(docs.where("format = 'md'"), True), (docs.where("format <> 'md'"), False), (pages, False), (layouts, True)]
+    cut = [(rows, markdown) for rows, markdown in cut if rows is not None]
+    if len(cut) > 2:
+        names = [rows.select("doc_id").distinct() for rows in (docs, pages, layouts) if rows is not None]
+        twice = reduce(DataFrame.unionByName, names).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").head(1)
+        if twice:
+            raise ValueError(f"more than one file is called {twice[0]['doc_id']}")
+    parts = [chunk_documents(rows, size, overlap, markdown=markdown, patterns=patterns) for rows, markdown in cut]
+    reduce(DataFrame.unionByName, parts).write.mode("overwrite").json(out)
     return chunks(docs.sparkSession, out).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
