@@ -1,4 +1,4 @@
-"""Documents to chunks, in array functions: the split that fits, and a greedy merge with overlap.
+"""Documents to chunks: the split that fits, and a greedy merge with overlap.
 
 A text up to `size` characters is one chunk (none if blank). A longer one is split by the first of several separators that
 leaves all parts shorter than `size` (blank lines, sentence ends, lines, white space, characters), and parts are joined by
@@ -8,53 +8,62 @@ size + overlap. Null texts have no chunk.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .. import dims
 from ..functions.text import chunk_id, references, strip
 
 # Separators in order of preference.
-SEPARATORS = (r"\n\n+", r"(?U)(?<=[。．.!?！？])\s+", r"\n", r"(?U)\s+")
+SEPARATORS = (r"\n\n+", r"(?<=[。．.!?！？])\s+", r"\n", r"\s+")
+_SPLITS = tuple(map(re.compile, SEPARATORS))
 SIZE, OVERLAP = 800, 100
 
 
-def merge(parts: Column, size: int, overlap: int) -> Column:
-    """Greedy chunks of an array of parts."""
-    none = F.array().cast("array<string>")
-
-    def step(s: Column, part: Column) -> Column:
-        fits = F.length(s["buf"]) + F.length(part) + 1 <= size
-        joined = F.when(s["buf"] == "", part).otherwise(strip(F.concat(s["buf"], F.lit(" "), part)))
-        full = F.when(s["buf"] == "", s["chunks"]).otherwise(F.concat(s["chunks"], F.array(s["buf"])))
-        last = F.when(s["buf"] == "", F.get(s["chunks"], F.size(s["chunks"]) - 1)).otherwise(s["buf"])
-        begun = part if not overlap else F.when(last.isNull(), part).otherwise(strip(F.concat(F.substr(last, F.greatest(F.length(last) - overlap + 1, F.lit(1))), F.lit(" "), part)))
-        return F.when(fits, F.struct(s["chunks"].alias("chunks"), joined.alias("buf"))).otherwise(F.struct(full.alias("chunks"), begun.alias("buf")))
-
-    return F.aggregate(
-        parts,
-        F.struct(none.alias("chunks"), F.lit("").alias("buf")),
-        step,
-        lambda s: F.when(s["buf"] == "", s["chunks"]).otherwise(F.concat(s["chunks"], F.array(s["buf"]))),
-    )
-
-
-def split_parts(text: Column, size: int) -> Column:
+def _parts(text: str, size: int) -> list[str]:
     """The parts by the first separator that leaves all of them shorter than size; characters if none does."""
-    out = F.lit(None).cast("array<string>")
-    for pattern in SEPARATORS:
-        parts = F.filter(F.split(text, pattern), lambda p: p != "")
-        fits = (F.size(parts) > 0) & (F.array_max(F.transform(parts, F.length)) < size)
-        out = F.coalesce(out, F.when(fits, parts))
-    return F.coalesce(out, F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)))
+    for pattern in _SPLITS:
+        found = list(filter(None, pattern.split(text)))
+        if found and len(max(found, key=len)) < size:
+            return found
+    return list(text)
+
+
+def _cut(text: str | None, size: int, overlap: int) -> list[str] | None:
+    """The chunks of one text; its parts are read once."""
+    if text is None or len(text) <= size:
+        return text if text is None else [text] * bool(text.strip(dims.SPACES))
+    chunks: list[str] = []
+    room = ""  # the chunk that is being filled
+    for part in _parts(text, size):
+        if len(room) + len(part) < size:  # with a space between
+            before = room
+        else:
+            chunks += filter(None, (room,))
+            before = chunks[-1][-overlap:] if chunks and overlap else ""
+        room = f"{before} {part}".strip(dims.SPACES) if before else part
+    return chunks + list(filter(None, (room,)))
+
+
+def pieces_of(texts: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
+    """The chunks of each text of an array, as an array of arrays. A batch kernel: a fold in Spark's array functions copies what it
+    has so far for each part."""
+
+    @F.pandas_udf("array<array<string>>")
+    def run(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda row: None if row is None else [_cut(text, size, overlap) for text in row])
+
+    return run(texts)
 
 
 def pieces(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
     """The chunks of a text, as an array."""
-    whole = F.when(strip(text) == "", F.array().cast("array<string>")).otherwise(F.array(text))
-    return F.when(F.length(text) <= size, whole).otherwise(merge(split_parts(text, size), size, overlap))
+    return pieces_of(F.array(text), size, overlap)[0]
 
 
 def sections(text: Column) -> Column:
@@ -106,7 +115,8 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, m
     page = F.col("page").cast("int") if "page" in docs.columns else F.lit(None).cast("int")
     parts = sections(F.col("text")) if markdown else F.array(F.struct(F.array().cast("array<string>").alias("path"), F.col("text").alias("body")))
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", page.alias("page"), parts.alias("parts"))
-    cut = F.flatten(F.transform("parts", lambda s: F.transform(pieces(s["body"], size, overlap), lambda p: F.struct(s["path"].alias("section_path"), p.alias("text")))))
+    rows = rows.withColumn("cuts", pieces_of(F.col("parts.body"), size, overlap))
+    cut = F.flatten(F.zip_with("parts", "cuts", lambda s, cuts: F.transform(cuts, lambda p: F.struct(s["path"].alias("section_path"), p.alias("text")))))
     rows = rows.select("doc_id", "page", F.posexplode(cut).alias("position", "chunk"))
     if "page" in docs.columns:  # the chunks of one document
         in_order = Window.partitionBy("doc_id").orderBy(F.col("page").asc_nulls_last(), "position")

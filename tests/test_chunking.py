@@ -42,6 +42,23 @@ def test_pieces_of_any_text(spark, texts):
         assert all(b.startswith(a[-4:].lstrip()) for a, b in zip(chunks, chunks[1:], strict=False)) and all(len(x) <= 16 + 4 + 1 for x in chunks)
 
 
+@pytest.mark.parametrize("unit", ["word and ", "x", "A sentence. ", "line\n"])
+def test_time_grows_with_the_text(spark, unit):
+    """Five million characters: ten times the text takes about ten times the time."""
+    import time
+
+    took = []
+    for n in (500_000, 5_000_000):
+        text = unit * (n // len(unit))
+        began = time.process_time()
+        chunks = chunking._cut(text, 800, 100)
+        took.append(time.process_time() - began)
+        assert "".join("".join(chunking._cut(text, 800, 0)).split()) == "".join(text.split()) and len(chunks) > n // 900
+    assert took[1] < 25 * took[0] + 0.5
+    text = unit * (200_000 // len(unit))
+    assert pieces(spark, [text, None, ""], 800, 100) == [chunking._cut(text, 800, 100), None, []]
+
+
 def test_chunk_ids_of_pages_are_unique(spark):
     rows = [("a", 2, "page two"), ("a", 1, "page one " * 30), ("b", 1, "other"), ("a", None, "no page")]
     got = chunking.chunk_documents(spark.createDataFrame(rows, "doc_id string, page int, text string"), 100, 0).orderBy("chunk_id").collect()
