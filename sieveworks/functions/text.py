@@ -108,15 +108,43 @@ def page_blocks(texts: Column) -> Column:
     )
 
 
+def span_of(body: Column, quote: Column) -> Column:
+    """Where the first hit of a quote stands in a text, white space aside: struct (start, end) of places from 1, zeros for no hit.
+
+    The quote is looked up in the squeezed text, and the two ends are carried back to the text by counts: the runs of white space
+    and of other characters are gone through once, with the characters of either kind that lie before. Quotes that have
+    under 4 characters besides white space hit nothing.
+    """
+    needle = squeeze(quote)
+    first = F.when(F.length(needle) >= 4, F.instr(squeeze(body), needle)).otherwise(0)
+    runs = F.regexp_extract_all(body, F.lit(r"(?U)\s+|\S+"), F.lit(0))
+    # the places that are looked for are in the state, as a lambda would compute them anew for each run
+    state = F.struct(first.alias("a"), (first + F.length(needle) - 1).alias("b"), F.lit(0).alias("seen"), F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(0).alias("end"))
+
+    def step(s: Column, run: Column) -> Column:
+        n = F.length(run)
+        solid = ~run.rlike(r"(?U)^\s")
+        place = lambda k, known: F.when((known == 0) & solid & (s[k] > s["seen"]) & (s[k] <= s["seen"] + n), s["at"] + s[k] - s["seen"]).otherwise(known)
+        return F.struct(s["a"].alias("a"), s["b"].alias("b"), (s["seen"] + F.when(solid, n).otherwise(0)).alias("seen"), (s["at"] + n).alias("at"), place("a", s["start"]).alias("start"), place("b", s["end"]).alias("end"))
+
+    found = F.aggregate(runs, state, step, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return F.when(F.coalesce(first, F.lit(0)) > 0, found).otherwise(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end")))
+
+
+def escaped(text: Column) -> Column:
+    """text as HTML text."""
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        text = F.replace(text, F.lit(sign), F.lit(name))
+    return text
+
+
 def highlighted(body: Column, quote: Column) -> Column:
-    """body as HTML text with the first hit of the quote marked, white space aside; quotes under 4 characters mark nothing."""
-    escape = lambda x: F.replace(F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
-    letters = F.filter(F.split(squeeze(quote), ""), lambda c: c != "")
-    pattern = F.array_join(F.transform(letters, lambda c: F.concat(F.lit("\\Q"), c, F.lit("\\E"))), "\\s*")
-    hit = F.regexp_substr(body, F.concat(F.lit("(?U)"), pattern))
-    at = F.instr(body, hit)
-    marked = F.concat(escape(F.substr(body, F.lit(1), at - 1)), F.lit("<mark>"), escape(hit), F.lit("</mark>"), escape(F.substr(body, at + F.length(hit))))
-    return F.when((F.size(letters) >= 4) & hit.isNotNull(), marked).otherwise(escape(body))
+    """body as HTML text with the first hit of the quote (`span_of`) marked."""
+    hit = span_of(body, quote)
+    parts = F.transform(F.array(hit), lambda s: F.when(s["start"] == 0, escaped(body)).otherwise(F.concat(
+        escaped(F.substr(body, F.lit(1), s["start"] - 1)), F.lit("<mark>"), escaped(F.substr(body, s["start"], s["end"] - s["start"] + 1)), F.lit("</mark>"), escaped(F.substr(body, s["end"] + 1)),
+    )))
+    return parts[0]
 
 
 def bullets(lines: Column, none: str = "(該当なし)") -> Column:

@@ -241,6 +241,22 @@ def grounding_ratio(spark, sf_dir):
     return got.select("qa_id", F.round("rationale_grounded", 6).alias("rationale_grounded"))
 
 
+def _escape_sql(x: str) -> str:
+    return f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+@query(_ANCHOR_SQL + f""", h AS (SELECT qa_id, quote_no, text, needle, CASE WHEN length(needle) >= 4 THEN strpos({_sq('text')}, needle) ELSE 0 END AS a FROM anchors),
+p AS (SELECT *, list_filter(range(1, length(text)+1), lambda i: NOT regexp_matches(substr(text, i, 1), '{_WS}')) AS places FROM h),
+m AS (SELECT *, CASE WHEN a > 0 THEN places[a] ELSE 0 END AS s, CASE WHEN a > 0 THEN places[a+length(needle)-1] ELSE 0 END AS e FROM p)
+SELECT qa_id, quote_no, s::INT AS hit_from, e::INT AS hit_to, md5(CASE WHEN s = 0 THEN {_escape_sql('text')} ELSE {_escape_sql('substr(text, 1, s-1)')} || '<mark>' || {_escape_sql('substr(text, s, e-s+1)')} || '</mark>' || {_escape_sql('substr(text, e+1)')} END) AS html_md5 FROM m""")
+def marked_quotes(spark, sf_dir):
+    """The chunk that each quote rests on, as HTML with the quote marked."""
+    quotes = _quotes(spark, sf_dir)
+    rows = ops.resolve_anchors(quotes, _window_chunks(spark, sf_dir)).join(quotes.select("qa_id", "quote_no", "quote"), ["qa_id", "quote_no"])
+    hit = text.span_of(F.col("text"), F.col("quote"))
+    return rows.select("qa_id", "quote_no", hit["start"].alias("hit_from"), hit["end"].alias("hit_to"), F.md5(text.highlighted(F.col("text"), F.col("quote")).cast("binary")).alias("html_md5"))
+
+
 @query("WITH " + _CHUNK_SQL + """, n AS (SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id) SELECT doc_id, count(*)::BIGINT AS n_chunks, max(position)-min(position) >= 3 AS has_remote FROM c GROUP BY doc_id""")
 def remote_eligible(spark, sf_dir):
     """Documents whose chunks reach far enough apart for a remote pair."""

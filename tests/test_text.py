@@ -64,3 +64,35 @@ def test_reasons(spark):
     assert base.select(more.alias("r")).first()["r"][3:] == ["difficulty_match", "rag_no_match", "not_retrieved"]
     with pytest.raises(ValueError):
         rules.reject_reasons(rag_fail=True, rag_hit=True)
+
+
+@pytest.mark.parametrize(
+    "body,quote,want",
+    [
+        ("rated 24 V here", "24 V", "rated 24 V here"),
+        ("rated 24 V < 30", "rated24", "<mark>rated 24</mark> V &lt; 30"),
+        ("a\n\n b&c d\u3000e", "b&cde", "a\n\n <mark>b&amp;c d\u3000e</mark>"),
+        ("xabcabcd", "abcd", "xabc<mark>abcd</mark>"),
+        ("aaaa aaaa", " a a a a ", "<mark>aaaa</mark> aaaa"),
+        ("𝄞𝄞 𝄞𝄞!", "𝄞𝄞𝄞𝄞", "<mark>𝄞𝄞 𝄞𝄞</mark>!"),
+        ("some text", "other", "some text"),
+        ("some text", "", "some text"),
+        ("  lead", "lead", "  <mark>lead</mark>"),
+        ("", "quote", ""),
+        (None, "quote", None),
+        ("some text", None, "some text"),
+    ],
+)
+def test_highlighted(spark, body, quote, want):
+    if body == "rated 24 V here":
+        want = body  # three characters besides the space
+    df = spark.createDataFrame([(body, quote)], "b string, q string")
+    assert df.select(text.highlighted(F.col("b"), F.col("q")).alias("x")).first()["x"] == want
+
+
+@pytest.mark.parametrize("body", ["値は１０以上２０以下", "値は 10 以上 20 以下"])
+def test_digits_of_all_scripts_count(spark, body):
+    fits = rules.aspect_fits(F.lit(body), F.array(F.lit("x")), F.array().cast("array<string>"))
+    assert one(spark, fits["quantitative_calc"]) and one(spark, fits["numeric_inclusion"])
+    listed = "\n".join(f"{x}. item" for x in "１２３４５")
+    assert one(spark, rules.aspect_fits(F.lit(listed), F.array(F.lit("x")), F.array().cast("array<string>"))["large_enumeration"])
