@@ -40,7 +40,7 @@ def first_anchors(requests: DataFrame, chunks: DataFrame, seed: int = 42) -> Dat
     wanted = F.array(*[F.struct(F.lit(a).alias("aspect"), fits.get(a, F.lit(True)).alias("fits")) for a in counts])
     pool = chunks.select("chunk_id", F.explode(wanted).alias("w")).select("chunk_id", "w.aspect", "w.fits")
     most = max(counts.values(), default=0) + ATTEMPTS
-    order = Window.partitionBy("aspect").orderBy(F.col("fits").desc(), F.xxhash64(F.lit(seed), "aspect", "chunk_id"), "chunk_id")
+    order = Window.partitionBy("aspect").orderBy(F.col("fits").desc(), partners.hashed(F.lit(str(seed)), "aspect", "chunk_id"), "chunk_id")
     best = pool.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
     best = best.withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("aspect", "fits"))).withColumn("any", F.max("fits").over(Window.partitionBy("aspect")))
     best = best.where(F.col("fits") == F.col("any"))  # chunks that do not fit serve only where none does

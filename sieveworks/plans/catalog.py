@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import dims, schemas
 from ..functions import rules, text
-from ..operators import asking, chunking, partners, reports, sampling, similarity
+from ..operators import anchors, asking, chunking, partners, reports, sampling, similarity
 from ..operators import items as ops
 from ..session import shared_dir
 from ..sources import files
@@ -307,6 +307,35 @@ def reference_partners(spark, sf_dir):
     return partners.reference_partners(chunks)
 
 
+_FITS_SQL = "CASE aspect " + " ".join(f"WHEN '{a}' THEN {c.replace('page_id%3=0', 'top > 0')}" for a, c in _FIT_SQL.items() if a != "reference_follow") + " ELSE true END"
+_JOINT_SQL = "(" + ",".join(f"'{a}'" for a in anchors.STRATEGIES) + ")"
+
+
+@query(QA_SQL + ", " + _CHUNK_SQL + f""", ch AS (SELECT *, text AS t, ascii(text)%3 AS top, list_distinct(list_transform(regexp_extract_all(text, '{_REFS_RE}'), lambda m: trim(regexp_replace(m, '\\s+', ' ', 'g')))) AS r FROM c),
+rq AS (SELECT k AS request_id, aspect, row_number() OVER (PARTITION BY aspect ORDER BY k)-1 AS i, count(*) OVER (PARTITION BY aspect) AS cnt FROM qa),
+fit AS (SELECT chunk_id, aspect, {_FITS_SQL} AS fits FROM ch CROSS JOIN (SELECT DISTINCT aspect FROM rq)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY aspect ORDER BY fits DESC, md5('42:' || aspect || ':' || chunk_id), chunk_id) AS n FROM fit),
+top AS (SELECT *, count(*) OVER (PARTITION BY aspect, fits) AS of, bool_or(fits) OVER (PARTITION BY aspect) AS any_fits FROM ranked WHERE n <= (SELECT max(cnt) FROM rq) + {anchors.ATTEMPTS}),
+best AS (SELECT * FROM top WHERE fits = any_fits),
+tries AS (SELECT request_id, rq.aspect, attempt, chunk_id, fits FROM (SELECT *, unnest(range(0, CASE WHEN aspect IN {_JOINT_SQL} THEN {anchors.ATTEMPTS} ELSE 1 END)) AS attempt FROM rq) rq JOIN best ON best.aspect=rq.aspect AND n = (i + attempt) % of + 1),
+near AS (SELECT a.chunk_id, b.chunk_id AS partner, a.doc_id, a.position, b.position AS place, a.top<>b.top AS other FROM ch a JOIN ch b ON a.doc_id=b.doc_id AND abs(a.position-b.position)>=3),
+pool AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY place)-1 AS r, count(*) OVER (PARTITION BY chunk_id) AS n FROM (SELECT *, max(other) OVER (PARTITION BY chunk_id) AS any_other FROM near) WHERE other = any_other),
+remote AS (SELECT chunk_id, partner FROM pool WHERE r = ('0x' || substr(md5('42:' || doc_id || ':' || position),1,8))::BIGINT % n),
+h AS (SELECT DISTINCT chunk_id, unnest(r) AS ref FROM ch), u AS (SELECT DISTINCT ref FROM h), g AS (SELECT DISTINCT h.chunk_id, u.ref FROM h JOIN u ON contains(h.ref, u.ref)),
+ring AS (SELECT ref, chunk_id, row_number() OVER (PARTITION BY ref ORDER BY md5('42:' || ref || ':' || chunk_id), chunk_id)-1 AS r, count(*) OVER (PARTITION BY ref) AS holders FROM g),
+asks AS (SELECT h.chunk_id, h.ref, (r + 1 + ('0x' || substr(md5('42:step:' || h.ref || ':' || h.chunk_id),1,8))::BIGINT % (holders-1)) % holders AS r FROM h JOIN ring USING (ref, chunk_id) WHERE holders > 1),
+followed AS (SELECT a.chunk_id, ring.chunk_id AS partner FROM asks a JOIN ring ON ring.ref=a.ref AND ring.r=a.r QUALIFY row_number() OVER (PARTITION BY a.chunk_id ORDER BY NOT regexp_matches(a.ref, '{dims.SPECIFIC_REFERENCE}'), md5(a.ref || ':' || a.chunk_id))=1),
+met AS (SELECT t.*, CASE WHEN aspect='remote_reference' THEN remote.partner WHEN aspect='standards_reference' THEN followed.partner END AS partner FROM tries t LEFT JOIN remote USING (chunk_id) LEFT JOIN followed USING (chunk_id))
+SELECT request_id, aspect, chunk_id || coalesce('+' || partner, '') AS anchors, CASE WHEN aspect IN {_JOINT_SQL} AND partner IS NULL THEN 'partner' WHEN NOT fits THEN 'compat' END AS miss
+FROM met QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY partner IS NULL, attempt)=1""")
+def anchor_requests(spark, sf_dir):
+    """Anchors for a request of each item's aspect: alone, with a remote partner, or with one that holds a reference; there are no vectors, so what needs near chunks is a miss."""
+    chunks = _sectioned(spark, sf_dir).withColumn("references", text.references(F.col("text"), _ASCII_REFS))
+    wanted = items(spark, sf_dir).select(F.col("k").alias("request_id"), "aspect")
+    sets = anchors.anchor_sets(wanted, chunks)
+    return sets.select("request_id", "aspect", F.array_join(F.transform("anchors", lambda c: c["chunk_id"]), "+").alias("anchors"), "miss")
+
+
 # ---------------------------------------------------------------- vectors
 
 def _vectors(spark, sf_dir) -> DataFrame:
