@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import dims, schemas
-from .operators import anchors, asking
+from .operators import anchors, asking, reports, sampling
 from .plans import jobs, requests
 from .session import session
 from .sources import files
@@ -54,6 +54,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     p.add_argument("--track", choices=("general", "kg_poc"), default="general")
     p.add_argument("--vectors", help="a folder that the command embed has written; without it no anchors are neighbours")
     p.add_argument("--batch", default=time.strftime("%Y%m%d_%H%M%S"), help="batches stand side by side below the output folder")
+    p.add_argument("--seeds", help="a JSON file with an array of examples, three of which are named in the prompts")
     p.add_argument("--mix", help="query_type:novelty=N, ... for the kg_poc track")
     p = command("filter", "in", "chunks", "prompts", "client", "model", "replies", "out")
     p.add_argument("--embed", help="module:name of a callable: texts -> vectors; without it uniqueness is not scored")
@@ -91,6 +92,7 @@ def _gate(args: argparse.Namespace, rows: DataFrame, columns: list[str], **more)
     scored = rows.withColumn("filter_scores", F.struct(*SCORES))
     kept, dropped = jobs.gate(scored, reject_too_easy=args.reject_too_easy, rag_fail=args.rag_fail, rag_hit=args.rag_hit, rationale_retrieved=args.rationale_retrieved, **more)
     files.write_qa(kept.select(*columns), f"{args.out}/kept")
+    reports.gate_counts(kept.select("reasons").unionByName(dropped.select("reasons"))).write.mode("overwrite").json(f"{args.out}/counts")
     files.write_qa(dropped.select(*columns, "reasons"), f"{args.out}/dropped")  # with their scores: another gate can take them back
 
 
@@ -116,10 +118,18 @@ def main(argv: list[str] | None = None) -> None:
         rows = requests.requests(spark, args.n, args.seed) if args.track == "general" else requests.kg_requests(spark, cells)
         vectors = spark.read.parquet(args.vectors) if args.vectors else None
         sets = anchors.anchor_sets(rows, files.chunks(spark, args.chunks), vectors, seed=args.seed)
-        good, bad = jobs.generate(sets.where("miss is null or miss <> 'partner'").drop("miss"), _client(args.client), args.model, _text(spark, args.prompt), args.replies)
+        if args.track == "kg_poc":
+            sets = sets.drop("key").join(rows.select("request_id", "kg_query_type", "kg_novelty", F.col("kg_query_type").alias("key")), "request_id")
+        meta, body = asking.front_matter(_text(spark, args.prompt))
+        seeds = json.loads(_text(spark, args.seeds)) if args.seeds else []
+        seeds = [seeds[r["i"]] for r in sampling.bottom_k(spark.range(len(seeds)).withColumnRenamed("id", "i"), "i", 3, seed=args.seed).orderBy("pick").collect()]
+        good, bad = jobs.generate(
+            sets.where("miss is null or miss <> 'partner'").drop("miss"), _client(args.client), args.model, body, args.replies,
+            meta.get("prompt_version", "unknown"), json.dumps(seeds, ensure_ascii=False, indent=2))
         good.drop("anchors").write.json(f"{args.out}/accepted/batch={args.batch}")
         bad.write.json(f"{args.out}/rejected/batch={args.batch}")
-        sets.where("miss is not null").groupBy("aspect", "miss").count().orderBy("count", ascending=False).show(50, False)
+        misses = sets.groupBy("aspect").agg(F.count(F.lit(1)).alias("requests"), *[F.count(F.when(F.col("miss") == m, 1)).alias(f"{m}_misses") for m in ("partner", "compat")])
+        misses.coalesce(1).write.json(f"{args.out}/misses/batch={args.batch}")
     elif args.command == "filter":
         qa = files.qa(spark, args.source)
         embed = _client(args.embed) if args.embed else None

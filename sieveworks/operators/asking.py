@@ -113,9 +113,15 @@ def embedded(rows: DataFrame, embed: Callable[[list[str]], list[list[float]]], t
 
 
 def rendered(template: str, **values: Column) -> Column:
-    """A template with {name} replaced by columns; names that are not given stay. What is put in is not scanned again."""
-    parts = re.split(r"\{(" + "|".join(map(re.escape, values)) + r")\}", template) if values else [template]
-    return F.concat(*[F.coalesce(values[x].cast("string"), F.lit("")) if i % 2 else F.lit(x) for i, x in enumerate(parts)])
+    """A template with {name} replaced by columns; names that are not given stay, and doubled braces become single ones. What is put
+    in is not scanned again."""
+    token = re.compile(r"\{\{|\}\}" + "".join(rf"|\{{({re.escape(x)})\}}" for x in values))
+    parts, at = [], 0
+    for m in token.finditer(template):
+        name = next(filter(None, m.groups()), None)
+        parts += [F.lit(template[at : m.start()]), F.coalesce(values[name].cast("string"), F.lit("")) if name else F.lit(m[0][0])]
+        at = m.end()
+    return F.concat(*parts, F.lit(template[at:]))
 
 
 def sections(markdown: str) -> dict[str, str]:

@@ -106,6 +106,18 @@ def layout_pages(markdown: Column) -> Column:
     return F.aggregate(F.split(markdown, r"<!--\s*PageBreak\s*-->"), start, step, lambda s: s["out"])
 
 
+def running(rows: DataFrame, *order: Column) -> DataFrame:
+    """rows with `position` counted from 0 through each document, in this order."""
+    return rows.withColumn("position", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)) - 1)
+
+
+def headings(html: Column) -> Column:
+    """The headings of a page in order, as an array of structs (level, title): what stands between the tags, without tags."""
+    found = F.regexp_extract_all(html, F.lit("(?is)<h[1-6][^>]*>.*?</h[1-6]>"), F.lit(0))
+    title = lambda h: F.regexp_replace(F.regexp_replace(h, "<[^>]*>", ""), r"^\s+|\s+$", "")
+    return F.transform(found, lambda h: F.struct(F.regexp_extract(h, "<h([1-6])", 1).cast("int").alias("level"), title(h).alias("title")))
+
+
 def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, markdown: bool = False, patterns: Iterable[str] = ()) -> DataFrame:
     """chunk_id, doc_id, page, text, position, section_path, references of docs (doc_id, text and, if there is one, page).
 
@@ -119,8 +131,7 @@ def chunk_documents(docs: DataFrame, size: int = SIZE, overlap: int = OVERLAP, m
     cut = F.flatten(F.zip_with("parts", "cuts", lambda s, cuts: F.transform(cuts, lambda p: F.struct(s["path"].alias("section_path"), p.alias("text")))))
     rows = rows.select("doc_id", "page", F.posexplode(cut).alias("position", "chunk"))
     if "page" in docs.columns:  # the chunks of one document
-        in_order = Window.partitionBy("doc_id").orderBy(F.col("page").asc_nulls_last(), "position")
-        rows = rows.withColumn("position", F.row_number().over(in_order) - 1)
+        rows = running(rows, F.col("page").asc_nulls_last(), F.col("position"))
     return rows.select(
         chunk_id(F.col("doc_id"), F.col("position")).alias("chunk_id"), "doc_id", "page", F.col("chunk.text").alias("text"), "position",
         F.col("chunk.section_path").alias("section_path"),

@@ -124,3 +124,10 @@ def knowledge_counts(items: DataFrame) -> DataFrame:
 def candidates(items: DataFrame) -> DataFrame:
     """Items for the knowledge track: answerable as far as is known, and not answered by retrieval."""
     return items.where("(answerability is null or answerability >= 4) and answer_match = 'no_match'")
+
+
+def gate_counts(reasons: DataFrame) -> DataFrame:
+    """total, kept, dropped and the share that is kept, of items with their array of reasons."""
+    kept = F.count(F.when(F.size("reasons") == 0, 1))
+    n = F.count(F.lit(1))
+    return reasons.agg(n.alias("total"), kept.alias("kept"), (n - kept).alias("dropped"), F.round(kept / F.greatest(n, F.lit(1)), 6).alias("ratio"))

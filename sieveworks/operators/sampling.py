@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,3 +20,14 @@ def bottom_k(rows: DataFrame, id_column: str, k: int, keys: tuple[str, ...] = ()
     parts = [F.col(key) for key in keys] or [F.lit(0)]
     order = Window.partitionBy(*parts).orderBy(hashed(F.lit(str(seed)), F.coalesce(F.col(id_column).cast("string"), F.lit(""))), id_column)
     return rows.withColumn("pick", F.row_number().over(order)).where(F.col("pick") <= k)
+
+
+def prefix(rows: DataFrame, size: Column, most: int, order: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
+    """rows with `cum`, the sizes added up in order, as long as that is `most` at most: of each group of keys, or of all rows.
+
+    Sizes are 1 or more. Without keys only the first `most` rows in order are looked at, as no further one can fit.
+    """
+    if not keys:
+        rows = rows.orderBy(*order).limit(most)
+    parts = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    return rows.withColumn("cum", F.sum(size).over(parts.orderBy(*order))).where(F.col("cum") <= most)

@@ -16,7 +16,7 @@ from ..operators import items as ops
 from ..session import shared_dir
 from ..sources import files
 from ..streaming import verification
-from . import jobs
+from . import jobs, requests
 from .derived import QA_SQL, items, qa_rows, read
 
 
@@ -81,18 +81,17 @@ _WINDOWS_SQL = "w AS (SELECT doc_id, i::INT AS position, substr(text, i*700+1, 8
 
 @query("WITH " + _WINDOWS_SQL + " SELECT doc_id, position, (row_number() OVER (PARTITION BY doc_id ORDER BY position)-1)::INT AS running, length(text)::INT AS n_chars FROM w")
 def chunk_positions(spark, sf_dir):
-    """The running position of each window, computed from its place."""
-    w = chunking.windows(read(spark, sf_dir, "documents"))
-    return w.select("doc_id", "position", F.col("position").alias("running"), F.length("text").alias("n_chars"))
+    """The running position of each window in its document."""
+    w = chunking.windows(read(spark, sf_dir, "documents")).withColumn("place", F.col("position"))
+    return chunking.running(w, F.col("place")).select("doc_id", F.col("place").alias("position"), F.col("position").alias("running"), F.length("text").alias("n_chars"))
 
 
 @query(r"""SELECT page_id, (i-1)::INT AS pos, regexp_extract(h[i], '<h([1-6])', 1)::INT AS level, regexp_replace(regexp_replace(h[i], '<[^>]*>', '', 'g'), '^\s+|\s+$', '', 'g') AS title
 FROM (SELECT page_id, h, unnest(range(1, len(h)+1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '(?is)<h[1-6][^>]*>.*?</h[1-6]>') AS h FROM pages))""")
 def section_paths(spark, sf_dir):
     """Headings of pages in order, with their level."""
-    pages = read(spark, sf_dir, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit("(?is)<h[1-6][^>]*>.*?</h[1-6]>"), F.lit(0))).alias("pos", "h"))
-    title = F.regexp_replace(F.regexp_replace("h", "<[^>]*>", ""), r"^\s+|\s+$", "")
-    return pages.select("page_id", "pos", F.regexp_extract("h", "<h([1-6])", 1).cast("int").alias("level"), title.alias("title"))
+    found = read(spark, sf_dir, "pages").select("page_id", F.posexplode(chunking.headings(F.col("html"))).alias("pos", "h"))
+    return found.select("page_id", "pos", "h.level", "h.title")
 
 
 _ASCII_REFS = (r"Version\s+\d+\.\d+", r"GPL-\d", r"BY(?:-[A-Z]{2})*\s+\d\.\d")
@@ -549,19 +548,31 @@ def latest_review(spark, sf_dir):
 @query("WITH " + _CHUNK_SQL + " SELECT doc_id, position, cum::BIGINT AS cum FROM (SELECT doc_id, position, sum(length(text)) OVER (PARTITION BY doc_id ORDER BY position) AS cum FROM c) WHERE cum <= 12000")
 def sample_prefix(spark, sf_dir):
     """The chunks of each document that fit a prompt of 12,000 characters, in order; the first overflow ends it."""
-    from pyspark.sql.window import Window
+    c = _window_chunks(spark, sf_dir).select("doc_id", "position", "text")
+    return sampling.prefix(c, F.length("text"), 12_000, ["position"], ("doc_id",)).select("doc_id", "position", "cum")
 
-    c = _window_chunks(spark, sf_dir)
-    cum = F.sum(F.length("text")).over(Window.partitionBy("doc_id").orderBy("position"))
-    return c.select("doc_id", "position", cum.alias("cum")).where("cum <= 12000")
+
+_CELLS_SQL = f"cells AS (SELECT a.kg_query_type, b.kg_novelty FROM {_domain_sql('kg_query_type', dims.KG_QUERY_TYPES)} a CROSS JOIN {_domain_sql('kg_novelty', dims.KG_NOVELTY)} b)"
+_COPIES_SQL = "SELECT kg_query_type, kg_novelty, copy, md5('42:' || kg_query_type || ':' || kg_novelty || ':' || copy) AS \"order\" FROM (SELECT *, unnest(range(0, copies))::INT AS copy FROM n)"
 
 
-@query(f"SELECT a.kg_query_type, b.kg_novelty, unnest(range(0, 2))::INT AS copy FROM {_domain_sql('kg_query_type', dims.KG_QUERY_TYPES)} a CROSS JOIN {_domain_sql('kg_novelty', dims.KG_NOVELTY)} b")
+@query(QA_SQL + f", {_CELLS_SQL}, t AS (SELECT *, row_number() OVER (ORDER BY md5('42:rest:' || kg_query_type || ':' || kg_novelty)) AS turn, (SELECT count(*) FROM qa WHERE track='kg_poc') AS wanted FROM cells), n AS (SELECT *, wanted//15 + CASE WHEN turn <= wanted%15 THEN 1 ELSE 0 END AS copies FROM t) " + _COPIES_SQL)
 def kg_cell_queue(spark, sf_dir):
-    """An equal split of 30 requests over the 15 cells."""
-    from . import requests
+    """As many requests as there are items of the track, split equally over the cells, with the order in which they are taken."""
+    total = items(spark, sf_dir).where("track = 'kg_poc'").agg(F.count(F.lit(1)).alias("n"))
+    return requests.split_cells(total)
+
+
+@query(QA_SQL + ", n AS (SELECT kg_query_type, kg_novelty, count(*) AS copies FROM qa WHERE track='kg_poc' AND answer_match='no_match' GROUP BY kg_query_type, kg_novelty) " + _COPIES_SQL)
+def kg_mix_queue(spark, sf_dir):
+    """A mix of cells: a request for each item of the track that was not answered."""
+    failed = items(spark, sf_dir).where("track = 'kg_poc' and answer_match = 'no_match'")
+    return requests.copies_of(failed.groupBy("kg_query_type", "kg_novelty").agg(F.count(F.lit(1)).alias("copies")))
+
 
-    return requests.cell_queue(spark, 30)
+@query(QA_SQL + f"SELECT count(*)::BIGINT AS total, count(*) FILTER (n=0)::BIGINT AS kept, count(*) FILTER (n>0)::BIGINT AS dropped, round(count(*) FILTER (n=0)/greatest(count(*),1)::DOUBLE, 6) AS ratio FROM (SELECT len({_REASONS_SQL.format(more='')}) AS n FROM qa)")
+def gate_counts(spark, sf_dir):
+    return reports.gate_counts(items(spark, sf_dir).select(rules.reject_reasons().alias("reasons")))
 
 
 _CLEARED_SQL = "answerability >= 4 AND leakage IS DISTINCT FROM 'fail'"

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import dims, schemas
 from ..functions import rules
 from ..functions.text import is_unable, page_blocks, parsed, qa_id, unseen_terms
-from ..operators import asking, items, reports, similarity
+from ..operators import asking, items, reports, sampling, similarity
 from ..sources import files, layouts
 
 
@@ -139,29 +138,51 @@ def probe(qa: DataFrame, client: asking.Client, models: tuple[str, str], prompts
     return asking.knowledge(rows).select("qa_id", "llm_knowledge")
 
 
-def generate(requests: DataFrame, client: asking.Client, model: str, template: str, replies: str) -> tuple[DataFrame, DataFrame]:
-    """Accepted items and rejected replies with a reason, for requests (request_id, key, anchors: array of chunk structs).
+def request_values(requests: DataFrame, few_shot: str = "[]") -> dict[str, Column]:
+    """What a generation prompt can name: the anchors, the first of them, the aspect and its category, the cell, and seeds as JSON."""
+    column = lambda name: F.col(name) if name in requests.columns else F.lit(None).cast("string")
+    first = F.get("anchors", F.lit(0))
+    page = F.coalesce(first["page"].cast("string"), F.lit("null"))
+    category = F.lit(None).cast("string")
+    for name, aspects in dims.ASPECTS.items():
+        category = F.when(column("aspect").isin(*aspects), name).otherwise(category)
+    return {
+        "chunks_block": page_blocks(F.col("anchors")), "anchor_chunks_block": page_blocks(F.col("anchors")), "key": F.col("key"), "few_shot": F.lit(few_shot),
+        "doc_id": first["doc_id"], "page": page, "page_or_null": page, "chunk_id": first["chunk_id"],
+        "aspect": column("aspect"), "category": category, "aspect_json": F.to_json(F.array(column("aspect"))), "category_json": F.to_json(F.array(category)),
+        "kg_query_type": column("kg_query_type"), "kg_novelty": column("kg_novelty"),
+    }
+
+
+def generate(requests: DataFrame, client: asking.Client, model: str, template: str, replies: str, version: str = "unknown", few_shot: str = "[]") -> tuple[DataFrame, DataFrame]:
+    """Accepted items and rejected replies with a reason, for requests (request_id, key, anchors: array of chunk structs, and, if
+    they have them, aspect, kg_query_type and kg_novelty).
 
     A reply must be a JSON object with question, answer and rationale; an item with long terms that its anchors lack is rejected.
+    Cell, retrieval level and retrieval flags are those of the request and its anchors, whatever the reply says.
     """
     spark = requests.sparkSession
-    prompt = asking.rendered(template, chunks_block=page_blocks(F.col("anchors")), key=F.col("key"))
+    prompt = asking.rendered(template, **request_values(requests, few_shot))
     asking.ask(requests.withColumn("prompt", prompt), client, model, "prompt", "reply").drop("prompt").write.mode("overwrite").parquet(replies)
     rows = spark.read.parquet(replies)
-    body = parsed(F.col("reply"), "question string, answer string, rationale array<struct<doc_id:string,page:int,text:string>>, category array<string>, aspect array<string>, answer_level string")
     known = F.array_join(F.transform("anchors", lambda c: c["text"]), "")
     n, docs = F.size("anchors"), F.size(F.array_distinct(F.transform("anchors", lambda c: c["doc_id"])))
     places = F.transform("anchors", lambda c: c["position"])
     gap = F.when(docs == 1, F.array_max(places) - F.array_min(places)).otherwise(0)
-    rows = rows.withColumn("b", body).select("request_id", "key", "anchors", "reply", "b.*").withColumns({
+    longest = F.array_max(F.transform("anchors", lambda c: F.length(c["text"])))
+    cell = [c for c in ("kg_query_type", "kg_novelty") if c in rows.columns]
+    rows = rows.withColumn("b", parsed(F.col("reply"), schemas.GENERATED)).select("request_id", "key", "anchors", "reply", *cell, "b.*").withColumns({
         "new_terms": unseen_terms(F.concat_ws(" ", "question", "answer"), known),
         "retrieval_level": rules.retrieval_level(n, docs, gap),
+        "retrieval_difficulty": schemas.flag_struct("retrieval_difficulty", rules.retrieval_flags(n, docs, gap, longest)),
         "qa_id": qa_id(F.transform("anchors", lambda c: c["chunk_id"]), F.col("key"), F.col("question")),
+        "generation": F.struct(F.lit(model).alias("model"), F.lit(version).alias("prompt_version"), F.current_timestamp().cast("timestamp_ntz").alias("generated_at")),
     })
-    names = F.array(*[F.lit(a) for a, _, _ in dims.ASPECT_ROWS])
+    rows = schemas.with_defaults(schemas.as_items(rows))
+    odd = F.exists(schemas.problems(), lambda p: p.endswith("_domain"))
     reason = (
         F.when(F.col("question").isNull() | F.col("answer").isNull() | F.col("rationale").isNull(), "no item in the reply")
-        .when(~F.coalesce(F.col("answer_level").isin(*dims.LEVELS), F.lit(True)) | (F.size(F.array_except(F.coalesce("aspect", F.array().cast("array<string>")), names)) > 0), "outside the domain")
+        .when(odd, "outside the domain")
         .when(F.size("new_terms") > 0, "terms that the anchors lack")
     )
     rows = rows.withColumn("reason", reason)
@@ -187,9 +208,7 @@ def pattern_sample(chunks: DataFrame, most: int = 12_000) -> str:
 
     A chunk with a place of `most` or more can't fit, so only chunks of the first documents by id are looked at.
     """
-    first = chunks.orderBy("doc_id", "position").limit(most)
-    cum = F.sum(F.length("text")).over(Window.orderBy("doc_id", "position"))
-    rows = first.withColumn("cum", cum).where(F.col("cum") <= most).orderBy("doc_id", "position").collect()
+    rows = sampling.prefix(chunks, F.length("text"), most, ["doc_id", "position"]).orderBy("doc_id", "position").collect()
     return "\n\n".join(f"### {r['doc_id']}\n{r['text']}" for r in rows)
 
 

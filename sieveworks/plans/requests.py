@@ -6,9 +6,11 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import dims
 from ..functions import rules
+from ..operators.partners import hashed
 
 Cell = tuple[str, str]
 
@@ -52,14 +54,25 @@ def cells(n: int, mix: list[tuple[str, str, int]] | None = None, seed: int = 42)
     return [c for _, _, c in sorted((_order(seed, i, c), i, c) for i, c in enumerate(queue))]
 
 
-def cell_queue(spark: SparkSession, n: int, mix: list[tuple[str, str, int]] | None = None, seed: int = 42) -> DataFrame:
-    """kg_query_type, kg_novelty and the number of the copy of that cell. n is the caller's, a few hundred at most."""
-    seen: dict[Cell, int] = {}
-    rows = []
-    for cell in cells(n, mix, seed):
-        rows.append((*cell, seen.get(cell, 0)))
-        seen[cell] = seen.get(cell, 0) + 1
-    return spark.createDataFrame(rows, "kg_query_type string, kg_novelty string, copy int")
+def split_cells(total: DataFrame, seed: int = 42) -> DataFrame:
+    """kg_query_type, kg_novelty, copy and order: an equal split of n requests (total: one row, column n) over all cells.
+
+    What is left over goes to one cell each, by the hash of its name; order is the hash by which requests are taken.
+    """
+    spark = total.sparkSession
+    cell = dims.domain(spark, "kg_query_type", dims.KG_QUERY_TYPES).drop("ord").crossJoin(F.broadcast(dims.domain(spark, "kg_novelty", dims.KG_NOVELTY).drop("ord")))  # fixed domains
+    name = F.concat_ws(":", "kg_query_type", "kg_novelty")
+    turn = F.row_number().over(Window.orderBy(hashed(F.lit(f"{seed}:rest"), name)))  # of as many rows as there are cells
+    every = len(dims.KG_QUERY_TYPES) * len(dims.KG_NOVELTY)
+    n = cell.withColumn("turn", turn).crossJoin(F.broadcast(total.select("n")))  # one row
+    n = n.withColumn("copies", F.floor(F.col("n") / every) + F.when(F.col("turn") <= F.col("n") % every, 1).otherwise(0))
+    return copies_of(n, seed)
+
+
+def copies_of(mix: DataFrame, seed: int = 42) -> DataFrame:
+    """kg_query_type, kg_novelty, copy and order: as many requests of each cell as its `copies` says."""
+    rows = mix.where("copies > 0").select("kg_query_type", "kg_novelty", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))).alias("copy"))
+    return rows.withColumn("order", hashed(F.lit(str(seed)), "kg_query_type", "kg_novelty", F.col("copy").cast("string")))
 
 
 def requests(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:

@@ -41,6 +41,14 @@ QA = ", ".join(
         "review_status string, reviewed_by string, reviewed_at timestamp_ntz",
     ]
 )
+#: What a model's reply may hold of an item; the rest of QA is known from the request.
+GENERATED = ", ".join(
+    [
+        "question string, answer string, rationale array<struct<doc_id:string,page:int,text:string>>, category array<string>, aspect array<string>",
+        _flags("reasoning_complexity"), _flags("source_structure"), "explainability struct<evidence_strictness:string>",
+        "answer_level string, difficulty_rationale string, business_scenario string",
+    ]
+)
 REVIEW_EVENT = "qa_id string, status string, reviewer string, reviewed_at timestamp_ntz, question string, answer string"
 
 
@@ -55,6 +63,17 @@ def with_defaults(qa: DataFrame) -> DataFrame:
     return out.withColumn("review_status", F.coalesce("review_status", F.lit("pending")))
 
 
+def flag_struct(name: str, known: dict[str, Column]) -> Column:
+    """The flags of a group as a struct: those that are known, and false for the others."""
+    return F.struct(*[known.get(f, F.lit(False)).alias(f) for f in _FLAGS[name]])
+
+
+def as_items(rows: DataFrame) -> DataFrame:
+    """rows with the columns of QA: those they lack are null, those that they have keep their values."""
+    fields = rows.sparkSession.createDataFrame([], QA).schema
+    return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields if f.name not in rows.columns})
+
+
 def problems() -> Column:
     """What is wrong with an item, as an array of names: missing fields and values outside their domains."""
     c = F.col

@@ -117,6 +117,28 @@ def test_generate(spark, tmp_path):
     assert {r["request_id"]: r["reason"] for r in bad.collect()} == {1: "terms that the anchors lack", 2: "no item in the reply"}
 
 
+def test_generated_items_carry_cell_flags_and_origin(spark, tmp_path):
+    anchors = "array<struct<chunk_id:string,doc_id:string,page:int,section_path:array<string>,text:string,position:int>>"
+    pair = [("a__c0000", "a", None, ["x"], "定格 24 V", 0), ("a__c0012", "a", 2, [], "y" * 1300, 12)]
+    rows = spark.createDataFrame([(1, "multi_hop", pair, "causal", "multi_hop", "unknown_term")], f"request_id int, key string, anchors {anchors}, aspect string, kg_query_type string, kg_novelty string")
+    template = "{{{key}}} {doc_id} {page} {chunk_id} {aspect_json} {category_json} {kg_query_type}/{kg_novelty} {few_shot} {other} {{x}}"
+    seen = tmp_path / "calls"
+    seen.mkdir()
+    reply = {"question": "q", "answer": "24 V", "rationale": [], "aspect": ["causal"], "kg_query_type": "single_fact", "reasoning_complexity": {"multi_step": True}, "answer_level": "Easy"}
+    say = counting(str(seen))
+    ok, bad = jobs.generate(rows, lambda p, m: (say(p, m), json.dumps(reply))[1], "m", template, str(tmp_path / "r"), "v3", '["seed"]')
+    row = ok.first()
+    assert said(seen) == ['m {multi_hop} a null a__c0000 ["causal"] ["Reasoning"] multi_hop/unknown_term ["seed"] {other} {x}']
+    assert (row["kg_query_type"], row["kg_novelty"], row["retrieval_level"], row["review_status"]) == ("multi_hop", "unknown_term", "Hard", "pending")
+    assert row["generation"]["model"] == "m" and row["generation"]["prompt_version"] == "v3" and row["generation"]["generated_at"]
+    flags = row["retrieval_difficulty"].asDict()
+    assert {f for f in flags if flags[f]} == {"multi_chunk", "low_locality", "remote_reference", "chunk_size_large"} and len(flags) == 8
+    assert row["reasoning_complexity"]["multi_step"] and not row["source_structure"]["redundancy"] and bad.count() == 0
+    odd = dict(reply, category=["Nonsense"])
+    ok, bad = jobs.generate(rows, lambda p, m: json.dumps(odd), "m", template, str(tmp_path / "r2"))
+    assert ok.count() == 0 and bad.first()["reason"] == "outside the domain"
+
+
 def test_review_and_reports(spark, tmp_path):
     qa = files.qa(spark, write(tmp_path / "qa", item("q1"), item("q2")))
     log = spark.createDataFrame([("q1", "edited", "r", "new?", None, 1), ("q1", "accepted", "r", None, None, 2), ("q2", "edited", "r", "new?", None, 1)], "qa_id string, status string, reviewer string, question string, answer string, t int")
