@@ -553,7 +553,7 @@ def sample_prefix(spark, sf_dir):
 
 
 _CELLS_SQL = f"cells AS (SELECT a.kg_query_type, b.kg_novelty FROM {_domain_sql('kg_query_type', dims.KG_QUERY_TYPES)} a CROSS JOIN {_domain_sql('kg_novelty', dims.KG_NOVELTY)} b)"
-_COPIES_SQL = "SELECT kg_query_type, kg_novelty, copy, md5('42:' || kg_query_type || ':' || kg_novelty || ':' || copy) AS \"order\" FROM (SELECT *, unnest(range(0, copies))::INT AS copy FROM n)"
+_COPIES_SQL = "SELECT kg_query_type, kg_novelty, copy, md5('42:' || kg_query_type || ':' || kg_novelty || ':' || copy) AS draw FROM (SELECT *, unnest(range(0, copies))::INT AS copy FROM n)"
 
 
 @query(QA_SQL + f", {_CELLS_SQL}, t AS (SELECT *, row_number() OVER (ORDER BY md5('42:rest:' || kg_query_type || ':' || kg_novelty)) AS turn, (SELECT count(*) FROM qa WHERE track='kg_poc') AS wanted FROM cells), n AS (SELECT *, wanted//15 + CASE WHEN turn <= wanted%15 THEN 1 ELSE 0 END AS copies FROM t) " + _COPIES_SQL)

@@ -55,9 +55,9 @@ def cells(n: int, mix: list[tuple[str, str, int]] | None = None, seed: int = 42)
 
 
 def split_cells(total: DataFrame, seed: int = 42) -> DataFrame:
-    """kg_query_type, kg_novelty, copy and order: an equal split of n requests (total: one row, column n) over all cells.
+    """kg_query_type, kg_novelty, copy and draw: an equal split of n requests (total: one row, column n) over all cells.
 
-    What is left over goes to one cell each, by the hash of its name; order is the hash by which requests are taken.
+    What is left over goes to one cell each, by the hash of its name; draw is the hash in whose order requests are taken.
     """
     spark = total.sparkSession
     cell = dims.domain(spark, "kg_query_type", dims.KG_QUERY_TYPES).drop("ord").crossJoin(F.broadcast(dims.domain(spark, "kg_novelty", dims.KG_NOVELTY).drop("ord")))  # fixed domains
@@ -70,9 +70,9 @@ def split_cells(total: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def copies_of(mix: DataFrame, seed: int = 42) -> DataFrame:
-    """kg_query_type, kg_novelty, copy and order: as many requests of each cell as its `copies` says."""
+    """kg_query_type, kg_novelty, copy and draw: as many requests of each cell as its `copies` says."""
     rows = mix.where("copies > 0").select("kg_query_type", "kg_novelty", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))).alias("copy"))
-    return rows.withColumn("order", hashed(F.lit(str(seed)), "kg_query_type", "kg_novelty", F.col("copy").cast("string")))
+    return rows.withColumn("draw", hashed(F.lit(str(seed)), "kg_query_type", "kg_novelty", F.col("copy").cast("string")))
 
 
 def requests(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
