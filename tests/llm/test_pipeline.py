@@ -30,4 +30,4 @@ def test_stages(spark, tmp_path):
 
 
 def test_every_query_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in entries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in entries.queries()) == list(range(1, 14))
