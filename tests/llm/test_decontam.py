@@ -8,13 +8,14 @@ from sieveworks.llm import decontam
 
 
 def distance(pattern, text):
-    """Least edit distance of the pattern to any substring of text, row by row."""
-    row = [0] * (len(text) + 1)
+    """Least edit distance of the pattern to any substring of text, row by row; an end inside a word is an edit too."""
+    ends = [int(0 < j < len(text) and text[j - 1] != " " != text[j]) for j in range(len(text) + 1)]
+    row = list(ends)
     for i, c in enumerate(pattern, 1):
-        above, row = row, [i] + [0] * len(text)
+        above, row = row, [ends[0] + i] + [0] * len(text)
         for j, d in enumerate(text, 1):
             row[j] = min(above[j - 1] + (c != d), above[j] + 1, row[j - 1] + 1)
-    return min(row)
+    return min(map(sum, zip(row, ends, strict=True)))
 
 
 def test_myers_against_the_table():
@@ -25,8 +26,30 @@ def test_myers_against_the_table():
         masks = {}
         for i, c in enumerate(p):
             masks[c] = masks.get(c, 0) | 1 << i
-        got = decontam.best_match(masks, len(p), t, len(p))
-        assert (got[0] if got else len(p)) == distance(p, t)
+        got = decontam.best_match(masks, len(p), t, 0, len(t), len(p))
+        assert (got[0] if got else len(p)) == min(distance(p, t), len(p))
+
+
+def test_items_of_all_lengths_follow_one_law():
+    """Items of 1 to 40 characters, with and without edits, against all substrings of a text."""
+    rng = random.Random(7)
+    hits = {}
+    for size in range(1, 41):
+        for _ in range(12):
+            item = decontam.fold_text("".join(rng.choices("abcde ", k=size)))
+            if not item:
+                continue
+            chars = list(item)
+            for _ in range(rng.randint(0, 3)):
+                chars[(at := rng.randrange(len(chars))) : at + rng.randint(0, 1)] = rng.choice(["", "z", " "])
+                chars = chars or ["z"]
+            around = lambda: "".join(rng.choices("abcde ", k=rng.randint(0, 30)))
+            text = decontam.fold_text(around() + rng.choice(["", " "]) + "".join(chars) + rng.choice(["", " "]) + around())
+            edits, most = distance(item, text), int(decontam.ERROR_RATE * len(item))
+            got = decontam.Matcher([(1, item)], decontam.ERROR_RATE).find(text)
+            assert [x[1] for x in got] == ([edits] if edits <= most and text else []), (item, text)
+            hits[most] = hits.get(most, 0) + len(got)
+    assert all(hits.get(k) for k in range(4)), hits
 
 
 @pytest.mark.parametrize("rate", [0.05, 0.15])
@@ -68,7 +91,7 @@ def test_tables(spark, monkeypatch):
     assert decontam.matches(docs, items.where("item_id > 9")).count() == 0 and decontam.matches(docs.where("doc_id > 9"), items).count() == 0
 
 
-def test_short_items_are_found_as_whole_words(spark):
+def test_short_items_have_the_same_law(spark):
     items = [(1, "What is 7 times 8?"), (2, "東京はどこですか"), (3, "one"), (4, "one"), (5, "?!"), (6, None), (7, "quick brown"), (8, "The quick brown fox jumps over the lazy dog."), (1, "ten")]
     docs = [
         (1, "So: WHAT is 7\ntimes 8? What is 7 times 8"), (2, "what is 7 times 81"), (3, "what is 9 times 8"), (4, "問題：東京はどこですか。"), (5, "では東京はどこですかと聞く"),
@@ -77,7 +100,7 @@ def test_short_items_are_found_as_whole_words(spark):
     items, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
     got = sorted((r["doc_id"], r["item_id"], r["edits"], r["start"], r["end"]) for r in decontam.matches(docs, items).collect())
     assert got == [
-        (1, 1, 0, 3, 20), (4, 2, 0, 3, 11), (5, 2, 0, 2, 10), (8, 3, 0, 3, 6), (8, 4, 0, 3, 6), (9, 7, 0, 4, 15), (9, 8, 1, 0, 43),
+        (1, 1, 0, 3, 20), (2, 1, 1, 0, 16), (3, 1, 1, 0, 17), (4, 2, 0, 3, 11), (5, 2, 0, 2, 10), (8, 3, 0, 3, 6), (8, 4, 0, 3, 6), (9, 7, 0, 4, 15), (9, 8, 1, 0, 43),
         (12, 1, 0, 0, 3), (12, 1, 0, 4, 21),
     ]
-    assert sorted(r["doc_id"] for r in decontam.decontaminate(docs, items).collect()) == [2, 3, 6, 7, 10, 11]
+    assert sorted(r["doc_id"] for r in decontam.decontaminate(docs, items).collect()) == [6, 7, 10, 11]
