@@ -4,13 +4,16 @@ Suffixes are kept at content-selected places only: the minimiser (least hash of
 window of LEAST words keeps the suffix at the minimiser of its first SPAN places, so equal windows, wherever they stand,
 keep suffixes at the same place within them, with HEAD = LEAST - SPAN + 1 words of the window to the right.
 
-1. The kept suffixes are sorted over the cluster by (a key of) their first HEAD words, and each is compared to its
-   neighbours: those that no other document has are done with.
+1. The kept suffixes are sorted over the cluster word by word, a byte of each word's hash standing for the word: as equal
+   words have equal bytes, suffixes that share their first HEAD words come together, and no collision can part them. Each
+   is compared to its neighbours by the number of words that they share; those that share HEAD words with no other
+   document are done with.
 2. The others are extended to the left and right to every window of LEAST words that keeps them. These windows are sorted
-   in the same way, and each is compared to its neighbours: it matches the first of the equal ones, which is that of the
-   least doc_id (then place). Matched windows in a row that lie alike in both documents are one match, and matches of one
-   document that overlap or touch are one stretch.
-3. The words of every match are compared in full. Keys only propose; no match rests on a hash alone.
+   by two hashes of 64 bits, and each is compared to its neighbours: it matches the first of the equal ones, which is that
+   of the least doc_id (then place). Matched windows in a row that lie alike in both documents are one match, and matches of
+   one document that overlap or touch are one stretch.
+3. The words of every match are compared in full. Keys only propose; no match rests on a hash alone, and only windows that
+   agree in both hashes could hide each other's holder.
 
 So a document's matches are exactly its windows of LEAST words that a document of a smaller doc_id has too, with their exact
 ends, and each match names the first holder. Sorting is by range of (key, doc_id, place), so a passage in a third of all
@@ -45,6 +48,10 @@ from .textvec import mix64, powers, word_hashes, word_shingles
 
 LEAST, K, SPAN = 50, 8, 22
 HEAD = LEAST - SPAN + 1
+#: The first HEAD words of a suffix as bytes, eight in each of these numbers (the last is filled up with zeros).
+HEADS = [f"head{i}" for i in range(-(-HEAD // 8))]
+#: A window's two hashes.
+KEYS = ["key", "key2"]
 #: A spot is a version in the upper and a word's place in the lower 32 bits.
 _PLACE = (1 << 32) - 1
 _WORD = re.compile(r"\S+")
@@ -73,6 +80,25 @@ def runs_of(words: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
     return mix64((sums[at + size] - sums[at]) * down[at])
 
 
+def heads_of(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first HEAD words from each place, a byte each, as numbers (places x HEADS) in whose order suffixes are sorted."""
+    out = np.zeros((len(at), 8 * len(HEADS)), np.uint8)
+    if len(at):
+        out[:, :HEAD] = np.lib.stride_tricks.sliding_window_view((words >> np.uint64(56)).astype(np.uint8), HEAD)[at]
+    return out.view(">i8").astype(np.int64)
+
+
+def shared_words(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many words (HEAD at most) the suffixes in the rows of a and b have in common from their beginning."""
+    differ = np.ascontiguousarray(a ^ b, ">i8").view(np.uint8).reshape(len(a), 8 * len(HEADS)) != 0
+    return np.where(differ.any(1), differ.argmax(1), HEAD)
+
+
+def keys_of(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the window of LEAST words at each place, the second over other hashes of the words."""
+    return runs_of(words, at, LEAST).view(np.int64), runs_of(mix64(words ^ np.uint64(0x5851F42D4C957F2D)), at, LEAST).view(np.int64)
+
+
 def _version(text: Column) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1))
 
@@ -82,103 +108,106 @@ def _ints(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def _marks(docs: DataFrame) -> DataFrame:
-    """doc_id, version, digest of the words, their number, and the kept suffixes: keys of their first HEAD words, and places."""
+    """doc_id, version, digest of the words, their number, and the kept suffixes: their first HEAD words, and places."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in by_chars(batches):
             out = []
             for words in _words(pdf["text"].tolist()):
                 at = np.unique(chosen(words))
-                out.append((xxhash.xxh3_128_digest(words.tobytes()), len(words), runs_of(words, at, HEAD).view(np.int64), at.astype(np.int32)))
-            digests, sizes, keys, places = zip(*out, strict=True)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "version": pdf["version"].to_numpy(), "digest": digests, "words": sizes, "keys": keys, "places": places})
+                out.append((xxhash.xxh3_128_digest(words.tobytes()), len(words), at.astype(np.int32), *heads_of(words, at).T.copy()))
+            frame = pd.DataFrame(dict(zip(["digest", "words", "places", *HEADS], zip(*out, strict=True), strict=True)))
+            yield frame.assign(doc_id=pdf["doc_id"].to_numpy(), version=pdf["version"].to_numpy())[names]
 
-    schema = "doc_id long, version long, digest binary, words int, keys array<long>, places array<int>"
+    schema = "doc_id long, version long, digest binary, words int, places array<int>, " + ", ".join(f"{x} array<long>" for x in HEADS)
+    names = ["doc_id", "version", "digest", "words", "places", *HEADS]
     return docs.select("doc_id", "text", _version(F.col("text")).alias("version")).mapInPandas(run, schema)
 
 
 def _shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of rows in order of (key, doc_id, spot) those whose key another document has too. The first and the last key of the
-    task may go on in the tasks next to it: their rows are kept. At most one document's rows of one key are held back."""
-    columns = ["key", "doc_id", "spot"]
-    held, open_key, many_key = None, None, None
+    """Of suffixes in their order (equal ones by doc_id, spot) those that share HEAD words with one of another document. The
+    first and the last suffix of the task may have such neighbours in the tasks next to it: those equal to them are kept. At
+    most one document's suffixes that are equal are held back."""
+    n = len(HEADS)
+    held, first, many_last = None, None, None
     for pdf in batches:
         if not len(pdf):
             continue
-        rows = pdf[columns].to_numpy()
-        open_key = rows[0, 0] if open_key is None else open_key
+        rows = pdf[[*HEADS, "doc_id", "spot"]].to_numpy()
+        first = rows[0, :n] if first is None else first
         rows = rows if held is None else np.concatenate([held, rows])
-        starts = np.flatnonzero(np.concatenate([[True], rows[1:, 0] != rows[:-1, 0]]))
+        starts = np.flatnonzero(np.concatenate([[True], shared_words(rows[:-1, :n], rows[1:, :n]) < HEAD]))
         sizes = np.diff(np.append(starts, len(rows)))
-        keys = rows[starts, 0]
-        many = (rows[starts, 1] != rows[starts + sizes - 1, 1]) | (keys == open_key)
-        if many_key is not None:
-            many |= keys == many_key
-        last = starts[-1]
-        many_key = keys[-1] if many[-1] else None
-        held = None if many[-1] else rows[last:]
+        heads = rows[starts, :n]
+        many = (rows[starts, n] != rows[starts + sizes - 1, n]) | (heads == first).all(1)
+        if many_last is not None:
+            many |= (heads == many_last).all(1)
+        many_last = heads[-1] if many[-1] else None
+        held = None if many[-1] else rows[starts[-1] :]
         good = rows[np.repeat(many, sizes)]
-        yield pd.DataFrame({"doc_id": good[:, 1], "spot": good[:, 2]})
+        yield pd.DataFrame({"doc_id": good[:, n], "spot": good[:, n + 1]})
     if held is not None:
-        yield pd.DataFrame({"doc_id": held[:, 1], "spot": held[:, 2]})
+        yield pd.DataFrame({"doc_id": held[:, n], "spot": held[:, n + 1]})
 
 
-def _in_order(rows: DataFrame) -> DataFrame:
-    """rows sorted over the whole cluster by (key, doc_id, spot), a range in each task."""
-    order = ("key", "doc_id", "spot")
+def _in_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows sorted over the whole cluster by (keys, doc_id, spot), a range in each task."""
+    order = (*keys, "doc_id", "spot")
     return rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def _windows(texts: DataFrame) -> DataFrame:
-    """key, doc_id and spot of every window of LEAST words that keeps one of the suffixes at `places`."""
+    """Both keys, doc_id and spot of every window of LEAST words that keeps one of the suffixes at `places`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in by_chars(batches):
-            keys, ids, spots = [], [], []
+            keys, keys2, ids, spots = [], [], [], []
             for doc, version, words, places in zip(pdf["doc_id"], pdf["version"], _words(pdf["text"].tolist()), pdf["places"], strict=True):
                 at = np.flatnonzero(np.isin(chosen(words), np.asarray(places, np.int64)))
-                keys.append(runs_of(words, at, LEAST).view(np.int64))
+                key, key2 = keys_of(words, at)
+                keys.append(key)
+                keys2.append(key2)
                 ids.append(np.full(len(at), doc, np.int64))
                 spots.append(at + (int(version) << 32))
-            yield pd.DataFrame({"key": _ints(keys), "doc_id": _ints(ids), "spot": _ints(spots)})
+            yield pd.DataFrame({"key": _ints(keys), "key2": _ints(keys2), "doc_id": _ints(ids), "spot": _ints(spots)})
 
-    return texts.mapInPandas(run, "key long, doc_id long, spot long")
+    return texts.mapInPandas(run, "key long, key2 long, doc_id long, spot long")
 
 
 def _first_holders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each row of an order of (key, doc_id, spot) with the first row of its key, where that is of another document.
+    """Each row of an order of (keys, doc_id, spot) with the first row of its keys, where that is of another document.
 
-    All rows of the task's first key are given, with `part`, the task's number: that key may have begun in an earlier task.
-    Two more rows without a doc_id say which are the task's first and last key (`last`), and their first rows here.
+    All rows of the task's first keys are given, with `part`, the task's number: those keys may have begun in an earlier
+    task. Two more rows without a doc_id say which are the task's first and last keys (`last`), and their first rows here.
     """
     part = TaskContext.get().partitionId()
     first = now = None
     for pdf in batches:
         if not len(pdf):
             continue
-        key, doc, spot = (pdf[c].to_numpy() for c in ("key", "doc_id", "spot"))
+        key, key2, doc, spot = (pdf[c].to_numpy() for c in (*KEYS, "doc_id", "spot"))
         if now is None:
-            first = now = (key[0], doc[0], spot[0])
-        starts = np.concatenate([[True], key[1:] != key[:-1]])
+            first = now = (key[0], key2[0], doc[0], spot[0])
+        starts = np.concatenate([[True], (key[1:] != key[:-1]) | (key2[1:] != key2[:-1])])
         at = np.maximum.accumulate(np.where(starts, np.arange(len(key)), 0))
         holder, place = doc[at], spot[at]
-        own = key == now[0]
-        holder[own], place[own] = now[1], now[2]
-        now = (key[-1], holder[-1], place[-1])
-        early = key == first[0]
+        own = (key == now[0]) & (key2 == now[1])
+        holder[own], place[own] = now[2], now[3]
+        now = (key[-1], key2[-1], holder[-1], place[-1])
+        early = (key == first[0]) & (key2 == first[1])
         good = early | (holder < doc)
         frame = pd.DataFrame({"doc_id": doc, "spot": spot, "first_doc": holder, "first_spot": place})[good].astype({"doc_id": "Int64"})
-        yield frame.assign(part=pd.array(np.where(early[good], part, -1), "Int32"), key=key[good], last=False)
+        yield frame.assign(part=pd.array(np.where(early[good], part, -1), "Int32"), key=0, key2=0, last=False)
     if now is not None:
-        ends = pd.DataFrame({"doc_id": pd.array([None, None], "Int64"), "spot": 0, "first_doc": [first[1], now[1]], "first_spot": [first[2], now[2]], "part": part, "key": [first[0], now[0]], "last": [False, True]})
-        yield ends.astype({"part": "Int32"})
+        ends = pd.DataFrame([first, now], columns=[*KEYS, "first_doc", "first_spot"]).assign(doc_id=pd.array([None, None], "Int64"), spot=0, part=part, last=[False, True])
+        yield ends.astype({"part": "Int32"})[["doc_id", "spot", "first_doc", "first_spot", "part", *KEYS, "last"]]
 
 
 def _matched(windows: DataFrame) -> DataFrame:
     """doc_id, spot, first_doc, first_spot: windows that a document of a smaller doc_id has too, and the first that has it."""
-    schema = "doc_id long, spot long, first_doc long, first_spot long, part int, key long, last boolean"
+    schema = "doc_id long, spot long, first_doc long, first_spot long, part int, key long, key2 long, last boolean"
     windows = materialise(windows, "passages-windows")
-    found = materialise(_in_order(windows).mapInPandas(_first_holders, schema), "passages-holders")
+    found = materialise(_in_order(windows, KEYS).mapInPandas(_first_holders, schema), "passages-holders")
     discard(windows)
     owed, before = [], None
     ends: dict[int, dict] = {}
@@ -186,10 +215,10 @@ def _matched(windows: DataFrame) -> DataFrame:
         ends.setdefault(r["part"], {})[r["last"]] = r
     for part in sorted(ends):
         first, last = ends[part][False], ends[part][True]
-        goes_on = before is not None and before[0] == first["key"]
-        holder = before[1:] if goes_on else (first["first_doc"], first["first_spot"])
+        opens, closes = (first["key"], first["key2"]), (last["key"], last["key2"])
+        holder = before[1] if before is not None and before[0] == opens else (first["first_doc"], first["first_spot"])
         owed.append((part, *holder))
-        before = (last["key"], *(holder if last["key"] == first["key"] else (last["first_doc"], last["first_spot"])))
+        before = (closes, holder if closes == opens else (last["first_doc"], last["first_spot"]))
     owed_df = found.sparkSession.createDataFrame(owed, "part int, doc long, at long")
     rows = found.where("doc_id is not null").join(F.broadcast(owed_df), "part", "left")  # a row for each task of the sort
     out = rows.select("doc_id", "spot", F.coalesce("doc", "first_doc").alias("first_doc"), F.when(F.col("doc").isNull(), F.col("first_spot")).otherwise(F.col("at")).alias("first_spot"))
@@ -285,11 +314,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     copies = marks.select("doc_id", "version", "digest", "words").join(firsts, ["digest", "words"]).where("doc_id > first.doc_id")
     copies = materialise(copies.select("doc_id", "version", "words", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version")).distinct(), "passages-copies")
 
-    live = marks.where(F.size("keys") > 0).join(copies, ["doc_id", "version"], "left_anti")
-    suffixes = live.select("doc_id", "version", F.explode(F.arrays_zip("keys", "places")).alias("x"))
-    suffixes = suffixes.select(F.col("x.keys").alias("key"), "doc_id", (F.shiftleft("version", 32) + F.col("x.places")).alias("spot"))
+    live = marks.where(F.size("places") > 0).join(copies, ["doc_id", "version"], "left_anti")
+    suffixes = live.select("doc_id", "version", F.explode(F.arrays_zip("places", *HEADS)).alias("x"))
+    suffixes = suffixes.select(*(F.col(f"x.{h}").alias(h) for h in HEADS), "doc_id", (F.shiftleft("version", 32) + F.col("x.places")).alias("spot"))
     suffixes = materialise(suffixes, "passages-suffixes")
-    shared = _in_order(suffixes).mapInPandas(_shared, "doc_id long, spot long")
+    shared = _in_order(suffixes, HEADS).mapInPandas(_shared, "doc_id long, spot long")
     spots = shared.groupBy("doc_id", F.shiftright("spot", 32).alias("version")).agg(F.collect_set(F.col("spot").bitwiseAND(F.lit(_PLACE))).alias("places"))
     ends = copies.select("doc_id", "version").unionByName(copies.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"))).distinct()
     wanted = spots.join(ends.withColumn("copy", F.lit(True)), ["doc_id", "version"], "full_outer").select("doc_id", "version", "places")

@@ -217,10 +217,42 @@ def test_every_window_keeps_a_suffix_by_its_content():
     assert len(at) == 451 and all(s <= p < s + passages.SPAN for s, p in enumerate(at.tolist()))
     shifted = np.concatenate([w[:3], w])
     assert (passages.chosen(shifted)[3:] == at + 3).all()
-    assert (passages.runs_of(shifted, at + 3, passages.HEAD) == passages.runs_of(w, at, passages.HEAD)).all()
+    assert (passages.heads_of(shifted, at + 3) == passages.heads_of(w, at)).all()
     assert not len(passages.chosen(w[:49])) and len(passages.chosen(w[:50])) == 1
 
 
+def test_suffixes_are_sorted_and_compared_word_by_word():
+    """Against suffixes as lists of words, of two alike documents, so that neighbours share 0 to HEAD words."""
+    rng = np.random.default_rng(6)
+    alphabet = np.unique(rng.integers(1 << 62, size=400).astype(np.uint64) << np.uint64(1) >> np.uint64(56)) << np.uint64(56)
+    base = rng.choice(alphabet[:5], 300)
+    near = base.copy()
+    near[[40, 44, 90, 150, 152, 230]] = alphabet[7]
+    words = np.concatenate([base, near])
+    at = np.concatenate([np.arange(300 - passages.HEAD + 1), 300 + np.arange(300 - passages.HEAD + 1)])
+    heads = passages.heads_of(words, at)
+    said = [tuple((words[a : a + passages.HEAD] >> np.uint64(56)).tolist()) for a in at.tolist()]
+    order = np.lexsort(heads.T[::-1])
+    prefix = lambda x, y: next((i for i, (a, b) in enumerate(zip(x, y, strict=True)) if a != b), passages.HEAD)
+    got = passages.shared_words(heads[order[:-1]], heads[order[1:]]).tolist()
+    assert got == [prefix(said[a], said[b]) for a, b in zip(order[:-1], order[1:], strict=True)]
+    assert len(set(got)) > 10 and got.count(passages.HEAD) == len(at) - len(set(said))
+    assert passages.heads_of(words[:5], np.zeros(0, np.int64)).shape == (0, len(passages.HEADS))
+
+
+@pytest.mark.parametrize("tasks", [1, 5])
+def test_a_key_that_two_windows_share_hides_no_holder(spark, tasks):
+    """The first hash is the same for all windows: the second one alone tells them apart, over one task or many."""
+    rows = [(7, k, doc, spot) for k in range(4) for doc in range(k, 40, 3) for spot in (k, k + 100)]
+    df = spark.createDataFrame(rows, "key long, key2 long, doc_id long, spot long")
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    try:
+        got = {tuple(r) for r in passages._matched(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == {(doc, spot, k, k) for _, k, doc, spot in rows if doc > k}
+
+
 def test_frequencies_of_all_shingles_are_exact(spark, rows, monkeypatch):
     monkeypatch.setattr(neardup, "CHUNK_CHARS", 3000)
     monkeypatch.setattr(neardup, "RANGE_SHINGLES", 700)
