@@ -318,13 +318,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     suffixes = live.select("doc_id", "version", F.explode(F.arrays_zip("places", *HEADS)).alias("x"))
     suffixes = suffixes.select(*(F.col(f"x.{h}").alias(h) for h in HEADS), "doc_id", (F.shiftleft("version", 32) + F.col("x.places")).alias("spot"))
     suffixes = materialise(suffixes, "passages-suffixes")
+    discard(marks, firsts)
     shared = _in_order(suffixes, HEADS).mapInPandas(_shared, "doc_id long, spot long")
     spots = shared.groupBy("doc_id", F.shiftright("spot", 32).alias("version")).agg(F.collect_set(F.col("spot").bitwiseAND(F.lit(_PLACE))).alias("places"))
     ends = copies.select("doc_id", "version").unionByName(copies.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"))).distinct()
     wanted = spots.join(ends.withColumn("copy", F.lit(True)), ["doc_id", "version"], "full_outer").select("doc_id", "version", "places")
     texts = docs.withColumn("version", _version(F.col("text"))).join(wanted.hint("merge"), ["doc_id", "version"])
     texts = materialise(texts.select("doc_id", "version", "text", F.coalesce("places", F.array().cast("array<long>")).alias("places")), "passages-texts")
-    discard(suffixes, marks, firsts)
+    discard(suffixes)
 
     matched = _matched(_windows(texts.where(F.size("places") > 0)))
     whole = copies.select("doc_id", "version", F.array(F.lit(0)).alias("starts"), F.col("words").alias("n"), "first_doc", "first_version", F.lit(0).alias("first_start"))
