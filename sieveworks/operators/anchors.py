@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .. import dims
 from ..functions.rules import aspect_fits
+from ..session import stored
 from . import partners, similarity
 
 # How the anchors of an aspect are joined, how many there are, and the least similarity; others stand alone.
@@ -28,27 +30,49 @@ STRATEGIES = {
 
 #: Requests that need partners try so many first anchors.
 ATTEMPTS = 20
+#: Digits of a hash that chunks are counted by.
+SALT_DIGITS = 3
 
 
-def first_anchors(requests: DataFrame, chunks: DataFrame, seed: int = 42) -> DataFrame:
-    """request_id, aspect, attempt, chunk_id, fits. requests: request_id, aspect (a few hundred); chunks: as schemas.CHUNK.
+#: Order of the flags in `marked`.
+_FLAGS = tuple(a for a, _, _ in dims.ASPECT_ROWS) + ("reference_follow",)
+
+
+def marked(chunks: DataFrame) -> DataFrame:
+    """chunks without their text, and `flags`: which aspects they fit. Written once, as texts are slow to look through."""
+    fits = aspect_fits(F.col("text"), F.col("section_path"), F.col("references"))
+    flags = F.array(*[F.coalesce(fits[a], F.lit(False)) for a in _FLAGS])
+    return stored(chunks.select("chunk_id", "doc_id", "position", "section_path", "references", flags.alias("flags")), "marks")
+
+
+def first_anchors(requests: DataFrame, marks: DataFrame, seed: int = 42) -> DataFrame:
+    """request_id, aspect, attempt, chunk_id, fits. requests: request_id, aspect (one of a fixed few); marks: as `marked` gives them.
 
     Aspects whose anchors stand alone have one attempt, the others ATTEMPTS, each with the next chunk in the order of a hash.
+
+    Chunks are counted by the first digits of their hashes, so those that no request can reach are left out before any are sorted,
+    and ranks are taken for these digits apart and moved up by the counts before. Requests find their chunk by its rank.
     """
-    counts = {r["aspect"]: r["n"] for r in requests.groupBy("aspect").agg(F.count(F.lit(1)).alias("n")).collect()}
-    fits = aspect_fits(F.col("text"), F.col("section_path"), F.col("references"))
-    wanted = F.array(*[F.struct(F.lit(a).alias("aspect"), fits.get(a, F.lit(True)).alias("fits")) for a in counts])
-    pool = chunks.select("chunk_id", F.explode(wanted).alias("w")).select("chunk_id", "w.aspect", "w.fits")
+    counts = {r["aspect"]: r["n"] for r in requests.groupBy("aspect").agg(F.count(F.lit(1)).alias("n")).collect()}  # the aspects
+    flag = {a: F.col("flags")[i] for i, a in enumerate(_FLAGS)}
+    wanted = F.array(*[F.struct(F.lit(a).alias("aspect"), flag.get(a, F.lit(True)).alias("fits")) for a in counts])
+    pool = marks.select("chunk_id", F.explode(wanted).alias("w")).select("chunk_id", "w.aspect", "w.fits")
+    pool = pool.withColumn("order", partners.hashed(F.lit(str(seed)), "aspect", "chunk_id")).withColumn("salt", F.substring("order", 1, SALT_DIGITS))
+    of_aspect = Window.partitionBy("aspect")
+    salts = pool.groupBy("aspect", "fits", "salt").agg(F.count(F.lit(1)).alias("n")).withColumn("any", F.max("fits").over(of_aspect))
+    salts = salts.where(F.col("fits") == F.col("any"))  # chunks that do not fit serve only where none does
     most = max(counts.values(), default=0) + ATTEMPTS
-    order = Window.partitionBy("aspect").orderBy(F.col("fits").desc(), partners.hashed(F.lit(str(seed)), "aspect", "chunk_id"), "chunk_id")
-    best = pool.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most)
-    best = best.withColumn("of", F.count(F.lit(1)).over(Window.partitionBy("aspect", "fits"))).withColumn("any", F.max("fits").over(Window.partitionBy("aspect")))
-    best = best.where(F.col("fits") == F.col("any"))  # chunks that do not fit serve only where none does
+    before = F.sum("n").over(of_aspect.orderBy("salt")) - F.col("n")
+    salts = salts.select("aspect", "fits", "salt", before.alias("before"), F.least(F.sum("n").over(of_aspect), F.lit(most)).alias("of")).where("before < of")
+    best = pool.join(F.broadcast(salts), ["aspect", "fits", "salt"])  # 16 ** SALT_DIGITS rows an aspect at most
+    within = F.row_number().over(Window.partitionBy("aspect", "salt").orderBy("order", "chunk_id"))
+    best = best.select("aspect", (F.col("before") + within).alias("n"), "chunk_id", "fits")
+    sizes = salts.select("aspect", "of").distinct()
     numbered = requests.withColumn("i", F.row_number().over(Window.partitionBy("aspect").orderBy("request_id")) - 1)
     last = F.when(F.col("aspect").isin(*STRATEGIES), ATTEMPTS - 1).otherwise(0)
-    tries = numbered.withColumn("attempt", F.explode(F.sequence(F.lit(0), last)))
-    met = tries.join(best, "aspect").where(F.col("n") == F.pmod(F.col("i") + F.col("attempt"), F.col("of")) + 1)
-    return met.select("request_id", "aspect", "attempt", "chunk_id", "fits")
+    tries = numbered.join(F.broadcast(sizes), "aspect").withColumn("attempt", F.explode(F.sequence(F.lit(0), last)))  # a row an aspect
+    tries = tries.withColumn("n", F.pmod(F.col("i") + F.col("attempt"), F.col("of")) + 1)
+    return tries.join(best, ["aspect", "n"]).select("request_id", "aspect", "attempt", "chunk_id", "fits")
 
 
 def _partners(firsts: DataFrame, chunks: DataFrame, vectors: DataFrame | None) -> DataFrame:
@@ -58,7 +82,10 @@ def _partners(firsts: DataFrame, chunks: DataFrame, vectors: DataFrame | None) -
     of = lambda how: rows.where(F.col("how") == how).select("request_id", "attempt", "chunk_id", "n", "least")
     keep = ("request_id", "attempt", "place", "partner")
     spots = chunks.select("chunk_id", "doc_id", "position")
-    remote = partners.remote_by_section(chunks).join(spots, ["doc_id", "position"])
+    # partners depend on their own document alone, so only the documents of these anchors are looked at
+    docs = spots.join(of("remote").select("chunk_id").distinct(), "chunk_id", "left_semi").select("doc_id").distinct()
+    spots = spots.join(docs, "doc_id", "left_semi")
+    remote = partners.remote_by_section(chunks.join(docs, "doc_id", "left_semi")).join(spots, ["doc_id", "position"])
     remote = remote.join(spots.select("doc_id", F.col("position").alias("partner"), F.col("chunk_id").alias("other")), ["doc_id", "partner"])
     out = of("remote").join(remote.select("chunk_id", F.col("other").alias("partner")), "chunk_id").withColumn("place", F.lit(1)).select(*keep)
     held = partners.reference_partners(chunks.select("chunk_id", F.col("references").alias("refs")))
@@ -85,10 +112,12 @@ def _partners(firsts: DataFrame, chunks: DataFrame, vectors: DataFrame | None) -
 def anchor_sets(requests: DataFrame, chunks: DataFrame, vectors: DataFrame | None = None, seed: int = 42) -> DataFrame:
     """request_id, aspect, key, anchors (array of chunk structs) and miss: null, `compat` or `partner`.
 
-    A request that needs partners takes its first attempt that has any.
+    A request that needs partners takes its first attempt that has any. What is read more than once (chunks without their text, and
+    first anchors) is written to the folder that spark.checkpoint.dir names, which a cluster needs.
     """
-    firsts = first_anchors(requests.select("request_id", "aspect"), chunks, seed)
-    more = _partners(firsts, chunks, vectors)
+    marks = marked(chunks)
+    firsts = stored(first_anchors(requests.select("request_id", "aspect"), marks, seed), "firsts")  # read by each strategy
+    more = _partners(firsts, marks, vectors)
     tries = more.groupBy("request_id", "attempt").agg(F.array_sort(F.collect_list(F.struct("place", "partner"))).alias("partners"))  # two at most
     chosen = tries.groupBy("request_id").agg(F.min(F.struct("attempt", "partners")).alias("c"))
     firsts = firsts.join(chosen, "request_id", "left").where(F.col("attempt") == F.coalesce("c.attempt", F.lit(0)))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(name: str = "sieveworks", **conf: str) -> SparkSession:
@@ -51,3 +52,10 @@ def shared_dir(spark: SparkSession) -> str:
         place = "file://" + tempfile.mkdtemp(prefix="sieveworks-")
         spark.conf.set("spark.sieveworks.folder", place)
     return place
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder once and read back."""
+    place = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,3 +63,21 @@ def test_highlight(spark, body, quote, want):
 def test_bullets(spark):
     df = spark.createDataFrame([(["a", "b"],), ([],)], "x array<string>").select(text.bullets(F.col("x")).alias("t"))
     assert [r["t"] for r in df.collect()] == ["- a\n- b", "(該当なし)"]
+
+
+def test_first_anchors_are_found_by_rank(spark, chunks):
+    """Requests and chunks of one aspect meet by aspect and rank, not all with all, and come in the order of the hash."""
+    rows = [(f"d{i}__c0000", f"d{i}", None, "<table" if i % 3 else "x", 0, [], []) for i in range(700)]
+    asked = [(i, a) for i, a in enumerate(["simple_table", "multi_hop", "flowchart"] * 150)]
+    requests = spark.createDataFrame(asked, "request_id int, aspect string")
+    got = anchors.first_anchors(requests, anchors.marked(spark.createDataFrame(rows, schemas.CHUNK)))
+    want = set()
+    for aspect in ("simple_table", "multi_hop", "flowchart"):
+        pool = [r[0] for r in rows if aspect != "simple_table" or r[3] == "<table"]
+        pool = sorted(pool, key=lambda c: (hashlib.md5(f"42:{aspect}:{c}".encode()).hexdigest(), c))[: 150 + anchors.ATTEMPTS]
+        for i, (request, _) in enumerate(x for x in asked if x[1] == aspect):
+            want |= {(request, aspect, t, pool[(i + t) % len(pool)], aspect != "flowchart") for t in range(anchors.ATTEMPTS if aspect == "multi_hop" else 1)}
+    assert set(map(tuple, got.collect())) == want and got.count() == len(want)
+    joins = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "aspect" in line]
+    assert any(re.search(r"n#\d+L? = ", line) or re.search(r"= n#\d+L?", line) for line in joins)
+    assert not any("pmod" in line for line in joins)
