@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Queries that are broadcast, and vectors of a side that meet in a task; rows of the corpus that are multiplied at once.
-BLOCK, STEP = 4096, 2048
+#: Queries that are broadcast, and vectors of a side that meet in a task; queries and rows of the corpus that are multiplied at once.
+BLOCK, ASKED, STEP = 4096, 256, 2048
 
 
 def unit(name: str):
@@ -31,8 +31,9 @@ def _normal(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(norm == 0, 1, norm)
 
 
-def _best(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool) -> pd.DataFrame:
-    """The rows of one part of a corpus that can be among the k nearest of some queries; both as (ids, unit vectors, labels)."""
+def _best(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool) -> tuple:
+    """query, id, label and sim of those rows of one part of a corpus that can be among the k nearest of some queries; both as (ids,
+    unit vectors, labels)."""
     (qid, q, qlabel), (ids, vectors, labels) = queries, corpus
     if vectors.shape[1] != q.shape[1]:
         raise ValueError("vectors differ in width")
@@ -43,26 +44,48 @@ def _best(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool
     if least is not None:
         sims[sims < least] = -np.inf
     rounded = np.round(sims, 9)
-    bound = -np.partition(-rounded, k - 1, 1)[:, k - 1][:, None] if k < len(ids) else np.full((len(q), 1), -np.inf)
+    last = len(ids) - k
+    bound = np.partition(rounded, last, 1)[:, last][:, None] if last > 0 else np.full((len(q), 1), -np.inf)
     i, j = np.nonzero((rounded >= bound) & np.isfinite(sims))  # all that tie with the k-th
-    return pd.DataFrame({"query": qid[i], "id": ids[j], "label": labels[j], "sim": sims[i, j]})
+    return qid[i], ids[j], labels[j], sims[i, j]
 
 
 def _arrays(pdf: pd.DataFrame, asked: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     widths = {len(v) for v in pdf["vec"]}
     if len(widths) > 1:
         raise ValueError("vectors differ in width")
-    vectors = np.array(pdf["vec"].tolist(), np.float64)
+    vectors = np.empty((len(pdf), *widths), np.float64)
+    for i, v in enumerate(pdf["vec"]):  # row by row: a list of lists of Python floats is many times as large
+        vectors[i] = v
     if asked and (np.linalg.norm(vectors, axis=1) == 0).any():
         raise ValueError("a query has a zero vector")
     return pdf["id"].to_numpy(), _normal(vectors), pdf["label"].to_numpy()
 
 
-def _merged(found: Iterator[pd.DataFrame], k: int) -> pd.DataFrame:
-    """The k best of each query and what ties with the last of them."""
-    rows = pd.concat(list(found), ignore_index=True)
-    rank = rows["sim"].round(9).groupby(rows["query"]).rank(method="min", ascending=False)
-    return rows[rank <= k]
+def _parts(arrays: tuple, size: int) -> Iterator[tuple]:
+    """Parts of `size` rows of arrays of one length."""
+    for at in range(0, len(arrays[0]), size):
+        yield tuple(a[at : at + size] for a in arrays)
+
+
+def _cut(rows: tuple, k: int) -> tuple:
+    """Of (query, id, label, sim) the k best of each query, ties by id."""
+    query, ids, _, sim = rows
+    order = np.lexsort((ids, -np.round(sim, 9), query))
+    place = np.arange(len(order))
+    first = np.concatenate([[True], query[order][1:] != query[order][:-1]])[: len(order)]
+    keep = order[place - np.maximum.accumulate(np.where(first, place, 0)) < k]
+    return tuple(c[keep] for c in rows)
+
+
+def _found(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool) -> Iterator[pd.DataFrame]:
+    """The k best rows of a part of a corpus for each query, some queries at a time: ASKED by STEP similarities are held at once."""
+    for asked in _parts(queries, ASKED):
+        best = None
+        for part in _parts(corpus, STEP):
+            rows = _best(asked, part, k, least, same)
+            best = _cut(rows if best is None else tuple(map(np.concatenate, zip(best, rows, strict=True))), k)
+        yield pd.DataFrame(dict(zip(("query", "id", "label", "sim"), best, strict=True)))
 
 
 def nearest(corpus: DataFrame, queries: DataFrame, k: int, *, least: float | None = None, same: bool = False, block: int | None = None) -> DataFrame:
@@ -87,7 +110,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int, *, least: float | Non
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 for at in range(0, len(pdf), STEP):
-                    yield _best(shared.value, _arrays(pdf.iloc[at : at + STEP]), k, least, same)
+                    yield from _found(shared.value, _arrays(pdf.iloc[at : at + STEP]), k, least, same)
 
         found = corpus.mapInPandas(run, schema)
     else:
@@ -96,8 +119,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int, *, least: float | Non
         def meet(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if not len(asked) or not len(rows):
                 return pd.DataFrame({"query": [], "id": [], "label": [], "sim": []})
-            q = _arrays(asked.rename(columns={"asked": "vec"}), asked=True)
-            return _merged((_best(q, _arrays(rows.iloc[at : at + STEP]), k, least, same) for at in range(0, len(rows), STEP)), k)
+            return pd.concat(_found(_arrays(asked.rename(columns={"asked": "vec"}), asked=True), _arrays(rows), k, least, same), ignore_index=True)
 
         of = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

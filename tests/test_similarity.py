@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from sieveworks.operators import similarity
@@ -54,3 +57,18 @@ def test_wrong_vectors_are_errors(spark, block):
             similarity.nearest(corpus, spark.createDataFrame([*rows[:5], bad], SCHEMA), 2, block=block).collect()
     assert similarity.nearest(corpus, corpus.limit(0), 2, block=block).count() == 0 and similarity.nearest(corpus, corpus, 0).count() == 0
     assert similarity.nearest(corpus.limit(0), corpus, 2, block=block).count() == 0
+
+
+def test_few_similarities_are_held_at_once():
+    """A task's memory does not grow with the product of its two sides, and copies of one vector leave k rows a query."""
+    n, m = 3_000, 12_000
+    rng = np.random.default_rng(3)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    corpus = unit(np.concatenate([rng.normal(size=(m // 2, 8)), np.ones((m // 2, 8))]))
+    tracemalloc.start()
+    got = pd.concat(similarity._found((np.arange(n) + m, unit(np.ones((n, 8))), np.zeros(n, int)), (np.arange(m), corpus, np.ones(m, int)), 5, None, True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6 < n * m * 8
+    first = m // 2
+    assert len(got) == 5 * n and set(got["id"]) == set(range(first, first + 5))
