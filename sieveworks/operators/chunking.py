@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -51,12 +50,12 @@ def _cut(text: str | None, size: int, overlap: int) -> list[str] | None:
 
 
 def pieces_of(texts: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
-    """The chunks of each text of an array, as an array of arrays. A batch kernel: a fold in Spark's array functions copies what it
-    has so far for each part."""
+    """The chunks of each text of an array, as an array of arrays. A Python kernel: a fold in Spark's array functions copies what it
+    has so far for each part. Rows come a few at a time, as texts may be long: a batch of Arrow has 10,000 of them whatever their length."""
 
-    @F.pandas_udf("array<array<string>>")
-    def run(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda row: None if row is None else [_cut(text, size, overlap) for text in row])
+    @F.udf("array<array<string>>", useArrow=False)
+    def run(row: list[str | None] | None) -> list | None:
+        return None if row is None else [_cut(text, size, overlap) for text in row]
 
     return run(texts)
 

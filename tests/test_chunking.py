@@ -102,3 +102,11 @@ def test_windows_cover_the_text(spark):
     df = spark.createDataFrame([(1, "abcdefghij" * 3), (2, None), (3, "ab")], "doc_id int, text string")
     got = chunking.windows(df, 10, 8).orderBy("doc_id", "position").collect()
     assert "".join(r["text"][:8] for r in got if r["doc_id"] == 1).startswith(("abcdefghij" * 3)[:24]) and [r["text"] for r in got if r["doc_id"] == 3] == ["ab"]
+
+
+def test_texts_are_cut_a_few_at_a_time(spark):
+    """No batch of 10,000 texts is held in a Python worker, whatever their length; empty and null texts keep their rows."""
+    df = spark.createDataFrame([("a b " * 500,), ("x",), ("",), (None,)], "text string").select(chunking.pieces(F.col("text")).alias("p"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert [r["p"] and len(r["p"]) for r in df.collect()] == [3, 1, [], None]
