@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import dims
 from ..functions import rules
 from ..functions.text import is_unable, parsed
-from ..session import entries
+from ..session import delete, entries
 
 Client = Callable[[str, str], str]
 PERSPECTIVES = ("ANSWERABILITY", "LEAKAGE", "GROUNDING", "DIFFICULTY_MATCH")
@@ -71,28 +71,53 @@ def answered(rows: DataFrame, client: Client, model: str, prompt: str, reply: st
     Replies are kept by model and prompt: a prompt that several rows share is asked once, one that an earlier run has asked is not
     asked again, and a failure is no reply and is asked again by the next run. Prompts are asked in batches and the replies of
     each are on disk, in a folder of their own, before the next begins, so a run that dies loses those of one batch. The store may
-    be shared by jobs; of replies that two runs at once have added for one prompt the least counts.
+    be shared by jobs and is read once in a call, for the prompts of these rows; if it holds several replies for one prompt, as two
+    runs at once may have added them, the least counts.
     """
     spark = rows.sparkSession
     key = "_digest"
     rows = rows.withColumn(key, digest(model, F.col(prompt)))
+    store = store.rstrip("/")
+    # Spark's readers skip names that begin with an underscore
+    place = f"{store}/_asked/{uuid.uuid4().hex}"
+    waiting, known, left = (f"{place}/{name}" for name in ("prompts", "known", "left"))
+    # a file is asked by one task: of each batch every task gets a share, but not less than 100 prompts
+    share = min(batch, max(100, -(-batch // spark.sparkContext.defaultParallelism)))
+    prompts = lambda *places: spark.read.schema("digest string, prompt string").parquet(*places)
     todo = rows.where(F.col(prompt).isNotNull()).groupBy(F.col(key).alias("digest")).agg(F.min(prompt).alias("prompt"))
+    todo.write.option("maxRecordsPerFile", share).parquet(waiting)
+    found, rest = [], waiting
     # by name: Spark takes two reads of one folder for the same, whatever was added to it in between
-    kept = lambda: entries(spark, store)
-    if kept():
-        todo = todo.join(spark.read.schema(REPLIES).parquet(*kept()).select("digest").distinct(), "digest", "left_anti")
-    waiting = f"{store.rstrip('/')}/_asked/{uuid.uuid4().hex}"  # Spark's readers skip names that begin with an underscore
-    todo.write.parquet(waiting)
-    todo = spark.read.schema("digest string, prompt string").parquet(waiting)
-    rounds = -(-todo.count() // batch)
-    for i in range(rounds):
-        part = todo.where(F.pmod(F.xxhash64("digest"), F.lit(rounds)) == i)
-        got = ask(part, client, model, "prompt", "reply", attempts, at_once).where("reply is not null")
-        got.select("digest", F.lit(model).alias("model"), "prompt", "reply").write.parquet(f"{store.rstrip('/')}/{uuid.uuid4().hex}")
-    if not kept():
+    if kept := entries(spark, store):
+        old = spark.read.schema(REPLIES).parquet(*kept).join(prompts(waiting).select("digest"), "digest", "left_semi")
+        old.groupBy("digest").agg(F.min("reply").alias("reply")).write.parquet(known)
+        found, rest = [known], left
+        lacking = prompts(waiting).join(spark.read.schema("digest string").parquet(known), "digest", "left_anti")
+        lacking.write.option("maxRecordsPerFile", share).parquet(left)
+    counts = prompts(rest).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    for names in shares(sorted((r["name"], r["n"]) for r in counts.collect()), batch):
+        got = ask(prompts(*[f"{rest}/{name}" for name in names]), client, model, "prompt", "reply", attempts, at_once).where("reply is not null")
+        found.append(f"{store}/{uuid.uuid4().hex}")
+        got.select("digest", F.lit(model).alias("model"), "prompt", "reply").write.parquet(found[-1])
+    for done in (waiting, left):
+        delete(spark, done)
+    if not found:
         return rows.withColumn(reply, F.lit(None).cast("string")).drop(key)
-    known = spark.read.schema(REPLIES).parquet(*kept()).groupBy(F.col("digest").alias(key)).agg(F.min("reply").alias(reply))
-    return rows.join(known, key, "left").drop(key)
+    replies = spark.read.schema("digest string, reply string").parquet(*found)  # one for each prompt
+    return rows.join(replies.select(F.col("digest").alias(key), F.col("reply").alias(reply)), key, "left").drop(key)
+
+
+def shares(counts: list[tuple[str, int]], most: int) -> list[list[str]]:
+    """The names of (name, n), in order, in groups whose n add up to `most` at most; one that is larger stands alone."""
+    out: list[list[str]] = []
+    total = 0
+    for name, n in counts:
+        if not out or total + n > most:
+            out.append([])
+            total = 0
+        out[-1].append(name)
+        total += n
+    return out
 
 
 def embedded(rows: DataFrame, embed: Callable[[list[str]], list[list[float]]], text: str, vector: str, batch: int = 256) -> DataFrame:

@@ -13,7 +13,7 @@ from .. import dims, schemas
 from ..functions import rules, text
 from ..operators import anchors, asking, chunking, partners, reports, sampling, similarity
 from ..operators import items as ops
-from ..session import shared_dir
+from ..session import shared_dir, stored
 from ..sources import files
 from ..streaming import verification
 from . import jobs, requests
@@ -778,8 +778,10 @@ SELECT k, said AS rag_answer, ['match','partial','no_match'][length(answer || '|
 def verified_stream(spark, sf_dir):
     """Items verified as micro-batches of files: first half of them, then the rest, by a client that answers from the prompt."""
     qa = qa_rows(spark, sf_dir).withColumn("qa_id", F.col("k").cast("string")).drop("k", "rag_verification").withColumn("rag_verification", F.lit(None).cast(schemas.VERIFICATION))
+    qa = stored(qa, "verified-items")
     place = f"{shared_dir(spark)}/verified-{uuid.uuid4().hex}"
     found = read(spark, sf_dir, "documents").where("doc_id = 0").select(F.lit("0__c0000").alias("chunk_id"), F.lit("0").alias("doc_id"), F.lit(None).cast("int").alias("page"), F.array().cast("array<string>").alias("section_path"), F.substring("text", 1, 80).alias("text"))
+    found = stored(found, "verified-chunk")
 
     def verify(batch: DataFrame) -> DataFrame:
         retrieved = batch.select("qa_id", F.lit(1).alias("rank")).crossJoin(F.broadcast(found))  # one chunk
@@ -787,6 +789,6 @@ def verified_stream(spark, sf_dir):
         return batch.drop("rag_verification").join(done, "qa_id")
 
     for part in (qa.where(F.pmod(F.xxhash64("qa_id"), F.lit(2)) == 0), qa):
-        verification.verify_new(part, f"{place}/out", verify, batch=20_000)
+        verification.verify_new(part, f"{place}/out", verify, batch=20_000, most=8)
     done = spark.read.schema(schemas.QA).json(f"{place}/out")
     return done.select(F.col("qa_id").cast("long").alias("k"), "rag_verification.rag_answer", "rag_verification.answer_match")

@@ -42,6 +42,12 @@ def entries(spark: SparkSession, place: str) -> list[str]:
     return sorted(str(f.getPath()) for f in found or ())
 
 
+def delete(spark: SparkSession, place: str) -> None:
+    """Delete a folder with all that is in it, if there is one."""
+    system, name = path_of(spark, place)
+    system.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name), True)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names, which driver and executors share. A local session without one gets a temporary
     folder; on a cluster that would be another one on each machine, so it is an error there."""

@@ -244,6 +244,36 @@ def test_a_job_that_dies_keeps_the_replies_of_its_batches(spark, tmp_path):
     assert set(said(calls)) == {f"m p{i}" for i in range(12)} - {f"m {x}" for x in before}
 
 
+def test_replies_are_read_for_the_asked_prompts_only(spark, tmp_path):
+    calls, store = tmp_path / "calls", str(tmp_path / "store")
+    calls.mkdir()
+    rows = lambda *prompts: spark.createDataFrame([(p,) for p in prompts], "p string")
+    ask = lambda rows, **more: asking.answered(rows, counting(str(calls)), "m", "p", "r", store, 1, **more)
+    names = [f"p{i}" for i in range(250)]
+    assert ask(rows(*names), batch=100).count() == 250
+    folders = lambda: {p.name for p in (tmp_path / "store").iterdir() if p.name[0] not in "_."}
+    old = folders()
+    assert len(old) >= 3 and len(said(calls)) == 250
+    got = ask(rows("p3", "new", "p3", "p4"))
+    assert sorted((r["p"], r["r"]) for r in got.collect()) == [("new", "yes new"), ("p3", "yes p3"), ("p3", "yes p3"), ("p4", "yes p4")]
+    assert not any(f"/{name}/" in f for f in got.inputFiles() for name in old) and len(folders() - old) == 1
+    assert len(said(calls)) == 251
+    spark.createDataFrame([(r["d"], "m", "p5", "a") for r in rows("p5").select(asking.digest("m", F.col("p")).alias("d")).collect()], asking.REPLIES).write.parquet(f"{store}/other")
+    assert [r["r"] for r in ask(rows("p5", "p5")).collect()] == ["a", "a"]  # the least of two
+    assert asking.shares([("a", 2), ("b", 2), ("c", 1), ("d", 9), ("e", 1)], 4) == [["a", "b"], ["c"], ["d"], ["e"]] and asking.shares([], 4) == []
+
+
+def test_micro_batches_stay_few(spark, tmp_path):
+    """However many files land, a run takes them in 16 micro-batches at most, and all items are there once."""
+    qa, out = files.qa(spark, write(tmp_path / "qa", *[item(f"q{i}") for i in range(50)])), str(tmp_path / "out")
+    batches = lambda: len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("batch=")])
+    assert verify_new(qa.where("qa_id < 'q3'"), out, lambda df: df, batch=1) == 23 and 1 < batches() <= 16
+    first = batches()
+    assert verify_new(qa, out, lambda df: df, batch=1) == 27 and first < batches() <= first + 16
+    assert sorted(r["qa_id"] for r in spark.read.json(out).collect()) == sorted(f"q{i}" for i in range(50))
+    assert verify_new(qa, out, lambda df: df, batch=1) == 0
+
+
 def test_other_thresholds_ask_nothing(spark, tmp_path, chunks):
     calls = tmp_path / "calls"
     calls.mkdir()
