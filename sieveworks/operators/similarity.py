@@ -18,6 +18,8 @@ from pyspark.sql.window import Window
 
 #: Queries that are broadcast, and vectors of a side that meet in a task; queries and rows of the corpus that are multiplied at once.
 BLOCK, ASKED, STEP = 4096, 256, 2048
+#: Where a side would be more than GROUPS groups, a group has more vectors, up to so many NUMBERS in all: each is sent to fewer tasks.
+GROUPS, NUMBERS = 32, 1 << 20
 
 
 def unit(name: str):
@@ -31,23 +33,34 @@ def _normal(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(norm == 0, 1, norm)
 
 
-def _best(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool) -> tuple:
+def _best(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool, floor: np.ndarray) -> tuple:
     """query, id, label and sim of those rows of one part of a corpus that can be among the k nearest of some queries; both as (ids,
-    unit vectors, labels)."""
-    (qid, q, qlabel), (ids, vectors, labels) = queries, corpus
+    unit vectors, labels, codes of labels). floor: for each query the rounded similarity of the k-th best row known so far, or -inf."""
+    (qid, q, _, qcode), (ids, vectors, labels, codes) = queries, corpus
     if vectors.shape[1] != q.shape[1]:
         raise ValueError("vectors differ in width")
-    sims = q @ vectors.T
-    sims[qid[:, None] == ids[None, :]] = -np.inf
+    # single precision tells which pairs to look at; unit vectors err by less than slack
+    sims, slack = q.astype(np.float32) @ vectors.T.astype(np.float32), (q.shape[1] + 8) * 2.0**-22
+    own = np.flatnonzero(np.isin(ids, qid))
+    if len(own):
+        sims[:, own] = np.where(qid[:, None] == ids[own][None, :], -np.inf, sims[:, own])
     if same:
-        sims[qlabel[:, None] == labels[None, :]] = -np.inf
+        np.putmask(sims, qcode[:, None] == codes[None, :], -np.inf)
+    top, last, bound = sims.max(1), len(ids) - k, floor if least is None else np.maximum(floor, least)
+    if last > 0 and np.isneginf(floor).any():
+        bound = np.maximum(bound, top if k == 1 else np.partition(sims, last, 1)[:, last])
+    bound = (bound - slack).astype(np.float32)
+    rows = np.flatnonzero((top >= bound) & np.isfinite(top))
+    sims = sims[rows]
+    i, j = np.divmod(np.flatnonzero((sims >= bound[rows, None]) & np.isfinite(sims)), len(ids))
+    i, sim = rows[i], np.empty(len(i))
+    for at in range(0, len(i), STEP):
+        sim[at : at + STEP] = np.einsum("ij,ij->i", q[i[at : at + STEP]], vectors[j[at : at + STEP]])
+    keep = np.round(sim, 9) >= floor[i]  # also all that tie with the k-th
     if least is not None:
-        sims[sims < least] = -np.inf
-    rounded = np.round(sims, 9)
-    last = len(ids) - k
-    bound = np.partition(rounded, last, 1)[:, last][:, None] if last > 0 else np.full((len(q), 1), -np.inf)
-    i, j = np.nonzero((rounded >= bound) & np.isfinite(sims))  # all that tie with the k-th
-    return qid[i], ids[j], labels[j], sims[i, j]
+        keep &= sim >= least
+    i, j, sim = i[keep], j[keep], sim[keep]
+    return qid[i], ids[j], labels[j], sim
 
 
 def _arrays(pdf: pd.DataFrame, asked: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,11 +93,18 @@ def _cut(rows: tuple, k: int) -> tuple:
 
 def _found(queries: tuple, corpus: tuple, k: int, least: float | None, same: bool) -> Iterator[pd.DataFrame]:
     """The k best rows of a part of a corpus for each query, some queries at a time: ASKED by STEP similarities are held at once."""
+    codes = np.unique(np.concatenate([queries[2], corpus[2]]), return_inverse=True)[1]
+    codes = codes.astype(np.min_scalar_type(int(codes.max(initial=0))))  # small numbers are compared faster
+    queries, corpus = (*queries, codes[: len(queries[0])]), (*corpus, codes[len(queries[0]) :])
     for asked in _parts(queries, ASKED):
-        best = None
+        best, floor = None, np.full(len(asked[0]), -np.inf)
         for part in _parts(corpus, STEP):
-            rows = _best(asked, part, k, least, same)
-            best = _cut(rows if best is None else tuple(map(np.concatenate, zip(best, rows, strict=True))), k)
+            rows = _best(asked, part, k, least, same, floor)
+            if best is None or len(rows[0]):
+                best = _cut(rows if best is None else tuple(map(np.concatenate, zip(best, rows, strict=True))), k)
+                first, end = np.searchsorted(best[0], asked[0]), np.searchsorted(best[0], asked[0], "right")
+                full = end - first >= k
+                floor[full] = np.round(best[3][first[full] + k - 1], 9)
         yield pd.DataFrame(dict(zip(("query", "id", "label", "sim"), best, strict=True)))
 
 
@@ -94,17 +114,19 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int, *, least: float | Non
     corpus: id, vec, label. queries: id, vec, label. With `same` only rows of another label count. A query never finds
     itself (the row with its id). least: similarities below it do not count. k of 0 or less finds nothing.
 
-    Up to `block` queries are broadcast and the corpus stays where it is. More are dealt out in groups of about that size, and so
-    is the corpus; each pair of groups meets in a task of its own, which holds no more than the two.
+    Up to `block` queries are broadcast and the corpus stays where it is. More are dealt out in groups of about that size (of more
+    where `block` is not given and there are many), and so is the corpus; each pair of groups meets alone, and a task holds no more
+    than two groups at once.
     """
     schema = "query long, id long, label long, sim double"
     corpus = corpus.select(F.col("id").cast("long").alias("id"), "vec", F.col("label").cast("long").alias("label")).where(F.size("vec") > 0)
     queries = queries.select(F.col("id").cast("long").alias("id"), "vec", F.col("label").cast("long").alias("label"))
-    block = block or BLOCK
-    n = queries.count() if k > 0 else 0
+    if same:  # no label is neither the same nor another
+        corpus, queries = corpus.where("label is not null"), queries.where("label is not null")
+    n, width = queries.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first() if k > 0 else (0, 0)
     if not n:
         return corpus.sparkSession.createDataFrame([], schema + ", rank int")
-    if n <= block:
+    if n <= (block or BLOCK):
         shared = corpus.sparkSession.sparkContext.broadcast(_arrays(queries.toPandas(), asked=True))  # `block` rows at most
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,7 +136,9 @@ def nearest(corpus: DataFrame, queries: DataFrame, k: int, *, least: float | Non
 
         found = corpus.mapInPandas(run, schema)
     else:
-        across, down = -(-n // block), -(-corpus.count() // block) or 1
+        m = corpus.count()
+        block = block or max(BLOCK, min(-(-max(n, m) // GROUPS), NUMBERS // max(width, 1)))
+        across, down = -(-n // block), -(-m // block) or 1
 
         def meet(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if not len(asked) or not len(rows):

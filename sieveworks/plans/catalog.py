@@ -370,11 +370,11 @@ def duplicate_drop(spark, sf_dir):
     return similarity.uniqueness(_vectors(spark, sf_dir)).where(F.round("uniqueness", 6) >= round(1 - dims.UNIQUENESS_MOST, 6)).select("id")
 
 
-@query(_V_SQL + f"s AS (SELECT a.id AS query, b.id AS id, {_SIM} AS sim FROM e a JOIN e b ON a.id<>b.id AND a.label<>b.label WHERE a.id%20=0 AND {_SIM} >= 0.1) SELECT query, id, round(sim,6) AS sim FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(sim,9) DESC, id)=1")
+@query(_V_SQL + f"s AS (SELECT a.id AS query, b.id AS id, {_SIM} AS sim FROM e a JOIN e b ON a.id<>b.id AND a.label<>b.label WHERE {_SIM} >= 0.1) SELECT query, id, round(sim,6) AS sim FROM s QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(sim,9) DESC, id)=1")
 def neighbour_pairs_distinct(spark, sf_dir):
-    """The nearest vector of another label, if it is near enough."""
-    v = _vectors(spark, sf_dir)
-    return similarity.nearest(v, v.where("id % 20 = 0"), 1, least=0.1, same=True).select("query", "id", F.round("sim", 6).alias("sim"))
+    """For every vector the nearest one of another label, if it is near enough."""
+    v = _vectors(spark, sf_dir).where(F.size("vec") > 0)
+    return similarity.nearest(v, v, 1, least=0.1, same=True).select("query", "id", F.round("sim", 6).alias("sim"))
 
 
 # ---------------------------------------------------------------- difficulty

@@ -5,8 +5,10 @@ import tracemalloc
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from sieveworks.operators import similarity
+from sieveworks.plans import catalog
 
 SCHEMA = "id long, vec array<double>, label long"
 
@@ -72,3 +74,25 @@ def test_few_similarities_are_held_at_once():
     assert peak < 100e6 < n * m * 8
     first = m // 2
     assert len(got) == 5 * n and set(got["id"]) == set(range(first, first + 5))
+
+
+def test_every_vector_has_its_neighbour_of_another_label(spark, tmp_path):
+    rows = rows_of(70)
+    table = spark.createDataFrame([*rows, (70, rows[0][1], None), (71, None, 1)], "vec_id long, embedding array<double>, label long").select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("int").alias("label"))
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = catalog.neighbour_pairs_distinct(spark, str(tmp_path)).collect()
+    assert sorted((r["query"], r["id"], 1) for r in got) == brute(rows, rows, 1, 0.1, True) and len(got) == 70
+
+
+def test_what_is_known_of_other_parts_changes_no_result(monkeypatch):
+    """Parts of all sizes, ties with the k-th and queries that find fewer than k."""
+    rows = rows_of(60, 3, 4) + [(90 + i, [-9.0, 0, 0], 5) for i in range(3)]
+    unit = np.array([v for _, v, _ in rows]) / np.linalg.norm([v for _, v, _ in rows], axis=1, keepdims=True)
+    arrays = np.array([r[0] for r in rows]), unit, np.array([r[2] for r in rows])
+    for step in (1, 4, 17, 100):
+        monkeypatch.setattr(similarity, "STEP", step)
+        monkeypatch.setattr(similarity, "ASKED", 7)
+        for k, least, same in ((1, None, True), (1, 0.1, True), (4, 0.5, False), (40, None, True)):
+            found = pd.concat(similarity._found(arrays, arrays, k, least, same))
+            place = found.groupby("query").cumcount() + 1
+            assert sorted(zip(found["query"], found["id"], place, strict=True)) == brute(rows, rows, k, least, same)
